@@ -1,0 +1,177 @@
+"""DuckDB oracle SQL for every registered query.
+
+Each statement starts from the driver's pre-registered views (part, lineitem,
+...) and re-derives the graph with the same definitions as
+``bibgraph.sources.fixtures`` — written independently as SQL, so a bug on one
+side does not hide on the other.  Doubles are rounded to 6 places on both
+sides; integer outputs are BIGINT.
+"""
+
+from __future__ import annotations
+
+GRAPH_VIEWS = """
+paper AS (
+  SELECT p.p_partkey AS paperId, nullif(p.p_name, 'blue anvil') AS title,
+         d.text AS abstract, CAST(2017 + p.p_size % 8 AS BIGINT) AS year,
+         CAST(p.p_size AS BIGINT) AS citationCount
+  FROM part p LEFT JOIN documents d ON d.doc_id = p.p_partkey),
+published_in AS (
+  SELECT paperId, kind,
+         CASE kind WHEN 'Journal' THEN 'J-' WHEN 'Workshop' THEN 'W-' ELSE 'C-' END || p_brand AS name,
+         year, CASE WHEN kind <> 'Journal' THEN CAST(p_size % 20 AS BIGINT) END AS edition
+  FROM (SELECT p_partkey AS paperId, p_brand, p_size,
+               CAST(2017 + p_size % 8 AS BIGINT) AS year,
+               CASE WHEN p_type IN ('LARGE', 'SMALL') THEN 'Journal'
+                    WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'Workshop'
+                    WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'Conference' END AS kind
+        FROM part) x
+  WHERE kind IS NOT NULL),
+author AS (
+  SELECT c.c_custkey AS authorId, c.c_name AS name, n.n_name AS affiliation,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'university' ELSE 'company' END AS affiliationType
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+wrote AS (
+  SELECT DISTINCT o.o_custkey AS authorId, l.l_partkey AS paperId
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+order_line AS (
+  SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
+cites AS (
+  SELECT DISTINCT a.part AS src, b.part AS dst
+  FROM order_line a JOIN order_line b
+    ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber - 1
+  WHERE a.part <> b.part),
+contains AS (
+  SELECT DISTINCT paperId, keyword FROM (
+    SELECT p_partkey AS paperId, unnest(string_split(p_name, ' ')) AS keyword FROM part) w
+  WHERE keyword <> ''),
+keyword AS (SELECT DISTINCT keyword AS text FROM contains),
+n_cited AS (SELECT dst AS paperId, count(*) AS n_cited FROM cites GROUP BY dst)
+"""
+
+COMMUNITY_TERMS_SQL = "('anvil', 'bolt', 'gear', 'gizmo', 'plate', 'ring', 'rod')"
+
+
+def with_graph(body: str, extra: str = "") -> str:
+    """Prefix ``body`` with the graph views (plus optional extra CTEs)."""
+    ctes = GRAPH_VIEWS.strip()
+    if extra.strip():
+        ctes += ",\n" + extra.strip()
+    return f"WITH {ctes}\n{body}"
+
+
+COMMUNITY_CTES = f"""
+comm_paper AS (SELECT DISTINCT paperId FROM contains WHERE keyword IN {COMMUNITY_TERMS_SQL}),
+venue_share AS (
+  SELECT v.kind, v.name,
+         count(*) FILTER (WHERE c.paperId IS NOT NULL) AS num_comm_papers,
+         count(*) AS num_papers
+  FROM (SELECT DISTINCT kind, name, paperId FROM published_in
+        WHERE kind IN ('Journal', 'Conference')) v
+  LEFT JOIN comm_paper c ON c.paperId = v.paperId
+  GROUP BY v.kind, v.name),
+comm_venue AS (
+  SELECT kind, name, num_comm_papers, num_papers,
+         CAST(num_comm_papers AS DOUBLE) / num_papers AS share
+  FROM venue_share WHERE num_comm_papers > 0
+   AND CAST(num_comm_papers AS DOUBLE) / num_papers >= 0.9),
+cv_paper AS (
+  SELECT DISTINCT p.paperId FROM published_in p
+  JOIN comm_venue v ON p.kind = v.kind AND p.name = v.name),
+top_paper AS (
+  SELECT dst AS paperId, count(*) AS n_citations FROM cites
+  WHERE src IN (SELECT paperId FROM cv_paper) AND dst IN (SELECT paperId FROM cv_paper)
+  GROUP BY dst ORDER BY n_citations DESC, paperId LIMIT 100)
+"""
+
+ANALYTICS = {
+    "top3_cited_per_conference": with_graph("""
+SELECT conference, t1 AS topCitedPaper1, t2 AS topCitedPaper2, t3 AS topCitedPaper3
+FROM (
+  SELECT r.name AS conference, count(*) AS n,
+         max(CASE WHEN rk = 1 THEN p.title END) AS t1,
+         max(CASE WHEN rk = 2 THEN p.title END) AS t2,
+         max(CASE WHEN rk = 3 THEN p.title END) AS t3
+  FROM (SELECT pub.name, c.paperId,
+               row_number() OVER (PARTITION BY pub.name ORDER BY c.n_cited DESC, c.paperId) AS rk
+        FROM n_cited c JOIN published_in pub ON pub.paperId = c.paperId
+        WHERE pub.kind = 'Conference') r
+  LEFT JOIN paper p ON p.paperId = r.paperId
+  WHERE rk <= 3
+  GROUP BY r.name) g
+WHERE n = 3 AND NOT (t1 = 'None' OR t2 = 'None' OR t3 = 'None')
+"""),
+    "conference_communities": with_graph("""
+SELECT m.conferenceName, m.authorId, a.name, m.distinctEditions
+FROM (SELECT pub.name AS conferenceName, w.authorId,
+             count(DISTINCT pub.edition) AS distinctEditions
+      FROM wrote w JOIN published_in pub ON pub.paperId = w.paperId
+      WHERE pub.kind = 'Conference'
+      GROUP BY 1, 2 HAVING count(DISTINCT pub.edition) >= 4) m
+JOIN author a ON a.authorId = m.authorId
+"""),
+    "conference_community_sizes": with_graph("""
+SELECT conferenceName, count(*) AS community_size
+FROM (SELECT pub.name AS conferenceName, w.authorId
+      FROM wrote w JOIN published_in pub ON pub.paperId = w.paperId
+      WHERE pub.kind = 'Conference'
+      GROUP BY 1, 2 HAVING count(DISTINCT pub.edition) >= 4) m
+WHERE authorId IN (SELECT authorId FROM author)
+GROUP BY conferenceName
+"""),
+    "journal_impact_factor": with_graph("""
+SELECT r.journalName, CAST(sum(c.c) AS BIGINT) AS num_citations, n.num_papers,
+       round(CAST(sum(c.c) AS DOUBLE) / n.num_papers, 6) AS impact_factor,
+       CAST(sum(c.c) AS BIGINT) // n.num_papers AS impact_factor_int
+FROM (SELECT name AS journalName, paperId FROM published_in
+      WHERE kind = 'Journal' AND year IN (2022, 2021)) r
+JOIN (SELECT ci.dst AS paperId, sum(m.m) AS c
+      FROM cites ci
+      JOIN (SELECT paperId, count(*) AS m FROM published_in
+            WHERE kind = 'Journal' AND year = 2023 GROUP BY paperId) m ON m.paperId = ci.src
+      GROUP BY ci.dst) c ON c.paperId = r.paperId
+JOIN (SELECT name AS journalName, count(*) AS num_papers FROM published_in
+      WHERE kind = 'Journal' AND year IN (2022, 2021) GROUP BY name) n
+  ON n.journalName = r.journalName
+GROUP BY r.journalName, n.num_papers
+"""),
+    "author_h_index": with_graph("""
+SELECT h.authorId, a.name, h.h_index
+FROM (SELECT authorId, CAST(max(rk) AS BIGINT) AS h_index
+      FROM (SELECT w.authorId, c.n_cited,
+                   row_number() OVER (PARTITION BY w.authorId ORDER BY c.n_cited DESC) AS rk
+            FROM wrote w JOIN n_cited c ON c.paperId = w.paperId) s
+      WHERE n_cited >= rk
+      GROUP BY authorId) h
+LEFT JOIN author a ON a.authorId = h.authorId
+"""),
+}
+
+RECOMMEND = {
+    "community_keywords": with_graph(f"""
+SELECT text AS keyword, 'database' AS community FROM keyword
+WHERE text IN {COMMUNITY_TERMS_SQL}
+"""),
+    "community_venues": with_graph("""
+SELECT kind, name, num_comm_papers, num_papers, round(share, 6) AS share,
+       'database' AS community
+FROM comm_venue
+""", COMMUNITY_CTES),
+    "top_community_papers": with_graph("SELECT paperId, n_citations FROM top_paper",
+                                       COMMUNITY_CTES),
+    "potential_reviewers": with_graph("""
+SELECT DISTINCT authorId, 'database' AS community FROM wrote
+WHERE paperId IN (SELECT paperId FROM top_paper)
+""", COMMUNITY_CTES),
+    "gurus": with_graph("""
+SELECT authorId, count(*) AS n_top_papers, 'database' AS community FROM wrote
+WHERE paperId IN (SELECT paperId FROM top_paper)
+GROUP BY authorId HAVING count(*) >= 2
+""", COMMUNITY_CTES),
+}
+
+
+def oracle_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    out.update(ANALYTICS)
+    out.update(RECOMMEND)
+    return out
