@@ -95,3 +95,52 @@ def q_pot_reviewers(spark, sf_dir):
 def q_gurus(spark, sf_dir):
     g, venues = _community(spark, sf_dir)
     return recommend.gurus(g, recommend.top_community_papers(g, venues, 100), 2)
+
+
+# --- graph algorithms ----------------------------------------------------
+
+from . import algorithms  # noqa: E402
+from ..operators.graph_algorithms import pagerank, strongly_connected_components  # noqa: E402
+
+
+@register("project_counts")
+def q_project_counts(spark, sf_dir):
+    return algorithms.wrote_projection(graph_from_tables(spark, sf_dir)).counts()
+
+
+@register("pagerank_wrote")
+def q_pagerank_wrote(spark, sf_dir):
+    pr = pagerank(algorithms.wrote_projection(graph_from_tables(spark, sf_dir)))
+    return pr.select("label", "key", r6("score"))
+
+
+@register("pagerank_top10")
+def q_pagerank_top10(spark, sf_dir):
+    pr = pagerank(algorithms.wrote_projection(graph_from_tables(spark, sf_dir)))
+    pr = algorithms.node_lookup(pr.select("label", "key", r6("score")))
+    return algorithms.top10(pr, "score").select("paperId", "score")
+
+
+@register("pagerank_cites")
+def q_pagerank_cites(spark, sf_dir):
+    pr = pagerank(algorithms.cites_projection(graph_from_tables(spark, sf_dir)))
+    return pr.select(F.col("key").alias("paperId"), r6("score"))
+
+
+@register("scc_cites")
+def q_scc_cites(spark, sf_dir):
+    proj = algorithms.cites_projection(graph_from_tables(spark, sf_dir))
+    return algorithms.scc_with_component_keys(proj).select(
+        F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
+
+
+@register("scc_top10")
+def q_scc_top10(spark, sf_dir):
+    df = q_scc_cites(spark, sf_dir)
+    return df.orderBy(F.desc("componentId"), F.asc("paperId")).limit(10)
+
+
+@register("scc_wrote")
+def q_scc_wrote(spark, sf_dir):
+    proj = algorithms.wrote_projection(graph_from_tables(spark, sf_dir))
+    return algorithms.scc_with_component_keys(proj)

@@ -175,3 +175,89 @@ def oracle_sql() -> dict[str, str]:
     out.update(ANALYTICS)
     out.update(RECOMMEND)
     return out
+
+
+def _pagerank_cites_sql(iterations: int = 20, d: float = 0.85) -> str:
+    """PageRank on CITES unrolled into one CTE per round."""
+    base = 1.0 - d
+    ctes = [
+        "v AS (SELECT paperId AS id FROM paper)",
+        "e AS (SELECT DISTINCT src, dst FROM cites)",
+        "outdeg AS (SELECT src, count(*) AS k FROM e GROUP BY src)",
+        f"r0 AS (SELECT id, CAST({base} AS DOUBLE) AS rank FROM v)",
+    ]
+    for i in range(1, iterations + 1):
+        ctes.append(f"""r{i} AS (
+  SELECT v.id, {base} + {d} * coalesce(s.inc, 0.0) AS rank FROM v LEFT JOIN (
+    SELECT e.dst, sum(r.rank / o.k) AS inc FROM e
+    JOIN r{i - 1} r ON r.id = e.src JOIN outdeg o ON o.src = e.src
+    GROUP BY e.dst) s ON s.dst = v.id)""")
+    return with_graph(f"SELECT id AS paperId, round(rank, 6) AS score FROM r{iterations}",
+                      ",\n".join(ctes))
+
+
+_PR_WROTE_CTES = """
+aut_out AS (SELECT authorId, count(*) AS k FROM wrote GROUP BY authorId),
+pr AS (
+  SELECT 'Paper' AS label, p.paperId AS key,
+         round(0.15 + 0.85 * coalesce(s.inc, 0.0), 6) AS score
+  FROM paper p LEFT JOIN (
+    SELECT w.paperId, sum(0.15 / o.k) AS inc FROM wrote w
+    JOIN aut_out o ON o.authorId = w.authorId GROUP BY w.paperId) s ON s.paperId = p.paperId
+  UNION ALL
+  SELECT 'Author' AS label, authorId AS key, 0.15 AS score FROM author)
+"""
+
+ALGORITHMS = {
+    "project_counts": with_graph("""
+SELECT (SELECT count(*) FROM paper) + (SELECT count(*) FROM author) AS nodeCount,
+       (SELECT count(*) FROM wrote) AS relationshipCount
+"""),
+    # WROTE runs Author -> Paper only: the loop is exact after two rounds.
+    "pagerank_wrote": with_graph("SELECT label, key, score FROM pr", _PR_WROTE_CTES),
+    "pagerank_top10": with_graph("""
+SELECT CASE WHEN label = 'Paper' THEN key END AS paperId, score FROM pr
+ORDER BY score DESC, label, key LIMIT 10
+""", _PR_WROTE_CTES),
+    "pagerank_cites": _pagerank_cites_sql(),
+    # WROTE is bipartite and acyclic: every vertex is its own component.
+    "scc_wrote": with_graph("""
+SELECT 'Paper' AS label, paperId AS key, 'Paper' AS componentLabel, paperId AS componentKey
+FROM paper
+UNION ALL
+SELECT 'Author', authorId, 'Author', authorId FROM author
+"""),
+}
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811
+    out: dict[str, str] = {}
+    out.update(ANALYTICS)
+    out.update(RECOMMEND)
+    out.update(ALGORITHMS)
+    return out
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# SCC oracle: mutual reachability from the transitive closure of CITES;
+# the component id is the smallest paperId of the component.
+_SCC_CTES = """
+reach(src, dst) AS (
+  SELECT src, dst FROM cites
+  UNION
+  SELECT r.src, c.dst FROM reach r JOIN cites c ON c.src = r.dst),
+scc AS (
+  SELECT p.paperId, coalesce(min(m.src), p.paperId) AS componentId
+  FROM paper p LEFT JOIN (
+    SELECT r.src, r.dst FROM reach r JOIN reach b ON b.src = r.dst AND b.dst = r.src) m
+    ON m.dst = p.paperId
+  GROUP BY p.paperId)
+"""
+
+ALGORITHMS["scc_cites"] = _recursive(with_graph("SELECT paperId, componentId FROM scc", _SCC_CTES))
+ALGORITHMS["scc_top10"] = _recursive(with_graph(
+    "SELECT paperId, componentId FROM scc ORDER BY componentId DESC, paperId LIMIT 10",
+    _SCC_CTES))
