@@ -20,9 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
-from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpoint_dir
+import uuid
+
+from ..session import checkpoint_dir, scratch_path
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
 
@@ -103,22 +104,44 @@ def project(nodes: dict[str, DataFrame], rels: list[tuple[str, str, DataFrame]],
     return Projection(vertices, edges)
 
 
+def bucketed(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+    """Write ``df`` as a table bucketed on ``cols`` into the checkpoint folder.
+
+    A bucketed scan reports its hash partitioning, so later joins on ``cols``
+    shuffle only the other side; the written table is also the lineage cut.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = f"bibgraph_{label}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").bucketBy(_partitions(spark), *cols)
+     .option("path", path).saveAsTable(name))
+    _TABLES.append(name)
+    return spark.table(name)
+
+
+def drop_scratch_tables(spark: SparkSession) -> None:
+    """Forget the catalog entries of bucketed scratch tables (files stay with
+    the checkpoint folder)."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+
+
+_TABLES: list[str] = []
+
+
 class EdgeSet:
-    """Edges persisted once, partitioned on (src, salt), with hot sources split."""
+    """Edges written once, bucketed on (src, salt), with hot sources split."""
 
     def __init__(self, edges: DataFrame, hot_edges: int = HOT_EDGES):
-        spark = edges.sparkSession
-        p = _partitions(spark)
         deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
-        self.fanout = (deg.select(F.col("src").alias("id"), "outdeg",
-                                  F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
-                                  .cast("int").alias("s"))
-                       .repartition(p, "id").persist(StorageLevel.MEMORY_AND_DISK))
-        self.edges = (edges.join(self.fanout.select(F.col("id").alias("src"), "s"), "src")
-                      .select("src", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int")
-                              .alias("salt"), "dst")
-                      .repartition(p, "src", "salt")
-                      .persist(StorageLevel.MEMORY_AND_DISK))
+        self.fanout = bucketed(
+            deg.select(F.col("src").alias("id"), "outdeg",
+                       F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
+                       .cast("int").alias("s")), ["id"], "fanout")
+        self.edges = bucketed(
+            edges.join(self.fanout.select(F.col("id").alias("src"), "s"), "src")
+            .select("src", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"),
+                    "dst"), ["src", "salt"], "edges")
 
     def messages(self, values: DataFrame, cols: list[str]) -> DataFrame:
         """Rows (dst, *cols) for every edge whose source has a row in ``values(id, *cols)``."""
@@ -128,8 +151,7 @@ class EdgeSet:
         return self.edges.join(sv, ["src", "salt"]).select("dst", *cols)
 
     def release(self) -> None:
-        self.edges.unpersist()
-        self.fanout.unpersist()
+        """Files are removed with the checkpoint folder."""
 
 
 def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
@@ -144,8 +166,7 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
     p = _partitions(spark)
-    vertices = (proj.vertices.select("id").repartition(p, "id")
-                .persist(StorageLevel.MEMORY_AND_DISK))
+    vertices = bucketed(proj.vertices.select("id"), ["id"], "vertices")
     es = EdgeSet(proj.edges.distinct())
     base = 1.0 - damping
     ranks = vertices.select("id", F.lit(base).alias("rank"))
@@ -164,7 +185,11 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
             if delta is not None and delta <= tol:
                 break
         else:
-            ranks = new.checkpoint(eager=True) if i % checkpoint_every == 0 else new
+            last = i == max_iter
+            ranks = new.checkpoint(eager=True) if last or i % checkpoint_every == 0 else new
+    if tol is None and max_iter == 0:
+        ranks = ranks.checkpoint(eager=True)
+    drop_scratch_tables(spark)
     out = ranks.join(proj.vertices, "id").select("id", "label", "key",
                                                  F.col("rank").alias("score"))
     return out
