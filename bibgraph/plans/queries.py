@@ -144,3 +144,107 @@ def q_scc_top10(spark, sf_dir):
 def q_scc_wrote(spark, sf_dir):
     proj = algorithms.wrote_projection(graph_from_tables(spark, sf_dir))
     return algorithms.scc_with_component_keys(proj)
+
+
+# --- graph load from reference-shaped load files --------------------------
+
+from ..operators import graph_build as gb  # noqa: E402
+from ..sources.load_files import author_load_rows, paper_load_rows  # noqa: E402
+from ..sources.tables import Tables  # noqa: E402
+
+
+def _load(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return paper_load_rows(t), author_load_rows(t)
+
+
+@register("paper_nodes")
+def q_paper_nodes(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.paper_nodes(rows).select(
+        "paperId", "title", "url", F.length("abstract").cast("bigint").alias("abstract_chars"),
+        "year", "citationCount")
+
+
+@register("merge_nodes_first_wins")
+def q_author_nodes(spark, sf_dir):
+    _, arows = _load(spark, sf_dir)
+    return gb.author_nodes(arows)
+
+
+@register("wrote_edges")
+def q_wrote_edges(spark, sf_dir):
+    rows, arows = _load(spark, sf_dir)
+    return gb.wrote_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows))
+
+
+@register("published_in_edges")
+def q_published_in(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.published_in_edges(rows, gb.paper_nodes(rows))
+
+
+@register("merge_edges_last_wins")
+def q_merge_edges_last(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.published_in_edges(rows, gb.paper_nodes(rows)).select(
+        "paperId", "kind", "name", "venue")
+
+
+@register("venue_nodes")
+def q_venue_nodes(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.venue_nodes(rows)
+
+
+@register("cites_edges_with_stubs")
+def q_cites_stubs(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    edges, stubs = gb.cites_edges(rows, gb.paper_nodes(rows))
+    marked = stubs.select(F.col("paperId").alias("dst"), F.lit(True).alias("dst_is_stub"))
+    return (edges.join(marked, "dst", "left")
+            .select("src", "dst", F.coalesce("dst_is_stub", F.lit(False)).alias("dst_is_stub")))
+
+
+@register("keyword_nodes")
+def q_keyword_nodes(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.keyword_nodes(rows)
+
+
+@register("contains_edges")
+def q_contains(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return gb.contains_edges(rows, gb.paper_nodes(rows))
+
+
+@register("reviewed_edges")
+def q_reviewed(spark, sf_dir):
+    rows, arows = _load(spark, sf_dir)
+    return gb.reviewed_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows))
+
+
+@register("reviewed_edges_untrimmed")
+def q_reviewed_untrimmed(spark, sf_dir):
+    rows, arows = _load(spark, sf_dir)
+    return gb.reviewed_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows), trim=False)
+
+
+@register("reviewed_edges_evolved")
+def q_reviewed_evolved(spark, sf_dir):
+    rows, arows = _load(spark, sf_dir)
+    papers, authors = gb.paper_nodes(rows), gb.author_nodes(arows)
+    old = gb.reviewed_edges(rows, papers, authors)
+    return gb.reviewed_edges_evolved(rows, papers, authors, existing=old)
+
+
+@register("affiliated_edges")
+def q_affiliated(spark, sf_dir):
+    _, arows = _load(spark, sf_dir)
+    return gb.affiliated_edges(arows)[1]
+
+
+@register("graph_counts")
+def q_graph_counts(spark, sf_dir):
+    rows, arows = _load(spark, sf_dir)
+    return gb.graph_counts(gb.build_graph(rows, arows))

@@ -261,3 +261,161 @@ ALGORITHMS["scc_cites"] = _recursive(with_graph("SELECT paperId, componentId FRO
 ALGORITHMS["scc_top10"] = _recursive(with_graph(
     "SELECT paperId, componentId FROM scc ORDER BY componentId DESC, paperId LIMIT 10",
     _SCC_CTES))
+
+
+# --- graph load from reference-shaped load files ---------------------------
+
+LOAD_CTES = """
+ln AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supp
+       FROM lineitem GROUP BY 1, 2),
+load_rows AS (
+  SELECT kind, l.l_orderkey * 8 + l.l_linenumber AS row_no,
+         CAST(l.part AS VARCHAR) AS paperId,
+         nullif(p.p_name, 'blue anvil') AS title,
+         'p/' || CAST(l.part AS VARCHAR) || '/' || CAST(l.l_orderkey AS VARCHAR) AS url,
+         d.text AS abstract,
+         CAST(2017 + p.p_size % 8 AS VARCHAR) AS year,
+         CAST(p.p_size AS VARCHAR) AS citationCount,
+         CAST(o.o_custkey AS VARCHAR) || ', ' || CAST(l.supp AS VARCHAR) AS authorIds,
+         CAST(o.o_custkey AS VARCHAR) AS corresponding_author,
+         n.n_name AS venue, 'Y' AS approved,
+         CAST(l.supp + 1 AS VARCHAR) || ', ' || CAST(o.o_custkey + 1 AS VARCHAR) AS reviewers,
+         'review ' || CAST(l.l_orderkey AS VARCHAR) || ';review ' || CAST(l.l_linenumber AS VARCHAR) AS comments,
+         CASE WHEN kind <> 'Journal' THEN prefix || p.p_brand END AS proceedings,
+         CASE WHEN kind <> 'Journal' THEN CAST(p.p_size % 20 AS VARCHAR) END AS edition,
+         CASE WHEN kind = 'Journal' THEN prefix || p.p_brand END AS journal_name,
+         CASE WHEN kind = 'Journal' THEN CAST(p.p_size AS VARCHAR) END AS journal_volume,
+         replace(p.p_name, ' ', ',') || ',' ||
+           lower(['Big Data', 'Indexing', 'NLP', 'Data Management'][CAST(l.part % 4 AS INTEGER) + 1]) AS keywords,
+         concat_ws(', ', CAST(pv.part AS VARCHAR), CAST(nx.part AS VARCHAR),
+                   CASE WHEN l.l_linenumber = 1 THEN 'ext-' || CAST(l.supp AS VARCHAR) END) AS Citations
+  FROM ln l
+  JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN (SELECT *, CASE WHEN p_type IN ('LARGE', 'SMALL') THEN 'Journal'
+                       WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'Workshop'
+                       WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'Conference' END AS kind,
+                  CASE WHEN p_type IN ('LARGE', 'SMALL') THEN 'J-'
+                       WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'W-' ELSE 'C-' END AS prefix
+        FROM part) p ON p.p_partkey = l.part
+  LEFT JOIN documents d ON d.doc_id = l.part
+  JOIN nation n ON n.n_nationkey = (l.part + l.l_orderkey) % 25
+  LEFT JOIN ln pv ON pv.l_orderkey = l.l_orderkey AND pv.l_linenumber = l.l_linenumber - 1
+  LEFT JOIN ln nx ON nx.l_orderkey = l.l_orderkey AND nx.l_linenumber = l.l_linenumber + 1
+  WHERE kind IS NOT NULL),
+author_rows AS (
+  SELECT CAST(c.c_custkey AS VARCHAR) AS authorId, c.c_name AS name, n.n_name AS Affiliations,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'university' ELSE 'company' END AS Affiliation_type,
+         c.c_custkey AS row_no
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+  UNION ALL
+  SELECT CAST(s.s_suppkey AS VARCHAR), s.s_name, n.n_name, 'company',
+         1099511627776 + s.s_suppkey
+  FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey),
+l_paper AS (
+  SELECT paperId, title, url, abstract,
+         CAST(trunc(TRY_CAST(year AS DOUBLE)) AS BIGINT) AS year,
+         CAST(trunc(TRY_CAST(citationCount AS DOUBLE)) AS BIGINT) AS citationCount
+  FROM (SELECT *, row_number() OVER (
+          PARTITION BY paperId
+          ORDER BY CASE kind WHEN 'Conference' THEN 1 WHEN 'Journal' THEN 2 ELSE 3 END, row_no) AS rn
+        FROM load_rows) x
+  WHERE rn = 1),
+l_author AS (
+  SELECT authorId, name, Affiliations AS affiliation, Affiliation_type AS affiliationType
+  FROM (SELECT *, row_number() OVER (PARTITION BY authorId ORDER BY row_no) AS rn
+        FROM author_rows) x WHERE rn = 1),
+l_wrote_rows AS (
+  SELECT r.paperId, trim(a.raw) AS authorId,
+         coalesce(r.corresponding_author = trim(a.raw), false) AS corresponding,
+         CASE r.kind WHEN 'Journal' THEN 1 WHEN 'Workshop' THEN 2 ELSE 3 END AS file_no, r.row_no
+  FROM load_rows r, unnest(string_split(r.authorIds, ',')) AS a(raw)),
+l_wrote AS (
+  SELECT authorId, paperId, corresponding FROM (
+    SELECT *, row_number() OVER (PARTITION BY authorId, paperId ORDER BY file_no DESC, row_no DESC) AS rn
+    FROM l_wrote_rows
+    WHERE paperId IN (SELECT paperId FROM l_paper) AND authorId IN (SELECT authorId FROM l_author)) x
+  WHERE rn = 1),
+l_venue_rows AS (
+  SELECT *, CASE WHEN kind = 'Journal' THEN journal_name ELSE proceedings END AS name
+  FROM load_rows
+  WHERE (CASE WHEN kind = 'Journal' THEN journal_name ELSE proceedings END) IS NOT NULL
+    AND (CASE WHEN kind = 'Journal' THEN journal_name ELSE proceedings END) <> ''),
+l_published_in AS (
+  SELECT paperId, kind, name,
+         CAST(trunc(TRY_CAST(year AS DOUBLE)) AS BIGINT) AS year,
+         CAST(trunc(TRY_CAST(edition AS DOUBLE)) AS BIGINT) AS edition,
+         venue, CASE WHEN kind = 'Journal' THEN journal_volume END AS journal_volume
+  FROM (SELECT *, row_number() OVER (PARTITION BY paperId, kind, name ORDER BY row_no DESC) AS rn
+        FROM l_venue_rows WHERE paperId IN (SELECT paperId FROM l_paper)) x
+  WHERE rn = 1),
+l_cites AS (
+  SELECT DISTINCT r.paperId AS src, trim(c.item) AS dst
+  FROM load_rows r, unnest(string_split(r.Citations, ',')) AS c(item)
+  WHERE r.Citations IS NOT NULL AND r.Citations <> ''
+    AND r.paperId IN (SELECT paperId FROM l_paper)),
+l_contains AS (
+  SELECT DISTINCT r.paperId, trim(k.item) AS keyword
+  FROM load_rows r, unnest(string_split(r.keywords, ',')) AS k(item)
+  WHERE r.paperId IN (SELECT paperId FROM l_paper)
+    AND trim(k.item) IS NOT NULL AND trim(k.item) <> ''),
+l_review_rows AS (
+  SELECT r.paperId, trim(v.item) AS authorId, v.item AS raw_id, r.approved, r.comments,
+         CASE r.kind WHEN 'Conference' THEN 1 WHEN 'Journal' THEN 2 ELSE 3 END AS file_no, r.row_no
+  FROM load_rows r, unnest(string_split(r.reviewers, ',')) AS v(item)
+  WHERE r.paperId IN (SELECT paperId FROM l_paper))
+"""
+
+BUILD = {
+    "paper_nodes": with_graph("""
+SELECT paperId, title, url, CAST(length(abstract) AS BIGINT) AS abstract_chars, year, citationCount
+FROM l_paper
+""", LOAD_CTES),
+    "merge_nodes_first_wins": with_graph("SELECT * FROM l_author", LOAD_CTES),
+    "wrote_edges": with_graph("SELECT * FROM l_wrote", LOAD_CTES),
+    "published_in_edges": with_graph("SELECT * FROM l_published_in", LOAD_CTES),
+    "merge_edges_last_wins": with_graph(
+        "SELECT paperId, kind, name, venue FROM l_published_in", LOAD_CTES),
+    "venue_nodes": with_graph("SELECT DISTINCT kind, name FROM l_venue_rows", LOAD_CTES),
+    "cites_edges_with_stubs": with_graph("""
+SELECT src, dst, dst NOT IN (SELECT paperId FROM l_paper) AS dst_is_stub FROM l_cites
+""", LOAD_CTES),
+    "keyword_nodes": with_graph("""
+SELECT DISTINCT k.item AS text FROM load_rows r, unnest(string_split(r.keywords, ',')) AS k(item)
+""", LOAD_CTES),
+    "contains_edges": with_graph("SELECT * FROM l_contains", LOAD_CTES),
+    "reviewed_edges": with_graph("""
+SELECT DISTINCT authorId, paperId FROM l_review_rows
+WHERE authorId IN (SELECT authorId FROM l_author)
+""", LOAD_CTES),
+    "reviewed_edges_untrimmed": with_graph("""
+SELECT DISTINCT raw_id AS authorId, paperId FROM l_review_rows
+WHERE raw_id IN (SELECT authorId FROM l_author)
+""", LOAD_CTES),
+    "reviewed_edges_evolved": with_graph("""
+SELECT authorId, paperId, approved, comments FROM (
+  SELECT *, row_number() OVER (PARTITION BY authorId, paperId ORDER BY file_no DESC, row_no DESC) AS rn
+  FROM l_review_rows WHERE authorId IN (SELECT authorId FROM l_author)) x
+WHERE rn = 1
+""", LOAD_CTES),
+    "affiliated_edges": with_graph("""
+SELECT DISTINCT authorId, Affiliations AS organization FROM author_rows
+WHERE Affiliations IS NOT NULL
+""", LOAD_CTES),
+    "graph_counts": with_graph("""
+SELECT 'paper' AS "table", (SELECT count(*) FROM l_paper)
+       + (SELECT count(DISTINCT dst) FROM l_cites WHERE dst NOT IN (SELECT paperId FROM l_paper)) AS "rows"
+UNION ALL SELECT 'author', (SELECT count(*) FROM l_author)
+UNION ALL SELECT 'venue', (SELECT count(*) FROM (SELECT DISTINCT kind, name FROM l_venue_rows))
+UNION ALL SELECT 'keyword', (SELECT count(DISTINCT keyword) FROM l_contains)
+UNION ALL SELECT 'organization', (SELECT count(DISTINCT Affiliations) FROM author_rows WHERE Affiliations IS NOT NULL)
+UNION ALL SELECT 'wrote', (SELECT count(*) FROM l_wrote)
+UNION ALL SELECT 'published_in', (SELECT count(*) FROM l_published_in)
+UNION ALL SELECT 'cites', (SELECT count(*) FROM l_cites)
+UNION ALL SELECT 'contains', (SELECT count(*) FROM l_contains)
+UNION ALL SELECT 'reviewed', (SELECT count(*) FROM (SELECT DISTINCT authorId, paperId FROM l_review_rows
+                                WHERE authorId IN (SELECT authorId FROM l_author)))
+UNION ALL SELECT 'affiliated_to', (SELECT count(*) FROM (SELECT DISTINCT authorId, Affiliations FROM author_rows
+                                WHERE Affiliations IS NOT NULL))
+""", LOAD_CTES),
+}
+ALGORITHMS.update(BUILD)
