@@ -248,3 +248,176 @@ def q_affiliated(spark, sf_dir):
 def q_graph_counts(spark, sf_dir):
     rows, arows = _load(spark, sf_dir)
     return gb.graph_counts(gb.build_graph(rows, arows))
+
+
+# --- cleaning / ETL --------------------------------------------------------
+
+from ..operators import clean  # noqa: E402
+from ..operators import synth  # noqa: E402
+from ..sources.raw_papers import raw_authors, raw_papers  # noqa: E402
+
+
+def _raw(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return raw_papers(t), raw_authors(t)
+
+
+def _categorized(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    return clean.categorize_publication(clean.clean_papers(papers))
+
+
+@register("clean_papers")
+def q_clean(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    return clean.clean_papers(papers).select(
+        "paperId", "field_query", "venue", "publicationTypes", "journal_volume")
+
+
+@register("categorize_publication")
+def q_categorize(spark, sf_dir):
+    return _categorized(spark, sf_dir).select("paperId", "publicationTypes", "journal_volume")
+
+
+@register("aggregate_paper_authors")
+def q_aggregate_authors(spark, sf_dir):
+    papers, authors = _raw(spark, sf_dir)
+    out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
+    return out.select("paperId", F.size("authorIds").cast("bigint").alias("n_authors"),
+                      F.element_at("authorIds", -1).alias("last_author"))
+
+
+@register("list_columns_to_strings")
+def q_list_strings(spark, sf_dir):
+    papers, authors = _raw(spark, sf_dir)
+    out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
+    return clean.list_columns_to_strings(out).select("paperId", "authorIds")
+
+
+@register("corresponding_author")
+def q_corresponding(spark, sf_dir):
+    papers, authors = _raw(spark, sf_dir)
+    out = clean.corresponding_author(
+        clean.aggregate_paper_authors(clean.clean_papers(papers), authors))
+    return out.select("paperId", "corresponding_author")
+
+
+@register("venue_names")
+def q_venue_names(spark, sf_dir):
+    return clean.venue_names(_categorized(spark, sf_dir)).select(
+        "paperId", "proceedings", "journal")
+
+
+@register("extract_edition")
+def q_edition(spark, sf_dir):
+    out = clean.extract_edition(clean.venue_names(_categorized(spark, sf_dir)))
+    return out.select("paperId", "edition")
+
+
+@register("extract_edition_literal")
+def q_edition_literal(spark, sf_dir):
+    out = clean.extract_edition(clean.venue_names(_categorized(spark, sf_dir)), literal=True)
+    return out.select("paperId", "edition")
+
+
+@register("parse_list_literals")
+def q_parse_lists(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    out = clean.parse_list_literals(papers.where(F.col("publicationTypes").isNotNull()),
+                                    "publicationTypes")
+    return out.select("paperId", F.size("publicationTypes").cast("bigint").alias("n_types"),
+                      F.array_join("publicationTypes", "|").alias("types"))
+
+
+@register("finalize_keywords")
+def q_finalize_keywords(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    p = clean.clean_papers(papers).withColumn("keywords", F.split("title", " "))
+    return clean.list_columns_to_strings(clean.finalize_keywords(p)).select(
+        "paperId", "keywords")
+
+
+def _typed(spark, sf_dir):
+    out = clean.extract_edition(clean.venue_names(_categorized(spark, sf_dir)))
+    return clean.split_by_type(out)
+
+
+@register("split_by_type")
+def q_split(spark, sf_dir):
+    parts = _typed(spark, sf_dir)
+    cols = lambda df, t: df.select("paperId", F.lit(t).alias("type"),
+                                   (F.col("edition") if "edition" in df.columns
+                                    else F.lit(None).cast("bigint")).alias("edition"))
+    out = None
+    for t, df in parts.items():
+        out = cols(df, t) if out is None else out.unionByName(cols(df, t))
+    return out
+
+
+@register("clone_previous_edition")
+def q_clone(spark, sf_dir):
+    conf = _typed(spark, sf_dir)["Conference"]
+    return clean.clone_previous_edition(conf).select(
+        "paperId", "edition", F.col("year").cast("bigint").alias("year"))
+
+
+@register("dedupe_keep_first")
+def q_dedupe(spark, sf_dir):
+    from ..operators.upsert import dedupe_keep_first
+    li = Tables(spark, sf_dir).lineitem
+    others = [c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]
+    out = dedupe_keep_first(li, ["l_orderkey", "l_linenumber"], others)
+    return out.drop("l_shipdate")
+
+
+# --- synthetic attributes --------------------------------------------------
+
+@register("assign_reviewers")
+def q_reviewers(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    papers = synth.number_of_reviewers(g.paper.select("paperId"))
+    pool = g.wrote.select("authorId")
+    return synth.pick_from_pool(papers, "paperId", "number_reviewers", pool, "authorId",
+                                seed="rev", exclude=g.wrote.select("paperId", "authorId"),
+                                slack=20).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("assign_comments")
+def q_comments(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    papers = synth.number_of_reviewers(g.paper.select("paperId"))
+    pool = Tables(spark, sf_dir).benchmark.select("item_id")
+    return synth.pick_from_pool(papers, "paperId", "number_reviewers", pool, "item_id",
+                                seed="comment", slack=20) \
+        .withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("synthetic_citations")
+def q_synth_cites(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    papers = synth.number_of_citations(g.paper.select("paperId"))
+    return synth.pick_from_pool(papers, "paperId", "synthetic_cites", g.paper.select("paperId"),
+                                "paperId", seed="cite", slack=40, self_excluded=True) \
+        .withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("assign_locations")
+def q_locations(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    cities = Tables(spark, sf_dir).nation.select(F.col("n_name").alias("location"))
+    return synth.pick_one(g.paper.select("paperId"), "paperId", cities, "location", seed="loc")
+
+
+@register("assign_affiliations")
+def q_affiliations(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    t = Tables(spark, sf_dir)
+    # 25 nation names stand for the pool; the first dozen play universities
+    pool = t.nation.select(F.col("n_name").alias("affiliation"), "n_nationkey")
+    picked = synth.pick_one(g.author.select("authorId"), "authorId",
+                            pool.select("affiliation"), "affiliation", seed="aff")
+    unis = pool.where(F.col("n_nationkey") < 12).select("affiliation", F.lit(True).alias("u"))
+    return (picked.join(unis, "affiliation", "left")
+            .select("authorId", "affiliation",
+                    F.when(F.col("u"), F.lit("university")).otherwise(F.lit("company"))
+                    .alias("affiliation_type")))

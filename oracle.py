@@ -419,3 +419,187 @@ UNION ALL SELECT 'affiliated_to', (SELECT count(*) FROM (SELECT DISTINCT authorI
 """, LOAD_CTES),
 }
 ALGORITHMS.update(BUILD)
+
+
+# --- cleaning / ETL ----------------------------------------------------------
+
+RAW_CTES = """
+raw_papers AS (
+  SELECT CAST(p.p_partkey AS VARCHAR) AS paperId,
+         [' Big Data', 'Big Data', 'Indexing', 'NLP'][CAST(p.p_partkey % 4 AS INTEGER) + 1] AS field_query,
+         p.p_name AS title, 'p/' || CAST(p.p_partkey AS VARCHAR) AS url,
+         CASE WHEN p.p_type = 'PROMO' THEN 'Workshop on ' || p.p_brand
+              WHEN p.p_type = 'ECONOMY' THEN NULL
+              WHEN p.p_size % 4 = 0 THEN p.p_brand || ' ' || CAST(p.p_size AS VARCHAR) || 'th'
+              ELSE p.p_brand END AS venue,
+         CASE WHEN p.p_type IN ('LARGE', 'PROMO') THEN '[''JournalArticle'']'
+              WHEN p.p_type = 'SMALL' THEN '[''JournalArticle'', ''Conference'']'
+              WHEN p.p_type = 'MEDIUM' THEN '[''Conference'']'
+              WHEN p.p_type = 'STANDARD' THEN '[''Review'']' END AS publicationTypes,
+         d.text AS abstract, 2017 + p.p_size % 8 AS year, p.p_size AS citationCount,
+         CASE WHEN p.p_size % 3 = 0 THEN 'Proc. ' || CAST(p.p_size AS VARCHAR) || 'th' END AS journal_name,
+         CASE WHEN p.p_size % 7 <> 0 THEN CAST(p.p_size AS VARCHAR) END AS journal_volume,
+         '1-' || CAST(p.p_size AS VARCHAR) AS journal_pages
+  FROM part p LEFT JOIN documents d ON d.doc_id = p.p_partkey),
+raw_authors AS (
+  SELECT w.paperId, CASE WHEN w.cust % 50 <> 0 THEN w.cust END AS authorId,
+         c.c_name AS name, w.cust AS position
+  FROM (SELECT DISTINCT CAST(l.l_partkey AS VARCHAR) AS paperId, o.o_custkey AS cust
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) w
+  JOIN customer c ON c.c_custkey = w.cust),
+cleaned AS (
+  SELECT paperId, CASE WHEN field_query = ' Big Data' THEN 'Big Data' ELSE field_query END AS field_query,
+         title, url, venue, publicationTypes, abstract, year, citationCount, journal_name, journal_volume
+  FROM raw_papers
+  WHERE venue IS NOT NULL AND publicationTypes IS NOT NULL AND abstract IS NOT NULL),
+cat0 AS (
+  SELECT *, CASE WHEN strpos(coalesce(venue, ''), 'Workshop') > 0 THEN '[''Workshop'']'
+                 ELSE publicationTypes END AS t1 FROM cleaned),
+cat1 AS (
+  SELECT *, CASE WHEN strpos(coalesce(t1, ''), 'Conference') > 0 THEN '[''Conference'']'
+                 ELSE t1 END AS t2 FROM cat0),
+categorized AS (
+  SELECT paperId, field_query, title, venue, abstract, year, journal_name,
+         substr(t2, 3, length(t2) - 4) AS publicationTypes,
+         CASE WHEN substr(t2, 3, length(t2) - 4) IN ('Workshop', 'Conference') THEN ''
+              ELSE journal_volume END AS journal_volume
+  FROM cat1 WHERE t2 IN ('[''JournalArticle'']', '[''Conference'']', '[''Workshop'']')),
+cat_v AS (SELECT * FROM categorized WHERE journal_volume IS NOT NULL),
+named AS (
+  SELECT *, CASE WHEN publicationTypes IN ('Conference', 'Workshop') THEN venue END AS proceedings,
+            CASE WHEN publicationTypes = 'JournalArticle' THEN venue END AS journal
+  FROM cat_v),
+edition0 AS (
+  SELECT *, nullif(regexp_extract(proceedings, '(\\d+)(?:st|nd|rd|th)', 1), '') AS e_proc,
+            nullif(regexp_extract(journal_name, '(\\d+)(?:st|nd|rd|th)', 1), '') AS e_jour
+  FROM named),
+with_edition AS (
+  SELECT *, CASE WHEN proceedings IS NOT NULL AND coalesce(e_proc, e_jour) IS NULL
+                 THEN right(CAST(year AS VARCHAR), 2) ELSE coalesce(e_proc, e_jour) END AS edition,
+            CASE WHEN proceedings IS NOT NULL AND e_jour IS NULL
+                 THEN right(CAST(year AS VARCHAR), 2) ELSE e_jour END AS edition_literal
+  FROM edition0),
+conf AS (SELECT paperId, CAST(edition AS BIGINT) AS edition, CAST(year AS BIGINT) AS year
+         FROM with_edition WHERE publicationTypes = 'Conference'),
+author_lists AS (
+  SELECT paperId, count(*) AS n_authors, arg_max(authorId, position) AS last_author,
+         arg_min(authorId, position) AS first_author,
+         string_agg(CAST(authorId AS VARCHAR), ', ' ORDER BY position) AS authorIds
+  FROM raw_authors WHERE authorId IS NOT NULL GROUP BY paperId),
+cleaned_authors AS (SELECT c.paperId, a.* EXCLUDE (paperId) FROM cleaned c JOIN author_lists a ON a.paperId = c.paperId)
+"""
+
+CLEAN = {
+    "clean_papers": with_graph(
+        "SELECT paperId, field_query, venue, publicationTypes, journal_volume FROM cleaned",
+        RAW_CTES),
+    "categorize_publication": with_graph(
+        "SELECT paperId, publicationTypes, journal_volume FROM cat_v", RAW_CTES),
+    "aggregate_paper_authors": with_graph(
+        "SELECT paperId, n_authors, last_author FROM cleaned_authors", RAW_CTES),
+    "list_columns_to_strings": with_graph(
+        "SELECT paperId, authorIds FROM cleaned_authors", RAW_CTES),
+    "corresponding_author": with_graph(
+        "SELECT paperId, first_author AS corresponding_author FROM cleaned_authors", RAW_CTES),
+    "venue_names": with_graph("SELECT paperId, proceedings, journal FROM named", RAW_CTES),
+    "extract_edition": with_graph("SELECT paperId, edition FROM with_edition", RAW_CTES),
+    "extract_edition_literal": with_graph(
+        "SELECT paperId, edition_literal AS edition FROM with_edition", RAW_CTES),
+    "parse_list_literals": with_graph("""
+SELECT paperId, CAST(len(items) AS BIGINT) AS n_types, array_to_string(items, '|') AS types
+FROM (SELECT paperId,
+             string_split(replace(substr(publicationTypes, 2, length(publicationTypes) - 2), '''', ''), ', ')
+               AS items
+      FROM raw_papers WHERE publicationTypes IS NOT NULL) x
+""", RAW_CTES),
+    "finalize_keywords": with_graph("""
+SELECT paperId, lower(replace(title, ' ', ',')) || ',' || lower(field_query) AS keywords FROM cleaned
+""", RAW_CTES),
+    "split_by_type": with_graph("""
+SELECT paperId, publicationTypes AS type,
+       CASE WHEN publicationTypes <> 'JournalArticle' THEN CAST(edition AS BIGINT) END AS edition
+FROM with_edition
+""", RAW_CTES),
+    "clone_previous_edition": with_graph("""
+SELECT paperId, edition, year FROM conf
+UNION ALL SELECT paperId || 'a', edition - 1, year - 1 FROM conf
+""", RAW_CTES),
+    "dedupe_keep_first": """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
+                 l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+                 l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
+      FROM lineitem) x
+WHERE rn = 1
+""",
+}
+
+
+def _h(seed: str, *exprs: str) -> str:
+    """Seeded hash draw: first 8 hex digits of md5 as a number."""
+    parts = ", ".join([f"'{seed}'"] + [f"CAST({e} AS VARCHAR)" for e in exprs])
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 8))::BIGINT"
+
+
+def _sample_sql(rows_sql: str, k_expr: str, pool_sql: str, seed: str, slack: int,
+                exclude_sql: str | None = None, self_excluded: bool = False) -> str:
+    excl = ""
+    if exclude_sql:
+        excl += (f" AND NOT EXISTS (SELECT 1 FROM ({exclude_sql}) e "
+                 "WHERE e.r = d.r AND e.pick = p.key)")
+    if self_excluded:
+        excl += " AND p.key <> d.r"
+    return f"""
+s_rows AS (SELECT r, {k_expr} AS k FROM ({rows_sql}) x),
+s_pool AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx
+           FROM (SELECT DISTINCT key FROM ({pool_sql}) y) z),
+s_n AS (SELECT count(*) AS n FROM s_pool),
+s_w AS (SELECT max(k) + {slack} AS w FROM s_rows),
+s_draws AS (
+  SELECT s.r, j.draw, {_h(seed, 's.r', 'j.draw')} % s_n.n AS idx
+  FROM s_rows s CROSS JOIN s_n CROSS JOIN s_w CROSS JOIN range(0, s_w.w) AS j(draw)),
+s_cand AS (
+  SELECT d.r, d.draw, p.key AS pick FROM s_draws d JOIN s_pool p ON p.idx = d.idx
+  WHERE TRUE {excl}),
+s_first AS (SELECT r, pick, min(draw) AS draw FROM s_cand GROUP BY r, pick),
+s_ranked AS (SELECT r, pick, row_number() OVER (PARTITION BY r ORDER BY draw) AS rank FROM s_first),
+s_out AS (SELECT x.r, CAST(x.rank AS BIGINT) AS rank, x.pick FROM s_ranked x JOIN s_rows s ON s.r = x.r
+          WHERE x.rank <= s.k)
+"""
+
+
+SYNTH = {
+    "assign_reviewers": with_graph(
+        "SELECT r AS paperId, rank, pick FROM s_out",
+        _sample_sql("SELECT paperId AS r FROM paper", f"2 + {_h('nrev', 'r')} % 2",
+                    "SELECT authorId AS key FROM wrote", "rev", 20,
+                    exclude_sql="SELECT paperId AS r, authorId AS pick FROM wrote")),
+    "assign_comments": with_graph(
+        "SELECT r AS paperId, rank, pick FROM s_out",
+        _sample_sql("SELECT paperId AS r FROM paper", f"2 + {_h('nrev', 'r')} % 2",
+                    "SELECT item_id AS key FROM benchmark", "comment", 20)),
+    "synthetic_citations": with_graph(
+        "SELECT r AS paperId, rank, pick FROM s_out",
+        _sample_sql("SELECT paperId AS r FROM paper", f"15 + {_h('ncite', 'r')} % 36",
+                    "SELECT paperId AS key FROM paper", "cite", 40, self_excluded=True)),
+    "assign_locations": with_graph(f"""
+SELECT p.paperId, c.location FROM paper p
+JOIN (SELECT n_name AS location, row_number() OVER (ORDER BY n_name) - 1 AS idx
+      FROM (SELECT DISTINCT n_name FROM nation) x) c
+  ON c.idx = {_h('loc', 'p.paperId')} % (SELECT count(DISTINCT n_name) FROM nation)
+"""),
+    "assign_affiliations": with_graph(f"""
+SELECT a.authorId, c.affiliation,
+       CASE WHEN c.affiliation IN (SELECT n_name FROM nation WHERE n_nationkey < 12)
+            THEN 'university' ELSE 'company' END AS affiliation_type
+FROM author a
+JOIN (SELECT n_name AS affiliation, row_number() OVER (ORDER BY n_name) - 1 AS idx
+      FROM (SELECT DISTINCT n_name FROM nation) x) c
+  ON c.idx = {_h('aff', 'a.authorId')} % (SELECT count(DISTINCT n_name) FROM nation)
+"""),
+}
+ALGORITHMS.update(CLEAN)
+ALGORITHMS.update(SYNTH)
