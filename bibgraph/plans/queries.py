@@ -421,3 +421,69 @@ def q_affiliations(spark, sf_dir):
             .select("authorId", "affiliation",
                     F.when(F.col("u"), F.lit("university")).otherwise(F.lit("company"))
                     .alias("affiliation_type")))
+
+
+# --- sources, profiling, keywords ----------------------------------------
+
+from ..operators import keywords as kw  # noqa: E402
+from ..operators import profile  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import csv_io, payloads  # noqa: E402
+
+
+@register("extract_keywords")
+def q_keywords(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text",
+                                                  F.col("source").alias("field_query"))
+    return kw.extract_keywords(docs, "doc_id", "text", "field_query", 4) \
+        .withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("value_counts")
+def q_value_counts(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    return profile.value_counts(papers, "publicationTypes")
+
+
+@register("null_profile")
+def q_null_profile(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    return profile.null_profile(papers)
+
+
+@register("papers_of_author")
+def q_papers_of_author(spark, sf_dir):
+    rows, _ = _load(spark, sf_dir)
+    return profile.membership_counts(rows, "authorIds", "authorId")
+
+
+@register("flatten_papers")
+def q_flatten_papers(spark, sf_dir):
+    return payloads.flatten_papers(payloads.paper_payloads(Tables(spark, sf_dir)))
+
+
+@register("flatten_authors")
+def q_flatten_authors(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    return payloads.flatten_authors(payloads.author_payloads(g.wrote, g.author))
+
+
+@register("flatten_citations")
+def q_flatten_citations(spark, sf_dir):
+    return payloads.flatten_citations(payloads.citation_payloads(Tables(spark, sf_dir)))
+
+
+@register("union_tagged")
+def q_union_tagged(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    frames = {term: g.contains.where(F.col("keyword") == term).select("paperId")
+              for term in COMMUNITY_TERMS}
+    return payloads.union_tagged(frames)
+
+
+@register("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang", "source")
+    path = scratch_path(spark, "csv_round_trip")
+    csv_io.write_csv(docs, path)
+    return csv_io.read_csv(spark, path, "doc_id bigint, text string, lang string, source string")

@@ -603,3 +603,79 @@ JOIN (SELECT n_name AS affiliation, row_number() OVER (ORDER BY n_name) - 1 AS i
 }
 ALGORITHMS.update(CLEAN)
 ALGORITHMS.update(SYNTH)
+
+
+# --- sources, profiling, keywords ------------------------------------------
+
+# ASCII punctuation (Python's string.punctuation).
+_ASCII_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCT = ("[" + __import__("re").escape(_ASCII_PUNCT) + "]").replace("'", "''")
+_STOP = "'i', 'me', 'my', 'myself', 'we', 'our', 'ours', 'ourselves', 'you', 'you''re', 'you''ve', 'you''ll', 'you''d', 'your', 'yours', 'yourself', 'yourselves', 'he', 'him', 'his', 'himself', 'she', 'she''s', 'her', 'hers', 'herself', 'it', 'it''s', 'its', 'itself', 'they', 'them', 'their', 'theirs', 'themselves', 'what', 'which', 'who', 'whom', 'this', 'that', 'that''ll', 'these', 'those', 'am', 'is', 'are', 'was', 'were', 'be', 'been', 'being', 'have', 'has', 'had', 'having', 'do', 'does', 'did', 'doing', 'a', 'an', 'the', 'and', 'but', 'if', 'or', 'because', 'as', 'until', 'while', 'of', 'at', 'by', 'for', 'with', 'about', 'against', 'between', 'into', 'through', 'during', 'before', 'after', 'above', 'below', 'to', 'from', 'up', 'down', 'in', 'out', 'on', 'off', 'over', 'under', 'again', 'further', 'then', 'once', 'here', 'there', 'when', 'where', 'why', 'how', 'all', 'any', 'both', 'each', 'few', 'more', 'most', 'other', 'some', 'such', 'no', 'nor', 'not', 'only', 'own', 'same', 'so', 'than', 'too', 'very', 's', 't', 'can', 'will', 'just', 'don', 'don''t', 'should', 'should''ve', 'now', 'd', 'll', 'm', 'o', 're', 've', 'y', 'ain', 'aren', 'aren''t', 'couldn', 'couldn''t', 'didn', 'didn''t', 'doesn', 'doesn''t', 'hadn', 'hadn''t', 'hasn', 'hasn''t', 'haven', 'haven''t', 'isn', 'isn''t', 'ma', 'mightn', 'mightn''t', 'mustn', 'mustn''t', 'needn', 'needn''t', 'shan', 'shan''t', 'shouldn', 'shouldn''t', 'wasn', 'wasn''t', 'weren', 'weren''t', 'won', 'won''t', 'wouldn', 'wouldn''t'"
+
+MISC = {
+    "extract_keywords": f"""
+WITH tok AS (
+  SELECT doc_id, unnest(arr) AS term, generate_subscripts(arr, 1) AS pos
+  FROM (SELECT doc_id, string_split_regex(regexp_replace(lower(text), '{_PUNCT}', '', 'g'),
+                                          '[ \\t\\n\\r\\f]+') AS arr FROM documents) d),
+terms AS (
+  SELECT doc_id, pos, term FROM tok WHERE term <> '' AND term NOT IN ({_STOP})
+  UNION ALL
+  SELECT doc_id, 4611686018427387904 AS pos, lower(source) AS term FROM documents
+  WHERE source IS NOT NULL),
+counted AS (SELECT doc_id, term, count(*) AS c, min(pos) AS first FROM terms GROUP BY 1, 2),
+ranked AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, first) AS rank
+           FROM counted),
+top AS (SELECT r.*, lower(d.source) AS f FROM ranked r JOIN documents d USING (doc_id) WHERE rank <= 4),
+flags AS (SELECT doc_id, max(CASE WHEN term = f THEN 1 ELSE 0 END) AS has, max(rank) AS last
+          FROM top GROUP BY doc_id)
+SELECT t.doc_id, CAST(t.rank AS BIGINT) AS rank,
+       CASE WHEN fl.has = 0 AND t.rank = fl.last THEN t.f ELSE t.term END AS term
+FROM top t JOIN flags fl USING (doc_id)
+""",
+    "value_counts": with_graph("""
+SELECT publicationTypes AS value, count(*) AS count FROM raw_papers
+WHERE publicationTypes IS NOT NULL GROUP BY 1
+""", RAW_CTES),
+    "null_profile": with_graph("""
+SELECT c.column_name, c.non_null, n.n_rows - c.non_null AS nulls, n.n_rows
+FROM (UNPIVOT (SELECT count(paperId) AS paperId, count(field_query) AS field_query,
+                      count(title) AS title, count(url) AS url, count(venue) AS venue,
+                      count(publicationTypes) AS publicationTypes, count(abstract) AS abstract,
+                      count(year) AS year, count(citationCount) AS citationCount,
+                      count(journal_name) AS journal_name, count(journal_volume) AS journal_volume,
+                      count(journal_pages) AS journal_pages FROM raw_papers)
+      ON COLUMNS(*) INTO NAME column_name VALUE non_null) c,
+     (SELECT count(*) AS n_rows FROM raw_papers) n
+""", RAW_CTES),
+    "papers_of_author": with_graph("""
+SELECT authorId, count(*) AS n_rows FROM (
+  SELECT DISTINCT r.row_no, r.kind, trim(a.item) AS authorId
+  FROM load_rows r, unnest(string_split(r.authorIds, ',')) AS a(item)) x
+WHERE authorId <> ''
+GROUP BY authorId
+""", LOAD_CTES),
+    "flatten_papers": """
+SELECT CAST(p_partkey AS VARCHAR) AS paperId, p_name AS title, 'V-' || p_brand AS venue,
+       CASE WHEN p_size % 7 <> 0 THEN 'J-' || p_brand END AS journal_name,
+       CASE WHEN p_size % 7 <> 0 THEN CAST(p_size AS VARCHAR) END AS journal_volume,
+       CASE WHEN p_size % 7 <> 0 THEN '1-' || CAST(p_size AS VARCHAR) END AS journal_pages
+FROM part
+""",
+    "flatten_authors": with_graph("""
+SELECT CAST(w.paperId AS VARCHAR) AS paperId, CAST(a.authorId AS VARCHAR) AS authorId, a.name,
+       CASE WHEN a.authorId % 10 <> 0 THEN a.affiliation ELSE '' END AS affiliations
+FROM wrote w JOIN author a ON a.authorId = w.authorId
+"""),
+    "flatten_citations": """
+SELECT CAST(conv_id AS VARCHAR) AS paperId, CAST(turn AS VARCHAR) AS citationId,
+       concat_ws('; ', nullif(role, 'system'), CAST(conv_id AS VARCHAR)) AS authorIds,
+       concat_ws('; ', role, substring(text, 1, 12)) AS authorNames
+FROM conversations WHERE conv_id % 10 <> 0
+""",
+    "union_tagged": with_graph(f"""
+SELECT paperId, keyword AS field_query FROM contains WHERE keyword IN {COMMUNITY_TERMS_SQL}
+"""),
+    "csv_round_trip": "SELECT doc_id, text, lang, source FROM documents",
+}
+ALGORITHMS.update(MISC)
