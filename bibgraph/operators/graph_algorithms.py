@@ -132,7 +132,8 @@ _TABLES: list[str] = []
 class EdgeSet:
     """Edges written once, bucketed on (src, salt), with hot sources split."""
 
-    def __init__(self, edges: DataFrame, hot_edges: int = HOT_EDGES):
+    def __init__(self, edges: DataFrame, hot_edges: int | None = None):
+        hot_edges = hot_edges or HOT_EDGES
         deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
         self.fanout = bucketed(
             deg.select(F.col("src").alias("id"), "outdeg",
@@ -155,7 +156,8 @@ class EdgeSet:
 
 
 def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
-             tol: float | None = None, checkpoint_every: int = 5) -> DataFrame:
+             tol: float | None = None, checkpoint_every: int = 5,
+             hot_edges: int | None = None) -> DataFrame:
     """Un-normalised PageRank ``(1-d) + d * sum(rank(u) / outdeg(u))``.
 
     Starts at ``1-d``; dangling mass is not redistributed; vertices without
@@ -167,7 +169,7 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
     checkpoint_dir(spark)
     p = _partitions(spark)
     vertices = bucketed(proj.vertices.select("id"), ["id"], "vertices")
-    es = EdgeSet(proj.edges.distinct())
+    es = EdgeSet(proj.edges.distinct(), hot_edges)
     base = 1.0 - damping
     ranks = vertices.select("id", F.lit(base).alias("rank"))
     for i in range(1, max_iter + 1):
