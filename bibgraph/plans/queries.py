@@ -487,3 +487,12 @@ def q_csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv_round_trip")
     csv_io.write_csv(docs, path)
     return csv_io.read_csv(spark, path, "doc_id bigint, text string, lang string, source string")
+
+
+@register("community_papers")
+def q_community_papers(spark, sf_dir):
+    """(kind, name, paperId): papers with a community keyword, per journal/conference."""
+    g = graph_from_tables(spark, sf_dir)
+    comm = recommend.community_papers(g, COMMUNITY_TERMS)
+    return (g.published_in.where(F.col("kind").isin(*recommend.COMMUNITY_KINDS))
+            .join(comm, "paperId", "left_semi").select("kind", "name", "paperId").distinct())

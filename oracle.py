@@ -679,3 +679,9 @@ SELECT paperId, keyword AS field_query FROM contains WHERE keyword IN {COMMUNITY
     "csv_round_trip": "SELECT doc_id, text, lang, source FROM documents",
 }
 ALGORITHMS.update(MISC)
+
+ALGORITHMS["community_papers"] = with_graph(f"""
+SELECT DISTINCT p.kind, p.name, p.paperId FROM published_in p
+WHERE p.kind IN ('Journal', 'Conference')
+  AND p.paperId IN (SELECT paperId FROM contains WHERE keyword IN {COMMUNITY_TERMS_SQL})
+""")
