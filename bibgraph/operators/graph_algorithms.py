@@ -23,6 +23,8 @@ from pyspark.sql.types import IntegralType
 
 import uuid
 
+from pyspark.storagelevel import StorageLevel
+
 from ..session import checkpoint_dir, scratch_path
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
@@ -104,29 +106,19 @@ def project(nodes: dict[str, DataFrame], rels: list[tuple[str, str, DataFrame]],
     return Projection(vertices, edges)
 
 
-def bucketed(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+def bucketed(df: DataFrame, cols: list[str], label: str) -> tuple[DataFrame, str]:
     """Write ``df`` as a table bucketed on ``cols`` into the checkpoint folder.
 
     A bucketed scan reports its hash partitioning, so later joins on ``cols``
     shuffle only the other side; the written table is also the lineage cut.
+    Returns the table and its catalog name.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     name = f"bibgraph_{label}_{uuid.uuid4().hex[:12]}"
     (df.write.format("parquet").bucketBy(_partitions(spark), *cols)
      .option("path", path).saveAsTable(name))
-    _TABLES.append(name)
-    return spark.table(name)
-
-
-def drop_scratch_tables(spark: SparkSession) -> None:
-    """Forget the catalog entries of bucketed scratch tables (files stay with
-    the checkpoint folder)."""
-    while _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
-
-
-_TABLES: list[str] = []
+    return spark.table(name), name
 
 
 class EdgeSet:
@@ -134,25 +126,67 @@ class EdgeSet:
 
     def __init__(self, edges: DataFrame, hot_edges: int | None = None):
         hot_edges = hot_edges or HOT_EDGES
+        self.spark = edges.sparkSession
+        # read twice below (degrees, then salted edges): keep the input once
+        edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
-        self.fanout = bucketed(
+        self.fanout, n1 = bucketed(
             deg.select(F.col("src").alias("id"), "outdeg",
                        F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
                        .cast("int").alias("s")), ["id"], "fanout")
-        self.edges = bucketed(
+        self.edges, n2 = bucketed(
             edges.join(self.fanout.select(F.col("id").alias("src"), "s"), "src")
             .select("src", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"),
                     "dst"), ["src", "salt"], "edges")
+        edges.unpersist()
+        self._names = [n1, n2]
 
     def messages(self, values: DataFrame, cols: list[str]) -> DataFrame:
-        """Rows (dst, *cols) for every edge whose source has a row in ``values(id, *cols)``."""
-        sv = (values.join(self.fanout.select("id", "s"), "id")
-              .select(F.col("id").alias("src"),
-                      F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), *cols))
+        """Rows (dst, *cols) for every edge whose source has a row in
+        ``values(id, *cols[, s])`` (``s`` is looked up when missing)."""
+        if "s" not in values.columns:
+            values = values.join(self.fanout.select("id", "s"), "id")
+        sv = values.select(F.col("id").alias("src"),
+                           F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), *cols)
         return self.edges.join(sv, ["src", "salt"]).select("dst", *cols)
 
     def release(self) -> None:
-        """Files are removed with the checkpoint folder."""
+        """Forget the catalog entries (files go with the checkpoint folder).
+        Call only after every result that reads the edge set is cut."""
+        for n in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {n}")
+        self._names = []
+
+
+class Materializer:
+    """Per-round materialisation for loops: cache + count most rounds, a
+    reliable checkpoint every ``every`` rounds (and on demand)."""
+
+    def __init__(self, every: int = 5):
+        self.every = every
+        self.round = 0
+        self._cached: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, force_checkpoint: bool = False) -> DataFrame:
+        self.round += 1
+        if force_checkpoint or self.round % self.every == 0:
+            out = df.checkpoint(eager=True)
+            # the previous round may still be read by the caller (convergence test)
+            for c in self._cached[:-1]:
+                c.unpersist()
+            self._cached = self._cached[-1:]
+            return out
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        self._cached.append(out)
+        if len(self._cached) > 2:
+            self._cached.pop(0).unpersist()
+        return out
+
+    def close(self) -> None:
+        for c in self._cached:
+            c.unpersist()
+        self._cached = []
 
 
 def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
@@ -162,53 +196,67 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
 
     Starts at ``1-d``; dangling mass is not redistributed; vertices without
     in-edges keep ``1-d``.  Runs ``max_iter`` rounds, or stops earlier when
-    ``tol`` is given and no score moves by more than ``tol``.
+    ``tol`` is given and no score moves by more than ``tol`` (the graph
+    library's defaults are 20 rounds and 1e-7).  Only vertices with in-edges
+    carry a rank row; everything else is ``1-d`` by definition.
     Returns (id, label, key, score).
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
-    p = _partitions(spark)
-    vertices = bucketed(proj.vertices.select("id"), ["id"], "vertices")
     es = EdgeSet(proj.edges.distinct(), hot_edges)
     base = 1.0 - damping
-    ranks = vertices.select("id", F.lit(base).alias("rank"))
+    mat = Materializer(checkpoint_every)
+    ranks = None
     for i in range(1, max_iter + 1):
-        w = (ranks.join(es.fanout.select("id", "outdeg"), "id")
-             .select("id", (F.col("rank") / F.col("outdeg")).alias("w")))
+        if ranks is None:
+            w = es.fanout.select("id", "s", (F.lit(base) / F.col("outdeg")).alias("w"))
+        else:
+            w = (es.fanout.join(ranks, "id", "left")
+                 .select("id", "s", (F.coalesce(F.col("rank"), F.lit(base)) / F.col("outdeg"))
+                         .alias("w")))
         inc = es.messages(w, ["w"]).groupBy("dst").agg(F.sum("w").alias("inc"))
-        new = (vertices.join(inc, vertices.id == inc.dst, "left")
-               .select("id", (F.lit(base) + F.lit(damping) * F.coalesce(F.col("inc"), F.lit(0.0)))
-                       .alias("rank")))
+        new = inc.select(F.col("dst").alias("id"),
+                         (F.lit(base) + F.lit(damping) * F.col("inc")).alias("rank"))
+        last = i == max_iter
         if tol is not None:
-            new = new.checkpoint(eager=True)
-            delta = (new.join(ranks.withColumnRenamed("rank", "old"), "id")
-                     .agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0])
+            new = mat(new, force_checkpoint=last)
+            if ranks is None:
+                delta = new.agg(F.max(F.abs(F.col("rank") - F.lit(base)))).first()[0]
+            else:
+                delta = (new.join(ranks.withColumnRenamed("rank", "old"), "id")
+                         .agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0])
             ranks = new
-            if delta is not None and delta <= tol:
+            if delta is None or delta <= tol:
+                if not last:
+                    ranks = ranks.checkpoint(eager=True)
                 break
         else:
-            last = i == max_iter
             ranks = new.checkpoint(eager=True) if last or i % checkpoint_every == 0 else new
-    if tol is None and max_iter == 0:
-        ranks = ranks.checkpoint(eager=True)
-    drop_scratch_tables(spark)
-    out = ranks.join(proj.vertices, "id").select("id", "label", "key",
-                                                 F.col("rank").alias("score"))
-    return out
+    mat.close()
+    es.release()
+    if ranks is None:
+        ranks = proj.vertices.select("id", F.lit(base).alias("rank")).limit(0)
+    return (proj.vertices.join(ranks, "id", "left")
+            .select("id", "label", "key",
+                    F.coalesce(F.col("rank"), F.lit(base)).alias("score")))
 
 
 def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8) -> DataFrame:
+def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
+                                  checkpoint_every: int = 5,
+                                  hot_edges: int | None = None) -> DataFrame:
     """(id, label, key, componentId): componentId is the smallest vertex id of the SCC.
 
     Trim (a vertex without in- or out-edges in the remaining graph is a
     singleton SCC), then forward min-colouring and a backward sweep inside
     each colour from its root (Fleischer-Hendrickson-Pinar; Orzan).  Edges
     across colours are dropped after each phase, since an SCC never spans
-    two colours.
+    two colours.  Rounds inside a sweep are cached and counted; a reliable
+    checkpoint cuts the lineage every ``checkpoint_every`` rounds and at the
+    end of each sweep.
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
@@ -217,7 +265,7 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8) ->
     edges = _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
     found: list[DataFrame] = []
     while True:
-        # trim rounds
+        # trim rounds: both degree tests in one pass over the edges
         for _ in range(max_trim_rounds):
             has_out = edges.select(F.col("src").alias("id")).distinct()
             has_in = edges.select(F.col("dst").alias("id")).distinct()
@@ -226,25 +274,28 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8) ->
             n_trim = trimmed.count()
             if n_trim:
                 found.append(_cut(trimmed.select("id", F.col("id").alias("componentId"))))
+                edges = _cut(edges.join(keep.withColumnRenamed("id", "src"), "src", "left_semi")
+                             .join(keep.withColumnRenamed("id", "dst"), "dst", "left_semi"))
             active = keep
-            edges = _cut(edges.join(keep.withColumnRenamed("id", "src"), "src", "left_semi")
-                         .join(keep.withColumnRenamed("id", "dst"), "dst", "left_semi"))
             if n_trim == 0:
                 break
         if active.isEmpty():
             break
-        # forward colouring: colour(v) = min id that reaches v
-        es = EdgeSet(edges)
+        # forward colouring: colour(v) = smallest id that reaches v
+        es = EdgeSet(edges, hot_edges)
+        mat = Materializer(checkpoint_every)
         colour = active.select("id", F.col("id").alias("c"))
         while True:
             m = es.messages(colour, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
-            new = _cut(colour.join(m, colour.id == m.dst, "left")
-                       .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
-                               (F.col("m") < F.col("c")).alias("changed")))
+            new = mat(colour.join(m, colour.id == m.dst, "left")
+                      .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
+                              (F.col("m") < F.col("c")).alias("changed")))
             changed = new.where(F.col("changed")).limit(1).count()
             colour = new.select("id", "c")
             if changed == 0:
                 break
+        colour = _cut(colour)
+        mat.close()
         es.release()
         # backward sweep inside each colour, from the root (id == colour)
         same = _cut(edges
@@ -252,19 +303,23 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8) ->
                     .join(colour.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
                     .where(F.col("cs") == F.col("cd"))
                     .select("src", "dst"))
-        rev = EdgeSet(same.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        mark = _cut(colour.select("id", "c", (F.col("id") == F.col("c")).alias("k")))
+        rev = EdgeSet(same.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
+                      hot_edges)
+        mat = Materializer(checkpoint_every)
+        mark = colour.select("id", "c", (F.col("id") == F.col("c")).alias("k"))
+        frontier = mark.where("k").select("id")
         while True:
-            # marked v sends to u for every same-colour edge u -> v
-            m = (rev.messages(mark.where("k").select("id"), [])
-                 .select(F.col("dst").alias("u")).distinct())
-            new = _cut(mark.join(m, mark.id == m.u, "left")
-                       .select("id", "c", (F.col("k") | F.col("u").isNotNull()).alias("k"),
-                               (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
-            changed = new.where(F.col("changed")).limit(1).count()
+            # vertices marked in the last round send to u for every same-colour edge u -> v
+            reached = (rev.messages(frontier, []).select(F.col("dst").alias("u")).distinct())
+            new = mat(mark.join(reached, mark.id == reached.u, "left")
+                      .select("id", "c", (F.col("k") | F.col("u").isNotNull()).alias("k"),
+                              (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
+            frontier = new.where(F.col("changed")).select("id")
             mark = new.select("id", "c", "k")
-            if changed == 0:
+            if frontier.limit(1).count() == 0:
                 break
+        mark = _cut(mark)
+        mat.close()
         rev.release()
         found.append(_cut(mark.where("k").select("id", F.col("c").alias("componentId"))))
         rest = mark.where(~F.col("k")).select("id")
