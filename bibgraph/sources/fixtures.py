@@ -3,7 +3,7 @@
 Every definition here is mirrored word for word by the SQL views in
 ``oracle.py`` so that Spark and the DuckDB oracle derive the same graph.
 
-* paper     = part left join documents (abstract = document text)
+* paper     = part (the abstract, documents.text, is a separate table)
 * author    = customer join nation
 * wrote     = distinct (o_custkey, l_partkey) of lineitem join orders
 * cites     = line k of an order cites line k-1 of the same order; a line is
@@ -52,13 +52,17 @@ def paper_year(p_size: Column) -> Column:
 
 
 def paper_nodes(t: Tables) -> DataFrame:
-    docs = t.documents.select(F.col("doc_id"), F.col("text").alias("abstract"))
-    return (t.part.join(docs, t.part.p_partkey == docs.doc_id, "left")
-            .select(F.col("p_partkey").alias("paperId"),
-                    F.nullif(F.col("p_name"), F.lit(NULL_TITLE_NAME)).alias("title"),
-                    F.col("abstract"),
-                    paper_year(F.col("p_size")).alias("year"),
-                    F.col("p_size").cast("bigint").alias("citationCount")))
+    """Paper nodes without the abstract: no graph query reads it, and Catalyst
+    cannot drop an outer join by itself, so it is offered separately."""
+    return t.part.select(F.col("p_partkey").alias("paperId"),
+                         F.nullif(F.col("p_name"), F.lit(NULL_TITLE_NAME)).alias("title"),
+                         paper_year(F.col("p_size")).alias("year"),
+                         F.col("p_size").cast("bigint").alias("citationCount"))
+
+
+def paper_abstracts(t: Tables) -> DataFrame:
+    """(paperId, abstract): the document text of each paper that has one."""
+    return t.documents.select(F.col("doc_id").alias("paperId"), F.col("text").alias("abstract"))
 
 
 def author_nodes(t: Tables) -> DataFrame:
@@ -97,16 +101,33 @@ def order_lines(t: Tables) -> DataFrame:
             .agg(F.min("l_partkey").alias("part")))
 
 
+def neighbour_lines(lines: DataFrame, cols: list[str], offsets: dict[int, str]) -> DataFrame:
+    """Attach to each line the ``cols`` of the lines ``k`` positions away.
+
+    Every line is emitted once per offset under the key of the line that
+    needs it, then one aggregation per (order, line) collects them: a single
+    scan and shuffle instead of a self-join per offset, and at most
+    ``1 + len(offsets)`` rows per line.
+    """
+    tags = [F.struct(F.col("l_linenumber").alias("_n"), F.lit(0).alias("_off"),
+                     *[F.col(c) for c in cols])]
+    for k in offsets:
+        tags.append(F.struct((F.col("l_linenumber") - k).alias("_n"), F.lit(k).alias("_off"),
+                             *[F.col(c) for c in cols]))
+    x = lines.select("l_orderkey", F.explode(F.array(*tags)).alias("t"))
+    aggs = [F.max(F.when(F.col("t._off") == 0, F.col(f"t.{c}"))).alias(c) for c in cols]
+    aggs.append(F.max(F.when(F.col("t._off") == 0, F.lit(True))).alias("_self"))
+    for k, prefix in offsets.items():
+        aggs += [F.max(F.when(F.col("t._off") == k, F.col(f"t.{c}"))).alias(f"{prefix}{c}")
+                 for c in cols]
+    out = x.groupBy("l_orderkey", F.col("t._n").alias("l_linenumber")).agg(*aggs)
+    return out.where(F.col("_self")).drop("_self")
+
+
 def cites_edges(t: Tables) -> DataFrame:
-    lines = order_lines(t)
-    cur = lines.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"),
-                       F.col("part").alias("src"))
-    prev = lines.select(F.col("l_orderkey").alias("o"),
-                        (F.col("l_linenumber") + 1).alias("n"),
-                        F.col("part").alias("dst"))
-    # (order, line) is unique on both sides: the join emits at most one row per line.
-    return (cur.join(prev, ["o", "n"]).where(F.col("src") != F.col("dst"))
-            .select("src", "dst").distinct())
+    lines = neighbour_lines(order_lines(t), ["part"], {-1: "prev_"})
+    return (lines.where(F.col("prev_part").isNotNull() & (F.col("part") != F.col("prev_part")))
+            .select(F.col("part").alias("src"), F.col("prev_part").alias("dst")).distinct())
 
 
 def contains_edges(t: Tables) -> DataFrame:

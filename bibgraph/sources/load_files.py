@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fixtures import JOURNAL_TYPES, NULL_TITLE_NAME, paper_year, venue_kind, venue_name
+from .fixtures import (JOURNAL_TYPES, NULL_TITLE_NAME, neighbour_lines, paper_year,
+                       venue_kind, venue_name)
 from .tables import Tables
 
 # The four field terms a paper was fetched with (by p_partkey % 4).
@@ -35,11 +36,8 @@ def order_line_parts(t: Tables) -> DataFrame:
 
 
 def paper_load_rows(t: Tables) -> DataFrame:
-    lines = order_line_parts(t)
-    prev = lines.select(F.col("l_orderkey"), (F.col("l_linenumber") + 1).alias("l_linenumber"),
-                        F.col("part").alias("prev_part"))
-    nxt = lines.select(F.col("l_orderkey"), (F.col("l_linenumber") - 1).alias("l_linenumber"),
-                       F.col("part").alias("next_part"))
+    lines = neighbour_lines(order_line_parts(t), ["part", "supp"],
+                            {-1: "prev_", 1: "next_"})
     docs = t.documents.select(F.col("doc_id"), F.col("text"))
     part = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rows = (lines
@@ -48,9 +46,7 @@ def paper_load_rows(t: Tables) -> DataFrame:
             .join(part, F.col("part") == F.col("p_partkey"))
             .join(docs, F.col("part") == F.col("doc_id"), "left")
             .join(t.nation.select("n_nationkey", "n_name"),
-                  (F.col("part") + F.col("l_orderkey")) % N_NATIONS == F.col("n_nationkey"))
-            .join(prev, ["l_orderkey", "l_linenumber"], "left")
-            .join(nxt, ["l_orderkey", "l_linenumber"], "left"))
+                  (F.col("part") + F.col("l_orderkey")) % N_NATIONS == F.col("n_nationkey")))
     kind = venue_kind(F.col("p_type"))
     s = lambda c: F.col(c).cast("string")
     is_journal = F.col("p_type").isin(*JOURNAL_TYPES)

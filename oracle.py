@@ -12,9 +12,8 @@ from __future__ import annotations
 GRAPH_VIEWS = """
 paper AS (
   SELECT p.p_partkey AS paperId, nullif(p.p_name, 'blue anvil') AS title,
-         d.text AS abstract, CAST(2017 + p.p_size % 8 AS BIGINT) AS year,
-         CAST(p.p_size AS BIGINT) AS citationCount
-  FROM part p LEFT JOIN documents d ON d.doc_id = p.p_partkey),
+         CAST(2017 + p.p_size % 8 AS BIGINT) AS year, CAST(p.p_size AS BIGINT) AS citationCount
+  FROM part p),
 published_in AS (
   SELECT paperId, kind,
          CASE kind WHEN 'Journal' THEN 'J-' WHEN 'Workshop' THEN 'W-' ELSE 'C-' END || p_brand AS name,
