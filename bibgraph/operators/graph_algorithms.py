@@ -159,8 +159,9 @@ class EdgeSet:
 
 
 class Materializer:
-    """Per-round materialisation for loops: cache + count most rounds, a
-    reliable checkpoint every ``every`` rounds (and on demand)."""
+    """Per-round materialisation for loops: cache most rounds (the caller's
+    convergence count fills the cache), a reliable checkpoint every ``every``
+    rounds (and on demand)."""
 
     def __init__(self, every: int = 5):
         self.every = every
@@ -177,7 +178,6 @@ class Materializer:
             self._cached = self._cached[-1:]
             return out
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
         self._cached.append(out)
         if len(self._cached) > 2:
             self._cached.pop(0).unpersist()
@@ -290,7 +290,7 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
             new = mat(colour.join(m, colour.id == m.dst, "left")
                       .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
                               (F.col("m") < F.col("c")).alias("changed")))
-            changed = new.where(F.col("changed")).limit(1).count()
+            changed = new.where(F.col("changed")).count()  # full pass: fills the cache
             colour = new.select("id", "c")
             if changed == 0:
                 break
@@ -316,7 +316,7 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                               (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
             frontier = new.where(F.col("changed")).select("id")
             mark = new.select("id", "c", "k")
-            if frontier.limit(1).count() == 0:
+            if frontier.count() == 0:  # full pass: fills the cache
                 break
         mark = _cut(mark)
         mat.close()
