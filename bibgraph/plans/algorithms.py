@@ -42,3 +42,33 @@ def scc_with_component_keys(proj: Projection) -> DataFrame:
                                  F.col("key").alias("componentKey"))
     return comps.join(roots, "componentId").select("label", "key", "componentLabel",
                                                    "componentKey")
+
+
+def reach_within(edges: DataFrame, sources: DataFrame, k: int,
+                 direction: str = "backward") -> DataFrame:
+    """(source, paperId, hops): papers within ``k`` hops of each source paper.
+
+    A breadth-first expansion with one join and one de-duplication per
+    level; each (source, paper) pair is kept once, at its smallest hop count.
+    ``backward`` follows edges against their direction (who cites the source,
+    directly or through others); ``forward`` follows them (what the source
+    cites).  Work is proportional to the size of the reached sets, so callers
+    pass a bounded source set (e.g. a top-k list).
+    """
+    if direction == "backward":
+        step = edges.select(F.col("dst").alias("frm"), F.col("src").alias("to"))
+    elif direction == "forward":
+        step = edges.select(F.col("src").alias("frm"), F.col("dst").alias("to"))
+    else:
+        raise ValueError(direction)
+    frontier = sources.select(F.col(sources.columns[0]).alias("source"),
+                              F.col(sources.columns[0]).alias("frm"))
+    seen = frontier.select("source", F.col("frm").alias("paperId"), F.lit(0).alias("hops"))
+    for h in range(1, k + 1):
+        nxt = (frontier.join(step, "frm").select("source", F.col("to").alias("paperId"))
+               .distinct()
+               .join(seen.select("source", "paperId"), ["source", "paperId"], "left_anti"))
+        nxt = nxt.checkpoint(eager=True)
+        seen = seen.unionByName(nxt.withColumn("hops", F.lit(h)))
+        frontier = nxt.select("source", F.col("paperId").alias("frm"))
+    return seen.where(F.col("hops") > 0).withColumn("hops", F.col("hops").cast("bigint"))

@@ -503,3 +503,15 @@ def q_community_papers(spark, sf_dir):
     comm = recommend.community_papers(g, COMMUNITY_TERMS)
     return (g.published_in.where(F.col("kind").isin(*recommend.COMMUNITY_KINDS))
             .join(comm, "paperId", "left_semi").select("kind", "name", "paperId").distinct())
+
+
+@register("citation_reach_khop")
+def q_reach(spark, sf_dir):
+    """Papers citing a top community paper directly or through one other paper."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    g, venues = _community(spark, sf_dir)
+    top = recommend.top_community_papers(g, venues, 100).select("paperId")
+    return algorithms.reach_within(g.cites, top, 2, "backward").withColumnRenamed(
+        "source", "topPaperId")

@@ -684,3 +684,14 @@ SELECT DISTINCT p.kind, p.name, p.paperId FROM published_in p
 WHERE p.kind IN ('Journal', 'Conference')
   AND p.paperId IN (SELECT paperId FROM contains WHERE keyword IN {COMMUNITY_TERMS_SQL})
 """)
+
+ALGORITHMS["citation_reach_khop"] = with_graph("""
+SELECT topPaperId, paperId, min(hops) AS hops FROM (
+  SELECT t.paperId AS topPaperId, c.src AS paperId, CAST(1 AS BIGINT) AS hops
+  FROM top_paper t JOIN cites c ON c.dst = t.paperId
+  UNION ALL
+  SELECT t.paperId, c2.src, CAST(2 AS BIGINT)
+  FROM top_paper t JOIN cites c1 ON c1.dst = t.paperId JOIN cites c2 ON c2.dst = c1.src) x
+WHERE paperId <> topPaperId
+GROUP BY topPaperId, paperId
+""", COMMUNITY_CTES)
