@@ -50,18 +50,34 @@ def categorize_publication(papers: DataFrame) -> DataFrame:
 
 
 def aggregate_paper_authors(papers: DataFrame, authors: DataFrame) -> DataFrame:
-    """authorIds = the paper's non-null author ids in file (``position``) order;
-    papers without any author are dropped.  The list is built per paper from
-    (position, id) structs and sorted, since collect order is not defined."""
-    lists = (authors.where(F.col("authorId").isNotNull())
+    """Papers that have at least one non-null author, with ``n_authors``,
+    ``corresponding_author`` (first in file order) and ``last_author``.
+
+    Only fixed-size aggregates (count, min_by, max_by) are kept per paper, so
+    partial aggregation bounds the state of a paper with any number of
+    authors; the list itself is built only at the CSV edge
+    (``author_id_lists``).
+    """
+    stats = (authors.where(F.col("authorId").isNotNull())
              .groupBy("paperId")
-             .agg(F.sort_array(F.collect_list(F.struct("position", "authorId"))).alias("_a"))
-             .select("paperId", F.col("_a.authorId").alias("authorIds")))
-    return papers.join(lists, "paperId", "left").where(F.col("authorIds").isNotNull())
+             .agg(F.count(F.lit(1)).alias("n_authors"),
+                  F.min_by("authorId", "position").alias("corresponding_author"),
+                  F.max_by("authorId", "position").alias("last_author")))
+    return papers.join(stats, "paperId")
+
+
+def author_id_lists(authors: DataFrame) -> DataFrame:
+    """(paperId, authorIds): the ordered id list of the load-file format
+    (``groupby(paperId)[authorId].agg(list)`` in file order).  collect order
+    is not defined after a shuffle, so (position, id) structs are sorted."""
+    return (authors.where(F.col("authorId").isNotNull())
+            .groupBy("paperId")
+            .agg(F.sort_array(F.collect_list(F.struct("position", "authorId"))).alias("_a"))
+            .select("paperId", F.col("_a.authorId").alias("authorIds")))
 
 
 def corresponding_author(papers: DataFrame) -> DataFrame:
-    """The first listed author is the corresponding author."""
+    """The first listed author is the corresponding author (list input)."""
     return papers.withColumn("corresponding_author", F.element_at("authorIds", 1))
 
 

@@ -290,22 +290,21 @@ def q_categorize(spark, sf_dir):
 def q_aggregate_authors(spark, sf_dir):
     papers, authors = _raw(spark, sf_dir)
     out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
-    return out.select("paperId", F.size("authorIds").cast("bigint").alias("n_authors"),
-                      F.element_at("authorIds", -1).alias("last_author"))
+    return out.select("paperId", "n_authors", "last_author")
 
 
 @register("list_columns_to_strings")
 def q_list_strings(spark, sf_dir):
     papers, authors = _raw(spark, sf_dir)
-    out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
+    lists = clean.author_id_lists(authors)
+    out = clean.clean_papers(papers).join(lists, "paperId")
     return clean.list_columns_to_strings(out).select("paperId", "authorIds")
 
 
 @register("corresponding_author")
 def q_corresponding(spark, sf_dir):
     papers, authors = _raw(spark, sf_dir)
-    out = clean.corresponding_author(
-        clean.aggregate_paper_authors(clean.clean_papers(papers), authors))
+    out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
     return out.select("paperId", "corresponding_author")
 
 
