@@ -1,16 +1,18 @@
 """Graph projection, PageRank and strongly connected components as Spark loops.
 
 Design for scale
-* Vertex values (rank, colour, mark) are vertex-sized tables hash-partitioned
-  on ``id``; edges are the large table and are shuffled once per edge set,
-  then persisted partitioned on ``(src, salt)`` and never moved again.
+* Vertex values (rank, colour, mark) are vertex-sized tables; edges are the
+  large table and are shuffled once per edge set, written as a table
+  bucketed on ``(src, salt)`` and never moved again (a bucketed scan reports
+  its partitioning, so each round shuffles only the vertex side).
 * A source with a huge out-degree is split: its edges are spread over
   ``ceil(outdeg / hot_edges)`` salt buckets and its value row is replicated
   once per bucket, so no task receives a third of all edges.
 * Messages are aggregated per destination with partial (map-side)
   aggregation, so a hot destination is pre-combined before the shuffle.
-* Lineage is cut with reliable ``checkpoint()`` into the session's
-  checkpoint folder; an executor loss recomputes from the last cut.
+* Rounds are cached; lineage is cut with reliable ``checkpoint()`` into the
+  session's checkpoint folder every few rounds; an executor loss recomputes
+  from the last cut.
 """
 
 from __future__ import annotations

@@ -12,8 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import clean, synth
+from ..operators import graph_build as gb
+from ..operators import keywords as kw
+from ..operators import profile
+from ..operators.graph_algorithms import pagerank
+from ..operators.upsert import dedupe_keep_first
+from ..session import checkpoint_dir, scratch_path
+from ..sources import csv_io, payloads
 from ..sources.fixtures import COMMUNITY_TERMS, graph_from_tables
-from . import analytics, recommend
+from ..sources.load_files import author_load_rows, paper_load_rows
+from ..sources.raw_papers import raw_authors, raw_papers
+from ..sources.tables import Tables
+from . import algorithms, analytics, recommend
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -99,9 +110,6 @@ def q_gurus(spark, sf_dir):
 
 # --- graph algorithms ----------------------------------------------------
 
-from . import algorithms  # noqa: E402
-from ..operators.graph_algorithms import pagerank, strongly_connected_components  # noqa: E402
-
 
 @register("project_counts")
 def q_project_counts(spark, sf_dir):
@@ -155,10 +163,6 @@ def q_scc_wrote(spark, sf_dir):
 
 # --- graph load from reference-shaped load files --------------------------
 
-from ..operators import graph_build as gb  # noqa: E402
-from ..sources.load_files import author_load_rows, paper_load_rows  # noqa: E402
-from ..sources.tables import Tables  # noqa: E402
-
 
 def _load(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -259,10 +263,6 @@ def q_graph_counts(spark, sf_dir):
 
 # --- cleaning / ETL --------------------------------------------------------
 
-from ..operators import clean  # noqa: E402
-from ..operators import synth  # noqa: E402
-from ..sources.raw_papers import raw_authors, raw_papers  # noqa: E402
-
 
 def _raw(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -369,7 +369,6 @@ def q_clone(spark, sf_dir):
 
 @register("dedupe_keep_first")
 def q_dedupe(spark, sf_dir):
-    from ..operators.upsert import dedupe_keep_first
     li = Tables(spark, sf_dir).lineitem
     others = [c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]
     out = dedupe_keep_first(li, ["l_orderkey", "l_linenumber"], others)
@@ -431,11 +430,6 @@ def q_affiliations(spark, sf_dir):
 
 # --- sources, profiling, keywords ----------------------------------------
 
-from ..operators import keywords as kw  # noqa: E402
-from ..operators import profile  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import csv_io, payloads  # noqa: E402
-
 
 @register("extract_keywords")
 def q_keywords(spark, sf_dir):
@@ -507,8 +501,6 @@ def q_community_papers(spark, sf_dir):
 @register("citation_reach_khop")
 def q_reach(spark, sf_dir):
     """Papers citing a top community paper directly or through one other paper."""
-    from ..session import checkpoint_dir
-
     checkpoint_dir(spark)
     g, venues = _community(spark, sf_dir)
     top = recommend.top_community_papers(g, venues, 100).select("paperId")

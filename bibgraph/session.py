@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +61,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table beside the checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
