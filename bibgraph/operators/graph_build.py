@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import split_list, to_int
 from ..graph import Graph
@@ -30,6 +31,15 @@ def with_file_no(rows: DataFrame, order: Sequence[str]) -> DataFrame:
         "file_no", F.array_position(F.array(*[F.lit(k) for k in order]), F.col("kind")))
 
 
+def with_paper(rows: DataFrame, papers: DataFrame | None) -> DataFrame:
+    """``MATCH (p:Paper {paperId: row.paperId})``.  ``papers=None`` means the
+    Paper nodes were created from these same rows, so every row with a key
+    matches and the existence join (a second pass over the rows) is skipped."""
+    if papers is None:
+        return rows.where(F.col("paperId").isNotNull())
+    return rows.join(papers.select("paperId"), "paperId", "left_semi")
+
+
 def empty_like(df: DataFrame) -> DataFrame:
     """``MATCH (n) DETACH DELETE n``: an empty table of the same schema."""
     return df.limit(0)
@@ -55,22 +65,21 @@ def author_nodes(author_rows: DataFrame) -> DataFrame:
     return merge_nodes_first_wins(r, "authorId", ["name", "affiliation", "affiliationType"])
 
 
-def wrote_edges(rows: DataFrame, papers: DataFrame, authors: DataFrame,
+def wrote_edges(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
                 trim: bool = True) -> DataFrame:
     """WROTE with ``corresponding``; both ends must exist; last writer sets the flag.
 
     ``trim=False`` compares the untrimmed list item with the corresponding
     author, as the original query does (only the first item can match).
     """
-    r = with_file_no(rows, WROTE_FILE_ORDER).select(
+    r = with_file_no(with_paper(rows, papers), WROTE_FILE_ORDER).select(
         "paperId", "file_no", "row_no", "corresponding_author",
         F.posexplode(F.split(F.col("authorIds"), ",")).alias("pos", "raw"))
     r = r.select("paperId", "file_no", "row_no", F.trim("raw").alias("authorId"),
                  F.coalesce((F.col("corresponding_author") ==
                              (F.trim("raw") if trim else F.col("raw"))), F.lit(False))
                  .alias("corresponding"))
-    r = (r.join(papers.select("paperId"), "paperId", "left_semi")
-         .join(authors.select("authorId"), "authorId", "left_semi"))
+    r = r.join(authors.select("authorId"), "authorId", "left_semi")
     return merge_edges_last_wins(r, ["authorId", "paperId"], ["corresponding"])
 
 
@@ -87,13 +96,13 @@ def venue_nodes(rows: DataFrame) -> DataFrame:
     return venue_rows(rows).select("kind", "name").distinct()
 
 
-def published_in_edges(rows: DataFrame, papers: DataFrame) -> DataFrame:
+def published_in_edges(rows: DataFrame, papers: DataFrame | None) -> DataFrame:
     """PUBLISHED_IN with year, edition, venue (city) and, for journals, the volume.
 
     One edge per (paper, venue); the last row's properties win.  The three
     kinds are separate loads, so file order does not matter across kinds.
     """
-    r = venue_rows(rows).join(papers.select("paperId"), "paperId", "left_semi").select(
+    r = venue_rows(with_paper(rows, papers)).select(
         "paperId", "kind", "name", F.lit(0).alias("file_no"), "row_no",
         to_int("year").alias("year"), to_int("edition").alias("edition"),
         F.col("venue"),
@@ -102,13 +111,16 @@ def published_in_edges(rows: DataFrame, papers: DataFrame) -> DataFrame:
                                  ["year", "edition", "venue", "journal_volume"])
 
 
-def cites_edges(rows: DataFrame, papers: DataFrame) -> tuple[DataFrame, DataFrame]:
+def cites_edges(rows: DataFrame, papers: DataFrame,
+                papers_from_rows: bool = False) -> tuple[DataFrame, DataFrame]:
     """CITES from the delimited ``Citations`` list; returns (edges, stub papers).
 
-    A cited id with no Paper node creates a stub node (key only).
+    A cited id with no Paper node creates a stub node (key only).  The citing
+    side must be a Paper; ``papers_from_rows=True`` says the Paper nodes were
+    created from these rows, which makes that check a null test.
     """
-    r = (rows.where(F.col("Citations").isNotNull() & (F.col("Citations") != ""))
-         .join(papers.select("paperId"), "paperId", "left_semi")
+    r = (with_paper(rows.where(F.col("Citations").isNotNull() & (F.col("Citations") != "")),
+                    None if papers_from_rows else papers)
          .select(F.col("paperId").alias("src"),
                  F.explode(split_list("Citations", ",")).alias("dst")))
     edges = r.distinct()
@@ -128,28 +140,28 @@ def keyword_nodes(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.split("keywords", ",")).alias("text")).distinct()
 
 
-def contains_edges(rows: DataFrame, papers: DataFrame, delimiter: str = ",") -> DataFrame:
+def contains_edges(rows: DataFrame, papers: DataFrame | None,
+                   delimiter: str = ",") -> DataFrame:
     """CONTAINS with trimmed, non-empty keywords; keyword nodes are its distinct targets."""
-    return (rows.join(papers.select("paperId"), "paperId", "left_semi")
+    return (with_paper(rows, papers)
             .select("paperId", F.explode(split_list("keywords", delimiter)).alias("keyword"))
             .where(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
             .distinct())
 
 
-def reviewed_edges(rows: DataFrame, papers: DataFrame, authors: DataFrame,
+def reviewed_edges(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
                    trim: bool = True) -> DataFrame:
     """REVIEWED (Author -> Paper) from the delimited ``reviewers`` list."""
-    r = (rows.join(papers.select("paperId"), "paperId", "left_semi")
+    r = (with_paper(rows, papers)
          .select("paperId", F.explode(split_list("reviewers", ",", trim)).alias("authorId"))
          .join(authors.select("authorId"), "authorId", "left_semi"))
     return r.select("authorId", "paperId").distinct()
 
 
-def reviewed_edges_evolved(rows: DataFrame, papers: DataFrame, authors: DataFrame,
+def reviewed_edges_evolved(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
                            existing: DataFrame | None = None, trim: bool = True) -> DataFrame:
     """Schema evolution: REVIEWED edges gain ``approved`` and ``comments`` (last writer)."""
-    r = (with_file_no(rows, REVIEW_FILE_ORDER)
-         .join(papers.select("paperId"), "paperId", "left_semi")
+    r = (with_file_no(with_paper(rows, papers), REVIEW_FILE_ORDER)
          .select("paperId", "file_no", "row_no", "approved", "comments",
                  F.explode(split_list("reviewers", ",", trim)).alias("authorId"))
          .join(authors.select("authorId"), "authorId", "left_semi"))
@@ -165,23 +177,33 @@ def affiliated_edges(author_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return orgs, edges
 
 
-def build_graph(rows: DataFrame, author_rows: DataFrame, evolved: bool = True) -> Graph:
-    """The whole load (and optional evolution step) as lazily derived DataFrames."""
+def build_graph(rows: DataFrame, author_rows: DataFrame, evolved: bool = True,
+                persist_inputs: bool = True) -> Graph:
+    """The whole load (and optional evolution step) as lazily derived DataFrames.
+
+    Every table reads the same load rows; ``persist_inputs`` keeps them
+    (memory and disk, lineage intact) so a job computing several tables
+    parses the input once.  Paper nodes come from these rows, so the
+    per-step Paper existence joins are skipped (``papers=None``).
+    """
+    if persist_inputs:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        author_rows = author_rows.persist(StorageLevel.MEMORY_AND_DISK)
     papers = paper_nodes(rows)
     authors = author_nodes(author_rows)
-    cites, stubs = cites_edges(rows, papers)
-    contains = contains_edges(rows, papers)
+    cites, stubs = cites_edges(rows, papers, papers_from_rows=True)
+    contains = contains_edges(rows, None)
     g = Graph(
         paper=with_stubs(papers, stubs),
         author=authors,
         venue=venue_nodes(rows),
         keyword=contains.select(F.col("keyword").alias("text")).distinct(),
-        wrote=wrote_edges(rows, papers, authors),
-        published_in=published_in_edges(rows, papers),
+        wrote=wrote_edges(rows, None, authors),
+        published_in=published_in_edges(rows, None),
         cites=cites,
         contains=contains,
-        reviewed=(reviewed_edges_evolved(rows, papers, authors) if evolved
-                  else reviewed_edges(rows, papers, authors)),
+        reviewed=(reviewed_edges_evolved(rows, None, authors) if evolved
+                  else reviewed_edges(rows, None, authors)),
     )
     if evolved:
         orgs, aff = affiliated_edges(author_rows)

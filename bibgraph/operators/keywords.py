@@ -36,39 +36,38 @@ STOP_WORDS = (
 WHITESPACE = "[ \\t\\n\\r\\f]+"
 
 
-def tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pos, term) for every token of every document (whole texts)."""
-    cleaned = strip_punctuation(F.lower(F.col(text)))
-    return (docs.select(key, F.posexplode(F.split(cleaned, WHITESPACE)).alias("pos", "term"))
-            .where(F.col("term") != ""))
-
-
 def extract_keywords(docs: DataFrame, key: str = "doc_id", text: str = "text",
                      field: str | None = "field_query", n: int = 4,
                      term_filter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(key, rank, term): the top ``n`` terms of each document."""
-    tok = tokens(docs, key, text)
-    tok = tok.where(~F.col("term").isin(*STOP_WORDS))
+    """(key, rank, term): the top ``n`` terms of each document.
+
+    One pass over the text: the field term rides along as a grouping column
+    (it is fixed per document), and the "is the field term among the top n"
+    test is a window over the same document partition, so nothing is joined
+    back and no text is tokenised twice.
+    """
+    f = F.lower(F.col(field)) if field is not None else F.lit(None).cast("string")
+    src = docs.select(key, f.alias("_f"), text)
+    cleaned = strip_punctuation(F.lower(F.col(text)))
+    tok = (src.select(key, "_f", F.posexplode(F.split(cleaned, WHITESPACE)).alias("pos", "term"))
+           .where((F.col("term") != "") & ~F.col("term").isin(*STOP_WORDS)))
     if term_filter is not None:
         tok = term_filter(tok)
-    big = F.lit(1 << 62)
     if field is not None:
-        fld = docs.select(key, big.alias("pos"), F.lower(F.col(field)).alias("term")) \
-            .where(F.col("term").isNotNull())
-        tok = tok.unionByName(fld)
-    counts = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("c"),
-                                          F.min("pos").alias("first"))
+        # the field term is counted once more, after every word of the text
+        tok = tok.unionByName(src.where(F.col("_f").isNotNull())
+                              .select(key, "_f", F.lit(1 << 62).alias("pos"),
+                                      F.col("_f").alias("term")))
+    counts = tok.groupBy(key, "_f", "term").agg(F.count(F.lit(1)).alias("c"),
+                                                F.min("pos").alias("first"))
     w = Window.partitionBy(key).orderBy(F.desc("c"), F.asc("first"))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     if field is None:
         return top.select(key, "rank", "term")
-    fields = docs.select(key, F.lower(F.col(field)).alias("_f"))
-    top = top.join(fields, key)
-    has = top.groupBy(key).agg(F.max((F.col("term") == F.col("_f")).cast("int")).alias("_has"),
-                               F.max("rank").alias("_last"))
-    top = top.join(has, key)
-    # field term missing: drop the last kept term, append the field term in its place
-    keep = top.where((F.col("_has") == 1) | (F.col("rank") < F.col("_last")))
-    add = (top.where((F.col("_has") == 0) & (F.col("rank") == F.col("_last")))
-           .select(key, "rank", F.col("_f").alias("term")))
-    return keep.select(key, "rank", "term").unionByName(add)
+    doc = Window.partitionBy(key)
+    top = (top.withColumn("_has", F.max((F.col("term") == F.col("_f")).cast("int")).over(doc))
+           .withColumn("_last", F.max("rank").over(doc)))
+    # field term missing: it takes the place of the last kept term
+    return top.select(key, "rank",
+                      F.when((F.col("_has") == 0) & (F.col("rank") == F.col("_last")),
+                             F.col("_f")).otherwise(F.col("term")).alias("term"))

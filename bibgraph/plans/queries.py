@@ -186,19 +186,19 @@ def q_author_nodes(spark, sf_dir):
 @register("wrote_edges")
 def q_wrote_edges(spark, sf_dir):
     rows, arows = _load(spark, sf_dir)
-    return gb.wrote_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows))
+    return gb.wrote_edges(rows, None, gb.author_nodes(arows))
 
 
 @register("published_in_edges")
 def q_published_in(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
-    return gb.published_in_edges(rows, gb.paper_nodes(rows))
+    return gb.published_in_edges(rows, None)
 
 
 @register("merge_edges_last_wins")
 def q_merge_edges_last(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
-    return gb.published_in_edges(rows, gb.paper_nodes(rows)).select(
+    return gb.published_in_edges(rows, None).select(
         "paperId", "kind", "name", "venue")
 
 
@@ -211,7 +211,7 @@ def q_venue_nodes(spark, sf_dir):
 @register("cites_edges_with_stubs")
 def q_cites_stubs(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
-    edges, stubs = gb.cites_edges(rows, gb.paper_nodes(rows))
+    edges, stubs = gb.cites_edges(rows, gb.paper_nodes(rows), papers_from_rows=True)
     marked = stubs.select(F.col("paperId").alias("dst"), F.lit(True).alias("dst_is_stub"))
     return (edges.join(marked, "dst", "left")
             .select("src", "dst", F.coalesce("dst_is_stub", F.lit(False)).alias("dst_is_stub")))
@@ -226,27 +226,27 @@ def q_keyword_nodes(spark, sf_dir):
 @register("contains_edges")
 def q_contains(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
-    return gb.contains_edges(rows, gb.paper_nodes(rows))
+    return gb.contains_edges(rows, None)
 
 
 @register("reviewed_edges")
 def q_reviewed(spark, sf_dir):
     rows, arows = _load(spark, sf_dir)
-    return gb.reviewed_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows))
+    return gb.reviewed_edges(rows, None, gb.author_nodes(arows))
 
 
 @register("reviewed_edges_untrimmed")
 def q_reviewed_untrimmed(spark, sf_dir):
     rows, arows = _load(spark, sf_dir)
-    return gb.reviewed_edges(rows, gb.paper_nodes(rows), gb.author_nodes(arows), trim=False)
+    return gb.reviewed_edges(rows, None, gb.author_nodes(arows), trim=False)
 
 
 @register("reviewed_edges_evolved")
 def q_reviewed_evolved(spark, sf_dir):
     rows, arows = _load(spark, sf_dir)
-    papers, authors = gb.paper_nodes(rows), gb.author_nodes(arows)
-    old = gb.reviewed_edges(rows, papers, authors)
-    return gb.reviewed_edges_evolved(rows, papers, authors, existing=old)
+    authors = gb.author_nodes(arows)
+    old = gb.reviewed_edges(rows, None, authors)
+    return gb.reviewed_edges_evolved(rows, None, authors, existing=old)
 
 
 @register("affiliated_edges")
