@@ -17,14 +17,12 @@ Design for scale
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
-
-import uuid
-
 from pyspark.storagelevel import StorageLevel
 
 from ..session import checkpoint_dir, scratch_path
@@ -39,9 +37,11 @@ class Projection:
     edges: DataFrame
 
     def counts(self) -> DataFrame:
-        nv = self.vertices.agg(F.count(F.lit(1)).alias("nodeCount"))
-        ne = self.edges.agg(F.count(F.lit(1)).alias("relationshipCount"))
-        return nv.crossJoin(ne)
+        """One row (nodeCount, relationshipCount) from one aggregate over both tables."""
+        both = (self.vertices.select(F.lit(1).alias("v"), F.lit(0).alias("e"))
+                .unionByName(self.edges.select(F.lit(0).alias("v"), F.lit(1).alias("e"))))
+        return both.agg(F.sum("v").cast("bigint").alias("nodeCount"),
+                        F.sum("e").cast("bigint").alias("relationshipCount"))
 
 
 def _partitions(spark: SparkSession) -> int:

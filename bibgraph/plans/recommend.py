@@ -50,13 +50,13 @@ def community_venues(g: Graph, terms: Iterable[str], threshold: float = 0.9,
         F.count(F.lit(1)).alias("num_papers"))
     per_venue = per_venue.where(F.col("num_comm_papers") > 0)
     if literal_denominator:
-        n_journal = (g.published_in.where(F.col("kind") == "Journal")
-                     .select("paperId").distinct().agg(F.count(F.lit(1)).alias("nj")))
-        per_venue = (per_venue.crossJoin(F.broadcast(n_journal))
-                     .withColumn("num_papers",
-                                 F.when(F.col("kind") == "Journal", F.col("nj"))
-                                 .otherwise(F.col("nj") + F.col("num_papers")))
-                     .drop("nj"))
+        # one number: the count of all journal papers (a scalar, not a join)
+        nj = (g.published_in.where(F.col("kind") == "Journal")
+              .select("paperId").distinct().count())
+        per_venue = per_venue.withColumn(
+            "num_papers",
+            F.when(F.col("kind") == "Journal", F.lit(nj))
+            .otherwise(F.lit(nj) + F.col("num_papers")))
     share = F.col("num_comm_papers").cast("double") / F.col("num_papers")
     return (per_venue.withColumn("share", share)
             .where(F.col("share") >= threshold)
