@@ -287,13 +287,16 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
         es = EdgeSet(edges, hot_edges)
         mat = Materializer(checkpoint_every)
         colour = active.select("id", F.col("id").alias("c"))
+        senders = colour  # only vertices whose colour dropped send in the next round
         while True:
-            m = es.messages(colour, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
+            m = es.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
             new = mat(colour.join(m, colour.id == m.dst, "left")
                       .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
-                              (F.col("m") < F.col("c")).alias("changed")))
+                              F.coalesce(F.col("m") < F.col("c"), F.lit(False))
+                              .alias("changed")))
             changed = new.where(F.col("changed")).count()  # full pass: fills the cache
             colour = new.select("id", "c")
+            senders = new.where(F.col("changed")).select("id", "c")
             if changed == 0:
                 break
         colour = _cut(colour)

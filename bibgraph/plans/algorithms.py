@@ -61,8 +61,9 @@ def reach_within(edges: DataFrame, sources: DataFrame, k: int,
         step = edges.select(F.col("src").alias("frm"), F.col("dst").alias("to"))
     else:
         raise ValueError(direction)
+    # the source list is read twice (frontier and seen set): compute it once
     frontier = sources.select(F.col(sources.columns[0]).alias("source"),
-                              F.col(sources.columns[0]).alias("frm"))
+                              F.col(sources.columns[0]).alias("frm")).checkpoint(eager=True)
     seen = frontier.select("source", F.col("frm").alias("paperId"), F.lit(0).alias("hops"))
     for h in range(1, k + 1):
         nxt = (frontier.join(step, "frm").select("source", F.col("to").alias("paperId"))
