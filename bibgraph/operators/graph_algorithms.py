@@ -116,9 +116,12 @@ def bucketed(df: DataFrame, cols: list[str], label: str) -> tuple[DataFrame, str
     Returns the table and its catalog name.
     """
     spark = df.sparkSession
+    n = _partitions(spark)
     path = scratch_path(spark, label)
     name = f"bibgraph_{label}_{uuid.uuid4().hex[:12]}"
-    (df.write.format("parquet").bucketBy(_partitions(spark), *cols)
+    # hash-partition on the bucket columns first: bucket ids use the same
+    # hash, so each task writes exactly one bucket file (not tasks x buckets)
+    (df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols)
      .option("path", path).saveAsTable(name))
     return spark.table(name), name
 
