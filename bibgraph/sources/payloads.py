@@ -121,7 +121,7 @@ def citation_payloads(t: Tables) -> DataFrame:
         F.array(F.struct(F.nullif(F.col("role"), F.lit("system")).alias("authorId"),
                          F.col("role").alias("name")),
                 F.struct(F.col("conv_id").cast("string").alias("authorId"),
-                         F.substring("text", 1, 12).alias("name"))).alias("authors"))
+                         F.col("text").alias("name"))).alias("authors"))
     grouped = cv.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct(F.col("turn").alias("k"), turn.alias("c"))))
         .alias("l"))

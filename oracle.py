@@ -669,7 +669,7 @@ FROM wrote w JOIN author a ON a.authorId = w.authorId
     "flatten_citations": """
 SELECT CAST(conv_id AS VARCHAR) AS paperId, CAST(turn AS VARCHAR) AS citationId,
        concat_ws('; ', nullif(role, 'system'), CAST(conv_id AS VARCHAR)) AS authorIds,
-       concat_ws('; ', role, substring(text, 1, 12)) AS authorNames
+       concat_ws('; ', role, text) AS authorNames
 FROM conversations WHERE conv_id % 10 <> 0
 """,
     "union_tagged": with_graph(f"""
