@@ -48,8 +48,17 @@ def extract_edition(c) -> Column:
 
 
 def parse_list_literal(c) -> Column:
-    """Text of a Python list literal (``"['a', 'b']"``) to array<string>."""
-    return F.from_json(col_of(c), "array<string>", {"allowSingleQuotes": "true"})
+    """Text of a Python list literal (``"['a', 'b']"``) to array<string>.
+
+    Quotes of either kind, escapes and numbers parse as JSON with single
+    quotes allowed.  A list holding bare ``None`` items is not JSON; only
+    when the first parse fails is ``None`` read as ``null`` and parsed again.
+    """
+    opts = {"allowSingleQuotes": "true"}
+    first = F.from_json(col_of(c), "array<string>", opts)
+    with_null = F.from_json(F.regexp_replace(col_of(c), r"\bNone\b", "null"),
+                            "array<string>", opts)
+    return F.coalesce(first, with_null)
 
 
 def hash_draw(*cols, seed: str = "") -> Column:

@@ -91,7 +91,7 @@ def test_list_literal_parsing(spark):
     import ast
 
     cases = ["['a', 'b']", '["x", \'y\']', "[\"it's\"]", "['say \"hi\"']", "['a, b', 'c']",
-             "[]", "['1', '2']"]
+             "[]", "['1', '2']", "[None, 'a']", "['a\\'b']", "['None']"]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     got = [r[0] for r in df.select(parse_list_literal("s")).collect()]
     assert got == [ast.literal_eval(c) for c in cases]
