@@ -102,3 +102,24 @@ def test_string_keys_and_bipartite_projection(spark):
     assert rows(proj.counts()) == [(4, 2)]
     comps = strongly_connected_components(proj)
     assert comps.select("componentId").distinct().count() == 4
+
+
+def test_orientation_reverse_and_undirected(spark):
+    papers = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
+    e = spark.createDataFrame([(1, 2), (2, 3)], "s bigint, d bigint")
+    rev = project({"Paper": papers}, [("Paper", "Paper", e)], "reverse")
+    assert rows(rev.edges) == [(2, 1), (3, 2)]
+    und = project({"Paper": papers}, [("Paper", "Paper", e)], "undirected")
+    assert rows(und.counts()) == [(3, 4)]
+    comps = strongly_connected_components(und)
+    assert {r.componentId for r in comps.collect()} == {1}
+
+
+def test_reach_within_levels(spark):
+    from bibgraph.plans.algorithms import reach_within
+
+    e = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (3, 1), (5, 9)], "src bigint, dst bigint")
+    src = spark.createDataFrame([(1,)], "paperId bigint")
+    assert rows(reach_within(e, src, 2)) == [(1, 2, 1), (1, 3, 1), (1, 4, 2)]
+    fwd = spark.createDataFrame([(4,)], "paperId bigint")
+    assert rows(reach_within(e, fwd, 3, "forward")) == [(4, 1, 2), (4, 2, 2), (4, 3, 1)]
