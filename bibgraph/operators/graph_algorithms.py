@@ -256,8 +256,9 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     """(id, label, key, componentId): componentId is the smallest vertex id of the SCC.
 
     Trim (a vertex without in- or out-edges in the remaining graph is a
-    singleton SCC), then forward min-colouring and a backward sweep inside
-    each colour from its root (Fleischer-Hendrickson-Pinar; Orzan).  Edges
+    singleton SCC), then forward colouring with hashed priorities and a
+    backward sweep inside each colour from its root (Fleischer-Hendrickson-
+    Pinar; Orzan).  Edges
     across colours are dropped after each phase, since an SCC never spans
     two colours.  Rounds inside a sweep are cached and counted; a reliable
     checkpoint cuts the lineage every ``checkpoint_every`` rounds and at the
@@ -286,10 +287,13 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                 break
         if active.isEmpty():
             break
-        # forward colouring: colour(v) = smallest id that reaches v
+        # forward colouring: colour(v) = smallest (hash(id), id) among the
+        # vertices that reach v.  Hashed priorities make the number of phases
+        # independent of how ids happen to be ordered along the edges.
         es = EdgeSet(edges, hot_edges)
         mat = Materializer(checkpoint_every)
-        colour = active.select("id", F.col("id").alias("c"))
+        colour = active.select("id", F.struct(F.xxhash64("id").alias("h"),
+                                              F.col("id").alias("r")).alias("c"))
         senders = colour  # only vertices whose colour dropped send in the next round
         while True:
             m = es.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
@@ -302,10 +306,10 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
             senders = new.where(F.col("changed")).select("id", "c")
             if changed == 0:
                 break
-        colour = _cut(colour)
+        colour = _cut(colour.select("id", F.col("c.r").alias("c")))  # colour = its root id
         mat.close()
         es.release()
-        # backward sweep inside each colour, from the root (id == colour)
+        # backward sweep inside each colour, from the root
         same = _cut(edges
                     .join(colour.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
                     .join(colour.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
@@ -329,7 +333,10 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
         mark = _cut(mark)
         mat.close()
         rev.release()
-        found.append(_cut(mark.where("k").select("id", F.col("c").alias("componentId"))))
+        # component id = smallest vertex id of the component (partial aggregation per root)
+        members = mark.where("k").select("id", "c")
+        smallest = members.groupBy("c").agg(F.min("id").alias("componentId"))
+        found.append(_cut(members.join(smallest, "c").select("id", "componentId")))
         rest = mark.where(~F.col("k")).select("id")
         active = _cut(rest.repartition(p, "id"))
         edges = _cut(same.join(rest.withColumnRenamed("id", "src"), "src", "left_semi")

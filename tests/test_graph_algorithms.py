@@ -123,3 +123,16 @@ def test_reach_within_levels(spark):
     assert rows(reach_within(e, src, 2)) == [(1, 2, 1), (1, 3, 1), (1, 4, 2)]
     fwd = spark.createDataFrame([(4,)], "paperId bigint")
     assert rows(reach_within(e, fwd, 3, "forward")) == [(4, 1, 2), (4, 2, 2), (4, 3, 1)]
+
+
+def test_scc_chain_of_cycles_with_increasing_ids(spark):
+    """Ids increase along the edges: plain min-id colouring would need one
+    phase per cycle; hashed priorities find several per phase.  Exact ids."""
+    n = 6
+    edges = []
+    for k in range(n):
+        a, b = 2 * k, 2 * k + 1
+        edges += [(a, b), (b, a)] + ([(b, b + 1)] if k < n - 1 else [])
+    got = {r.key: r.componentId
+           for r in strongly_connected_components(proj_of(spark, 2 * n, edges)).collect()}
+    assert got == brute_scc(2 * n, edges)
