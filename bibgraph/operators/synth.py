@@ -45,9 +45,10 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
     without replacement, skipping pairs in ``exclude(row_key, pool_key)`` and,
     with ``self_excluded``, the row's own key.
 
-    Draw numbers of round r are ``[r*W, (r+1)*W)`` with ``W = max(k) + slack``;
-    a row gets ``min(k, eligible)`` picks, where eligible is the pool minus
-    its excluded members.
+    Round 0 draws numbers ``[0, W)`` with ``W = max(k) + slack``; rows still
+    short draw the next ``2W``, then ``4W`` numbers, and so on.  A row gets
+    ``min(k, eligible)`` picks, where eligible is the pool minus its excluded
+    members; nothing is capped (the loop raises rather than return a short row).
     """
     indexed = dense_index(pool.select(F.col(pool_key).alias("_pk")), "_pk")
     n_pool = indexed.count()
@@ -75,9 +76,9 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
 
     picked: DataFrame | None = None
     todo = target
+    lo, span = 0, width
     for r in range(max_rounds):
-        lo = r * width
-        draws = (todo.select(row_key, F.explode(F.sequence(F.lit(lo), F.lit(lo + width - 1)))
+        draws = (todo.select(row_key, F.explode(F.sequence(F.lit(lo), F.lit(lo + span - 1)))
                              .alias("draw"))
                  .withColumn("idx", F.pmod(hash_draw(row_key, "draw", seed=seed), F.lit(n_pool))))
         cand = draws.join(indexed, "idx").select(row_key, "draw", F.col("_pk").alias("pick"))
@@ -104,6 +105,11 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
                 .select(row_key, "_target")).checkpoint(eager=True)
         if todo.isEmpty():
             break
+        # only short rows draw again, with twice as many numbers each round,
+        # so even a row whose eligible set is a sliver of the pool finishes
+        lo, span = lo + span, span * 2
+    else:
+        raise RuntimeError(f"sampling left rows short after {max_rounds} rounds")
     w = Window.partitionBy(row_key).orderBy("draw")
     return picked.select(row_key, F.row_number().over(w).alias("rank"), "pick")
 

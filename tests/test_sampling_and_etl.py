@@ -131,3 +131,14 @@ def test_keywords_match_counter_semantics(spark):
         got.setdefault(r.doc_id, []).append((r.rank, r.term))
     for d, text, f in docs:
         assert [t for _, t in sorted(got[d])] == reference_keywords(text, f)
+
+
+def test_pick_sliver_of_eligible_pool(spark):
+    """A row that excludes all but two of 200 pool members still gets exactly
+    those two (draw batches double until they are hit)."""
+    papers = spark.createDataFrame([("p", 3)], "paperId string, k int")
+    pool = spark.createDataFrame([(f"a{i:03d}",) for i in range(200)], "a string")
+    own = spark.createDataFrame([("p", f"a{i:03d}") for i in range(200) if i not in (17, 160)],
+                                "paperId string, a string")
+    out = synth.pick_from_pool(papers, "paperId", "k", pool, "a", seed="z", exclude=own, slack=0)
+    assert sorted(r.pick for r in out.collect()) == ["a017", "a160"]
