@@ -1,7 +1,7 @@
 """Registry of the library's queries over the fixture tables.
 
 Each entry takes (spark, sf_dir) and returns a DataFrame whose column names
-match the DuckDB oracle in ``oracle.py``.  Doubles are rounded to 6 places so
+match the DuckDB oracle in ``bibgraph_oracle.py``.  Doubles are rounded to 6 places so
 that summation order does not change the value hash.
 """
 

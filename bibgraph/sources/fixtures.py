@@ -1,7 +1,7 @@
 """Map the driver's TPC-H-ish tables onto the bibliographic property graph.
 
 Every definition here is mirrored word for word by the SQL views in
-``oracle.py`` so that Spark and the DuckDB oracle derive the same graph.
+``bibgraph_oracle.py`` so that Spark and the DuckDB oracle derive the same graph.
 
 * paper     = part (the abstract, documents.text, is a separate table)
 * author    = customer join nation

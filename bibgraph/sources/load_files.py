@@ -7,7 +7,7 @@ paper appears in many rows (exercising first/last-writer MERGE rules), and
 every list in a row is bounded (two authors, two reviewers, at most three
 citations; the first line of an order also cites an external ``ext-<supp>``
 id that has no Paper row, which makes stub papers).
-Mirrored in SQL by ``oracle.LOAD_CTES``.
+Mirrored in SQL by ``bibgraph_oracle.LOAD_CTES``.
 
 Columns of a paper load row (all strings unless noted):
   kind, row_no (bigint), paperId, title, url, abstract, year, citationCount,

@@ -1,7 +1,7 @@
 """Raw API-shaped paper and author tables derived from the fixture tables.
 
 Shapes follow the reference's fetched CSV files (every value as the API
-returned it, lists as Python list literals).  Mirrored by ``oracle.RAW_CTES``.
+returned it, lists as Python list literals).  Mirrored by ``bibgraph_oracle.RAW_CTES``.
 
 raw_papers(paperId, field_query, title, url, venue, publicationTypes, abstract,
            year int, citationCount int, journal_name, journal_volume, journal_pages)
