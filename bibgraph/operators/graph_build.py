@@ -183,7 +183,9 @@ def build_graph(rows: DataFrame, author_rows: DataFrame, evolved: bool = True,
 
     Every table reads the same load rows; ``persist_inputs`` keeps them
     (memory and disk, lineage intact) so a job computing several tables
-    parses the input once.  Paper nodes come from these rows, so the
+    parses the input once.  The cached rows live until the caller releases
+    them (``spark.catalog.clearCache()``, or persist the inputs yourself and
+    pass ``persist_inputs=False`` to control their lifetime).  Paper nodes come from these rows, so the
     per-step Paper existence joins are skipped (``papers=None``).
     """
     if persist_inputs:
