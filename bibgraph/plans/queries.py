@@ -506,3 +506,15 @@ def q_reach(spark, sf_dir):
     top = recommend.top_community_papers(g, venues, 100).select("paperId")
     return algorithms.reach_within(g.cites, top, 2, "backward").withColumnRenamed(
         "source", "topPaperId")
+
+
+@register("graph_counts_from_csv")
+def q_graph_counts_csv(spark, sf_dir):
+    """Load rows written as the three reference-style CSV files, read back as
+    all-string rows, then the whole graph built and counted."""
+    from ..sources.load_files import read_load_files, write_load_files
+
+    rows, arows = _load(spark, sf_dir)
+    paths = write_load_files(rows, scratch_path(spark, "load_files"))
+    back = read_load_files(spark, paths)
+    return gb.graph_counts(gb.build_graph(back, arows))

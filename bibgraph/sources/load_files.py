@@ -99,3 +99,49 @@ def author_load_rows(t: Tables) -> DataFrame:
                     F.lit("company").alias("Affiliation_type"),
                     (F.lit(1 << 40) + F.col("s_suppkey")).alias("row_no")))
     return cust.unionByName(supp).withColumn("file_no", F.lit(0))
+
+
+# --- reading and writing reference-style load files -------------------------
+
+# The load-file names of the reference, by publication kind.
+LOAD_FILE_NAMES = {"Conference": "conference_info", "Journal": "journal_info",
+                   "Workshop": "workshop_info"}
+# Columns each kind's file does not carry (journal files have no proceedings
+# or edition; conference and workshop files no journal name or volume).
+DROPPED_BY_KIND = {"Journal": ("proceedings", "edition"),
+                   "Conference": ("journal_name", "journal_volume"),
+                   "Workshop": ("journal_name", "journal_volume")}
+
+
+def write_load_files(rows: DataFrame, base: str) -> dict[str, str]:
+    """Write one CSV folder per kind (header, all text), like the reference's
+    processing step; ``row_no`` is kept as an explicit order column."""
+    from .csv_io import write_csv
+
+    paths = {}
+    for kind, stem in LOAD_FILE_NAMES.items():
+        path = f"{base.rstrip('/')}/{stem}"
+        part = rows.where(F.col("kind") == kind).drop("kind", *DROPPED_BY_KIND[kind])
+        write_csv(part, path)
+        paths[kind] = path
+    return paths
+
+
+def read_load_files(spark, paths: dict[str, str], order_col: str = "row_no") -> DataFrame:
+    """``LOAD CSV WITH HEADERS``: every field a string, columns taken from each
+    file's header, a column missing from a file reads as null.  Rows get the
+    ``kind`` of their file and an order: ``order_col`` when the file has it,
+    else the position in the file (exact for one multi-line file per kind,
+    which one task reads in order)."""
+    from .csv_io import READ_OPTIONS
+
+    out = None
+    for kind, path in paths.items():
+        df = spark.read.options(**READ_OPTIONS).csv(path)  # no schema inference: all strings
+        if order_col in df.columns:
+            df = df.withColumn("row_no", F.col(order_col).cast("bigint"))
+        else:
+            df = df.withColumn("row_no", F.monotonically_increasing_id())
+        df = df.withColumn("kind", F.lit(kind))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out

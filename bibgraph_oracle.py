@@ -695,3 +695,6 @@ SELECT topPaperId, paperId, min(hops) AS hops FROM (
 WHERE paperId <> topPaperId
 GROUP BY topPaperId, paperId
 """, COMMUNITY_CTES)
+
+# the CSV round trip of the load files must give exactly the same graph
+ALGORITHMS["graph_counts_from_csv"] = BUILD["graph_counts"]
