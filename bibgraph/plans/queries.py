@@ -518,3 +518,21 @@ def q_graph_counts_csv(spark, sf_dir):
     paths = write_load_files(rows, scratch_path(spark, "load_files"))
     back = read_load_files(spark, paths)
     return gb.graph_counts(gb.build_graph(back, arows))
+
+
+@register("process_papers_counts")
+def q_process_papers(spark, sf_dir):
+    """Rows per load file from the whole paper-processing pipeline."""
+    from .etl import process_papers
+
+    t = Tables(spark, sf_dir)
+    papers, authors = _raw(spark, sf_dir)
+    cities = t.nation.select(F.col("n_name").alias("location"))
+    texts = t.benchmark.select(F.col("item_id").alias("review_id"), F.col("text").alias("Text"))
+    parts = process_papers(papers, authors, cities, texts)
+    out = None
+    for kind, df in parts.items():
+        c = df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(kind).alias("type"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out

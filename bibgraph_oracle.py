@@ -698,3 +698,13 @@ GROUP BY topPaperId, paperId
 
 # the CSV round trip of the load files must give exactly the same graph
 ALGORITHMS["graph_counts_from_csv"] = BUILD["graph_counts"]
+
+# The pipeline keeps every categorised paper that has an author (keywords
+# and citations exist for all of them) and doubles the conference rows.
+ALGORITHMS["process_papers_counts"] = with_graph("""
+SELECT CASE WHEN c.publicationTypes = 'JournalArticle' THEN 'Journal'
+            ELSE c.publicationTypes END AS type,
+       count(*) * CASE WHEN c.publicationTypes = 'Conference' THEN 2 ELSE 1 END AS n_rows
+FROM cat_v c JOIN author_lists a ON a.paperId = c.paperId
+GROUP BY c.publicationTypes
+""", RAW_CTES)
