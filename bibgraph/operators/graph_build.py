@@ -18,12 +18,12 @@ from ..functions.columns import split_list, to_int
 from ..graph import Graph
 from .upsert import merge_edges_last_wins, merge_nodes_first_wins
 
-# The file order of each loading step of the reference.
+# The file order of the loading steps of the reference whose
+# result depends on it (CITES and CONTAINS carry no properties, so their
+# order does not matter).
 PAPER_FILE_ORDER = ("Conference", "Journal", "Workshop")
 WROTE_FILE_ORDER = ("Journal", "Workshop", "Conference")
-CITES_FILE_ORDER = ("Conference", "Journal", "Workshop")
 REVIEW_FILE_ORDER = ("Conference", "Journal", "Workshop")
-KEYWORD_FILE_ORDER = ("Conference", "Journal", "Workshop")
 
 
 def with_file_no(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..graph import Graph
-from ..operators.graph_algorithms import (Projection, pagerank, project,
-                                          strongly_connected_components)
+from ..operators.graph_algorithms import Projection, project, strongly_connected_components
 
 
 def wrote_projection(g: Graph, orientation: str = "natural") -> Projection:

@@ -24,7 +24,6 @@ from .tables import Tables
 # Fixed values of the fixture mapping.
 # The seven community terms stand for the reference's seven database keywords.
 COMMUNITY_TERMS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod")
-COMMUNITY_NAME = "database"
 NULL_TITLE_NAME = "blue anvil"
 JOURNAL_TYPES = ("LARGE", "SMALL")
 WORKSHOP_TYPES = ("ECONOMY", "PROMO")
