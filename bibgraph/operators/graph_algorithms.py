@@ -343,6 +343,8 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                      .join(rest.withColumnRenamed("id", "dst"), "dst", "left_semi"))
         if active.isEmpty():
             break
+    if not found:  # no vertices at all
+        return proj.vertices.select("id", "label", "key", F.col("id").alias("componentId"))
     comps = found[0]
     for f in found[1:]:
         comps = comps.unionByName(f)

@@ -52,6 +52,9 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
     """
     indexed = dense_index(pool.select(F.col(pool_key).alias("_pk")), "_pk")
     n_pool = indexed.count()
+    if n_pool == 0:  # nothing to pick from: every row gets min(k, 0) = 0 picks
+        return rows.select(row_key, F.lit(1).alias("rank"),
+                           F.lit(None).cast(pool.schema[pool_key].dataType).alias("pick")).limit(0)
     base = rows.select(row_key, F.col(k_col).alias("_k"))
     max_k = base.agg(F.max("_k")).first()[0] or 0
     width = int(max_k) + slack

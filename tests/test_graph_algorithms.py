@@ -136,3 +136,9 @@ def test_scc_chain_of_cycles_with_increasing_ids(spark):
     got = {r.key: r.componentId
            for r in strongly_connected_components(proj_of(spark, 2 * n, edges)).collect()}
     assert got == brute_scc(2 * n, edges)
+
+
+def test_empty_graph(spark):
+    p = proj_of(spark, 0, [])
+    assert strongly_connected_components(p).count() == 0
+    assert pagerank(p).count() == 0

@@ -142,3 +142,9 @@ def test_pick_sliver_of_eligible_pool(spark):
                                 "paperId string, a string")
     out = synth.pick_from_pool(papers, "paperId", "k", pool, "a", seed="z", exclude=own, slack=0)
     assert sorted(r.pick for r in out.collect()) == ["a017", "a160"]
+
+
+def test_pick_from_empty_pool(spark):
+    papers = spark.createDataFrame([("p", 3)], "paperId string, k int")
+    pool = spark.createDataFrame([], "a string")
+    assert synth.pick_from_pool(papers, "paperId", "k", pool, "a", seed="e").count() == 0
