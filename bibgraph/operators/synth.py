@@ -103,11 +103,12 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
                .where(F.col("_r") <= F.col("_need")).select(row_key, "draw", "pick"))
         picked = (new if picked is None else picked.unionByName(new)).checkpoint(eager=True)
         have = picked.groupBy(row_key).agg(F.count(F.lit(1)).alias("_h"))
-        todo = (target.join(have, row_key, "left")
-                .where(F.coalesce("_h", F.lit(0)) < F.col("_target"))
-                .select(row_key, "_target")).checkpoint(eager=True)
-        if todo.isEmpty():
+        short = (target.join(have, row_key, "left")
+                 .where(F.coalesce("_h", F.lit(0)) < F.col("_target"))
+                 .select(row_key, "_target"))
+        if short.isEmpty():  # the usual case: one job, nothing written
             break
+        todo = short.checkpoint(eager=True)
         # only short rows draw again, with twice as many numbers each round,
         # so even a row whose eligible set is a sliver of the pool finishes
         lo, span = lo + span, span * 2
