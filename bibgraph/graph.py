@@ -21,13 +21,24 @@ Edge tables
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
 
+class Lazy:
+    """A table built on first access (see ``Graph``)."""
+
+    def __init__(self, build: Callable[[], DataFrame]):
+        self.build = build
+
+
 @dataclass(frozen=True)
 class Graph:
+    """Tables may be given as DataFrames or as ``Lazy`` builders; a builder
+    runs on first access, so a query only reads and analyses the tables it
+    uses."""
     paper: DataFrame | None = None
     author: DataFrame | None = None
     venue: DataFrame | None = None
@@ -40,11 +51,22 @@ class Graph:
     reviewed: DataFrame | None = None
     affiliated_to: DataFrame | None = None
 
+    def __getattribute__(self, name: str):
+        v = object.__getattribute__(self, name)
+        if isinstance(v, Lazy):
+            v = v.build()
+            object.__setattr__(self, name, v)
+        return v
+
     def with_tables(self, **tables: DataFrame) -> "Graph":
-        return replace(self, **tables)
+        raw = {f.name: self.__dict__[f.name] for f in fields(self)}
+        raw.update(tables)
+        return Graph(**raw)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.__dict__.items() if v is not None}
+        """All present tables (builds the lazy ones)."""
+        return {f.name: getattr(self, f.name) for f in fields(self)
+                if self.__dict__[f.name] is not None}
 
 
 NODE_TABLES = ("paper", "author", "venue", "keyword", "organization")

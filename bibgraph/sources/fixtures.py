@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..graph import Graph
+from ..graph import Graph, Lazy
 from .tables import Tables
 
 # Fixed values of the fixture mapping.
@@ -136,16 +136,27 @@ def contains_edges(t: Tables) -> DataFrame:
 
 
 def graph_from_tables(spark: SparkSession, sf_dir: str) -> Graph:
+    """The fixture graph; each table is built (and its parquet files read)
+    only when a query touches it."""
     t = Tables(spark, sf_dir)
-    pub = published_in_edges(t)
-    contains = contains_edges(t)
+    memo: dict[str, DataFrame] = {}
+
+    def once(name, fn):
+        def build():
+            if name not in memo:
+                memo[name] = fn()
+            return memo[name]
+        return build
+
+    pub = once("published_in", lambda: published_in_edges(t))
+    contains = once("contains", lambda: contains_edges(t))
     return Graph(
-        paper=paper_nodes(t),
-        author=author_nodes(t),
-        venue=pub.select("kind", "name").distinct(),
-        keyword=contains.select(F.col("keyword").alias("text")).distinct(),
-        wrote=wrote_edges(t),
-        published_in=pub,
-        cites=cites_edges(t),
-        contains=contains,
+        paper=Lazy(lambda: paper_nodes(t)),
+        author=Lazy(lambda: author_nodes(t)),
+        venue=Lazy(lambda: pub().select("kind", "name").distinct()),
+        keyword=Lazy(lambda: contains().select(F.col("keyword").alias("text")).distinct()),
+        wrote=Lazy(lambda: wrote_edges(t)),
+        published_in=Lazy(pub),
+        cites=Lazy(lambda: cites_edges(t)),
+        contains=Lazy(contains),
     )
