@@ -34,12 +34,18 @@ def top10(df: DataFrame, score: str, n: int = 10) -> DataFrame:
 
 
 def scc_with_component_keys(proj: Projection) -> DataFrame:
-    """SCC rows (label, key, componentLabel, componentKey) for every vertex."""
+    """SCC rows (label, key, componentLabel, componentKey) for every vertex.
+
+    A component is named by its smallest (key, label) member, which does not
+    depend on how internal vertex ids were assigned (string keys get
+    arbitrary ids).  One aggregate per component, then a join back.
+    """
     comps = strongly_connected_components(proj)
-    roots = proj.vertices.select(F.col("id").alias("componentId"),
-                                 F.col("label").alias("componentLabel"),
-                                 F.col("key").alias("componentKey"))
-    return comps.join(roots, "componentId").select("label", "key", "componentLabel",
+    names = (comps.groupBy("componentId")
+             .agg(F.min(F.struct("key", "label")).alias("_m"))
+             .select("componentId", F.col("_m.label").alias("componentLabel"),
+                     F.col("_m.key").alias("componentKey")))
+    return comps.join(names, "componentId").select("label", "key", "componentLabel",
                                                    "componentKey")
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..graph import Graph
 from ..operators import clean, synth
 from ..operators import graph_build as gb
 from ..operators import keywords as kw
@@ -536,3 +537,15 @@ def q_process_papers(spark, sf_dir):
             F.lit(kind).alias("type"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("scc_loaded_cites")
+def q_scc_loaded(spark, sf_dir):
+    """SCC of the CITES graph built from the load files: string keys, and the
+    cited ids without a Paper row (stubs) as singleton components."""
+    rows, _ = _load(spark, sf_dir)
+    papers = gb.paper_nodes(rows)
+    edges, stubs = gb.cites_edges(rows, papers, papers_from_rows=True)
+    g = Graph(paper=gb.with_stubs(papers, stubs), cites=edges)
+    return algorithms.scc_with_component_keys(algorithms.cites_projection(g)).select(
+        F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))

@@ -708,3 +708,20 @@ SELECT CASE WHEN c.publicationTypes = 'JournalArticle' THEN 'Journal'
 FROM cat_v c JOIN author_lists a ON a.paperId = c.paperId
 GROUP BY c.publicationTypes
 """, RAW_CTES)
+
+# SCC of the load-file CITES graph: string keys, stubs included, self-loops
+# ignored; a component is named by its smallest paperId.
+ALGORITHMS["scc_loaded_cites"] = _recursive(with_graph("""
+SELECT v.paperId, least(v.paperId, coalesce(min(m.src), v.paperId)) AS componentId
+FROM (SELECT paperId FROM l_paper
+      UNION SELECT dst FROM l_cites WHERE dst NOT IN (SELECT paperId FROM l_paper)) v
+LEFT JOIN (SELECT r.src, r.dst FROM l_reach r JOIN l_reach b ON b.src = r.dst AND b.dst = r.src) m
+  ON m.dst = v.paperId
+GROUP BY v.paperId
+""", LOAD_CTES + """,
+l_edge AS (SELECT src, dst FROM l_cites WHERE src <> dst),
+l_reach(src, dst) AS (
+  SELECT src, dst FROM l_edge
+  UNION
+  SELECT r.src, e.dst FROM l_reach r JOIN l_edge e ON e.src = r.dst)
+"""))
