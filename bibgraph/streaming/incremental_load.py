@@ -16,25 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.graph_build import paper_nodes
-from ..sources.csv_io import READ_OPTIONS
-
-LOAD_FILE_SCHEMA = (
-    "paperId string, title string, url string, abstract string, year string, "
-    "citationCount string, authorIds string, corresponding_author string, venue string, "
-    "approved string, reviewers string, comments string, proceedings string, edition string, "
-    "journal_name string, journal_volume string, keywords string, Citations string")
+from ..sources.load_files import read_load_files
 
 # Load-file names of the reference and the kind each one holds.
 FILE_KINDS = {"conference_info": "Conference", "journal_info": "Journal",
               "workshop_info": "Workshop"}
 
 
-def _kind_of_file(path_col):
-    expr = None
+def kind_of_path(path: str) -> str | None:
+    name = path.rsplit("/", 1)[-1]
     for stem, kind in FILE_KINDS.items():
-        cond = path_col.contains(stem)
-        expr = F.when(cond, F.lit(kind)) if expr is None else expr.when(cond, F.lit(kind))
-    return expr
+        if name.startswith(stem):
+            return kind
+    return None
 
 
 def _existing_keys(spark: SparkSession, nodes_path: str, batch_id: int) -> DataFrame | None:
@@ -46,23 +40,43 @@ def _existing_keys(spark: SparkSession, nodes_path: str, batch_id: int) -> DataF
 
 
 def start_paper_load(spark: SparkSession, input_dir: str, nodes_path: str,
-                     checkpoint_location: str, available_now: bool = True) -> StreamingQuery:
-    """Stream load files from ``input_dir`` into Paper nodes at ``nodes_path``."""
-    rows = (spark.readStream.options(**READ_OPTIONS).schema(LOAD_FILE_SCHEMA)
-            .csv(input_dir)
-            .withColumn("_file", F.input_file_name())
-            .withColumn("kind", _kind_of_file(F.col("_file")))
-            .where(F.col("kind").isNotNull()))
+                     checkpoint_location: str, available_now: bool = True,
+                     max_files_per_batch: int = 1000) -> StreamingQuery:
+    """Stream load files arriving in ``input_dir`` into Paper nodes at ``nodes_path``.
+
+    The stream only discovers files (``binaryFile`` source, path column only,
+    so file contents are not read twice) and tracks them exactly once; each
+    micro-batch then parses its files with the header-driven load-file
+    reader, so files with different column sets (a journal file has no
+    proceedings or edition) are read by name, not by position.  At most
+    ``max_files_per_batch`` paths reach the driver per batch.
+    """
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("pathGlobFilter", "*.csv")
+             .option("maxFilesPerTrigger", max_files_per_batch)
+             .load(input_dir).select("path"))
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # inside a batch: file order by kind (as the reference loads them), then row position
-        nodes = paper_nodes(batch.withColumn("row_no", F.monotonically_increasing_id()))
-        existing = _existing_keys(batch.sparkSession, nodes_path, batch_id)
+        by_kind: dict[str, list[str]] = {}
+        for r in batch.collect():  # file paths of this batch only
+            kind = kind_of_path(r.path)
+            if kind is not None:
+                by_kind.setdefault(kind, []).append(r.path)
+        if not by_kind:
+            return
+        spark_ = batch.sparkSession
+        # one file per kind per batch keeps "position in file" exact; several
+        # files of a kind are read together and ordered by position within each
+        rows = read_load_files(spark_, {k: v if len(v) > 1 else v[0]
+                                        for k, v in by_kind.items()})
+        nodes = paper_nodes(rows)
+        existing = _existing_keys(spark_, nodes_path, batch_id)
         if existing is not None:
             nodes = nodes.join(existing, "paperId", "left_anti")
-        (nodes.write.mode("overwrite").parquet(f"{nodes_path}/batch_id={batch_id}"))
+        nodes.write.mode("overwrite").parquet(f"{nodes_path}/batch_id={batch_id}")
 
-    writer = (rows.writeStream.foreachBatch(merge_batch)
+    writer = (files.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
