@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +39,6 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-class WordHashes(dict):
-    """64-bit hash per word; emptied when full, so memory stays bounded."""
-
-    LIMIT = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def chunks(texts, limit: int = CHUNK_CHARS):
     """Consecutive index ranges whose texts hold about `limit` characters."""
     start, held = 0, 0
@@ -65,15 +52,44 @@ def chunks(texts, limit: int = CHUNK_CHARS):
         yield start, len(texts)
 
 
-def hashed_words(texts, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all ASCII-white-space-separated words, and the word count of each text."""
-    words: list[bytes] = []
-    counts = np.empty(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        own = utf8(text).split()
-        counts[i] = len(own)
-        words += own
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), counts
+_ROOT = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2**64
+_BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+class Powers:
+    """Powers of a root and of its inverse modulo 2**64, kept and grown on demand."""
+
+    def __init__(self, root: int = _ROOT):
+        self.roots, self.held = (root, pow(root, -1, 1 << 64)), {}
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.held.get(0, ())) < n:
+            for side, root in enumerate(self.roots):
+                table = np.full(n + n // 4 + 1, root, np.uint64)
+                table[0] = 1
+                self.held[side] = np.multiply.accumulate(table)
+        return self.held[0][:n], self.held[1][:n]
+
+
+def windowed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """Polynomial hash, modulo 2**64, of values[start:end] for each pair; equal contents hash alike."""
+    up, down = powers.get(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hashed_words(texts, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs of other bytes than ASCII white space), and the word count of each text."""
+    raw = [utf8(t) for t in texts]
+    joined = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    space = _SPACE[joined]
+    edge = np.flatnonzero(np.diff(space, prepend=True))  # word starts and ends take turns
+    starts, ends = edge[::2], edge[1::2]
+    text_ends = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
+    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    return windowed(_BYTE_VALUES[joined], starts, ends, powers), counts
 
 
 def mix(x: np.ndarray) -> np.ndarray:

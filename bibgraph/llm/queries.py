@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, substring_dedup
+from . import language_id, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,17 @@ def register(fn):
     return fn
 
 
+@register
+def op5_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"), language_id.holdout(2, 4))
+
+
+@register
+def op7_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          language_id.holdout(1, 3))
+
+
 @register
 def op8_pii(spark, sf_dir):
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))

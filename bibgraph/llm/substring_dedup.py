@@ -13,10 +13,13 @@ windows have equal minimizers, so a target window whose minimizer is unique is
 unique and needs no further level.  The last level looks at whole windows,
 with a 64-bit and a 32-bit check hash.
 
+Exact copies are settled first: all words of a text of `window` words or more
+that occurs twice are removed, and one copy stands for its class in the levels.
 Repeated rows count as separate documents, null and empty texts have no words,
-and rows with a null doc_id are kept (they are told apart by text).  Hot hashes
-never meet in one task: repeats are found by a partially aggregated count and
-joined back with a shuffle join, which adaptive execution splits.
+and rows with a null doc_id are kept: documents are told apart by a 64-bit hash
+of id and text.  Hot hashes never meet in one task: repeats are found by a
+partially aggregated count and joined back with a shuffle join, which adaptive
+execution splits.  The texts are shuffled once; all levels reuse that exchange.
 """
 
 from __future__ import annotations
@@ -28,99 +31,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, arrow_batches, chunks, hashed_words, mix, utf8
+from .common import Powers, arrow_batches, chunks, hashed_words, utf8, windowed
 
 BASE = 18
-_ROOT = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2**64
-_ROOTS = (_ROOT, 0xD6E8FEB86659FD93)
+_CHECK_ROOT = 0xD6E8FEB86659FD93
 
 
 def levels(window: int, base: int = BASE) -> list[int]:
+    """Window lengths, doubling up to `window`."""
     out = [window]
     while out[-1] > base:
         out.append(-(-out[-1] // 2))
     return out[::-1]
 
 
-def _powers(root: int, n: int) -> np.ndarray:
-    out = np.full(n, root, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def rolling(words: np.ndarray, length: int, root: int = _ROOT) -> np.ndarray:
-    """Hash of the `length` words at each start, modulo 2**64."""
-    n = len(words) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * _powers(root, len(words)), out=sums[1:])
-    return mix((sums[length:] - sums[:n]) * _powers(pow(root, -1, 1 << 64), n))
+def rolling(words: np.ndarray, length: int, powers: Powers) -> np.ndarray:
+    """Hash of the `length` words at each start."""
+    starts = np.arange(max(0, len(words) - length + 1))
+    return windowed(words, starts, starts + length, powers)
 
 
 def minimizers(hashes: np.ndarray, reach: int) -> np.ndarray:
     """For each run of `reach` hashes, the place of its smallest (the first one)."""
-    if reach == 1:
-        return np.arange(len(hashes))
-    n = len(hashes) - reach + 1
-    best, at, have = hashes.copy(), np.arange(len(hashes)), 1
-    while have < reach:  # sparse-table doubling: minimum over `have` places
+    best, at, have = hashes, np.arange(len(hashes)), 1
+    while have < reach and len(best):  # minimum over `have` places, doubled
         step = min(have, reach - have)
-        m = len(best) - step
+        m = max(0, len(best) - step)
         later = best[step:] < best[:m]
         at = np.where(later, at[step:], at[:m])
         best = np.where(later, best[step:], best[:m])
         have += step
-    return at[:n]
-
-
-def _starts(hashes: np.ndarray, n_words: int, survivors: list[np.ndarray], sizes: list[int],
-            window: int) -> np.ndarray:
-    """Target windows that are still candidates after the levels that `survivors` belong to."""
-    alive = np.ones(max(0, n_words - window + 1), bool)
-    for kept, size in zip(survivors, sizes, strict=False):
-        at = minimizers(rolling(hashes, size), window - size + 1)
-        alive &= np.isin(at, kept)
-    return np.flatnonzero(alive)
+    return at
 
 
 def _emit(window: int, sizes: list[int], level: int):
-    """Rows (h, chk, doc_id, place) of the selected windows of a level; place holds text hash and start."""
-    size, last = sizes[level], level == len(sizes) - 1
+    """Rows (h, k, place) of the selected windows of a level; place: check hash and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        powers, check_powers = Powers(), Powers(_CHECK_ROOT)
         for batch in batches:
             texts = batch["text"].to_pylist()
-            lists = [batch[f"s{i}"].to_pylist() for i in range(level)]
+            keys = batch["k"].to_numpy()
             for lo, hi in chunks(texts):
-                words, counts = hashed_words(texts[lo:hi], cache)
-                ends = np.cumsum(counts)
-                out = []
-                for i in range(hi - lo):
-                    if counts[i] < window:
-                        continue
-                    own = words[ends[i] - counts[i]:ends[i]]
-                    hashes = rolling(own, size)
-                    at = minimizers(hashes, window - size + 1)
-                    if level:
-                        at = at[_starts(own, counts[i], [s[lo + i] for s in lists], sizes, window)]
-                    at = np.unique(at)
-                    if len(at):
-                        check = (rolling(own, size, _ROOTS[1])[at] >> np.uint64(32)).astype(np.uint32) \
-                            if last else np.zeros(len(at), np.uint32)
-                        out.append((lo + i, at, hashes[at], check))
-                if out:
-                    n = [len(at) for _, at, _, _ in out]
-                    rows = np.repeat([i for i, *_ in out], n)
-                    places = np.concatenate([at for _, at, _, _ in out])
-                    th = batch["th"].to_numpy()[rows]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate([h for *_, h, _ in out]).view(np.int64)),
-                        pa.array(np.concatenate([c for *_, c in out]).view(np.int32)),
-                        batch["doc_id"].take(pa.array(rows)),
-                        pa.array((th << 32) | places)], ["h", "chk", "doc_id", "place"])
+                words, counts = hashed_words(texts[lo:hi], powers)
+                if len(words) < window:
+                    continue
+                firsts = np.cumsum(counts) - counts
+                left = np.repeat(firsts + counts, counts) - np.arange(len(words))
+                ok = left[:len(words) - window + 1] >= window
+                for earlier in range(level):  # the minimizers of all earlier levels were repeated
+                    lists = batch[f"s{earlier}"].slice(lo, hi - lo)
+                    n = lists.value_lengths().fill_null(0).to_numpy()
+                    kept = np.zeros(len(words), bool)
+                    kept[np.repeat(firsts, n) + lists.flatten().to_numpy()] = True
+                    ok &= kept[minimizers(rolling(words, sizes[earlier], powers),
+                                          window - sizes[earlier] + 1)]
+                hashes = rolling(words, sizes[level], powers)
+                chosen = np.zeros(len(words), bool)
+                chosen[minimizers(hashes, window - sizes[level] + 1)[ok]] = True
+                at = np.flatnonzero(chosen)
+                if len(at):
+                    text = np.repeat(np.arange(hi - lo), counts)[at]
+                    place = at - firsts[text]
+                    if level == len(sizes) - 1:
+                        check = windowed(words, at, at + window, check_powers) >> np.uint64(32)
+                        place |= check.view(np.int64) << 32
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[at].view(np.int64)), pa.array(keys[lo + text]), pa.array(place)],
+                        ["h", "k", "place"])
 
     return run
 
@@ -129,10 +107,13 @@ def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_words, n_removed = [], [], []
-            for text, starts in zip(batch["text"].to_pylist(), batch["starts"].to_pylist(), strict=True):
+            for text, copied, starts in zip(batch["text"].to_pylist(), batch["copied"].to_pylist(),
+                                            batch["starts"].to_pylist(), strict=True):
                 words = utf8(text).split()
                 n_words.append(len(words))
-                if starts:
+                if copied and len(words) >= window:
+                    words = []
+                elif starts and not copied:
                     edge = np.zeros(len(words) + 1, np.int64)
                     starts = np.unique(np.asarray(starts, np.int64))
                     edge[starts] += 1
@@ -148,18 +129,13 @@ def _cut(window: int):
     return run
 
 
-_ROW = "h long, chk int, doc_id long, place long"
-
-
 def _with_lists(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
     """Attach to each document the starts of its rows that are repeated."""
+    rows = rows.select("h", F.shiftright("place", 32).cast("int").alias("chk"), "k",
+                       F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at"))
     repeated = rows.groupBy("h", "chk").count().filter("count > 1").select("h", "chk")
-    lists = (rows.join(repeated, ["h", "chk"])
-             .select(F.col("doc_id").alias("l_id"), F.shiftright("place", 32).alias("l_th"),
-                     F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at"))
-             .groupBy("l_id", "l_th").agg(F.collect_list("at").alias(name)))
-    return docs.join(lists, docs["doc_id"].eqNullSafe(lists["l_id"]) & (docs["th"] == lists["l_th"]),
-                     "left").drop("l_id", "l_th")
+    lists = rows.join(repeated, ["h", "chk"]).groupBy("k").agg(F.collect_list("at").alias(name))
+    return docs.join(lists, "k", "left")
 
 
 def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -169,17 +145,22 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     arrow_batches(docs.sparkSession)
     sizes = levels(window)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).alias("th"))
-    held = docs
+                       F.xxhash64("doc_id", "text").alias("k"))
+    twins = docs.select("k", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    classes = twins.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("k").alias("lead")).filter("n > 1")
+    copies = (twins.join(classes, ["t1", "t2"]).groupBy("k")
+              .agg(F.max(F.col("k") != F.col("lead")).alias("skip")))
+    held = docs.join(copies, "k", "left")
     for level in range(len(sizes)):
-        alive = held.filter(" and ".join(f"s{i} is not null" for i in range(level))) if level else held
-        rows = alive.mapInArrow(_emit(window, sizes, level), _ROW)
+        alive = held.filter(" and ".join(["not coalesce(skip, false)",
+                                          *(f"s{i} is not null" for i in range(level))]))
+        rows = alive.select("k", "text", *(f"s{i}" for i in range(level))).mapInArrow(
+            _emit(window, sizes, level), "h long, k long, place long")
         held = _with_lists(held, rows, f"s{level}")
-    return held.select("doc_id", "text", F.col(f"s{len(sizes) - 1}").alias("starts")).mapInArrow(
+    return held.select("doc_id", "text", F.col("skip").isNotNull().alias("copied"),
+                       F.col(f"s{len(sizes) - 1}").alias("starts")).mapInArrow(
         _cut(window), "doc_id long, kept_text string, n_words long, n_removed long")
 
 
 def digest(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-
