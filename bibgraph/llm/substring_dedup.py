@@ -17,9 +17,8 @@ Exact copies are settled first: all words of a text of `window` words or more
 that occurs twice are removed, and one copy stands for its class in the levels.
 Repeated rows count as separate documents, null and empty texts have no words,
 and rows with a null doc_id are kept: documents are told apart by a 64-bit hash
-of id and text.  Hot hashes never meet in one task: repeats are found by a
-partially aggregated count and joined back with a shuffle join, which adaptive
-execution splits.  The texts are shuffled once; all levels reuse that exchange.
+of id and text.  Hot hashes never meet in one task (see `_with_lists`).  The
+texts are shuffled once; all levels reuse that exchange.
 """
 
 from __future__ import annotations
@@ -28,12 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Powers, arrow_batches, chunks, hashed_words, utf8, windowed
 
 BASE = 18
+#: Hot hashes are looked for on one document in SAMPLED.
+SAMPLED, HOT_SHARE = 16, 0.001
 _CHECK_ROOT = 0xD6E8FEB86659FD93
 
 
@@ -129,12 +130,26 @@ def _cut(window: int):
     return run
 
 
-def _with_lists(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-    """Attach to each document the starts of its rows that are repeated."""
-    rows = rows.select("h", F.shiftright("place", 32).cast("int").alias("chk"), "k",
-                       F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at"))
-    repeated = rows.groupBy("h", "chk").count().filter("count > 1").select("h", "chk")
-    lists = rows.join(repeated, ["h", "chk"]).groupBy("k").agg(F.collect_list("at").alias(name))
+def _with_lists(docs: DataFrame, emit, n_docs: int, name: str) -> DataFrame:
+    """Attach to each document the starts of its rows that are repeated.
+
+    One shuffle deals the rows out by hash.  Hashes of more than about a
+    thousandth of all documents are found beforehand on one document in 16;
+    they are known to be repeated, so their rows are dealt out at random.
+    """
+    rows = lambda part: emit(part).select(
+        "h", F.shiftright("place", 32).cast("int").alias("chk"), "k",
+        F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at"))
+    # at most 1000 times the mean number of rows per document
+    hot = (rows(docs.filter(F.pmod("k", F.lit(SAMPLED)) == 0)).groupBy("h", "chk").count()
+           .filter(F.col("count") >= max(4, n_docs * HOT_SHARE / SAMPLED))
+           .select("h", "chk", F.lit(True).alias("hot")))
+    dealt = rows(docs).join(F.broadcast(hot), ["h", "chk"], "left").select(
+        F.when(F.col("hot"), F.xxhash64("k", "at")).otherwise(F.col("h")).alias("h"), "chk", "k",
+        F.when(F.col("hot"), -1 - F.col("at")).otherwise(F.col("at")).alias("at"))
+    n = F.count("*").over(Window.partitionBy("h", "chk"))
+    lists = (dealt.withColumn("n", n).filter("n > 1 or at < 0").groupBy("k")
+             .agg(F.collect_list(F.when(F.col("at") < 0, -1 - F.col("at")).otherwise(F.col("at"))).alias(name)))
     return docs.join(lists, "k", "left")
 
 
@@ -151,12 +166,17 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     copies = (twins.join(classes, ["t1", "t2"]).groupBy("k")
               .agg(F.max(F.col("k") != F.col("lead")).alias("skip")))
     held = docs.join(copies, "k", "left")
+    n_docs = docs.count()
     for level in range(len(sizes)):
-        alive = held.filter(" and ".join(["not coalesce(skip, false)",
-                                          *(f"s{i} is not null" for i in range(level))]))
-        rows = alive.select("k", "text", *(f"s{i}" for i in range(level))).mapInArrow(
-            _emit(window, sizes, level), "h long, k long, place long")
-        held = _with_lists(held, rows, f"s{level}")
+        earlier = [f"s{i}" for i in range(level)]
+
+        def emit(part: DataFrame, level=level, earlier=earlier) -> DataFrame:
+            alive = part.filter(" and ".join(["not coalesce(skip, false)",
+                                              *(f"{s} is not null" for s in earlier)]))
+            return alive.select("k", "text", *earlier).mapInArrow(
+                _emit(window, sizes, level), "h long, k long, place long")
+
+        held = _with_lists(held, emit, n_docs, f"s{level}")
     return held.select("doc_id", "text", F.col("skip").isNotNull().alias("copied"),
                        F.col(f"s{len(sizes) - 1}").alias("starts")).mapInArrow(
         _cut(window), "doc_id long, kept_text string, n_words long, n_removed long")
