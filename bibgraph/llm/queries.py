@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, pii, substring_dedup, toxicity
+from . import language_id, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,17 @@ def register(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), digest=True))
+
+
 @register
 def op5_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"), language_id.holdout(2, 4))

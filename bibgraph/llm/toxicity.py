@@ -13,7 +13,9 @@ training rows.  The fit reads a bounded sample (`positives`, `unlabelled`
 documents, parameters).  Features are kept (at most the `features` strongest)
 whose document frequencies in positives and in unlabelled text differ by at
 least `least_shift` standard errors and by a quarter of the strongest shift;
-weights start at the prior-corrected log odds of those frequencies.  Scoring
+weights start at `start` times the prior-corrected log odds of those
+frequencies (words and their beginnings come together, so full log odds would
+count one word up to three times).  Scoring
 reads every whole text.
 
 A null or empty text gets the score of a text without known words.  Without a
@@ -71,8 +73,8 @@ def risk_gradient(x_p: np.ndarray, x_u: np.ndarray, w: np.ndarray, prior: float)
 
 
 def train(bags_p: list[list[str]], bags_u: list[list[str]], prior: float, features: int = 512,
-          least_shift: float = 5.0, epochs: int = 30, batch: int = 1024, decay: float = 1e-5,
-          seed: int = 7) -> dict[str, float]:
+          least_shift: float = 6.0, epochs: int = 20, batch: int = 1024, decay: float = 1e-5,
+          seed: int = 7, start: float = 0.4, rate: float = 0.01) -> dict[str, float]:
     """Weight per term; the empty term holds the bias."""
     count: dict[str, list[int]] = {}
     for side, bags in enumerate((bags_p, bags_u)):
@@ -100,7 +102,7 @@ def train(bags_p: list[list[str]], bags_u: list[list[str]], prior: float, featur
     w[-1] = np.log(prior / (1 - prior))
     for word, i in place.items():
         p, u = count[word][0] / n_p, count[word][1] / n_u
-        w[i] = np.log((p + 0.5 / n_p) / (max(u - prior * p, 0) / (1 - prior) + 1 / n_u))
+        w[i] = start * np.log((p + 0.5 / n_p) / (max(u - prior * p, 0) / (1 - prior) + 1 / n_u))
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
     for _ in range(epochs):
         order = rng.permutation(len(bags_u))
@@ -110,7 +112,7 @@ def train(bags_p: list[list[str]], bags_u: list[list[str]], prior: float, featur
             g = risk_gradient(x_p, x_u, w, prior) + decay * np.append(w[:-1], 0)
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w -= 0.005 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return dict(zip([*vocabulary, ""], w.tolist(), strict=True))
 
 
