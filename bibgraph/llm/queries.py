@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, pii, substring_dedup, toxicity
+from . import language_id, minhash, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op5_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"), language_id.holdout(2, 4))
 
 
+@register
+def op6_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
