@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Characters that one vectorised numpy step works on; bounds a Python worker's memory.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
