@@ -45,27 +45,47 @@ CAPACITY = 2048
 SEPARATOR = b"\0\0\0\0"
 
 
-class WordIds(dict):
-    """Ids of a white-space-free stretch of text as little-endian unsigned 32-bit bytes."""
+class WordIds:
+    """Ids, as little-endian unsigned 32-bit bytes, of stretches of text without blanks.
 
-    LIMIT = 400_000
+    Kept per worker; beyond LIMIT entries only those of the batch at hand stay.
+    A stretch is looked up by its lower-case form without a last comma or stop,
+    which the tokenizer splits off anyway.
+    """
+
+    LIMIT = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        if word.isascii() and not word.islower() and (low := word.lower()) != word and "<|" not in word:
-            ids = self[low]
-        elif len(word) > 1 and word[-1] in ",." and word[-2].isascii() and word[-2].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
-        return ids
+        self.ids: dict[str, bytes] = {"": b""}
+
+    def _encode(self, words: list[str]) -> None:
+        for lo in range(0, len(words), 20_000):
+            part = words[lo:lo + 20_000]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+            ends = np.searchsorted(of, np.arange(len(part)), "right")
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.ids[word] = raw[4 * start:4 * end]
+                start = end
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """A table that has every one of the words."""
+        if len(self.ids) > self.LIMIT:
+            self.ids = {w: self.ids[w] for w in words if w in self.ids} | {"": b""}
+        forms = {}
+        for word in words.difference(self.ids):
+            stem, tail = word, ""
+            if len(word) > 1 and word[-1] in ",." and word[-2].isascii() and word[-2].isalpha():
+                stem, tail = word[:-1], word[-1]
+            forms[word] = (stem.lower() if stem.isascii() and "<" not in stem else stem, tail)
+        self._encode(list({f for form in forms.values() for f in form}.difference(self.ids)))
+        for word, (stem, tail) in forms.items():
+            self.ids[word] = self.ids[stem] + self.ids[tail]
+        return self.ids
 
 
 def _tokenize(path: str, capacity: int, digest: bool):
@@ -76,9 +96,10 @@ def _tokenize(path: str, capacity: int, digest: bool):
         ids_of = WordIds(path)
         for batch in batches:
             rows, piece, start, length, ids = [], [], [], [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                words = (text or "").replace("\n", " ").split(" ")
-                tokens = b"".join(map(ids_of.__getitem__, words)) + SEPARATOR
+            texts = [(t or "").replace("\n", " ").split(" ") for t in batch["text"].to_pylist()]
+            table = ids_of.learn(set().union(*texts))
+            for i, words in enumerate(texts):
+                tokens = b"".join(map(table.__getitem__, words)) + SEPARATOR
                 for k, at in enumerate(range(0, len(tokens), width)):
                     part = tokens[at:at + width]
                     rows.append(i)
@@ -246,8 +267,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = parts.sparkSession
     names = [c for c in parts.columns if c not in ("sequence_id", "offset")]
     order = ["length", *[c for c in ("doc_id", "piece", "ids_crc32") if c in names]]
-    # written in range-sorted order, so that place and partition are fixed
-    ranged = written(parts.select(*names).orderBy(*order).withColumn("mid", F.monotonically_increasing_id()),
+    # written twice: range-sorting reads its input twice, and place and partition must stay fixed
+    ranged = written(written(parts.select(*names), "unsorted").orderBy(*order).withColumn("mid", F.monotonically_increasing_id()),
                      "pieces")
     per_part = (ranged.groupBy(F.shiftright("mid", 33).alias("part"), "length")
                 .agg(F.count("*").alias("n"), F.min("mid").alias("first")))
