@@ -15,8 +15,7 @@ whose document frequencies in positives and in unlabelled text differ by at
 least `least_shift` standard errors and by a quarter of the strongest shift;
 weights start at `start` times the prior-corrected log odds of those
 frequencies (words and their beginnings come together, so full log odds would
-count one word up to three times).  Scoring
-reads every whole text.
+count one word up to three times).  Scoring reads every whole text.
 
 A null or empty text gets the score of a text without known words.  Without a
 positive row every score is 0.  A repeated row is scored as often as it stands.
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batches
+from .common import arrow_batches, written
 
 WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.7
@@ -49,7 +48,19 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bags = [sorted(terms(t)) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["positive"], pa.array(bags, pa.list_(pa.string()))],
-                                         ["positive", "words"])
+                                         ["positive", "terms"])
+
+
+def _known(vocabulary: list[str]):
+    place = {w: i for i, w in enumerate(vocabulary)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = [sorted(place[w] for w in place.keys() & terms(t)) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["positive"], pa.array(bags, pa.list_(pa.int32()))],
+                                             ["positive", "places"])
+
+    return run
 
 
 def _sampled(rows: DataFrame, size: int, seed: str) -> DataFrame:
@@ -72,53 +83,54 @@ def risk_gradient(x_p: np.ndarray, x_u: np.ndarray, w: np.ndarray, prior: float)
     return plus + minus if rest >= 0 else -minus
 
 
-def train(bags_p: list[list[str]], bags_u: list[list[str]], prior: float, features: int = 512,
-          least_shift: float = 6.0, epochs: int = 20, batch: int = 1024, decay: float = 1e-5,
-          seed: int = 7, start: float = 0.4, rate: float = 0.01) -> dict[str, float]:
-    """Weight per term; the empty term holds the bias."""
-    count: dict[str, list[int]] = {}
-    for side, bags in enumerate((bags_p, bags_u)):
-        for bag in bags:
-            for word in bag:
-                count.setdefault(word, [0, 0])[side] += 1
-    n_p, n_u = max(1, len(bags_p)), max(1, len(bags_u))
-
-    def shift(word: str) -> float:  # standardised difference of the two document frequencies
-        p, u = count[word][0] / n_p, count[word][1] / n_u
-        both = (count[word][0] + count[word][1]) / (n_p + n_u)
-        return abs(p - u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
-
-    strong = {w: z for w, c in count.items() if sum(c) >= 3 and (z := shift(w)) >= least_shift}
-    least = max(strong.values(), default=0) / 4
-    vocabulary = sorted((w for w in strong if strong[w] >= least), key=lambda w: (-strong[w], w))[:features]
-    place = {w: i for i, w in enumerate(vocabulary)}
-    bits = [np.zeros((len(bags), len(place) + 1), np.uint8) for bags in (bags_p, bags_u)]
+def train(bags_p: list[list[int]], bags_u: list[list[int]], n_terms: int, prior: float,
+          epochs: int = 15, batch: int = 1024, decay: float = 1e-5, seed: int = 7, start: float = 0.4,
+          rate: float = 0.005) -> np.ndarray:
+    """Weight per term (bags hold the terms' numbers), the bias last."""
+    bits = [np.zeros((len(bags), n_terms + 1), np.uint8) for bags in (bags_p, bags_u)]
     for rows, bags in zip(bits, (bags_p, bags_u), strict=True):
         rows[:, -1] = 1
         for i, bag in enumerate(bags):
-            rows[i, [place[w] for w in bag if w in place]] = 1
-    rng = np.random.default_rng(seed)
-    w = np.zeros(len(place) + 1)
+            rows[i, bag] = 1
+    n_p, n_u = len(bags_p), len(bags_u)
+    p, u = bits[0].mean(0), bits[1].mean(0)
+    w = start * np.log((p + 0.5 / n_p) / (np.maximum(u - prior * p, 0) / (1 - prior) + 1 / n_u))
     w[-1] = np.log(prior / (1 - prior))
-    for word, i in place.items():
-        p, u = count[word][0] / n_p, count[word][1] / n_u
-        w[i] = start * np.log((p + 0.5 / n_p) / (max(u - prior * p, 0) / (1 - prior) + 1 / n_u))
+    rng = np.random.default_rng(seed)
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
     for _ in range(epochs):
-        order = rng.permutation(len(bags_u))
-        for lo in range(0, len(order), batch):
+        order = rng.permutation(n_u)
+        for lo in range(0, n_u, batch):
             x_u = bits[1][order[lo:lo + batch]].astype(np.float32)
-            x_p = bits[0][rng.integers(0, len(bags_p), min(batch // 2, len(bags_p)))].astype(np.float32)
+            x_p = bits[0][rng.integers(0, n_p, min(batch // 2, n_p))].astype(np.float32)
             g = risk_gradient(x_p, x_u, w, prior) + decay * np.append(w[:-1], 0)
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return dict(zip([*vocabulary, ""], w.tolist(), strict=True))
+    return w
+
+
+def choose_terms(sample: DataFrame, n_p: int, n_u: int, features: int = 512,
+                 least_shift: float = 6.0) -> list[str]:
+    """Terms whose document frequencies differ most between positives and unlabelled text."""
+    counts = (sample.mapInArrow(_bags, "positive boolean, terms array<string>")
+              .select("positive", F.explode("terms").alias("term")).groupBy("term")
+              .agg(F.count_if("positive").alias("in_p"), F.count_if(~F.col("positive")).alias("in_u"))
+              .filter("in_p + in_u >= 3"))
+    p, u = F.col("in_p") / n_p, F.col("in_u") / n_u
+    both = (F.col("in_p") + F.col("in_u")) / (n_p + n_u)
+    shift = F.abs(p - u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
+    rows = (counts.select("term", shift.alias("shift")).filter(F.col("shift") >= least_shift)
+            .orderBy(F.desc("shift"), "term").limit(features).collect())
+    return [r["term"] for r in rows if r["shift"] >= rows[0]["shift"] / 4]
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, positives: int = 3000,
-        unlabelled: int = 9000, **options) -> dict[str, float]:
-    """Train on the rows where `training`; labels: doc_id, toxic."""
+        unlabelled: int = 9000, features: int = 512, least_shift: float = 6.0, **options) -> dict[str, float]:
+    """Weight per term, the bias under the empty term; learns from the rows where `training`.
+
+    labels: doc_id, toxic (1: confirmed).  Without positives there are no weights.
+    """
     marks = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     marks = marks.filter(training)
@@ -127,13 +139,18 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, positives: int = 3
         return {}
     toxic = _sampled(marks.filter("toxic = 1").select("doc_id"), positives, "positives")
     texts = docs.select("doc_id", "text").filter(training & F.col("text").isNotNull())
-    held = (texts.join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
-            .unionByName(_sampled(texts, unlabelled, "unlabelled").withColumn("positive", F.lit(False))))
-    bags = held.select("positive", "text").mapInArrow(_bags, "positive boolean, words array<string>").collect()
-    bags_p, bags_u = ([sorted(b["words"]) for b in bags if b["positive"] is side] for side in (True, False))
-    if not bags_p or not bags_u:
+    held = written((texts.join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
+                    .unionByName(_sampled(texts, unlabelled, "unlabelled").withColumn("positive", F.lit(False))))
+                   .select("positive", "text"), "sample")
+    sizes = {r["positive"]: r["count"] for r in held.groupBy("positive").count().collect()}
+    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_p or not n_u:
         return {}
-    return train(sorted(bags_p), sorted(bags_u), min(max(float(prior), 0.001), 0.5), **options)
+    vocabulary = choose_terms(held, n_p, n_u, features, least_shift)
+    bags = held.mapInArrow(_known(vocabulary), "positive boolean, places array<int>").collect()
+    bags_p, bags_u = (sorted(list(b["places"]) for b in bags if b["positive"] is side) for side in (True, False))
+    w = train(bags_p, bags_u, len(vocabulary), min(max(float(prior), 0.001), 0.5), **options)
+    return dict(zip([*vocabulary, ""], w.tolist(), strict=True))
 
 
 def score_of(text: str | None, weights: dict[str, float]) -> float:
