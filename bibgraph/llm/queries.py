@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, minhash, packing, pii, substring_dedup, toxicity
+from . import fingerprints, language_id, minhash, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), digest=True))
 
 
+@register
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"), language_id.holdout(2, 4))
