@@ -14,11 +14,12 @@ Signatures are cut into bands of `rows` samples, and documents that share a
 band meet in a bucket.  Exact copies are settled first by two 64-bit hashes of
 the text; one of them stands for its class.  In a bucket every text is compared
 with a leader (by exact weighted Jaccard of its shingles); those that fail meet
-again under a new leader, round after round, until nobody is left.  Bands use
-four different orders of leaders, so that texts of one class are tied together
-in several ways.  No bucket lists its pairs, and there is no cap.  Links of at
-least `threshold` are joined to classes by min-label propagation with pointer
-jumping, on written tables.
+again under a second leader.  Bands use four different orders of leaders, so
+that texts of one class are tied together in several ways.  Texts that fail
+again are compared with one another in chunks, any two chunks of a bucket in a
+task that returns spanning links only.  No bucket lists its pairs, and there is
+no cap.  Links of at least `threshold` are joined to classes by min-label
+propagation with pointer jumping, on written tables.
 
 Defined results: null texts and texts without words have no shingles; each is a
 class of its own, copies included.  Rows with equal doc_id count as one document.
@@ -38,7 +39,8 @@ from .common import Powers, arrow_batches, chunks, hashed_words, mix, windowed,
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 16, 5, 0.8
 COORDINATES = BANDS * ROWS
-LEADER_ORDERS = 4
+LEADER_ORDERS, LEADER_ROUNDS = 4, 2
+CHUNK = 128  # texts of a bucket's chunk in the last step
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _FIRST_SLAB = 2.0 ** -6
 
@@ -172,9 +174,50 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _linked_in_block(threshold: float):
+    """Spanning links of the classes among the texts of one or two chunks of a bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes = table["node"].to_numpy()
+        bags = [np.frombuffer(u, np.uint64) for u in table["units"].to_pylist()]
+        root = np.arange(len(nodes))
+        a, b = [], []
+        for i in range(len(nodes) - 1):
+            later = [j for j in range(i + 1, len(nodes)) if root[j] != root[i] and threshold <= min(
+                len(bags[i]), len(bags[j])) / max(len(bags[i]), len(bags[j]))]
+            for j in later:
+                if root[j] != root[i]:
+                    both = np.sort(np.concatenate([bags[i], bags[j]]))
+                    shared = int((both[1:] == both[:-1]).sum())
+                    if shared >= threshold * (len(both) - shared):
+                        a.append(int(nodes[i]))
+                        b.append(int(nodes[j]))
+                        root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _in_blocks(open_: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """Links among the texts that are left in a bucket: every two of its chunks meet in one task."""
+    # a set of texts that shares several buckets is compared in one of them
+    sets = open_.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").bitwiseAND(
+        F.lit((1 << 40) - 1))).alias("sum")).filter("n > 1")
+    sets = sets.groupBy("n", "sum").agg(F.min(F.struct("band", "key")).alias("b")).select(
+        "b.band", "b.key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    rows = (open_.join(written(sets, "sets"), ["band", "key"])
+            .withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")).cast("int"))
+            .select("node", "band", "key", "chunk",
+                    F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+            .select("node", "band", "key", F.least("chunk", "other").alias("lo"),
+                    F.greatest("chunk", "other").alias("hi")))
+    return (rows.join(shingled, "node").groupBy("band", "key", "lo", "hi")
+            .applyInArrow(_linked_in_block(threshold), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                     size: int = WORDS) -> DataFrame:
-    """Per row of docs: doc_id, class_id (smallest doc_id of its class), n_links of its text to other texts."""
+    """Per row of docs: doc_id, class_id (smallest doc_id of its class), n_links: links found to other texts."""
     arrow_batches(docs.sparkSession)
     t1 = F.xxhash64("text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
@@ -197,8 +240,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     shingled = written(docs.join(wanted, docs["nid"] == wanted["node"]).select("node", "text")
                        .mapInArrow(_units_of(size), "node long, units binary"), "units")
     links = []
-    while not open_.isEmpty():
-        order = F.xxhash64("node", F.col("band") % LEADER_ORDERS)
+    for turn in range(LEADER_ROUNDS):
+        order = F.xxhash64("node", F.col("band") % LEADER_ORDERS, F.lit(turn))
         leads = written(open_.groupBy("band", "key").agg(
             F.min(F.struct(order.alias("o"), "node")).alias("lead"), F.count("*").alias("n"))
             .filter("n > 1").select("band", "key", F.col("lead.node").alias("lead")), "leads")
@@ -209,10 +252,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         judged = written(pairs.join(a, "node").join(b, "lead").select("node", "lead", "a_units", "b_units")
                          .mapInArrow(_compare(threshold), "node long, lead long, linked boolean"), "judged")
         links.append(judged.filter("linked").select(F.col("node").alias("a"), F.col("lead").alias("b")))
-        open_ = written(met.join(judged.filter("not linked"), ["node", "lead"]).select("node", "band", "key"),
-                        "open")
-    if not links:
-        return _classes(nodes, None)
+        open_ = written(met.join(judged.filter("not linked").distinct(), ["node", "lead"])
+                        .select("node", "band", "key").distinct(), "open")
+    links.append(written(_in_blocks(open_, shingled, threshold), "links"))
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
@@ -220,13 +262,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     return _classes(nodes, written(found.select(*pair).distinct(), "links"))
 
 
-def _classes(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
-    out = nodes.select("doc_id", "node")
-    if links is None:
-        return out.select("doc_id", F.col("node").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
               .agg(F.count("*").alias("n_links")))
     roots = components(links).join(degree, "node")
-    return (out.join(roots, "node", "left")
+    return (nodes.select("doc_id", "node").join(roots, "node", "left")
             .select("doc_id", F.coalesce("root", "node").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
