@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language_id, minhash, packing, pii, substring_dedup, toxicity
+from . import fingerprints, language_id, line_dedup, minhash, mixing, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), digest=True))
 
 
+@register
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.result(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_fingerprints(spark, sf_dir):
     return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
@@ -59,5 +64,10 @@ def op9_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
 
 
+@register
+def op10_mixing(spark, sf_dir):
+    return mixing.result(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": line_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
