@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, language_id, line_dedup, minhash, mixing, packing, pii, substring_dedup, toxicity
+from . import ann, fingerprints, language_id, line_dedup, minhash, mixing, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,11 @@ def register(fn):
     return fn
 
 
+@register
+def op1_learned_partitions(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
