@@ -20,7 +20,7 @@ def to_int(c) -> Column:
 
     Going through double keeps '2023.0' (a pandas float written to CSV) valid.
     """
-    return col_of(c).try_cast("double").cast("bigint")
+    return col_of(c).try_cast("double").try_cast("bigint")
 
 
 def to_float(c) -> Column:
@@ -47,21 +47,28 @@ def extract_edition(c) -> Column:
     return F.nullif(F.regexp_extract(col_of(c), EDITION_PATTERN, 1), F.lit(""))
 
 
-def parse_list_literal(c) -> Column:
+def parse_list_literal(c, fail_on_bad: bool = False) -> Column:
     """Text of a Python list literal (``"['a', 'b']"``) to array<string>.
 
     Quotes of either kind, escapes and numbers parse as JSON with single
-    quotes allowed.  A list holding bare ``None`` items is not JSON; only
-    when the first parse fails is ``None`` read as ``null`` and parsed again.
+    quotes allowed.  ``None`` outside quotes reads as null; the escapes
+    ``\\xNN`` and ``\\U0000NNNN`` become ``\\uNNNN``.  Text that is no list
+    gives null, or an error with ``fail_on_bad``.
     """
-    opts = {"allowSingleQuotes": "true"}
-    first = F.from_json(col_of(c), "array<string>", opts)
-    with_null = F.from_json(F.regexp_replace(col_of(c), r"\bNone\b", "null"),
-                            "array<string>", opts)
-    return F.coalesce(first, with_null)
+    opts = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    quoted = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+    json = F.regexp_replace(col_of(c), rf"\bNone\b(?=(?:[^'\"]|{quoted})*$)", "null")
+    odd = r"(?<!\\)((?:\\\\)*)"
+    json = F.regexp_replace(json, odd + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    json = F.regexp_replace(json, odd + r"\\U0000([0-9a-fA-F]{4})", r"$1\\u$2")
+    parsed = F.from_json(json, "array<string>", opts)
+    if fail_on_bad:
+        bad = F.raise_error(F.concat(F.lit("not a list literal: "), col_of(c))).cast("array<string>")
+        parsed = F.when(col_of(c).isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+    return parsed
 
 
 def hash_draw(*cols, seed: str = "") -> Column:
-    """Seeded, partition-independent draw in [0, 2^32): first 8 hex digits of md5."""
+    """Seeded, partition-independent draw in [0, 2^60): first 15 hex digits of md5."""
     key = F.concat_ws("|", F.lit(seed), *[col_of(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")

@@ -138,10 +138,10 @@ def split_by_type(papers: DataFrame) -> dict[str, DataFrame]:
     conferences and workshops, dropped for journals."""
     conf = (papers.where(F.col("publicationTypes") == "Conference")
             .drop("field_query", "journal_volume", "journal_name")
-            .withColumn("edition", F.col("edition").cast("bigint")))
+            .withColumn("edition", F.col("edition").try_cast("bigint")))
     work = (papers.where(F.col("publicationTypes") == "Workshop")
             .drop("field_query", "journal_volume", "journal_name")
-            .withColumn("edition", F.col("edition").cast("bigint")))
+            .withColumn("edition", F.col("edition").try_cast("bigint")))
     jour = (papers.where(F.col("publicationTypes") == "JournalArticle")
             .drop("field_query", "proceedings", "edition"))
     return {"Conference": conf, "Workshop": work, "JournalArticle": jour}

@@ -54,8 +54,7 @@ def project(nodes: dict[str, DataFrame], rels: list[tuple[str, str, DataFrame]],
 
     ``nodes`` maps a label to a one-column DataFrame of keys; ``rels`` lists
     (src_label, dst_label, DataFrame(s, d)).  Integral keys are encoded
-    arithmetically as ``key * n_labels + label_index`` (exact, no shuffle);
-    other keys get ids from ``monotonically_increasing_id`` made stable by a
+    arithmetically as ``key * n_labels + label_index``; other keys get ids from ``monotonically_increasing_id`` made stable by a
     checkpoint before use.
     """
     labels = list(nodes)
@@ -98,6 +97,10 @@ def project(nodes: dict[str, DataFrame], rels: list[tuple[str, str, DataFrame]],
     edges = edge_parts[0]
     for p in edge_parts[1:]:
         edges = edges.unionByName(p)
+    if integral:  # an edge whose end is not projected is dropped, as for other keys
+        for end in ("src", "dst"):
+            edges = edges.join(vertices.select(F.col("id").alias(end)), end, "left_semi")
+        edges = edges.select("src", "dst")
     if orientation == "reverse":
         edges = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     elif orientation == "undirected":
@@ -140,8 +143,10 @@ class EdgeSet:
                        F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
                        .cast("int").alias("s")), ["id"], "fanout")
         self.edges, n2 = bucketed(
-            edges.join(self.fanout.select(F.col("id").alias("src"), "s"), "src")
-            .select("src", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"),
+            # at most (edges / hot_edges) sources are split: no edge is shuffled on a plain source
+            edges.join(F.broadcast(self.fanout.where(F.col("s") > 1)
+                                   .select(F.col("id").alias("src"), "s")), "src", "left")
+            .select("src", F.pmod(F.xxhash64("dst"), F.coalesce("s", F.lit(1))).cast("int").alias("salt"),
                     "dst"), ["src", "salt"], "edges")
         edges.unpersist()
         self._names = [n1, n2]

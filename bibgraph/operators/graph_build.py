@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import split_list, to_int
 from ..graph import Graph
+from ..session import written
 from .upsert import merge_edges_last_wins, merge_nodes_first_wins
 
 # The file order of the loading steps of the reference whose
@@ -178,19 +178,16 @@ def affiliated_edges(author_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def build_graph(rows: DataFrame, author_rows: DataFrame, evolved: bool = True,
-                persist_inputs: bool = True) -> Graph:
+                write_inputs: bool = True) -> Graph:
     """The whole load (and optional evolution step) as lazily derived DataFrames.
 
-    Every table reads the same load rows; ``persist_inputs`` keeps them
-    (memory and disk, lineage intact) so a job computing several tables
-    parses the input once.  The cached rows live until the caller releases
-    them (``spark.catalog.clearCache()``, or persist the inputs yourself and
-    pass ``persist_inputs=False`` to control their lifetime).  Paper nodes come from these rows, so the
+    Every table reads the same load rows; ``write_inputs`` writes them once to
+    the shared checkpoint folder, so that a job computing several tables parses
+    the input once.  Paper nodes come from these rows, so the
     per-step Paper existence joins are skipped (``papers=None``).
     """
-    if persist_inputs:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        author_rows = author_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if write_inputs:
+        rows, author_rows = written(rows, "load_rows"), written(author_rows, "author_rows")
     papers = paper_nodes(rows)
     authors = author_nodes(author_rows)
     cites, stubs = cites_edges(rows, papers, papers_from_rows=True)
@@ -215,8 +212,7 @@ def build_graph(rows: DataFrame, author_rows: DataFrame, evolved: bool = True,
 
 def graph_counts(g: Graph) -> DataFrame:
     """(table, rows) for every node and edge table of the graph."""
-    parts = [df.select(F.lit(name).alias("table")).groupBy("table")
-             .agg(F.count(F.lit(1)).alias("rows"))
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
              for name, df in g.tables().items()]
     out = parts[0]
     for p in parts[1:]:

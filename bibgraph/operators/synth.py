@@ -16,48 +16,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_draw
+from ..session import checkpoint_dir
+from .ranked import numbered
+
+#: Most numbers that a row draws in one round; bounds the rows that one row becomes.
+MAX_SPAN = 4096
 
 
 def dense_index(pool: DataFrame, key: str, idx: str = "idx") -> DataFrame:
     """Number the distinct keys of ``pool`` 0..n-1 in key order, without a
-    single-task global window: range-partition, count per partition (one
-    row per partition reaches the driver), add offsets."""
-    spark = pool.sparkSession
-    p = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = (pool.select(key).distinct().repartitionByRange(p, key)
-             .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
-    counts = keyed.groupBy("_pid").count().collect()  # at most p rows
-    offsets, run = [], 0
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        offsets.append((r["_pid"], run))
-        run += r["count"]
-    off = spark.createDataFrame(offsets, "_pid int, _off bigint")
-    w = Window.partitionBy("_pid").orderBy(key)
-    return (keyed.join(F.broadcast(off), "_pid")
-            .select(key, (F.col("_off") + F.row_number().over(w) - 1).alias(idx)))
+    single-task global window."""
+    return numbered(pool.select(key).distinct(), [key], idx)
 
 
 def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
                    pool_key: str, seed: str, exclude: DataFrame | None = None,
-                   slack: int = 20, self_excluded: bool = False,
-                   max_rounds: int = 64) -> DataFrame:
+                   slack: int = 20, self_excluded: bool = False) -> DataFrame:
     """(row_key, rank, pick): ``k_col`` distinct picks per row from ``pool``
     without replacement, skipping pairs in ``exclude(row_key, pool_key)`` and,
     with ``self_excluded``, the row's own key.
 
-    Round 0 draws numbers ``[0, W)`` with ``W = max(k) + slack``; rows still
-    short draw the next ``2W``, then ``4W`` numbers, and so on.  A row gets
+    A row draws the numbers ``[0, W)`` with ``W = k + slack``; if still short, the
+    next ``2W``, then ``4W`` numbers, up to MAX_SPAN a round, until it has
     ``min(k, eligible)`` picks, where eligible is the pool minus its excluded
-    members; nothing is capped (the loop raises rather than return a short row).
+    members.  Nothing is capped.  Repeated row keys count once (largest k).
     """
+    checkpoint_dir(rows.sparkSession)
     indexed = dense_index(pool.select(F.col(pool_key).alias("_pk")), "_pk")
     n_pool = indexed.count()
     if n_pool == 0:  # nothing to pick from: every row gets min(k, 0) = 0 picks
         return rows.select(row_key, F.lit(1).alias("rank"),
                            F.lit(None).cast(pool.schema[pool_key].dataType).alias("pick")).limit(0)
-    base = rows.select(row_key, F.col(k_col).alias("_k"))
-    max_k = base.agg(F.max("_k")).first()[0] or 0
-    width = int(max_k) + slack
+    base = rows.groupBy(row_key).agg(F.max(k_col).alias("_k"))
     # eligible pool size per row
     n_ex = None
     if exclude is not None:
@@ -75,14 +65,15 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
         in_pool = indexed.select(F.col("_pk").alias(row_key), F.lit(1).alias("_self"))
         target = target.join(in_pool, row_key, "left")
         elig = elig - F.coalesce("_self", F.lit(0))
-    target = target.select(row_key, F.least("_k", elig).alias("_target")).checkpoint(eager=True)
+    target = target.select(row_key, F.least("_k", elig).alias("_target"),
+                           (F.col("_k") + slack).cast("long").alias("_width")).checkpoint(eager=True)
 
     picked: DataFrame | None = None
     todo = target
-    lo, span = 0, width
-    for r in range(max_rounds):
-        draws = (todo.select(row_key, F.explode(F.sequence(F.lit(lo), F.lit(lo + span - 1)))
-                             .alias("draw"))
+    lo, span = F.lit(0).cast("long"), F.least(F.col("_width"), F.lit(MAX_SPAN))
+    factor = 1
+    while True:
+        draws = (todo.select(row_key, F.explode(F.sequence(lo, lo + span - 1)).alias("draw"))
                  .withColumn("idx", F.pmod(hash_draw(row_key, "draw", seed=seed), F.lit(n_pool))))
         cand = draws.join(indexed, "idx").select(row_key, "draw", F.col("_pk").alias("pick"))
         if self_excluded:
@@ -105,15 +96,14 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
         have = picked.groupBy(row_key).agg(F.count(F.lit(1)).alias("_h"))
         short = (target.join(have, row_key, "left")
                  .where(F.coalesce("_h", F.lit(0)) < F.col("_target"))
-                 .select(row_key, "_target"))
+                 .select(row_key, "_target", "_width"))
         if short.isEmpty():  # the usual case: one job, nothing written
             break
         todo = short.checkpoint(eager=True)
         # only short rows draw again, with twice as many numbers each round,
         # so even a row whose eligible set is a sliver of the pool finishes
-        lo, span = lo + span, span * 2
-    else:
-        raise RuntimeError(f"sampling left rows short after {max_rounds} rounds")
+        factor = min(2 * factor, MAX_SPAN)
+        lo, span = lo + span, F.least(F.col("_width") * factor, F.lit(MAX_SPAN))
     w = Window.partitionBy(row_key).orderBy("draw")
     return picked.select(row_key, F.row_number().over(w).alias("rank"), "pick")
 

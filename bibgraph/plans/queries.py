@@ -22,7 +22,7 @@ from ..operators.upsert import dedupe_keep_first
 from ..session import checkpoint_dir, scratch_path
 from ..sources import csv_io, payloads
 from ..sources.fixtures import COMMUNITY_TERMS, graph_from_tables
-from ..sources.load_files import author_load_rows, paper_load_rows
+from ..sources.load_files import author_load_rows, paper_load_rows, with_abstracts
 from ..sources.raw_papers import raw_authors, raw_papers
 from ..sources.tables import Tables
 from . import algorithms, analytics, recommend
@@ -173,9 +173,8 @@ def _load(spark, sf_dir):
 @register("paper_nodes")
 def q_paper_nodes(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
-    return gb.paper_nodes(rows).select(
-        "paperId", "title", "url", F.length("abstract").cast("bigint").alias("abstract_chars"),
-        "year", "citationCount")
+    return with_abstracts(gb.paper_nodes(rows), Tables(spark, sf_dir)).select(
+        "paperId", "title", "url", "abstract", "year", "citationCount")
 
 
 @register("merge_nodes_first_wins")
@@ -372,8 +371,7 @@ def q_clone(spark, sf_dir):
 def q_dedupe(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     others = [c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]
-    out = dedupe_keep_first(li, ["l_orderkey", "l_linenumber"], others)
-    return out.drop("l_shipdate")
+    return dedupe_keep_first(li, ["l_orderkey", "l_linenumber"], others)
 
 
 # --- synthetic attributes --------------------------------------------------

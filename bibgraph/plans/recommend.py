@@ -72,11 +72,10 @@ def top_community_papers(g: Graph, venues: DataFrame, limit: int = 100) -> DataF
     """(paperId, n_citations): papers of community venues most cited by papers of
     community venues; ties broken by paperId."""
     cvp = community_venue_papers(g, venues)
-    inner = (g.cites
-             .join(cvp.withColumnRenamed("paperId", "src"), "src", "left_semi")
-             .join(cvp.withColumnRenamed("paperId", "dst"), "dst", "left_semi"))
-    counted = inner.groupBy(F.col("dst").alias("paperId")).agg(
-        F.count(F.lit(1)).alias("n_citations"))
+    # counted per cited paper before the second semi-join: a hot target is one row there
+    counted = (g.cites.join(cvp.withColumnRenamed("paperId", "src"), "src", "left_semi")
+               .groupBy(F.col("dst").alias("paperId")).agg(F.count(F.lit(1)).alias("n_citations"))
+               .join(cvp, "paperId", "left_semi"))
     return counted.orderBy(F.desc("n_citations"), F.asc("paperId")).limit(limit)
 
 

@@ -62,3 +62,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table beside the checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df, name: str):
+    """Cut the lineage: write to the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,9 +6,9 @@ Every definition here is mirrored word for word by the SQL views in
 * paper     = part (the abstract, documents.text, is a separate table)
 * author    = customer join nation
 * wrote     = distinct (o_custkey, l_partkey) of lineitem join orders
-* cites     = line k of an order cites line k-1 of the same order; a line is
-              (l_orderkey, l_linenumber) with its smallest l_partkey.  One edge
-              per line, so no order ever emits all pairs of its lines.
+* cites     = every lineitem row cites the row before it in the same order, in
+              (l_orderkey, l_linenumber, l_partkey, l_suppkey) order: at most
+              one edge per row, and no row is left out.
 * published_in / venue from p_type and p_brand
 * contains  = words of p_name
 """
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..graph import Graph, Lazy
+from ..operators.ranked import with_neighbours
 from .tables import Tables
 
 # Fixed values of the fixture mapping.
@@ -94,38 +95,21 @@ def wrote_edges(t: Tables) -> DataFrame:
             .distinct())
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """(l_orderkey, l_linenumber, part): duplicates of a line collapse map-side."""
-    return (t.lineitem.groupBy("l_orderkey", "l_linenumber")
-            .agg(F.min("l_partkey").alias("part")))
-
-
-def neighbour_lines(lines: DataFrame, cols: list[str], offsets: dict[int, str]) -> DataFrame:
-    """Attach to each line the ``cols`` of the lines ``k`` positions away.
-
-    Every line is emitted once per offset under the key of the line that
-    needs it, then one aggregation per (order, line) collects them: a single
-    scan and shuffle instead of a self-join per offset, and at most
-    ``1 + len(offsets)`` rows per line.
-    """
-    tags = [F.struct(F.col("l_linenumber").alias("_n"), F.lit(0).alias("_off"),
-                     *[F.col(c) for c in cols])]
-    for k in offsets:
-        tags.append(F.struct((F.col("l_linenumber") - k).alias("_n"), F.lit(k).alias("_off"),
-                             *[F.col(c) for c in cols]))
-    x = lines.select("l_orderkey", F.explode(F.array(*tags)).alias("t"))
-    aggs = [F.max(F.when(F.col("t._off") == 0, F.col(f"t.{c}"))).alias(c) for c in cols]
-    aggs.append(F.max(F.when(F.col("t._off") == 0, F.lit(True))).alias("_self"))
-    for k, prefix in offsets.items():
-        aggs += [F.max(F.when(F.col("t._off") == k, F.col(f"t.{c}"))).alias(f"{prefix}{c}")
-                 for c in cols]
-    out = x.groupBy("l_orderkey", F.col("t._n").alias("l_linenumber")).agg(*aggs)
-    return out.where(F.col("_self")).drop("_self")
+def lineitem_positions(t: Tables) -> DataFrame:
+    """Every lineitem row: l_orderkey, l_linenumber, part, supp, row_no (dense, from 1) and the
+    parts of the rows before and after it in the same order (null at an order's ends)."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"),
+                             F.col("l_suppkey").alias("supp"))
+    placed = with_neighbours(rows, ["l_orderkey", "l_linenumber", "part", "supp"], "row_no", first=1)
+    near = lambda side: F.when(F.col(f"{side}.l_orderkey") == F.col("l_orderkey"),
+                               F.col(f"{side}.part"))
+    return placed.select("l_orderkey", "l_linenumber", "part", "supp", "row_no",
+                         near("_prev").alias("prev_part"), near("_next").alias("next_part"))
 
 
 def cites_edges(t: Tables) -> DataFrame:
-    lines = neighbour_lines(order_lines(t), ["part"], {-1: "prev_"})
-    return (lines.where(F.col("prev_part").isNotNull() & (F.col("part") != F.col("prev_part")))
+    return (lineitem_positions(t)
+            .where(F.col("prev_part").isNotNull() & (F.col("part") != F.col("prev_part")))
             .select(F.col("part").alias("src"), F.col("prev_part").alias("dst")).distinct())
 
 

@@ -2,7 +2,7 @@
 
 The reference loads ``conference_info.csv``, ``journal_info.csv``,
 ``workshop_info.csv`` and ``authors_info.csv`` with every field a string and
-lists held as delimited text.  Here one load row is one order line, so a
+lists held as delimited text.  Here one load row is one lineitem row, so a
 paper appears in many rows (exercising first/last-writer MERGE rules), and
 every list in a row is bounded (two authors, two reviewers, at most three
 citations; the first line of an order also cites an external ``ext-<supp>``
@@ -21,32 +21,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fixtures import (JOURNAL_TYPES, NULL_TITLE_NAME, neighbour_lines, paper_year,
+from ..operators.ranked import numbered
+from .fixtures import (JOURNAL_TYPES, NULL_TITLE_NAME, lineitem_positions, paper_year,
                        venue_kind, venue_name)
 from .tables import Tables
 
 # The four field terms a paper was fetched with (by p_partkey % 4).
 FIELD_TERMS = ("Big Data", "Indexing", "NLP", "Data Management")
-N_NATIONS = 25
 
 
-def order_line_parts(t: Tables) -> DataFrame:
-    return (t.lineitem.groupBy("l_orderkey", "l_linenumber")
-            .agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp")))
+def cities(t: Tables) -> tuple[DataFrame, int]:
+    """(city_no, n_name): the nations numbered from 0 by key, and their number."""
+    placed = numbered(t.nation.select("n_nationkey", "n_name"), ["n_nationkey"], "city_no")
+    return placed.select("city_no", "n_name"), t.nation.count()
 
 
-def paper_load_rows(t: Tables) -> DataFrame:
-    lines = neighbour_lines(order_line_parts(t), ["part", "supp"],
-                            {-1: "prev_", 1: "next_"})
-    docs = t.documents.select(F.col("doc_id"), F.col("text"))
+def with_abstracts(papers: DataFrame, t: Tables) -> DataFrame:
+    """Fill ``abstract`` of rows that are one per paper: the text is joined after the
+    winner of each paper is chosen, so no load row carries it."""
+    docs = t.documents.select(F.col("doc_id").cast("string").alias("paperId"), F.col("text").alias("_text"))
+    return (papers.join(docs, "paperId", "left")
+            .withColumn("abstract", F.col("_text")).drop("_text").select(*papers.columns))
+
+
+def paper_load_rows(t: Tables, abstracts: bool = False) -> DataFrame:
+    """Load rows; ``abstract`` is null unless asked for (a paper has many rows)."""
+    lines = lineitem_positions(t)
+    city, n_cities = cities(t)
     part = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rows = (lines
             .join(t.orders.select("o_orderkey", "o_custkey"),
                   F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("part") == F.col("p_partkey"))
-            .join(docs, F.col("part") == F.col("doc_id"), "left")
-            .join(t.nation.select("n_nationkey", "n_name"),
-                  (F.col("part") + F.col("l_orderkey")) % N_NATIONS == F.col("n_nationkey")))
+            .join(city, F.pmod(F.col("part") + F.col("l_orderkey"), F.lit(max(n_cities, 1)))
+                  == F.col("city_no"), "left"))
+    if abstracts:
+        rows = rows.join(t.documents.select("doc_id", "text"), F.col("part") == F.col("doc_id"), "left")
+    else:
+        rows = rows.withColumn("text", F.lit(None).cast("string"))
     kind = venue_kind(F.col("p_type"))
     s = lambda c: F.col(c).cast("string")
     is_journal = F.col("p_type").isin(*JOURNAL_TYPES)
@@ -55,7 +67,7 @@ def paper_load_rows(t: Tables) -> DataFrame:
     vname = venue_name(kind, F.col("p_brand"))
     return rows.select(
         kind.alias("kind"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"),
+        F.col("row_no"),
         s("part").alias("paperId"),
         F.nullif(F.col("p_name"), F.lit(NULL_TITLE_NAME)).alias("title"),
         F.concat(F.lit("p/"), s("part"), F.lit("/"), s("l_orderkey")).alias("url"),
@@ -131,17 +143,43 @@ def read_load_files(spark, paths: dict[str, str], order_col: str = "row_no") ->
     """``LOAD CSV WITH HEADERS``: every field a string, columns taken from each
     file's header, a column missing from a file reads as null.  Rows get the
     ``kind`` of their file and an order: ``order_col`` when the file has it,
-    else the position in the file (exact for one multi-line file per kind,
-    which one task reads in order)."""
-    from .csv_io import READ_OPTIONS
-
+    else (file, position): files in path order, rows as they stand.  ``path``
+    may be a folder or a list of files; files of one kind may have different
+    headers."""
     out = None
     for kind, path in paths.items():
-        df = spark.read.options(**READ_OPTIONS).csv(path)  # no schema inference: all strings
-        if order_col in df.columns:
-            df = df.withColumn("row_no", F.col(order_col).cast("bigint"))
-        else:
-            df = df.withColumn("row_no", F.monotonically_increasing_id())
-        df = df.withColumn("kind", F.lit(kind))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        for df in _by_header(spark, [path] if isinstance(path, str) else list(path)):
+            if order_col in df.columns:
+                df = df.withColumn("row_no", F.col(order_col).try_cast("bigint")).drop("_order")
+            else:
+                df = df.withColumnRenamed("_order", "row_no")
+            df = df.withColumn("kind", F.lit(kind))
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
+
+
+def _by_header(spark, paths: list[str]):
+    """One frame per distinct header, all strings, with ``_order`` = (file, position) in one number.
+
+    A multi-line file is read by one task, so the lower 33 bits of the
+    monotonic id grow with the position in the file.
+    """
+    from .csv_io import READ_OPTIONS
+
+    listing = spark.read.format("binaryFile").load(paths).select("path")  # names only, no content
+    files = sorted(r["path"] for r in listing.where(~F.col("path").rlike(r"/[_.][^/]*$")).collect())
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        header = tuple(spark.read.options(**READ_OPTIONS).csv(f).columns)
+        if header:
+            groups.setdefault(header, []).append(f)
+    for header, members in groups.items():
+        numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files) if f in members],
+                                        "_file string, _file_no bigint")
+        df = (spark.read.options(**READ_OPTIONS).csv(members)
+              .select("*", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("_f"),
+                      F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")))
+        numbers = numbers.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/"))
+        yield (df.join(F.broadcast(numbers), F.col("_f") == F.col("_file"))
+               .withColumn("_order", F.shiftleft("_file_no", 33).bitwiseOR(F.col("_at")))
+               .select(*header, "_order"))

@@ -11,6 +11,7 @@ with the query checkpoint.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,8 +35,10 @@ def kind_of_path(path: str) -> str | None:
 def _existing_keys(spark: SparkSession, nodes_path: str, batch_id: int) -> DataFrame | None:
     try:
         stored = spark.read.parquet(nodes_path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # nothing written yet; any other error is one
+            return None
+        raise
     return stored.where(F.col("batch_id") < batch_id).select("paperId")
 
 
@@ -61,15 +64,13 @@ def start_paper_load(spark: SparkSession, input_dir: str, nodes_path: str,
         by_kind: dict[str, list[str]] = {}
         for r in batch.collect():  # file paths of this batch only
             kind = kind_of_path(r.path)
-            if kind is not None:
-                by_kind.setdefault(kind, []).append(r.path)
+            if kind is None:
+                raise ValueError(f"{r.path}: the name tells no kind of load file")
+            by_kind.setdefault(kind, []).append(r.path)
         if not by_kind:
             return
         spark_ = batch.sparkSession
-        # one file per kind per batch keeps "position in file" exact; several
-        # files of a kind are read together and ordered by position within each
-        rows = read_load_files(spark_, {k: v if len(v) > 1 else v[0]
-                                        for k, v in by_kind.items()})
+        rows = read_load_files(spark_, by_kind)
         nodes = paper_nodes(rows)
         existing = _existing_keys(spark_, nodes_path, batch_id)
         if existing is not None:

@@ -32,13 +32,14 @@ author AS (
 wrote AS (
   SELECT DISTINCT o.o_custkey AS authorId, l.l_partkey AS paperId
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-order_line AS (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
+line AS (
+  SELECT l_orderkey, l_linenumber, l_partkey AS part, l_suppkey AS supp,
+         row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_no,
+         lag(l_partkey) OVER w AS prev_part, lead(l_partkey) OVER w AS next_part
+  FROM lineitem
+  WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)),
 cites AS (
-  SELECT DISTINCT a.part AS src, b.part AS dst
-  FROM order_line a JOIN order_line b
-    ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber - 1
-  WHERE a.part <> b.part),
+  SELECT DISTINCT part AS src, prev_part AS dst FROM line WHERE part <> prev_part),
 contains AS (
   SELECT DISTINCT paperId, keyword FROM (
     SELECT p_partkey AS paperId, unnest(string_split(p_name, ' ')) AS keyword FROM part) w
@@ -265,10 +266,10 @@ ALGORITHMS["scc_top10"] = _recursive(with_graph(
 # --- graph load from reference-shaped load files ---------------------------
 
 LOAD_CTES = """
-ln AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supp
-       FROM lineitem GROUP BY 1, 2),
+city AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS city_no, count(*) OVER () AS n_cities
+         FROM nation),
 load_rows AS (
-  SELECT kind, l.l_orderkey * 8 + l.l_linenumber AS row_no,
+  SELECT kind, l.row_no,
          CAST(l.part AS VARCHAR) AS paperId,
          nullif(p.p_name, 'blue anvil') AS title,
          'p/' || CAST(l.part AS VARCHAR) || '/' || CAST(l.l_orderkey AS VARCHAR) AS url,
@@ -286,9 +287,9 @@ load_rows AS (
          CASE WHEN kind = 'Journal' THEN CAST(p.p_size AS VARCHAR) END AS journal_volume,
          replace(p.p_name, ' ', ',') || ',' ||
            lower(['Big Data', 'Indexing', 'NLP', 'Data Management'][CAST(l.part % 4 AS INTEGER) + 1]) AS keywords,
-         concat_ws(', ', CAST(pv.part AS VARCHAR), CAST(nx.part AS VARCHAR),
+         concat_ws(', ', CAST(l.prev_part AS VARCHAR), CAST(l.next_part AS VARCHAR),
                    CASE WHEN l.l_linenumber = 1 THEN 'ext-' || CAST(l.supp AS VARCHAR) END) AS Citations
-  FROM ln l
+  FROM line l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
   JOIN (SELECT *, CASE WHEN p_type IN ('LARGE', 'SMALL') THEN 'Journal'
                        WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'Workshop'
@@ -297,9 +298,7 @@ load_rows AS (
                        WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'W-' ELSE 'C-' END AS prefix
         FROM part) p ON p.p_partkey = l.part
   LEFT JOIN documents d ON d.doc_id = l.part
-  JOIN nation n ON n.n_nationkey = (l.part + l.l_orderkey) % 25
-  LEFT JOIN ln pv ON pv.l_orderkey = l.l_orderkey AND pv.l_linenumber = l.l_linenumber - 1
-  LEFT JOIN ln nx ON nx.l_orderkey = l.l_orderkey AND nx.l_linenumber = l.l_linenumber + 1
+  LEFT JOIN city n ON n.city_no = (l.part + l.l_orderkey) % n.n_cities
   WHERE kind IS NOT NULL),
 author_rows AS (
   SELECT CAST(c.c_custkey AS VARCHAR) AS authorId, c.c_name AS name, n.n_name AS Affiliations,
@@ -366,8 +365,7 @@ l_review_rows AS (
 
 BUILD = {
     "paper_nodes": with_graph("""
-SELECT paperId, title, url, CAST(length(abstract) AS BIGINT) AS abstract_chars, year, citationCount
-FROM l_paper
+SELECT paperId, title, url, abstract, year, citationCount FROM l_paper
 """, LOAD_CTES),
     "merge_nodes_first_wins": with_graph("SELECT * FROM l_author", LOAD_CTES),
     "wrote_edges": with_graph("SELECT * FROM l_wrote", LOAD_CTES),
@@ -525,7 +523,7 @@ UNION ALL SELECT paperId || 'a', edition - 1, year - 1 FROM conf
 """, RAW_CTES),
     "dedupe_keep_first": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-       l_tax, l_returnflag, l_linestatus
+       l_tax, l_returnflag, l_linestatus, l_shipdate
 FROM (SELECT *, row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
@@ -538,9 +536,9 @@ WHERE rn = 1
 
 
 def _h(seed: str, *exprs: str) -> str:
-    """Seeded hash draw: first 8 hex digits of md5 as a number."""
+    """Seeded hash draw: first 15 hex digits of md5 as a number."""
     parts = ", ".join([f"'{seed}'"] + [f"CAST({e} AS VARCHAR)" for e in exprs])
-    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT"
 
 
 def _sample_sql(rows_sql: str, k_expr: str, pool_sql: str, seed: str, slack: int,
@@ -556,10 +554,10 @@ s_rows AS (SELECT r, {k_expr} AS k FROM ({rows_sql}) x),
 s_pool AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx
            FROM (SELECT DISTINCT key FROM ({pool_sql}) y) z),
 s_n AS (SELECT count(*) AS n FROM s_pool),
-s_w AS (SELECT max(k) + {slack} AS w FROM s_rows),
 s_draws AS (
   SELECT s.r, j.draw, {_h(seed, 's.r', 'j.draw')} % s_n.n AS idx
-  FROM s_rows s CROSS JOIN s_n CROSS JOIN s_w CROSS JOIN range(0, s_w.w) AS j(draw)),
+  FROM (SELECT r, unnest(range(0, k + {slack})) AS draw FROM s_rows) j
+  JOIN s_rows s ON s.r = j.r CROSS JOIN s_n),
 s_cand AS (
   SELECT d.r, d.draw, p.key AS pick FROM s_draws d JOIN s_pool p ON p.idx = d.idx
   WHERE TRUE {excl}),

@@ -145,8 +145,8 @@ def test_load_files_csv_round_trip_builds_same_graph(spark):
     paths = write_load_files(rows_, scratch_path(spark, "lf-test"))
     back = read_load_files(spark, paths)
     assert "proceedings" in back.columns and "journal_volume" in back.columns
-    g1 = gb.build_graph(rows_, arows, persist_inputs=False)
-    g2 = gb.build_graph(back, arows, persist_inputs=False)
+    g1 = gb.build_graph(rows_, arows, write_inputs=False)
+    g2 = gb.build_graph(back, arows, write_inputs=False)
     for name in ("paper", "wrote", "published_in", "cites", "contains", "reviewed"):
         assert rows(g1.tables()[name]) == rows(g2.tables()[name]), name
 

@@ -47,7 +47,7 @@ def test_etl_to_graph_to_analytics(spark):
     au = au.select("authorId", "name", "Affiliations",
                    F.lit("university").alias("Affiliation_type"),
                    F.monotonically_increasing_id().alias("row_no"), F.lit(0).alias("file_no"))
-    g = gb.build_graph(back, au, persist_inputs=False)
+    g = gb.build_graph(back, au, write_inputs=False)
 
     counts = dict((r.table, r.rows) for r in gb.graph_counts(g).collect())
     assert counts["paper"] >= len(ids) and counts["cites"] > 0 and counts["wrote"] > 0
