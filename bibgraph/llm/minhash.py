@@ -13,8 +13,8 @@ weighted Jaccard similarity.  Slabs are thrown until every coordinate has one.
 Signatures are cut into bands of `rows` samples, and documents that share a
 band meet in a bucket.  Exact copies are settled first by two 64-bit hashes of
 the text; one of them stands for its class.  In a bucket every text is compared
-with a leader (by exact weighted Jaccard of its shingles); those that fail meet
-again under a second leader.  Bands use four different orders of leaders, so
+with a leader (by the weighted Jaccard of all their shingles); those that fail meet
+again under a second leader.  Bands use two different orders of leaders, so
 that texts of one class are tied together in several ways.  Texts that fail
 again are compared with one another in chunks, any two chunks of a bucket in a
 task that returns spanning links only.  No bucket lists its pairs, and there is
@@ -39,7 +39,7 @@ from .common import Powers, arrow_batches, chunks, hashed_words, mix, windowed,
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 16, 5, 0.8
 COORDINATES = BANDS * ROWS
-LEADER_ORDERS, LEADER_ROUNDS = 4, 2
+LEADER_ORDERS, LEADER_ROUNDS = 2, 2
 CHUNK = 128  # texts of a bucket's chunk in the last step
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _FIRST_SLAB = 2.0 ** -6
@@ -134,22 +134,29 @@ def _units_of(size: int):
             out = []
             for lo, hi in chunks(texts):
                 unit, doc = units(texts[lo:hi], powers, size)
-                order = np.lexsort((unit, doc))
+                order = np.argsort(doc, kind="stable")
                 cuts = np.searchsorted(doc[order], np.arange(1, hi - lo))
-                out += [u.tobytes() for u in np.split(unit[order], cuts)]
+                short = (unit[order] >> np.uint64(32)).astype(np.uint32)
+                out += [np.sort(u).tobytes() for u in np.split(short, cuts)]
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(out, pa.binary())], ["node", "units"])
 
     return run
 
 
+def _alike(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Weighted Jaccard of two documents by 32-bit hashes of their units."""
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())  # units are distinct within a document
+    return shared >= threshold * (len(both) - shared)
+
+
 def _compare(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for a, b in zip(batch["a_units"].to_pylist(), batch["b_units"].to_pylist(), strict=True):
-                both = np.sort(np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)]))
-                shared = int((both[1:] == both[:-1]).sum())  # units are distinct within a document
-                linked.append(shared >= threshold * (len(both) - shared))
+                linked.append(_alike(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), threshold))
             yield pa.RecordBatch.from_arrays([batch["node"], batch["lead"], pa.array(linked)],
                                              ["node", "lead", "linked"])
 
@@ -179,7 +186,7 @@ def _linked_in_block(threshold: float):
 
     def run(table: pa.Table) -> pa.Table:
         nodes = table["node"].to_numpy()
-        bags = [np.frombuffer(u, np.uint64) for u in table["units"].to_pylist()]
+        bags = [np.frombuffer(u, np.uint32) for u in table["units"].to_pylist()]
         root = np.arange(len(nodes))
         a, b = [], []
         for i in range(len(nodes) - 1):
@@ -187,9 +194,7 @@ def _linked_in_block(threshold: float):
                 len(bags[i]), len(bags[j])) / max(len(bags[i]), len(bags[j]))]
             for j in later:
                 if root[j] != root[i]:
-                    both = np.sort(np.concatenate([bags[i], bags[j]]))
-                    shared = int((both[1:] == both[:-1]).sum())
-                    if shared >= threshold * (len(both) - shared):
+                    if _alike(bags[i], bags[j], threshold):
                         a.append(int(nodes[i]))
                         b.append(int(nodes[j]))
                         root[root == root[j]] = root[i]
@@ -237,7 +242,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             .filter("lo < hi").select("band", "key"))
     open_ = written(placed.join(written(full, "buckets"), ["band", "key"]).distinct(), "open")
     wanted = open_.select("node").distinct()
-    shingled = written(docs.join(wanted, docs["nid"] == wanted["node"]).select("node", "text")
+    shingled = written(docs.join(wanted.hint("merge"), docs["nid"] == wanted["node"]).select("node", "text")
                        .mapInArrow(_units_of(size), "node long, units binary"), "units")
     links = []
     for turn in range(LEADER_ROUNDS):
