@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,11 +50,11 @@ class WordIds:
     """Ids, as little-endian unsigned 32-bit bytes, of stretches of text without blanks.
 
     Kept per worker; beyond LIMIT entries only those of the batch at hand stay.
-    A stretch is looked up by its lower-case form without a last comma or stop,
-    which the tokenizer splits off anyway.
+    A Latin stretch is looked up by its lower-case form, and a comma or stop behind
+    a letter by itself: the tokenizer splits it off anyway.
     """
 
-    LIMIT = 800_000
+    LIMIT = 1_100_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -62,9 +63,15 @@ class WordIds:
         self.ids: dict[str, bytes] = {"": b""}
 
     def _encode(self, words: list[str]) -> None:
+        # a run of letters is one word of the tokenizer, so blanks between them are enough
+        plain = [w for w in words if w.isalpha() and w.islower() and max(w) < "\u0130"]
+        self._encode_all(plain, " ".join)
+        self._encode_all(list(set(words).difference(plain)), list)
+
+    def _encode_all(self, words: list[str], joined) -> None:
         for lo in range(0, len(words), 20_000):
             part = words[lo:lo + 20_000]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            found = self.tokenizer.encode(joined(part), is_pretokenized=joined is list, add_special_tokens=False)
             ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
             ends = np.searchsorted(of, np.arange(len(part)), "right")
             raw, start = ids.tobytes(), 0
@@ -72,6 +79,15 @@ class WordIds:
                 self.ids[word] = raw[4 * start:4 * end]
                 start = end
 
+    @staticmethod
+    def of_worker(path: str) -> "WordIds":
+        """The table of this Python worker: tasks of one worker share it."""
+        import sys
+        import types
+
+        held = sys.modules.setdefault("_word_ids_of_worker", types.ModuleType("_word_ids_of_worker")).__dict__
+        return held.get(path) or held.setdefault(path, WordIds(path))
+
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """A table that has every one of the words."""
         if len(self.ids) > self.LIMIT:
@@ -79,27 +95,43 @@ class WordIds:
         forms = {}
         for word in words.difference(self.ids):
             stem, tail = word, ""
-            if len(word) > 1 and word[-1] in ",." and word[-2].isascii() and word[-2].isalpha():
+            if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
                 stem, tail = word[:-1], word[-1]
-            forms[word] = (stem.lower() if stem.isascii() and "<" not in stem else stem, tail)
+            # below U+0130 lower case is one to one and every letter is composed
+            forms[word] = (stem.lower() if "<" not in stem and max(stem) < "\u0130" else stem, tail)
         self._encode(list({f for form in forms.values() for f in form}.difference(self.ids)))
         for word, (stem, tail) in forms.items():
             self.ids[word] = self.ids[stem] + self.ids[tail]
         return self.ids
 
 
+    def of_texts(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; every distinct stretch of the batch is looked up once."""
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        table = self.learn(set(distinct))
+        ids = [table[w] for w in distinct]
+        length = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
+        values, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(length) - length
+        word = coded.indices.to_numpy()
+        n = length[word]
+        ends = np.cumsum(n)
+        out = values[np.repeat(start[word] - ends + n, n) + np.arange(n.sum())]
+        last = np.cumsum(words.value_lengths().to_numpy())
+        return np.split(out, np.concatenate([[0], ends])[last[:-1]])
+
+
 def _tokenize(path: str, capacity: int, digest: bool):
     """Tokens are taken per stretch between blanks; the tokenizer drops white space and never joins across it."""
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(path)
+        ids_of = WordIds.of_worker(path)
         for batch in batches:
             rows, piece, start, length, ids = [], [], [], [], []
-            texts = [(t or "").replace("\n", " ").split(" ") for t in batch["text"].to_pylist()]
-            table = ids_of.learn(set().union(*texts))
-            for i, words in enumerate(texts):
-                tokens = b"".join(map(table.__getitem__, words)) + SEPARATOR
+            for i, doc_ids in enumerate(ids_of.of_texts(batch["text"])):
+                tokens = doc_ids.tobytes() + SEPARATOR
                 for k, at in enumerate(range(0, len(tokens), width)):
                     part = tokens[at:at + width]
                     rows.append(i)
@@ -118,7 +150,7 @@ def _tokenize(path: str, capacity: int, digest: bool):
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, digest: bool = False) -> DataFrame:
     """doc_id, piece, start, length and the ids (little-endian unsigned 32-bit), or only their crc32."""
-    arrow_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession, 5000)
     kind = "ids_crc32 long" if digest else "ids binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _tokenize(tokenizer, capacity, digest), f"doc_id long, piece int, start long, length long, {kind}")
