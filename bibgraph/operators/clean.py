@@ -11,11 +11,28 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import extract_edition as _edition_of
 from ..functions.columns import parse_list_literal
+from .upsert import dedupe_keep_first
 
 # The publication types kept after categorisation.
 ALLOWED_TYPES = ("['JournalArticle']", "['Conference']", "['Workshop']")
 
 
+def dedupe_papers(papers: DataFrame, order: tuple[str, ...] = ("field_query",)) -> DataFrame:
+    """One row per paperId: a paper fetched under several search terms keeps its
+    first row in ``order`` (rows without an id go)."""
+    return dedupe_keep_first(papers.where(F.col("paperId").isNotNull()), ["paperId"], list(order))
+
+
+def attach_keywords_citations(papers: DataFrame, keywords: DataFrame, citations: DataFrame) -> DataFrame:
+    """Inner joins of keywords(paperId, keywords) and citations(paperId, Citations), both lists
+    as literal text; the field term joins the keywords, lower case; of repeated citation
+    rows of a paper the smallest text stays."""
+    kws = keywords.select("paperId", parse_list_literal("keywords").alias("keywords"))
+    cites = citations.groupBy("paperId").agg(F.min("Citations").alias("_c")).select(
+        "paperId", F.array_join(parse_list_literal("_c"), ", ").alias("Citations"))
+    return finalize_keywords(papers.join(kws, "paperId")).join(cites, "paperId")
+
+
 def clean_papers(papers: DataFrame) -> DataFrame:
     """Fix the ' Big Data' field term, drop rows without venue, type or abstract,
     drop the pages column.  (A missing journal volume is handled after

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, synth
 from ..operators.keywords import extract_keywords
+from ..session import written
 
 
 def _ranked_list(picks: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -37,13 +38,14 @@ def process_papers(raw_papers: DataFrame, raw_authors: DataFrame, cities: DataFr
     has (paperId, authorId, position).  Random choices are seeded hash
     draws (see ``operators.synth``).
     """
+    raw_papers = clean.dedupe_papers(raw_papers)
     papers = clean.clean_papers(raw_papers)
     papers = clean.aggregate_paper_authors(papers, raw_authors).drop("n_authors", "last_author")
     papers = synth.pick_one(papers, "paperId", cities.select("location"), "location", seed="loc")
     papers = papers.withColumn("approved", F.lit("Y"))
     papers = clean.categorize_publication(papers)
     # read four times below (reviewers, texts, keywords, final joins): cut here once
-    papers = synth.number_of_reviewers(papers).checkpoint(eager=True)
+    papers = written(synth.number_of_reviewers(papers), "papers")
 
     # reviewers: any author of any kept paper except the paper's own authors
     own = raw_authors.where(F.col("authorId").isNotNull()).select("paperId", "authorId")

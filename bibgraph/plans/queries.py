@@ -17,6 +17,7 @@ from ..operators import clean, synth
 from ..operators import graph_build as gb
 from ..operators import keywords as kw
 from ..operators import profile
+from ..operators.authors import process_authors
 from ..operators.graph_algorithms import pagerank
 from ..operators.upsert import dedupe_keep_first
 from ..session import checkpoint_dir, scratch_path
@@ -150,6 +151,32 @@ def q_scc_cites(spark, sf_dir):
         F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
 
 
+@register("scc_same_edition")
+def q_scc_same_edition(spark, sf_dir):
+    """SCC of the citations inside one edition number: many components of mixed sizes."""
+    g = graph_from_tables(spark, sf_dir)
+    edition = g.paper.select("paperId", (F.col("citationCount") % 20).alias("e"))
+    inside = (g.cites.join(edition.select(F.col("paperId").alias("src"), "e"), "src")
+              .join(edition.select(F.col("paperId").alias("dst"), "e"), ["dst", "e"]).select("src", "dst"))
+    proj = algorithms.cites_projection(Graph(paper=g.paper, cites=inside))
+    return algorithms.scc_with_component_keys(proj).select(
+        F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
+
+
+@register("project_partial")
+def q_project_partial(spark, sf_dir):
+    """Counts of a projection that leaves out a third of the papers, with integer and with text
+    keys: edges that lose an end are dropped alike."""
+    g = graph_from_tables(spark, sf_dir)
+    some = g.paper.where(F.col("paperId") % 3 != 0)
+    text = Graph(paper=some.withColumn("paperId", F.col("paperId").cast("string")),
+                 cites=g.cites.select(F.col("src").cast("string").alias("src"),
+                                      F.col("dst").cast("string").alias("dst")))
+    number = algorithms.cites_projection(Graph(paper=some, cites=g.cites)).counts()
+    return (number.withColumn("keys", F.lit("integer"))
+            .unionByName(algorithms.cites_projection(text).counts().withColumn("keys", F.lit("text"))))
+
+
 @register("scc_top10")
 def q_scc_top10(spark, sf_dir):
     df = q_scc_cites(spark, sf_dir)
@@ -278,7 +305,8 @@ def _categorized(spark, sf_dir):
 def q_clean(spark, sf_dir):
     papers, _ = _raw(spark, sf_dir)
     return clean.clean_papers(papers).select(
-        "paperId", "field_query", "venue", "publicationTypes", "journal_volume")
+        "paperId", "field_query", "title", "url", "venue", "publicationTypes", "abstract", "year",
+        "citationCount", "journal_name", "journal_volume")
 
 
 @register("categorize_publication")
@@ -290,7 +318,8 @@ def q_categorize(spark, sf_dir):
 def q_aggregate_authors(spark, sf_dir):
     papers, authors = _raw(spark, sf_dir)
     out = clean.aggregate_paper_authors(clean.clean_papers(papers), authors)
-    return out.select("paperId", "n_authors", "last_author")
+    out = clean.list_columns_to_strings(out.join(clean.author_id_lists(authors), "paperId"))
+    return out.select("paperId", "n_authors", "last_author", "authorIds")
 
 
 @register("list_columns_to_strings")
@@ -458,7 +487,47 @@ def q_papers_of_author(spark, sf_dir):
 
 @register("flatten_papers")
 def q_flatten_papers(spark, sf_dir):
-    return payloads.flatten_papers(payloads.paper_payloads(Tables(spark, sf_dir)))
+    pages = payloads.paper_pages(Tables(spark, sf_dir))
+    return payloads.flatten_papers(payloads.explode_pages(pages))
+
+
+@register("flatten_then_clean")
+def q_flatten_then_clean(spark, sf_dir):
+    """Fetched pages through the cleaning step."""
+    flat = payloads.flatten_papers(payloads.explode_pages(payloads.paper_pages(Tables(spark, sf_dir))))
+    tagged = payloads.union_tagged({" Big Data": flat})
+    return clean.clean_papers(tagged).select("paperId", "field_query", "publicationTypes", "abstract", "year")
+
+
+@register("authors_info")
+def q_authors_info(spark, sf_dir):
+    """The author load table: nations 2 to 12 play the universities, the first ten suppliers the companies."""
+    t = Tables(spark, sf_dir)
+    _, authors = _raw(spark, sf_dir)
+    unis = t.nation.select(F.col("n_name").alias("affiliation"), F.col("n_nationkey").alias("position"))
+    firms = t.supplier.select(F.col("s_name").alias("affiliation"), F.col("s_suppkey").alias("position"))
+    return process_authors(authors, unis, firms, university_rows=(1, 12), company_rows=(0, 10))
+
+
+@register("dedupe_papers")
+def q_dedupe_papers(spark, sf_dir):
+    """Papers fetched under two terms: one row per paper, that of the first term."""
+    papers, _ = _raw(spark, sf_dir)
+    again = papers.where(F.col("paperId").cast("bigint") % 3 == 0).withColumn("field_query", F.lit("AAA"))
+    return clean.dedupe_papers(papers.unionByName(again)).select("paperId", "field_query", "title", "year")
+
+
+@register("attach_keywords_citations")
+def q_attach(spark, sf_dir):
+    papers, _ = _raw(spark, sf_dir)
+    key = F.col("paperId").cast("bigint")
+    kws = papers.where(key % 4 != 0).select("paperId", payloads.list_literal(F.split("title", " ")).alias("keywords"))
+    cites = papers.where(key % 5 != 0).select(
+        "paperId", F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).select(
+        "paperId", F.concat(F.lit("["), F.col("paperId"), F.lit(", "), F.col("n").cast("string"), F.lit("]"))
+        .alias("Citations"))
+    out = clean.attach_keywords_citations(clean.clean_papers(papers), kws, cites)
+    return out.select("paperId", F.array_join("keywords", ",").alias("keywords"), "Citations")
 
 
 @register("flatten_authors")

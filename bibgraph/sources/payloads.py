@@ -7,7 +7,7 @@ Flattening is the reference's response-to-CSV step done with ``from_json``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import Tables
@@ -25,15 +25,33 @@ CITATION_SCHEMA = ("paperId string, error string, "
 
 # --- flattening -----------------------------------------------------------
 
+def explode_pages(pages: DataFrame, col: str = "page") -> DataFrame:
+    """(payload): one row per record of the ``data`` list of each fetched page;
+    a page without a list gives none."""
+    records = F.from_json(F.get_json_object(F.col(col), "$.data"), "array<string>")
+    return pages.select(F.explode(records).alias("payload"))
+
+
+def list_literal(items: Column) -> Column:
+    """array<string> as the text of a list literal, ``['a', 'b']``; null stays null."""
+    quoted = F.transform(items, lambda x: F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    return F.when(items.isNotNull(), F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")))
+
+
 def flatten_papers(payloads: DataFrame, col: str = "payload") -> DataFrame:
-    """One row per paper; venue may be an object with a name or a plain string;
-    a missing journal gives null name, volume and pages."""
+    """One row per paper, all eleven fields; venue may be an object with a name or
+    a plain string; a missing journal gives null name, volume and pages.
+    ``publicationTypes`` is a list literal, as ``clean_papers`` takes it."""
     p = F.from_json(F.col(col), PAPER_SCHEMA)
     df = payloads.select(p.alias("p"))
     venue = F.col("p.venue")
     return df.select(
         F.col("p.paperId").alias("paperId"), F.col("p.title").alias("title"),
+        F.col("p.url").alias("url"),
         F.coalesce(F.get_json_object(venue, "$.name"), venue).alias("venue"),
+        list_literal(F.col("p.publicationTypes")).alias("publicationTypes"),
+        F.col("p.abstract").alias("abstract"), F.col("p.year").alias("year"),
+        F.col("p.citationCount").alias("citationCount"),
         F.col("p.journal.name").alias("journal_name"),
         F.col("p.journal.volume").alias("journal_volume"),
         F.col("p.journal.pages").alias("journal_pages"))
@@ -89,12 +107,28 @@ def paper_payloads(t: Tables) -> DataFrame:
         F.col("p_size").cast("string").alias("volume"),
         F.concat(F.lit("1-"), F.col("p_size").cast("string")).alias("pages")))
     rest = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("paperId"),
-                              F.col("p_name").alias("title"), journal.alias("journal")))
+                              F.col("p_name").alias("title"),
+                              F.concat(F.lit("p/"), F.col("p_partkey").cast("string")).alias("url"),
+                              F.when(F.col("p_size") % 5 != 0, F.array(F.lit("JournalArticle"), F.col("p_type")))
+                              .alias("publicationTypes"),
+                              F.when(F.col("p_size") % 3 != 0, F.concat(F.col("p_name"), F.lit(' "quoted"')))
+                              .alias("abstract"),
+                              (F.lit(2017) + F.col("p_size") % 8).alias("year"),
+                              F.col("p_size").alias("citationCount"), journal.alias("journal")))
     js = F.concat(F.lit('{"venue":'), venue, F.lit(","), F.expr("substring(_rest, 2)"))
     p = p.withColumn("_rest", rest)
     return p.select(js.alias("payload"))
 
 
+def paper_pages(t: Tables, per_page: int = 20) -> DataFrame:
+    """(page): the payloads in pages of about ``per_page`` records, by key."""
+    records = paper_payloads(t).withColumn(
+        "n", F.floor(F.get_json_object("payload", "$.paperId").cast("bigint") / per_page))
+    return records.groupBy("n").agg(F.concat(
+        F.lit('{"offset":0,"data":['), F.array_join(F.collect_list("payload"), ","), F.lit("]}")).alias("page")
+    ).select("page")
+
+
 def author_payloads(wrote: DataFrame, author: DataFrame) -> DataFrame:
     """One payload per paper: its authors ordered by authorId, each with one
     affiliation (the nation) or none when authorId % 10 = 0."""

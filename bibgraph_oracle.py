@@ -488,12 +488,13 @@ cleaned_authors AS (SELECT c.paperId, a.* EXCLUDE (paperId) FROM cleaned c JOIN
 
 CLEAN = {
     "clean_papers": with_graph(
-        "SELECT paperId, field_query, venue, publicationTypes, journal_volume FROM cleaned",
+        "SELECT paperId, field_query, title, url, venue, publicationTypes, abstract, year, citationCount, "
+        "journal_name, journal_volume FROM cleaned",
         RAW_CTES),
     "categorize_publication": with_graph(
         "SELECT paperId, publicationTypes, journal_volume FROM cat_v", RAW_CTES),
     "aggregate_paper_authors": with_graph(
-        "SELECT paperId, n_authors, last_author FROM cleaned_authors", RAW_CTES),
+        "SELECT paperId, n_authors, last_author, authorIds FROM cleaned_authors", RAW_CTES),
     "list_columns_to_strings": with_graph(
         "SELECT paperId, authorIds FROM cleaned_authors", RAW_CTES),
     "corresponding_author": with_graph(
@@ -653,7 +654,11 @@ WHERE authorId <> ''
 GROUP BY authorId
 """, LOAD_CTES),
     "flatten_papers": """
-SELECT CAST(p_partkey AS VARCHAR) AS paperId, p_name AS title, 'V-' || p_brand AS venue,
+SELECT CAST(p_partkey AS VARCHAR) AS paperId, p_name AS title, 'p/' || CAST(p_partkey AS VARCHAR) AS url,
+       'V-' || p_brand AS venue,
+       CASE WHEN p_size % 5 <> 0 THEN '[''JournalArticle'', ''' || p_type || ''']' END AS publicationTypes,
+       CASE WHEN p_size % 3 <> 0 THEN p_name || ' "quoted"' END AS abstract,
+       CAST(2017 + p_size % 8 AS INTEGER) AS year, CAST(p_size AS INTEGER) AS citationCount,
        CASE WHEN p_size % 7 <> 0 THEN 'J-' || p_brand END AS journal_name,
        CASE WHEN p_size % 7 <> 0 THEN CAST(p_size AS VARCHAR) END AS journal_volume,
        CASE WHEN p_size % 7 <> 0 THEN '1-' || CAST(p_size AS VARCHAR) END AS journal_pages
@@ -723,3 +728,60 @@ l_reach(src, dst) AS (
   UNION
   SELECT r.src, e.dst FROM l_reach r JOIN l_edge e ON e.src = r.dst)
 """))
+
+MORE = {
+    "flatten_then_clean": """
+SELECT CAST(p_partkey AS VARCHAR) AS paperId, 'Big Data' AS field_query,
+       '[''JournalArticle'', ''' || p_type || ''']' AS publicationTypes, p_name || ' "quoted"' AS abstract,
+       CAST(2017 + p_size % 8 AS INTEGER) AS year
+FROM part WHERE p_size % 5 <> 0 AND p_size % 3 <> 0
+""",
+    "authors_info": with_graph(f"""
+SELECT a.authorId, a.name, p.affiliation AS Affiliations,
+       CASE WHEN p.affiliation IN (SELECT affiliation FROM unis) THEN 'university' ELSE 'company' END
+         AS Affiliation_type
+FROM (SELECT CAST(authorId AS BIGINT) AS authorId, min(name) AS name FROM raw_authors
+      WHERE authorId IS NOT NULL GROUP BY 1) a
+JOIN inst p ON p.idx = {_h('aff', 'a.authorId')} % (SELECT count(*) FROM inst)
+""", RAW_CTES + """,
+unis AS (SELECT n_name AS affiliation FROM (
+           SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS place FROM nation) x
+         WHERE place >= 1 AND place < 12),
+firms AS (SELECT s_name AS affiliation FROM (
+            SELECT s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier) x
+          WHERE place < 10),
+inst AS (SELECT affiliation, row_number() OVER (ORDER BY affiliation) - 1 AS idx
+         FROM (SELECT affiliation FROM unis UNION SELECT affiliation FROM firms) x)
+"""),
+    "dedupe_papers": with_graph("""
+SELECT paperId, CASE WHEN CAST(paperId AS BIGINT) % 3 = 0 AND 'AAA' < field_query THEN 'AAA'
+                     ELSE field_query END AS field_query, title, year
+FROM raw_papers
+""", RAW_CTES),
+    "attach_keywords_citations": with_graph("""
+SELECT paperId, lower(replace(title, ' ', ',')) || ',' || lower(field_query) AS keywords,
+       paperId || ', 1' AS Citations
+FROM cleaned WHERE CAST(paperId AS BIGINT) % 4 <> 0 AND CAST(paperId AS BIGINT) % 5 <> 0
+""", RAW_CTES),
+    "project_partial": with_graph("""
+SELECT (SELECT count(*) FROM paper WHERE paperId % 3 <> 0) AS nodeCount,
+       (SELECT count(*) FROM cites WHERE src % 3 <> 0 AND dst % 3 <> 0
+          AND src IN (SELECT paperId FROM paper) AND dst IN (SELECT paperId FROM paper)) AS relationshipCount,
+       k.keys
+FROM (SELECT unnest(['integer', 'text']) AS keys) k
+"""),
+    "scc_same_edition": _recursive(with_graph("""
+SELECT p.paperId, coalesce(min(m.src), p.paperId) AS componentId
+FROM paper p LEFT JOIN (
+  SELECT r.src, r.dst FROM e_reach r JOIN e_reach b ON b.src = r.dst AND b.dst = r.src) m ON m.dst = p.paperId
+GROUP BY p.paperId
+""", """
+e_edge AS (SELECT c.src, c.dst FROM cites c JOIN paper a ON a.paperId = c.src JOIN paper b ON b.paperId = c.dst
+           WHERE a.citationCount % 20 = b.citationCount % 20),
+e_reach(src, dst) AS (
+  SELECT src, dst FROM e_edge
+  UNION
+  SELECT r.src, e.dst FROM e_reach r JOIN e_edge e ON e.src = r.dst)
+""")),
+}
+ALGORITHMS.update(MORE)
