@@ -35,7 +35,9 @@ def crc_of_id(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
 
 
-def utf8(text: str | None) -> bytes:
+def utf8(text: str | bytes | None) -> bytes:
+    if isinstance(text, bytes):
+        return text
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 

@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Powers, arrow_batches, chunks, hashed_words, utf8, windowed
+from .common import Powers, arrow_batches, chunks, hashed_words, utf8, windowed, written
 
 BASE = 18
 #: Hot hashes are looked for on one document in SAMPLED.
@@ -65,13 +66,27 @@ def minimizers(hashes: np.ndarray, reach: int) -> np.ndarray:
     return at
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed UTF-8: they are shuffled once and read four times."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [packer.compress(utf8(t)) for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["k"], pa.array(texts, pa.binary())],
+                                         ["doc_id", "k", "text"])
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(t) for t in batch["text"].to_pylist()]
+
+
 def _emit(window: int, sizes: list[int], level: int):
     """Rows (h, k, place) of the selected windows of a level; place: check hash and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, check_powers = Powers(), Powers(_CHECK_ROOT)
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = _texts(batch)
             keys = batch["k"].to_numpy()
             for lo, hi in chunks(texts):
                 words, counts = hashed_words(texts[lo:hi], powers)
@@ -108,9 +123,9 @@ def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_words, n_removed = [], [], []
-            for text, copied, starts in zip(batch["text"].to_pylist(), batch["copied"].to_pylist(),
+            for text, copied, starts in zip(_texts(batch), batch["copied"].to_pylist(),
                                             batch["starts"].to_pylist(), strict=True):
-                words = utf8(text).split()
+                words = text.split()
                 n_words.append(len(words))
                 if copied and len(words) >= window:
                     words = []
@@ -162,10 +177,12 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("doc_id", "text").alias("k"))
     twins = docs.select("k", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
-    classes = twins.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("k").alias("lead")).filter("n > 1")
+    # written, so that a hot class can be split in the join
+    classes = written(twins.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("k").alias("lead"))
+                      .filter("n > 1").select("t1", "t2", "lead"), "copies")
     copies = (twins.join(classes, ["t1", "t2"]).groupBy("k")
               .agg(F.max(F.col("k") != F.col("lead")).alias("skip")))
-    held = docs.join(copies, "k", "left")
+    held = docs.mapInArrow(_squeeze, "doc_id long, k long, text binary").join(copies, "k", "left")
     n_docs = docs.count()
     for level in range(len(sizes)):
         earlier = [f"s{i}" for i in range(level)]
