@@ -263,11 +263,13 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     Trim (a vertex without in- or out-edges in the remaining graph is a
     singleton SCC), then forward colouring with hashed priorities and a
     backward sweep inside each colour from its root (Fleischer-Hendrickson-
-    Pinar; Orzan).  Edges
-    across colours are dropped after each phase, since an SCC never spans
-    two colours.  Rounds inside a sweep are cached and counted; a reliable
-    checkpoint cuts the lineage every ``checkpoint_every`` rounds and at the
-    end of each sweep.
+    Pinar; Orzan).  Each phase writes the remaining edges twice, bucketed by
+    source and by target; its rounds shuffle vertex-sized rows only: trimming
+    subtracts the removed vertices' messages from degree counters, and the
+    sweeps send from vertices that changed.  Edges across colours are dropped
+    after each phase, since an SCC never spans two colours.  Rounds inside a
+    sweep are cached and counted; a reliable checkpoint cuts the lineage every
+    ``checkpoint_every`` rounds and at the end of each sweep.
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
@@ -275,33 +277,40 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     active = _cut(proj.vertices.select("id").distinct().repartition(p, "id"))
     edges = _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
     found: list[DataFrame] = []
-    while True:
-        # trim rounds: both degree tests in one pass over the edges
+    while not active.isEmpty():
+        fwd = EdgeSet(edges, hot_edges)
+        bwd = EdgeSet(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hot_edges)
+        degree = lambda es, name: es.fanout.select("id", F.col("outdeg").alias(name))
+        state = _cut(active.join(degree(fwd, "n_out"), "id", "left").join(degree(bwd, "n_in"), "id", "left")
+                     .select("id", F.coalesce("n_out", F.lit(0)).alias("n_out"),
+                             F.coalesce("n_in", F.lit(0)).alias("n_in")))
         for _ in range(max_trim_rounds):
-            has_out = edges.select(F.col("src").alias("id")).distinct()
-            has_in = edges.select(F.col("dst").alias("id")).distinct()
-            keep = _cut(active.join(has_out, "id", "left_semi").join(has_in, "id", "left_semi"))
-            trimmed = active.join(keep, "id", "left_anti")
-            n_trim = trimmed.count()
-            if n_trim:
-                found.append(_cut(trimmed.select("id", F.col("id").alias("componentId"))))
-                edges = _cut(edges.join(keep.withColumnRenamed("id", "src"), "src", "left_semi")
-                             .join(keep.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-            active = keep
-            if n_trim == 0:
+            bare = (F.col("n_out") <= 0) | (F.col("n_in") <= 0)
+            gone = _cut(state.where(bare).select("id"))
+            if gone.isEmpty():
                 break
+            found.append(gone.select("id", F.col("id").alias("componentId")))
+            lost = lambda es, name: es.messages(gone, []).groupBy(  # noqa: E731, B023
+                F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias(name))
+            state = _cut(state.where(~bare).join(lost(fwd, "less_in"), "id", "left")
+                         .join(lost(bwd, "less_out"), "id", "left")
+                         .select("id", (F.col("n_out") - F.coalesce("less_out", F.lit(0))).alias("n_out"),
+                                 (F.col("n_in") - F.coalesce("less_in", F.lit(0))).alias("n_in")))
+        active = state.select("id")
         if active.isEmpty():
+            fwd.release()
+            bwd.release()
             break
         # forward colouring: colour(v) = smallest (hash(id), id) among the
         # vertices that reach v.  Hashed priorities make the number of phases
         # independent of how ids happen to be ordered along the edges.
-        es = EdgeSet(edges, hot_edges)
+        # (Messages to trimmed vertices meet no row.)
         mat = Materializer(checkpoint_every)
         colour = active.select("id", F.struct(F.xxhash64("id").alias("h"),
                                               F.col("id").alias("r")).alias("c"))
         senders = colour  # only vertices whose colour dropped send in the next round
         while True:
-            m = es.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
+            m = fwd.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
             new = mat(colour.join(m, colour.id == m.dst, "left")
                       .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
                               F.coalesce(F.col("m") < F.col("c"), F.lit(False))
@@ -313,41 +322,36 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                 break
         colour = _cut(colour.select("id", F.col("c.r").alias("c")))  # colour = its root id
         mat.close()
-        es.release()
-        # backward sweep inside each colour, from the root
-        same = _cut(edges
-                    .join(colour.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
-                    .join(colour.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
-                    .where(F.col("cs") == F.col("cd"))
-                    .select("src", "dst"))
-        rev = EdgeSet(same.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
-                      hot_edges)
+        fwd.release()
+        # backward sweep inside each colour, from the root: a message counts
+        # only where sender and receiver have the same colour
         mat = Materializer(checkpoint_every)
         mark = colour.select("id", "c", (F.col("id") == F.col("c")).alias("k"))
-        frontier = mark.where("k").select("id")
+        frontier = mark.where("k").select("id", "c")
         while True:
-            # vertices marked in the last round send to u for every same-colour edge u -> v
-            reached = (rev.messages(frontier, []).select(F.col("dst").alias("u")).distinct())
-            new = mat(mark.join(reached, mark.id == reached.u, "left")
+            reached = bwd.messages(frontier, ["c"]).select(F.col("dst").alias("u"),
+                                                           F.col("c").alias("uc")).distinct()
+            new = mat(mark.join(reached, (mark.id == reached.u) & (mark.c == reached.uc), "left")
                       .select("id", "c", (F.col("k") | F.col("u").isNotNull()).alias("k"),
                               (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
-            frontier = new.where(F.col("changed")).select("id")
+            frontier = new.where(F.col("changed")).select("id", "c")
             mark = new.select("id", "c", "k")
             if frontier.count() == 0:  # full pass: fills the cache
                 break
         mark = _cut(mark)
         mat.close()
-        rev.release()
+        bwd.release()
         # component id = smallest vertex id of the component (partial aggregation per root)
         members = mark.where("k").select("id", "c")
         smallest = members.groupBy("c").agg(F.min("id").alias("componentId"))
         found.append(_cut(members.join(smallest, "c").select("id", "componentId")))
-        rest = mark.where(~F.col("k")).select("id")
-        active = _cut(rest.repartition(p, "id"))
-        edges = _cut(same.join(rest.withColumnRenamed("id", "src"), "src", "left_semi")
-                     .join(rest.withColumnRenamed("id", "dst"), "dst", "left_semi"))
+        rest = mark.where(~F.col("k")).select("id", "c")
+        active = _cut(rest.select("id").repartition(p, "id"))
         if active.isEmpty():
             break
+        edges = _cut(edges.join(rest.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
+                     .join(rest.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
+                     .where(F.col("cs") == F.col("cd")).select("src", "dst"))
     if not found:  # no vertices at all
         return proj.vertices.select("id", "label", "key", F.col("id").alias("componentId"))
     comps = found[0]
