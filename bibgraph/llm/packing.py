@@ -54,7 +54,7 @@ class WordIds:
     a letter by itself: the tokenizer splits it off anyway.
     """
 
-    LIMIT = 1_100_000
+    LIMIT = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -117,7 +117,11 @@ class WordIds:
         word = coded.indices.to_numpy()
         n = length[word]
         ends = np.cumsum(n)
-        out = values[np.repeat(start[word] - ends + n, n) + np.arange(n.sum())]
+        total = int(ends[-1]) if len(ends) else 0
+        small = np.int32 if max(total, len(values)) < 2**31 else np.int64
+        place = np.repeat((start[word] - ends + n).astype(small), n)
+        place += np.arange(total, dtype=small)
+        out = values[place]
         last = np.cumsum(words.value_lengths().to_numpy())
         return np.split(out, np.concatenate([[0], ends])[last[:-1]])
 
@@ -150,7 +154,7 @@ def _tokenize(path: str, capacity: int, digest: bool):
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, digest: bool = False) -> DataFrame:
     """doc_id, piece, start, length and the ids (little-endian unsigned 32-bit), or only their crc32."""
-    arrow_batches(docs.sparkSession, 5000)
+    arrow_batches(docs.sparkSession, 2500)
     kind = "ids_crc32 long" if digest else "ids binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _tokenize(tokenizer, capacity, digest), f"doc_id long, piece int, start long, length long, {kind}")
