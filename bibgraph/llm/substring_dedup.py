@@ -182,7 +182,7 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
                       .filter("n > 1").select("t1", "t2", "lead"), "copies")
     copies = (twins.join(classes, ["t1", "t2"]).groupBy("k")
               .agg(F.max(F.col("k") != F.col("lead")).alias("skip")))
-    held = docs.mapInArrow(_squeeze, "doc_id long, k long, text binary").join(copies, "k", "left")
+    held = docs.mapInArrow(_squeeze, "doc_id long, k long not null, text binary not null").join(copies, "k", "left")
     n_docs = docs.count()
     for level in range(len(sizes)):
         earlier = [f"s{i}" for i in range(level)]
@@ -190,7 +190,8 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
         def emit(part: DataFrame, level=level, earlier=earlier) -> DataFrame:
             alive = part.filter(" and ".join(["not coalesce(skip, false)",
                                               *(f"{s} is not null" for s in earlier)]))
-            return alive.select("k", "text", *earlier).mapInArrow(
+            # doc_id rides along: with other columns the exchange of the texts would not be reused
+            return alive.select("doc_id", "k", "text", *earlier).mapInArrow(
                 _emit(window, sizes, level), "h long, k long, place long")
 
         held = _with_lists(held, emit, n_docs, f"s{level}")
