@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,19 @@ def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def of_worker(operator: str, make):
+    """A table shared by the tasks of one Python worker.
+
+    A worker keeps one operator's table at a time: what another operator left
+    is dropped, so that idle workers hold little memory.
+    """
+    held = sys.modules.setdefault("_bibgraph_worker", types.ModuleType("_bibgraph_worker")).__dict__
+    if held.get("operator") != operator:
+        held.pop("table", None)
+        held["table"], held["operator"] = make(), operator
+    return held["table"]
+
+
 def crc_of_id(doc_id: str = "doc_id") -> Column:
     """crc32 of the id's decimal text; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, crc_of_id
+from .common import arrow_batches, crc_of_id, of_worker
 
 BUCKETS = 1 << 15
 _SHIFT = np.uint32(32 - 15)
@@ -105,6 +105,7 @@ def fit(docs: DataFrame, training: Column, per_lang: int = 800, landmarks: int =
 
 def _score(langs: list[str], folded: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_worker("language_id", dict)
         for batch in batches:
             texts = batch["text"].to_pylist()
             preds, scores = [], []

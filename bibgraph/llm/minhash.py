@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, arrow_batches, chunks, hashed_words, mix, windowed, written
+from .common import Powers, arrow_batches, chunks, hashed_words, mix, of_worker, windowed, written
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 16, 5, 0.8
 COORDINATES = BANDS * ROWS
@@ -106,7 +106,7 @@ def signatures(unit: np.ndarray, doc: np.ndarray, n_docs: int, k: int = COORDINA
 
 def _bands(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers = of_worker("minhash", Powers)
         weights = np.multiply.accumulate(np.full(rows, _A, np.uint64))
         for batch in batches:
             texts = batch["text"].to_pylist()
@@ -128,7 +128,7 @@ def _bands(bands: int, rows: int, size: int):
 
 def _units_of(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers = of_worker("minhash", Powers)
         for batch in batches:
             texts = batch["text"].to_pylist()
             out = []

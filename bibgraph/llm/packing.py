@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batches, written
+from .common import arrow_batches, of_worker, written
 
 CAPACITY = 2048
 SEPARATOR = b"\0\0\0\0"
@@ -54,7 +54,7 @@ class WordIds:
     a letter by itself: the tokenizer splits it off anyway.
     """
 
-    LIMIT = 800_000
+    LIMIT = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -79,15 +79,6 @@ class WordIds:
                 self.ids[word] = raw[4 * start:4 * end]
                 start = end
 
-    @staticmethod
-    def of_worker(path: str) -> "WordIds":
-        """The table of this Python worker: tasks of one worker share it."""
-        import sys
-        import types
-
-        held = sys.modules.setdefault("_word_ids_of_worker", types.ModuleType("_word_ids_of_worker")).__dict__
-        return held.get(path) or held.setdefault(path, WordIds(path))
-
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """A table that has every one of the words."""
         if len(self.ids) > self.LIMIT:
@@ -131,7 +122,7 @@ def _tokenize(path: str, capacity: int, digest: bool):
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds.of_worker(path)
+        ids_of = of_worker(f"packing {path}", lambda: WordIds(path))
         for batch in batches:
             rows, piece, start, length, ids = [], [], [], [], []
             for i, doc_ids in enumerate(ids_of.of_texts(batch["text"])):

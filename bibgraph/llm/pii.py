@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, of_worker
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "address", "account")
@@ -153,7 +153,7 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    anchors = automaton()
+    anchors = of_worker("pii", automaton)
     for batch in batches:
         spans = [[{"kind": k, "start": a, "end": b} for k, a, b in find(t, anchors)]
                  for t in batch["text"].to_pylist()]

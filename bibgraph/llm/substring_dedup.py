@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Powers, arrow_batches, chunks, hashed_words, utf8, windowed, written
+from .common import Powers, arrow_batches, chunks, hashed_words, of_worker, utf8, windowed, written
 
 BASE = 18
 #: Hot hashes are looked for on one document in SAMPLED.
@@ -84,7 +84,7 @@ def _emit(window: int, sizes: list[int], level: int):
     """Rows (h, k, place) of the selected windows of a level; place: check hash and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, check_powers = Powers(), Powers(_CHECK_ROOT)
+        powers, check_powers = of_worker("substring_dedup", lambda: (Powers(), Powers(_CHECK_ROOT)))
         for batch in batches:
             texts = _texts(batch)
             keys = batch["k"].to_numpy()

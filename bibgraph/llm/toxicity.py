@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batches, written
+from .common import arrow_batches, of_worker, written
 
 WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.7
@@ -162,6 +162,7 @@ def score_of(text: str | None, weights: dict[str, float]) -> float:
 
 def _score(weights: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_worker("toxicity", dict)
         for batch in batches:
             scores = pa.array([score_of(t, weights) for t in batch["text"].to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
