@@ -16,12 +16,12 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from bibgraph.plans.queries import REGISTRY  # noqa: E402
 from bibgraph.session import build_session  # noqa: E402
 
 ITERATIVE = {"pagerank_wrote", "pagerank_top10", "pagerank_cites", "scc_cites", "scc_top10",
              "scc_wrote", "assign_reviewers", "assign_comments", "synthetic_citations",
-             "citation_reach_khop", "csv_round_trip"}
+             "citation_reach_khop", "csv_round_trip", "scc_same_edition", "scc_loaded_cites"}
 
 
 def plan_text(df) -> str:
@@ -33,7 +33,7 @@ def main() -> None:
     spark = build_session()
     print("| key | parquet scans | shuffles | broadcasts | partial top-k | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for key, q in queries().items():
+    for key, q in REGISTRY.items():
         df = q(spark, sf_dir)
         text = plan_text(df)
         scans = len(re.findall(r"FileScan parquet", text))
