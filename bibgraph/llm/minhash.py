@@ -15,11 +15,14 @@ band meet in a bucket.  Exact copies are settled first by two 64-bit hashes of
 the text; one of them stands for its class.  In a bucket every text is compared
 with a leader (by the weighted Jaccard of all their shingles); those that fail meet
 again under a second leader.  Bands use two different orders of leaders, so
-that texts of one class are tied together in several ways.  Texts that fail
-again are compared with one another in chunks, any two chunks of a bucket in a
-task that returns spanning links only.  No bucket lists its pairs, and there is
-no cap.  Links of at least `threshold` are joined to classes by min-label
-propagation with pointer jumping, on written tables.
+that texts of one class are tied together in several ways.  The links so far
+make up classes; in every bucket where several classes meet, its texts are then
+compared with one another in chunks, any two chunks of a bucket in a task that
+returns links between classes only.  Two texts of a bucket are left uncompared
+only if they are known to be of one class, so leaders save work and lose
+nothing.  No bucket lists its pairs, and there is no cap.  Links of at least
+`threshold` are joined to classes by min-label propagation with pointer jumping,
+on written tables.
 
 Defined results: null texts and texts without words have no shingles; each is a
 class of its own, copies included.  Rows with equal doc_id count as one document.
@@ -182,17 +185,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _linked_in_block(threshold: float):
-    """Spanning links of the classes among the texts of one or two chunks of a bucket."""
+    """Links that join the known classes among the texts of one or two chunks of a bucket."""
 
     def run(table: pa.Table) -> pa.Table:
         nodes = table["node"].to_numpy()
         bags = [np.frombuffer(u, np.uint32) for u in table["units"].to_pylist()]
-        root = np.arange(len(nodes))
+        sizes = np.array([len(bag) for bag in bags])
+        root = np.unique(table["root"].to_numpy(), return_inverse=True)[1]
         a, b = [], []
         for i in range(len(nodes) - 1):
-            later = [j for j in range(i + 1, len(nodes)) if root[j] != root[i] and threshold <= min(
-                len(bags[i]), len(bags[j])) / max(len(bags[i]), len(bags[j]))]
-            for j in later:
+            rest = slice(i + 1, None)
+            near = threshold <= np.minimum(sizes[i], sizes[rest]) / np.maximum(sizes[i], sizes[rest])
+            for j in i + 1 + np.flatnonzero(near & (root[rest] != root[i])):
                 if root[j] != root[i]:
                     if _alike(bags[i], bags[j], threshold):
                         a.append(int(nodes[i]))
@@ -203,18 +207,31 @@ def _linked_in_block(threshold: float):
     return run
 
 
-def _in_blocks(open_: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
-    """Links among the texts that are left in a bucket: every two of its chunks meet in one task."""
+def _in_blocks(named: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """Links between the classes (root) known so far that meet in a bucket.
+
+    The texts of the bucket's largest class are compared with all others, the
+    others with one another too: every two chunks meet in one task, but for two
+    chunks of the largest class.
+    """
+    each = named.groupBy("band", "key", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").bitwiseAND(
+        F.lit((1 << 40) - 1))).alias("sum"))
+    sets = (each.groupBy("band", "key").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("sum").alias("sum"),
+        F.max(F.struct("n", "root")).alias("top")).filter("classes > 1"))
     # a set of texts that shares several buckets is compared in one of them
-    sets = open_.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").bitwiseAND(
-        F.lit((1 << 40) - 1))).alias("sum")).filter("n > 1")
-    sets = sets.groupBy("n", "sum").agg(F.min(F.struct("band", "key")).alias("b")).select(
-        "b.band", "b.key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    rows = (open_.join(written(sets, "sets"), ["band", "key"])
-            .withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")).cast("int"))
-            .select("node", "band", "key", "chunk",
-                    F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-            .select("node", "band", "key", F.least("chunk", "other").alias("lo"),
+    sets = sets.groupBy("n", "sum").agg(F.min(F.struct("band", "key", "top")).alias("b")).select(
+        "b.band", "b.key", F.col("b.top.root").alias("top"),
+        F.ceil((F.col("n") - F.col("b.top.n")) / CHUNK).cast("int").alias("chunks"),
+        F.when(F.col("n") > CHUNK, F.ceil(F.col("b.top.n") / CHUNK)).otherwise(0).cast("int").alias("top_chunks"))
+    at = F.xxhash64("node", "key")
+    in_top = (F.col("root") == F.col("top")) & (F.col("top_chunks") > 0)
+    rows = (named.join(written(sets, "sets"), ["band", "key"])
+            .withColumn("chunk", F.when(in_top, F.col("chunks") + F.pmod(at, F.greatest("top_chunks", F.lit(1))))
+                        .otherwise(F.pmod(at, F.col("chunks"))).cast("int"))
+            .select("node", "root", "band", "key", "chunk", F.explode(F.sequence(F.lit(0), F.when(
+                in_top, F.col("chunks")).otherwise(F.col("chunks") + F.col("top_chunks")) - 1)).alias("other"))
+            .select("node", "root", "band", "key", F.least("chunk", "other").alias("lo"),
                     F.greatest("chunk", "other").alias("hi")))
     return (rows.join(shingled, "node").groupBy("band", "key", "lo", "hi")
             .applyInArrow(_linked_in_block(threshold), "a long, b long"))
@@ -240,11 +257,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     placed = nodes.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "key"))
     full = (placed.groupBy("band", "key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
             .filter("lo < hi").select("band", "key"))
-    open_ = written(placed.join(written(full, "buckets"), ["band", "key"]).distinct(), "open")
-    wanted = open_.select("node").distinct()
+    shared = written(placed.join(written(full, "buckets"), ["band", "key"]).distinct(), "shared")
+    wanted = shared.select("node").distinct()
     shingled = written(docs.join(wanted.hint("merge"), docs["nid"] == wanted["node"]).select("node", "text")
                        .mapInArrow(_units_of(size), "node long, units binary"), "units")
-    links = []
+    links, open_ = [], shared
     for turn in range(LEADER_ROUNDS):
         order = F.xxhash64("node", F.col("band") % LEADER_ORDERS, F.lit(turn))
         leads = written(open_.groupBy("band", "key").agg(
@@ -259,18 +276,36 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         links.append(judged.filter("linked").select(F.col("node").alias("a"), F.col("lead").alias("b")))
         open_ = written(met.join(judged.filter("not linked").distinct(), ["node", "lead"])
                         .select("node", "band", "key").distinct(), "open")
-    links.append(written(_in_blocks(open_, shingled, threshold), "links"))
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    return _classes(nodes, written(found.select(*pair).distinct(), "links"))
-
-
-def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    found = written(found.select(*pair).distinct(), "links")
+    roots = components(found)
+    named = written(shared.join(roots, "node", "left").select(
+        "node", "band", "key", F.coalesce("root", "node").alias("root")), "named")
+    late = written(_in_blocks(named, shingled, threshold).select(*pair).distinct(), "links")
+    return _classes(nodes, found.unionByName(late), _joined(roots, late))
+
+
+def _joined(roots: DataFrame, late: DataFrame) -> DataFrame:
+    """node, root of every node in roots or late, whose links (a, b) join classes of roots."""
+    own = roots.select(F.col("node").alias("own"), F.col("root").alias("own_root"))
+    for end in ("a", "b"):
+        late = late.join(own, F.col(end) == F.col("own"), "left").withColumn(
+            f"{end}_root", F.coalesce("own_root", end)).drop("own", "own_root")
+    classes = components(late.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))).select(
+        F.col("node").alias("old"), F.col("root").alias("joined"))
+    nodes = roots.unionByName(classes.select(F.col("old").alias("node"), F.col("old").alias("root")).join(
+        roots.select("node"), "node", "left_anti"))
+    return nodes.join(classes, F.col("root") == F.col("old"), "left").select(
+        "node", F.coalesce("joined", "root").alias("root"))
+
+
+def _classes(nodes: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
               .agg(F.count("*").alias("n_links")))
-    roots = components(links).join(degree, "node")
+    roots = roots.join(degree, "node")
     return (nodes.select("doc_id", "node").join(roots, "node", "left")
             .select("doc_id", F.coalesce("root", "node").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))

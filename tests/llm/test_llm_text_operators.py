@@ -227,3 +227,30 @@ def test_near_duplicates_hot_bucket_and_empty(spark):
     got = minhash.near_duplicates(frame(spark, rows)).collect()
     assert {r["class_id"] for r in got} == {0}
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("edits", [10, 60, 200])
+def test_near_duplicates_stars_of_independent_edits(spark, edits):
+    """Every edit is near the original and far from the other edits: only the original holds the class together."""
+    base = words(90, 400, 100_000)
+    rng, rows = random.Random(edits), []
+    for c in range(edits):
+        own = list(base)
+        for at in rng.sample(range(0, 395, 10), 7 + c % 2):  # five shingles each: 0.82 or 0.84 to the original
+            own[at + 4] = f"e{c}x{at}"
+        rows.append((100 + c, " ".join(own), "en", "a"))
+    rows.append((5000, " ".join(base), "en", "a"))
+    bags = {i: shingles(t) for i, t, *_ in rows}
+    assert all(jaccard(bags[5000], bags[100 + c]) >= 0.8 for c in range(edits))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    powers = minhash.Powers()
+    unit, doc = minhash.units([t for _, t, *_ in rows], powers)
+    sig = minhash.signatures(unit, doc, len(rows)).reshape(len(rows), minhash.BANDS, minhash.ROWS)
+    met = (sig[:, None] == sig[None]).all(3).any(2)
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in np.flatnonzero(met[i]):
+            if root[i] != root[j] and jaccard(bags[rows[i][0]], bags[rows[j][0]]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert got == {rows[i][0]: rows[root[i]][0] for i in range(len(rows))}
