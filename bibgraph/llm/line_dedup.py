@@ -5,13 +5,17 @@ feeds; blank lines are lines too).  Prefix doubling names the first 2**k lines
 of each suffix of a document: a name of 2**(k+1) lines is the pair of the names
 at a place and 2**k further on.  Suffixes of one name share a prefix of 2**k
 lines, an interval of the suffix array with that longest common prefix; only
-intervals of two suffixes or more are doubled, until none survives.  The member
-that comes first, by doc_id, then place, is the first copy.  A later member
-marks the lines of its longest name; marks on consecutive lines make up the
+intervals of two suffixes or more are doubled, until none survives.  Lengths
+between two powers are named by two names of the lower power that overlap.  The
+member that comes first, by doc_id, then place, is the first copy.  A later
+member marks the lines of its names; marks on consecutive lines make up the
 maximal repeated runs, which are deleted.
 
 A run counts from `min_words` words on (a blank line counts as one), so that
-short lines that recur by chance stay.  Ranks are hashes, not sorted positions:
+short lines that recur by chance stay.  A line holds a word at least, so a run
+of more than `min_words` lines is made up of runs of `min_words` lines that
+count; lengths between the powers are named up to there, and nothing is lost.
+Ranks are hashes, not sorted positions:
 equality of prefixes and the first copy are all that is asked of the order.
 
 Defined results: a null text has no lines and stays null.  Rows with equal
@@ -39,30 +43,52 @@ def lines_of(docs: DataFrame) -> DataFrame:
                     F.greatest(F.regexp_count(line, F.lit(r"[^ \t\n\f\r]+")), F.lit(1)).cast("long").alias("words")))
 
 
-def _repeated(rows: DataFrame, level: int) -> DataFrame:
+def _repeated(rows: DataFrame, name: str) -> DataFrame:
     """Rows whose name occurs at two places or more, and whether an earlier place has it (`later`)."""
     place = F.struct(*_KEY, "pos")
     names = written(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                    .filter("first < last").select("a", "b", "first"), f"names{level}")
+                    .filter("first < last").select("a", "b", "first"), f"names{name}")
     return written(rows.join(names, ["a", "b"]).select(
-        *_KEY, "pos", "a", "b", "words", (place > F.col("first")).alias("later")), f"level{level}")
+        *rows.columns, (place > F.col("first")).alias("later")), f"level{name}")
+
+
+def _between(rows: DataFrame, level: int, min_words: int) -> DataFrame | None:
+    """Later copies of repeated runs of 2**level + 1, ... lines, below the next power and up to min_words lines."""
+    size, ends = 1 << level, []
+    for more in range(1, min(size, min_words - size + 1)):
+        ahead = Window.partitionBy(*_KEY).orderBy("pos").rangeBetween(more, more)
+        ends.append(F.struct(F.lit(size + more).alias("n"), *(F.first(c).over(ahead).alias(f"{c}2") for c in (
+            "a", "b", "before", "words"))))
+    if not ends:
+        return None
+    runs = rows.select(*_KEY, "pos", "a", "b", "before", F.array(*ends).alias("ends")).select(
+        *_KEY, "pos", "a", "b", "before", F.explode("ends").alias("end")).filter("end.a2 is not null").select(
+        *_KEY, "pos", F.xxhash64("end.n", "a", "end.a2").alias("a"), F.xxhash64("b", "end.n", "end.b2").alias("b"),
+        (F.col("end.before2") + F.col("end.words2") - F.col("before")).alias("words"), "end.n")
+    return _repeated(runs.filter(F.col("words") >= min_words), f"{level}more").filter("later").select(
+        *_KEY, "pos", "n")
 
 
 def marked_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """All lines, and the marks: doc_id, tie, pos, n lines that repeat an earlier run."""
     lines = written(lines_of(docs).distinct(), "lines")
-    level, rows, marks = 0, _repeated(lines, 0), None
+    level, rows, marks = 0, _repeated(lines, "0"), None
+    # words of the repeated lines before a place: the lines of a run follow one another among them
+    before = F.sum("words").over(Window.partitionBy(*_KEY).orderBy("pos")) - F.col("words")
     while not rows.isEmpty():
         own = rows.filter((F.col("words") >= min_words) & F.col("later")).select(
             *_KEY, "pos", F.lit(1 << level).alias("n"))
         marks = own if marks is None else marks.unionByName(own)
+        more = _between(rows, level, min_words)
+        marks = marks if more is None else marks.unionByName(more)
         ahead = Window.partitionBy(*_KEY).orderBy("pos").rangeBetween(1 << level, 1 << level)
         then = lambda c: F.first(c).over(ahead)  # noqa: E731, B023
-        doubled = rows.select(*_KEY, "pos", "a", "b", "words", then("a").alias("a2"), then("b").alias("b2"),
+        doubled = rows.select(*_KEY, "pos", "a", "b", "words", (before if level == 0 else F.col("before")).alias("before"),
+                              then("a").alias("a2"), then("b").alias("b2"),
                               then("words").alias("words2")).filter("a2 is not null")
         rows = _repeated(doubled.select(
             *_KEY, "pos", F.xxhash64("a", "a2").alias("a"), F.xxhash64(F.lit(level), "b", "b2").alias("b"),
-            (F.col("words") + F.col("words2")).alias("words")), level + 1)
+            (F.col("words") + F.col("words2")).alias("words"), "before"), str(level + 1))
         level += 1
     if marks is None:
         marks = lines.select(*_KEY, "pos", F.lit(1).alias("n")).limit(0)

@@ -134,6 +134,39 @@ def test_line_dedup_equals_brute_force(spark, min_words):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def every_run_brute(rows, min_words):
+    """Lines kept by document, every run length tried."""
+    docs = sorted({(i, t) for i, t, *_ in rows if t is not None})
+    split = {d: d[1].split("\n") for d in docs}
+    weight = lambda ls: sum(max(1, len(x.split())) for x in ls)
+    gone = {d: set() for d in docs}
+    for size in range(1, max(map(len, split.values())) + 1):
+        seen = set()
+        for d in docs:
+            for s in range(len(split[d]) - size + 1):
+                run = tuple(split[d][s:s + size])
+                if run in seen and weight(run) >= min_words:
+                    gone[d] |= set(range(s, s + size))
+                seen.add(run)
+    return {d: "\n".join(x for p, x in enumerate(split[d]) if p not in gone[d]) for d in docs}
+
+
+@pytest.mark.parametrize("min_words", [8, 11])
+def test_line_dedup_runs_of_every_length(spark, min_words):
+    long = " ".join(words(70, 20))
+    runs = ["a b c\nd e f\ng h i\nj k", "m\nn o\np\nq r\ns\nt u", f"a b\nc d\n{long}", f"{long} end\nx\nx"]
+    rows = [(10 * r + c, f"top {r} {c}\n{run}\nlast {r} {c}", "en", "a") for r, run in enumerate(runs) for c in range(2)]
+    rng = random.Random(7)
+    pool = [" ".join(words(200 + i, rng.randint(0, 3))) for i in range(7)]
+    rows += [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 14))), "en", "a") for i in range(60)]
+    expected = every_run_brute(rows, min_words)
+    got = {(r["doc_id"], r["text"]): r for r in line_dedup.line_dedup(frame(spark, rows), min_words).collect()}
+    assert {d: r["kept_text"] for d, r in got.items()} == expected
+    if min_words == 8:
+        removed = {d[0]: (r["n_removed"], r["longest_run"]) for d, r in got.items() if d[0] < 100}
+        assert removed == {0: (0, 0), 1: (4, 4), 10: (0, 0), 11: (6, 6), 20: (0, 0), 21: (3, 3), 30: (0, 0), 31: (3, 3)}
+
+
 def bag(text):
     return Counter(re.split(r"\s+", (text or "").strip()))
 
