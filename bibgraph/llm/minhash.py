@@ -43,6 +43,7 @@ from .common import Powers, arrow_batches, chunks, hashed_words, mix, of_worker,
 WORDS, BANDS, ROWS, THRESHOLD = 5, 16, 5, 0.8
 COORDINATES = BANDS * ROWS
 LEADER_ORDERS, LEADER_ROUNDS = 2, 2
+SET_KEY = ["sum", "xor", "least", "most"]  # with the number of texts: buckets that agree hold one set
 CHUNK = 128  # texts of a bucket's chunk in the last step
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _FIRST_SLAB = 2.0 ** -6
@@ -207,6 +208,19 @@ def _linked_in_block(threshold: float):
     return run
 
 
+def _sets(named: DataFrame) -> DataFrame:
+    """Every bucket with its number of classes and texts, its largest class, and what its set of texts goes by."""
+    node = F.xxhash64("node")
+    each = named.groupBy("band", "key", "root").agg(
+        F.count("*").alias("n"), F.sum(node.bitwiseAND(F.lit((1 << 40) - 1))).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("xor"), F.min("node").alias("least"),
+        F.max("node").alias("most"))
+    return each.groupBy("band", "key").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("sum").alias("sum"),
+        F.bit_xor("xor").alias("xor"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.max(F.struct("n", "root")).alias("top"))
+
+
 def _in_blocks(named: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
     """Links between the classes (root) known so far that meet in a bucket.
 
@@ -214,13 +228,9 @@ def _in_blocks(named: DataFrame, shingled: DataFrame, threshold: float) -> DataF
     others with one another too: every two chunks meet in one task, but for two
     chunks of the largest class.
     """
-    each = named.groupBy("band", "key", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").bitwiseAND(
-        F.lit((1 << 40) - 1))).alias("sum"))
-    sets = (each.groupBy("band", "key").agg(
-        F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("sum").alias("sum"),
-        F.max(F.struct("n", "root")).alias("top")).filter("classes > 1"))
+    sets = _sets(named).filter("classes > 1")
     # a set of texts that shares several buckets is compared in one of them
-    sets = sets.groupBy("n", "sum").agg(F.min(F.struct("band", "key", "top")).alias("b")).select(
+    sets = sets.groupBy("n", *SET_KEY).agg(F.min(F.struct("band", "key", "top")).alias("b")).select(
         "b.band", "b.key", F.col("b.top.root").alias("top"),
         F.ceil((F.col("n") - F.col("b.top.n")) / CHUNK).cast("int").alias("chunks"),
         F.when(F.col("n") > CHUNK, F.ceil(F.col("b.top.n") / CHUNK)).otherwise(0).cast("int").alias("top_chunks"))

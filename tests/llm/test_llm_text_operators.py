@@ -287,3 +287,29 @@ def test_near_duplicates_stars_of_independent_edits(spark, edits):
                 low, high = sorted((root[i], root[j]))
                 root = [low if r == high else r for r in root]
     assert got == {rows[i][0]: rows[root[i]][0] for i in range(len(rows))}
+
+
+def test_sets_of_equal_size_and_sum_are_told_apart(spark):
+    """Two buckets of two texts whose 40-bit hashes add up alike (found by search in a small range of hashes)."""
+    hashed = spark.range(3_000_000).selectExpr("id", "xxhash64(id) & ((1L << 40) - 1) AS h").toPandas()
+    h, seen, found = hashed["h"].to_numpy(), {}, None
+    order = np.argsort(h)
+    gaps = np.diff(h[order])
+    for place in np.argsort(gaps, kind="stable"):  # a + d = b + c where b - a = d - c
+        before = seen.get(gaps[place])
+        if before is not None and abs(before - place) > 1:
+            found = order[[before, before + 1, place, place + 1]]
+            break
+        seen[gaps[place]] = place
+    a, b, c, d = (int(x) for x in found)
+    named = spark.createDataFrame([(a, 0, 1, a), (d, 0, 1, d), (b, 1, 2, b), (c, 1, 2, c), (a, 2, 3, a), (d, 2, 3, d)],
+                                  "node long, band int, key long, root long")
+    sets = {r["band"]: r for r in minhash._sets(named).collect()}
+    assert sets[0]["n"] == sets[1]["n"] == 2 and sets[0]["sum"] == sets[1]["sum"]
+    key = lambda r: [r[k] for k in minhash.SET_KEY]
+    assert key(sets[0]) != key(sets[1]) and key(sets[0]) == key(sets[2])
+    # both buckets are compared, each holds a pair of equal texts
+    bag = np.arange(50, dtype=np.uint32).tobytes()
+    shingled = spark.createDataFrame([(x, bytearray(bag)) for x in (a, b, c, d)], "node long, units binary")
+    links = {tuple(sorted(r)) for r in minhash._in_blocks(named, shingled, 0.8).collect()}
+    assert links == {tuple(sorted((a, d))), tuple(sorted((b, c)))}
