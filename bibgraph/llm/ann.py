@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 CHUNK, QUERY_BLOCK = 8192, 1024
+TRIVIAL = 400  # distinct vectors; smaller tables are one part, searched exactly
 
 
 class Router:
@@ -240,7 +241,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 12_0
     chosen = entries.select("vec") if total <= sample else entries.select("vec").filter(
         F.pmod(F.xxhash64("vec"), F.lit(1_000_000)) < int(1_000_000 * sample / total))
     x = [np.frombuffer(r["vec"], "<f8") for r in chosen.collect()]
-    parts = parts or int(np.clip(total // 4096, 1, 64))
+    parts = parts or int(np.clip(total // 4096, 4 if total >= TRIVIAL else 1, 64))
     router = fit(np.stack(sorted(x, key=lambda v: v.tobytes())), parts, k, target_recall) \
         if parts > 1 and len(x) > 4 * parts else None
     home = (lambda s: s.argmax(1)[:, None]) if router else None

@@ -123,6 +123,15 @@ def test_search_recall_over_learned_parts(spark):
     assert recall >= 0.9
 
 
+def test_small_tables_are_partitioned_too(spark, monkeypatch):
+    fitted, fit = [], ann.fit
+    monkeypatch.setattr(ann, "fit", lambda x, parts, *args: fitted.append((len(x), parts)) or fit(x, parts, *args))
+    x = np.random.default_rng(4).normal(size=(500, 8))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert ann.search(vectors, F.col("vec_id") % 20 == 0, k=5).count() == 25 * 5
+    assert fitted == [(500, 4)]
+
+
 def test_balanced_parts():
     graph = ann.neighbour_graph(np.random.default_rng(0).normal(size=(200, 4)).astype(np.float32), 6)
     part = ann.balanced_parts(graph, 5)
