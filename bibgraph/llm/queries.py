@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, language_id, line_dedup, minhash, mixing, packing, pii, substring_dedup, toxicity
+from . import ann, fingerprints, language_id, line_dedup, merkle, minhash, mixing, packing, pii, substring_dedup, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,5 +75,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.result(table(spark, sf_dir, "documents"))
 
 
+@register
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.result(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
+    return {"op3_line_dedup": line_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql(),
+            "op12_merkle_manifest": merkle.oracle_sql()}
