@@ -73,6 +73,8 @@ def chunks(texts, limit: int = CHUNK_CHARS):
 _ROOT = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2**64
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_NO_TERM = ~np.isin(np.arange(256), [*range(48, 58), *range(97, 123), *range(128, 256)])
+_LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
 class Powers:
@@ -100,12 +102,25 @@ def windowed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: P
 
 def hashed_words(texts, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs of other bytes than ASCII white space), and the word count of each text."""
+    joined, text_ends = _joined(texts)
+    return _hashed_runs(joined, _SPACE, text_ends, powers)
+
+
+def hashed_terms(texts, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all terms (runs of ASCII letters, lower-cased, digits and other than ASCII), and each text's count."""
+    joined, text_ends = _joined(texts)
+    return _hashed_runs(_LOWERED[joined], _NO_TERM, text_ends, powers)
+
+
+def _joined(texts) -> tuple[np.ndarray, np.ndarray]:
     raw = [utf8(t) for t in texts]
-    joined = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    space = _SPACE[joined]
-    edge = np.flatnonzero(np.diff(space, prepend=True))  # word starts and ends take turns
+    return (np.frombuffer(b"\n".join(raw) + b"\n", np.uint8),
+            np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))))
+
+
+def _hashed_runs(joined: np.ndarray, between: np.ndarray, text_ends: np.ndarray, powers: Powers):
+    edge = np.flatnonzero(np.diff(between[joined], prepend=True))  # run starts and ends take turns
     starts, ends = edge[::2], edge[1::2]
-    text_ends = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
     counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
     return windowed(_BYTE_VALUES[joined], starts, ends, powers), counts
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, language_id, line_dedup, merkle, minhash, mixing, packing, pii, substring_dedup, toxicity
+from . import (ann, decontamination, fingerprints, language_id, line_dedup, merkle, minhash, mixing, packing, pii,
+               substring_dedup, toxicity)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,11 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.result(table(spark, sf_dir, "documents"))
 
 
+@register
+def op13_decontamination(spark, sf_dir):
+    return decontamination.result(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": line_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql(),
-            "op12_merkle_manifest": merkle.oracle_sql()}
+            "op12_merkle_manifest": merkle.oracle_sql(), "op13_decontamination": decontamination.oracle_sql()}
