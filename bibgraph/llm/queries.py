@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, decontamination, fingerprints, language_id, line_dedup, merkle, minhash, mixing, packing, pii,
-               substring_dedup, toxicity)
+from . import (ann, decontamination, fingerprints, language_id, lexical_search, line_dedup, merkle, minhash, mixing, packing,
+               pii, substring_dedup, toxicity)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.result(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_k2_treap_search(spark, sf_dir):
+    return lexical_search.result(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.result(table(spark, sf_dir, "documents"))
@@ -88,4 +93,5 @@ def op13_decontamination(spark, sf_dir):
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": line_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql(),
+            "op11_k2_treap_search": lexical_search.oracle_sql(),
             "op12_merkle_manifest": merkle.oracle_sql(), "op13_decontamination": decontamination.oracle_sql()}
