@@ -75,7 +75,7 @@ def suffix_array(ranks: np.ndarray, depth: int) -> np.ndarray:
     order, named = np.argsort(ranks), ranks.astype(np.int64)
     while reach < depth and n:
         key = named * (n + 1)
-        key[:n - reach] += named[reach:] + 1
+        key[:max(0, n - reach)] += named[reach:] + 1
         order = np.argsort(key)
         step = np.diff(key[order], prepend=key[order[0]]) != 0
         named[order] = np.cumsum(step)
