@@ -118,6 +118,13 @@ def _joined(texts) -> tuple[np.ndarray, np.ndarray]:
             np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))))
 
 
+def counted_terms(texts) -> np.ndarray:
+    """Number of terms of each text."""
+    joined, text_ends = _joined(texts)
+    starts = np.flatnonzero(np.diff(_NO_TERM[joined], prepend=True))[::2]
+    return np.diff(np.searchsorted(starts, text_ends), prepend=0)
+
+
 def _hashed_runs(joined: np.ndarray, between: np.ndarray, text_ends: np.ndarray, powers: Powers):
     edge = np.flatnonzero(np.diff(between[joined], prepend=True))  # run starts and ends take turns
     starts, ends = edge[::2], edge[1::2]

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Powers, chunks, hashed_terms, of_worker, written
+from .common import Powers, chunks, counted_terms, hashed_terms, of_worker, written
 
 SHARD_CHARS = 4_000_000
 BLOCK_CHARS = 1_000_000
@@ -194,6 +194,15 @@ def impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 12 * m)
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with a term, and their terms, of each batch."""
+    for batch in batches:
+        texts = batch["text"].to_pylist()
+        counts = np.concatenate([counted_terms(texts[a:b]) for a, b in chunks(texts)] or [np.zeros(0, np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array([np.count_nonzero(counts)], pa.int64()),
+                                          pa.array([counts.sum()], pa.int64())], ["docs", "terms"])
+
+
 def _shards(n_docs: int, n_terms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = of_worker("lexical_search", Powers)
@@ -233,8 +242,8 @@ def _shard(ids: list, terms: np.ndarray, counts: np.ndarray, n_docs: int, n_term
 def build_index(docs: DataFrame) -> Index:
     """Every document of doc_id and text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    n = F.regexp_count("text", F.lit(TERM))
-    n_docs, n_terms = docs.select(n.alias("n")).filter("n > 0").agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_docs, n_terms = docs.select("text").mapInArrow(_sizes, "docs long, terms long").agg(
+        F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))).first()
     shards = written(docs.mapInArrow(_shards(n_docs, n_terms), _INDEX), "treaps")
     return Index(shards, n_docs, n_terms)
 
