@@ -18,9 +18,11 @@ count; lengths between the powers are named up to there, and nothing is lost.
 Ranks are hashes, not sorted positions:
 equality of prefixes and the first copy are all that is asked of the order.
 
-Defined results: a null text has no lines and stays null.  Rows with equal
-doc_id and text are one document: both keep or lose the same lines.  Null ids
-come first in the order.
+Defined results: a null text has no lines and stays null; an empty text is one
+blank line.  Rows with equal doc_id and text are one document: both keep or lose
+the same lines.  Null ids come first in the order.  A later copy may overlap the
+first: of six equal lines of four words the first stays, and of many blank lines
+in a row one.  Texts of any length are taken whole; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -134,9 +136,9 @@ def result(docs: DataFrame, **options) -> DataFrame:
 
 
 def oracle_sql(min_words: int = MIN_WORDS) -> str:
-    """DuckDB SQL of result(): windows of 1, 2, 4, ... lines up to min_words that repeat an earlier one."""
-    levels, size = [], 1
-    while size < 2 * min_words:
+    """DuckDB SQL of result(): windows of 1 to min_words lines that repeat an earlier one."""
+    levels, sizes = [], range(1, min_words + 1)
+    for size in sizes:
         levels.append(f"""w{size} AS (
   SELECT doc_id, pos, {size} AS n,
          row_number() OVER (PARTITION BY lines ORDER BY doc_id, pos) AS nth, words
@@ -145,8 +147,6 @@ def oracle_sql(min_words: int = MIN_WORDS) -> str:
         FROM line WINDOW nxt AS (PARTITION BY doc_id ORDER BY pos
                                  ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING)) x
   WHERE have = {size})""")
-        size *= 2
-    sizes = [1 << i for i in range(len(levels))]
     marks = " UNION ALL ".join(f"SELECT doc_id, pos, n FROM w{s} WHERE nth > 1 AND words >= {min_words}"
                                for s in sizes)
     return f"""WITH line AS MATERIALIZED (

@@ -99,8 +99,7 @@ def lines_brute(rows, min_words):
     split = {d: d[1].split("\n") for d in docs}
     weight = lambda ls: sum(max(1, len(re.findall(r"[^ \t\n\f\r]+", x))) for x in ls)
     gone = {d: set() for d in docs}
-    size = 1
-    while size < 2 * max(map(len, split.values()), default=1):
+    for size in range(1, max(map(len, split.values()), default=0) + 1):
         seen = set()
         for d in docs:
             for s in range(len(split[d]) - size + 1):
@@ -108,7 +107,6 @@ def lines_brute(rows, min_words):
                 if run in seen and weight(run) >= min_words:
                     gone[d] |= set(range(s, s + size))
                 seen.add(run)
-        size *= 2
     return {d: "\n".join(x for p, x in enumerate(split[d]) if p not in gone[d]) for d in docs}
 
 
@@ -134,6 +132,12 @@ def test_line_dedup_equals_brute_force(spark, min_words):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_of_overlapping_copies(spark):
+    rows = [(1, "\n".join(["a b c d"] * 6), "en", "a"), (2, "\n" * 12, "en", "a"), (3, "x\n\n\ny", "en", "a")]
+    got = {r["doc_id"]: r["kept_text"] for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+    assert got == {1: "a b c d", 2: "", 3: "x\n\n\ny"}
+
+
 def every_run_brute(rows, min_words):
     """Lines kept by document, every run length tried."""
     docs = sorted({(i, t) for i, t, *_ in rows if t is not None})
