@@ -6,6 +6,7 @@ import sys
 import types
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,31 @@ def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def sampled(rows: DataFrame, size: int, seed: str, total: int | None = None) -> DataFrame:
+    """At most `size` of the rows (doc_id, text, ...), drawn by a hash of id and text.
+
+    Rows equal in both share their draw; where that leaves none, any `size` rows are taken.
+    """
+    total = rows.count() if total is None else total
+    if total <= size:
+        return rows
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    # a margin above the wanted share, then the smallest draws: never more than `size`
+    some = rows.withColumn("_draw", draw).filter(F.col("_draw") < 1.2 * size / total + 50 / total)
+    some = rows.withColumn("_draw", F.lit(0.0)) if some.isEmpty() else some
+    return some.orderBy("_draw").limit(size).drop("_draw")
+
+
+def released(run):
+    """A task function on Arrow batches that hands freed memory back to the system when its partition ends."""
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        pa.system_memory_pool().release_unused()
+
+    return tidy
+
+
 def of_worker(operator: str, make):
     """A table shared by the tasks of one Python worker.
 
@@ -121,7 +147,7 @@ def _joined(texts) -> tuple[np.ndarray, np.ndarray]:
 def counted_terms(texts) -> np.ndarray:
     """Number of terms of each text."""
     joined, text_ends = _joined(texts)
-    starts = np.flatnonzero(np.diff(_NO_TERM[joined], prepend=True))[::2]
+    starts = np.flatnonzero(np.diff(_NO_TERM[_LOWERED[joined]], prepend=True))[::2]
     return np.diff(np.searchsorted(starts, text_ends), prepend=0)
 
 

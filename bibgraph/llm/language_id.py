@@ -4,8 +4,9 @@ Kernel: blended-spectrum presence kernel, the number of hashed character
 n-grams (n = 2, 3, 4, lower case, the text padded by blanks) that two whole
 texts share, divided by the geometric mean of their own numbers.  Nyström
 landmarks and one-versus-rest kernel ridge regression are fitted on a bounded
-sample of labelled rows: about `per_lang` rows of each language, of which about
-`landmarks / languages` each are landmarks.  The regression is linear in the
+sample of labelled rows: at most `per_lang` rows of each of the `languages` most
+frequent languages and `sample_rows` in all, drawn by a hash of id and text; about
+`landmarks` of them, as many of each language, are landmarks.  The regression is linear in the
 kernel, and the kernel is linear in the presence vector, so landmarks and ridge
 weights fold into one matrix (buckets x languages), and a batch of documents is
 scored by one matrix product.
@@ -20,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, crc_of_id, of_worker
+from .common import arrow_batches, crc_of_id, of_worker, released
 
 BUCKETS = 1 << 15
 _SHIFT = np.uint32(32 - 15)
@@ -71,17 +72,22 @@ def _unpacked(bits: list[bytes]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, training: Column, per_lang: int = 800, landmarks: int = 256,
-        ridge: float = 1e-4) -> tuple[list[str], np.ndarray]:
-    """Languages and the folded matrix, from about `per_lang` rows of each language where `training`."""
+        ridge: float = 1e-4, languages: int = 256, sample_rows: int = 16_000) -> tuple[list[str], np.ndarray]:
+    """Languages and the folded matrix, from at most `per_lang` rows of each language where `training`."""
     rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    counts = {r["lang"]: r["count"] for r in common.collect()}
     if not counts:
         return [], np.zeros((BUCKETS, 0), np.float32)
+    each = max(1, min(per_lang, sample_rows // len(counts)))
+    # a margin above the wanted share, then the smallest draws of each language
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
-                           for x in (lang, min(1.0, per_lang / n))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000)) / 1_000_000
-    sample = (rows.filter(draw < share[F.col("lang")]).select("lang", "text")
-              .mapInArrow(_pack, "lang string, bits binary").collect())
+                           for x in (lang, min(1.0, 1.2 * each / n + 50 / n))])
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("language sample")), F.lit(1 << 40)) / float(1 << 40)
+    drawn = rows.withColumn("_draw", draw).filter(F.col("_draw") < share[F.col("lang")])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "text"))
+    sample = (drawn.withColumn("_nth", first).filter(F.col("_nth") <= each).select("lang", "text")
+              .mapInArrow(released(_pack), "lang string, bits binary").collect())
     sample = sorted((r["lang"], bytes(r["bits"])) for r in sample)
     langs = sorted({lang for lang, _ in sample})
     if not langs:
@@ -139,7 +145,7 @@ def identify(docs: DataFrame, held_out: Column | None = None, **options) -> Data
     held_out = F.lit(False) if held_out is None else held_out
     langs, folded = fit(docs, ~held_out, **options)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
-    return rows.mapInArrow(_score(langs, folded),
+    return rows.mapInArrow(released(_score(langs, folded)),
                            "doc_id long, held_out boolean, lang_pred string, score double")
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, arrow_batches, chunks, hashed_words, mix, of_worker, windowed, written
+from .common import Powers, arrow_batches, chunks, hashed_words, mix, of_worker, released, windowed, written
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 16, 5, 0.8
 COORDINATES = BANDS * ROWS
@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "nid", F.coalesce("doc_id", -1 - t1.bitwiseAND(F.lit((1 << 62) - 1))))
     signed = written(docs.select("doc_id", "nid", "text", t1.alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
-                     .mapInArrow(_bands(bands, rows, size), "doc_id long, nid long, t1 long, t2 long, bands array<long>"),
+                     .mapInArrow(released(_bands(bands, rows, size)), "doc_id long, nid long, t1 long, t2 long, bands array<long>"),
                      "signatures")
     copies = written(signed.filter("bands is not null").groupBy("t1", "t2")
                      .agg(F.min("nid").alias("first"), F.max("nid").alias("last"))
@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     shared = written(placed.join(written(full, "buckets"), ["band", "key"]).distinct(), "shared")
     wanted = shared.select("node").distinct()
     shingled = written(docs.join(wanted.hint("merge"), docs["nid"] == wanted["node"]).select("node", "text")
-                       .mapInArrow(_units_of(size), "node long, units binary"), "units")
+                       .mapInArrow(released(_units_of(size)), "node long, units binary"), "units")
     links, open_ = [], shared
     for turn in range(LEADER_ROUNDS):
         order = F.xxhash64("node", F.col("band") % LEADER_ORDERS, F.lit(turn))
@@ -282,7 +282,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         a = shingled.select("node", F.col("units").alias("a_units"))
         b = shingled.select(F.col("node").alias("lead"), F.col("units").alias("b_units"))
         judged = written(pairs.join(a, "node").join(b, "lead").select("node", "lead", "a_units", "b_units")
-                         .mapInArrow(_compare(threshold), "node long, lead long, linked boolean"), "judged")
+                         .mapInArrow(released(_compare(threshold)), "node long, lead long, linked boolean"), "judged")
         links.append(judged.filter("linked").select(F.col("node").alias("a"), F.col("lead").alias("b")))
         open_ = written(met.join(judged.filter("not linked").distinct(), ["node", "lead"])
                         .select("node", "band", "key").distinct(), "open")

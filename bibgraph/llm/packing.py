@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batches, of_worker, written
+from .common import arrow_batches, of_worker, released, written
 
 CAPACITY = 2048
 SEPARATOR = b"\0\0\0\0"
@@ -148,7 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, digest: bo
     arrow_batches(docs.sparkSession, 2500)
     kind = "ids_crc32 long" if digest else "ids binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _tokenize(tokenizer, capacity, digest), f"doc_id long, piece int, start long, length long, {kind}")
+        released(_tokenize(tokenizer, capacity, digest)), f"doc_id long, piece int, start long, length long, {kind}")
 
 
 # --- the rounds over size classes -----------------------------------------------------------------

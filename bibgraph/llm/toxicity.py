@@ -10,7 +10,7 @@ minimises the class-prior-corrected risk of Kiryo et al. (2017),
 by Adam on numpy minibatches; where the bracket turns negative, the step goes
 against it.  The class prior pi is the share of toxic rows among the labelled
 training rows.  The fit reads a bounded sample (`positives`, `unlabelled`
-documents, parameters).  Features are kept (at most the `features` strongest)
+documents at most, parameters).  Features are kept (at most the `features` strongest)
 whose document frequencies in positives and in unlabelled text differ by at
 least `least_shift` standard errors and by a quarter of the strongest shift;
 weights start at `start` times the prior-corrected log odds of those
@@ -30,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import ArrowUDFType
 
-from .common import arrow_batches, of_worker, written
+from .common import arrow_batches, of_worker, released, sampled, written
 
 WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.7
@@ -63,15 +63,6 @@ def _known(vocabulary: list[str]):
     return run
 
 
-def _sampled(rows: DataFrame, size: int, seed: str) -> DataFrame:
-    """About `size` rows, chosen by a hash of the id."""
-    total = rows.count()
-    if total <= size:
-        return rows
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    return rows.filter(draw < size / total)
-
-
 def risk_gradient(x_p: np.ndarray, x_u: np.ndarray, w: np.ndarray, prior: float) -> np.ndarray:
     """Gradient of the non-negative risk (logistic loss) of one minibatch; the last column is the bias."""
     g_p, g_u = x_p @ w, x_u @ w
@@ -137,10 +128,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, positives: int = 3
     prior, n = marks.agg(F.avg((F.col("toxic") == 1).cast("int")), F.count("*")).first()
     if not n or not prior:
         return {}
-    toxic = _sampled(marks.filter("toxic = 1").select("doc_id"), positives, "positives")
     texts = docs.select("doc_id", "text").filter(training & F.col("text").isNotNull())
-    held = written((texts.join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
-                    .unionByName(_sampled(texts, unlabelled, "unlabelled").withColumn("positive", F.lit(False))))
+    toxic = sampled(marks.filter("toxic = 1").select("doc_id", F.lit("").alias("text")), positives, "positives")
+    confirmed = written(texts.join(toxic.select("doc_id"), "doc_id", "left_semi"), "confirmed")
+    held = written((sampled(confirmed, positives, "positives").withColumn("positive", F.lit(True))
+                    .unionByName(sampled(texts, unlabelled, "unlabelled").withColumn("positive", F.lit(False))))
                    .select("positive", "text"), "sample")
     sizes = {r["positive"]: r["count"] for r in held.groupBy("positive").count().collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
@@ -160,22 +152,16 @@ def score_of(text: str | None, weights: dict[str, float]) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _score(weights: dict[str, float]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_worker("toxicity", dict)
-        for batch in batches:
-            scores = pa.array([score_of(t, weights) for t in batch["text"].to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
-
-    return run
-
-
 def with_score(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """The rows with a column `score` (a column of that name is replaced)."""
+    """The rows with a column `score` (a column of that name is replaced); only texts pass through Python."""
     arrow_batches(docs.sparkSession)
-    rows = docs.drop("score")
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_score(weights), schema)
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of_worker("toxicity", dict)
+        for part in texts:
+            yield pa.array([score_of(t, weights) for t in part.to_pylist()], pa.float64())
+
+    return docs.withColumn("score", F.arrow_udf(released(run), "double", ArrowUDFType.SCALAR_ITER)(F.col("text")))
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, **options) -> DataFrame:

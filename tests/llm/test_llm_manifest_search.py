@@ -137,6 +137,7 @@ def test_search_equals_brute_force(spark, monkeypatch, shard_chars, block_chars)
     rng = random.Random(4)
     docs = edge_rows()
     docs += [(100 + i, " ".join(words(i, rng.randint(1, 80), 60)), "en", "a") for i in range(150)]
+    docs += [(300, "MiXed CASE wOrds COUNT as One w1", "en", "a")]
     docs += [(400 + i, "W1 w2, w3 repeated", "en", "a") for i in range(40)]  # more ties than places
     items = [(1, "w1 W2 w3"), (2, None), (3, ""), (4, "nowhere found"), (None, "é w4 w4 w4"), (1, "w7 w8 w9 w9 w0"),
              (5, " ".join(words(8, 60, 60))), (6, " ".join(words(2, 30, 5000))), (7, "x😀")]

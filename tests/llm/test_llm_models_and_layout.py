@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bibgraph.llm import ann, language_id, mixing, packing, toxicity
+from bibgraph.llm.common import sampled
 from bibgraph.llm.queries import REGISTRY, oracle_sql, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -230,7 +231,8 @@ def test_sql_oracles(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name_ in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM read_parquet('{SF}/{name_}.parquet')")
     got = REGISTRY[name](spark, SF)
     cols = sorted(got.columns)
     expected = con.sql(oracle_sql()[name]).df()[cols]
@@ -240,7 +242,7 @@ def test_sql_oracles(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
@@ -268,6 +270,30 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {r["doc_id"] for r in mixed.collect()}
 
 
+def test_near_dedup_stage_tells_rows_apart(spark):
+    texts = [" ".join(words(800 + i, 60, 3000)) for i in range(4)]
+    rows = [(1, texts[0], "en", "a"), (1, texts[1], "en", "a"), (None, texts[2], "en", "a"),
+            (None, texts[2], "de", "b"), (7, texts[3], "en", "a"), (3, texts[3], "en", "a"),
+            (9, None, "en", "a"), (9, None, "en", "a"), (10, "", "en", "a")]
+    out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame(spark, rows), SF)
+    assert out.columns == corpus_pipeline.COLUMNS
+    left = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted(left, key=str) == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (3, texts[3]),
+                                            (9, None), (9, None), (10, "")], key=str)
+
+
+@pytest.mark.parametrize("ids", [[None], [1], [4], range(5000)])
+def test_samples_keep_their_bound(spark, ids):
+    rows = [(ids[i % len(ids)], f"text {i}", "en", "a") for i in range(5000)]
+    docs = frame(spark, rows)
+    assert 850 <= sampled(docs, 900, "x").count() <= 900
+    assert sampled(docs, 6000, "x").count() == 5000
+    same = frame(spark, [(1, "one text", "en", "a")] * 300)
+    assert 0 < sampled(same, 20, "x").count() <= 20
+    langs, folded = language_id.fit(docs, F.lit(True), per_lang=100)
+    assert langs == ["en"] and folded.shape == (language_id.BUCKETS, 1)
+
+
 def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SF)
     layout_is_sound(out.collect(), packing.CAPACITY)
