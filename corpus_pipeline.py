@@ -43,20 +43,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each near-duplicate class.
+    """One row of each near-duplicate class: the one of the smallest doc_id (null last).
 
-    Of rows that share a doc_id one stays (the one with the smallest text); rows
-    without an id stay as they are.
+    Rows are told apart by a number of their own, not by doc_id: rows that share an id
+    stay if their texts differ, and exact copies without an id go.  Null texts and texts
+    without a word are no one's copies.
     """
-    found = minhash.near_duplicates(docs)
-    dropped = found.filter("doc_id <> class_id").select("doc_id").distinct()
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    left = docs.select(*COLUMNS).join(written(dropped, "dropped"), "doc_id", "left_anti")
-    repeated = written(repeated, "repeated")
-    one = (left.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
-           .select("doc_id", "row.*"))
-    return left.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(one).select(*COLUMNS)
+    rows = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    grouped = found.groupBy("class_id").count().filter("count > 1").select("class_id")
+    members = written(found.join(grouped, "class_id").select("class_id", F.col("doc_id").alias("row")), "members")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    kept = (members.join(rows.select("row", "doc_id"), "row").groupBy("class_id")
+            .agg(F.min(first).alias("first")).select(F.col("first.row").alias("row")))
+    dropped = written(members.select("row").join(kept, "row", "left_anti"), "dropped")
+    return rows.join(dropped, "row", "left_anti").select(*COLUMNS)
 
 
 def sample_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
