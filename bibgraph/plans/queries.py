@@ -21,7 +21,7 @@ from ..operators.authors import process_authors
 from ..operators.graph_algorithms import pagerank
 from ..operators.upsert import dedupe_keep_first
 from ..session import checkpoint_dir, scratch_path
-from ..sources import csv_io, payloads
+from ..sources import csv_io, payloads, split_csv
 from ..sources.fixtures import COMMUNITY_TERMS, graph_from_tables
 from ..sources.load_files import author_load_rows, paper_load_rows, with_abstracts
 from ..sources.raw_papers import raw_authors, raw_papers
@@ -557,6 +557,16 @@ def q_csv_round_trip(spark, sf_dir):
     return csv_io.read_csv(spark, path, "doc_id bigint, text string, lang string, source string")
 
 
+@register("csv_round_trip_split")
+def q_csv_round_trip_split(spark, sf_dir):
+    """Texts with quotes and line breaks, written as CSV and read by byte ranges."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "csv_round_trip_split")
+    csv_io.write_csv(docs, path)
+    rows, _ = split_csv.read_split(spark, path, docs.schema)
+    return rows
+
+
 @register("community_papers")
 def q_community_papers(spark, sf_dir):
     """(kind, name, paperId): papers with a community keyword, per journal/conference."""

@@ -145,41 +145,40 @@ def read_load_files(spark, paths: dict[str, str], order_col: str = "row_no") ->
     ``kind`` of their file and an order: ``order_col`` when the file has it,
     else (file, position): files in path order, rows as they stand.  ``path``
     may be a folder or a list of files; files of one kind may have different
-    headers."""
+    headers.  A row that doesn't fit its header raises, as a failing load does;
+    ``read_load_files_with_rejects`` lists such rows instead."""
     out = None
-    for kind, path in paths.items():
-        for df in _by_header(spark, [path] if isinstance(path, str) else list(path)):
-            if order_col in df.columns:
-                df = df.withColumn("row_no", F.col(order_col).try_cast("bigint")).drop("_order")
-            else:
-                df = df.withColumnRenamed("_order", "row_no")
-            df = df.withColumn("kind", F.lit(kind))
-            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    for kind, (df, rejects) in _read_kinds(spark, paths).items():
+        first = rejects.first()
+        if first is not None:
+            raise ValueError(f"{first['file']}: broken row at {first['pos']}: {first['record'][:200]}")
+        out = _ordered(df, kind, order_col, out)
     return out
 
 
-def _by_header(spark, paths: list[str]):
-    """One frame per distinct header, all strings, with ``_order`` = (file, position) in one number.
-
-    A multi-line file is read by one task, so the lower 33 bits of the
-    monotonic id grow with the position in the file.
-    """
-    from .csv_io import READ_OPTIONS
-
-    listing = spark.read.format("binaryFile").load(paths).select("path")  # names only, no content
-    files = sorted(r["path"] for r in listing.where(~F.col("path").rlike(r"/[_.][^/]*$")).collect())
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        header = tuple(spark.read.options(**READ_OPTIONS).csv(f).columns)
-        if header:
-            groups.setdefault(header, []).append(f)
-    for header, members in groups.items():
-        numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files) if f in members],
-                                        "_file string, _file_no bigint")
-        df = (spark.read.options(**READ_OPTIONS).csv(members)
-              .select("*", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("_f"),
-                      F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")))
-        numbers = numbers.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/"))
-        yield (df.join(F.broadcast(numbers), F.col("_f") == F.col("_file"))
-               .withColumn("_order", F.shiftleft("_file_no", 33).bitwiseOR(F.col("_at")))
-               .select(*header, "_order"))
+def read_load_files_with_rejects(spark, paths: dict[str, str],
+                                 order_col: str = "row_no") -> tuple[DataFrame, DataFrame]:
+    """As ``read_load_files``, but a broken row costs one row: it is left out and listed
+    in the second frame (kind, file, pos, record)."""
+    out = bad = None
+    for kind, (df, rejects) in _read_kinds(spark, paths).items():
+        out = _ordered(df, kind, order_col, out)
+        listed = rejects.select(F.lit(kind).alias("kind"), "file", "pos", "record")
+        bad = listed if bad is None else bad.unionByName(listed)
+    return out, bad
+
+
+def _read_kinds(spark, paths: dict[str, str]) -> dict[str, tuple[DataFrame, DataFrame]]:
+    from .split_csv import read_by_header
+
+    return {kind: read_by_header(spark, path) for kind, path in paths.items()}
+
+
+def _ordered(df: DataFrame, kind: str, order_col: str, others: DataFrame | None) -> DataFrame:
+    """df with ``kind`` and ``row_no``, after the rows of the other kinds."""
+    if order_col in df.columns:  # files without the column keep the order in which they stand
+        df = df.withColumn("row_no", F.coalesce(F.col(order_col).try_cast("bigint"), F.col("_order"))).drop("_order")
+    else:
+        df = df.withColumnRenamed("_order", "row_no")
+    df = df.withColumn("kind", F.lit(kind))
+    return df if others is None else others.unionByName(df, allowMissingColumns=True)

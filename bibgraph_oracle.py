@@ -679,6 +679,7 @@ FROM conversations WHERE conv_id % 10 <> 0
 SELECT paperId, keyword AS field_query FROM contains WHERE keyword IN {COMMUNITY_TERMS_SQL}
 """),
     "csv_round_trip": "SELECT doc_id, text, lang, source FROM documents",
+    "csv_round_trip_split": "SELECT doc_id, text, lang, source, n_chars FROM documents",
 }
 ALGORITHMS.update(MISC)
 
