@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, scratch_database
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
 
@@ -116,16 +116,14 @@ def bucketed(df: DataFrame, cols: list[str], label: str) -> tuple[DataFrame, str
 
     A bucketed scan reports its hash partitioning, so later joins on ``cols``
     shuffle only the other side; the written table is also the lineage cut.
-    Returns the table and its catalog name.
+    Returns the table and its catalog name; dropping the table removes its files.
     """
     spark = df.sparkSession
     n = _partitions(spark)
-    path = scratch_path(spark, label)
-    name = f"bibgraph_{label}_{uuid.uuid4().hex[:12]}"
+    name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex[:12]}"
     # hash-partition on the bucket columns first: bucket ids use the same
     # hash, so each task writes exactly one bucket file (not tasks x buckets)
-    (df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols)
-     .option("path", path).saveAsTable(name))
+    df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols).saveAsTable(name)
     return spark.table(name), name
 
 
@@ -161,13 +159,58 @@ class EdgeSet:
         return self.edges.join(sv, ["src", "salt"]).select("dst", *cols)
 
     def release(self) -> None:
-        """Forget the catalog entries (files go with the checkpoint folder).
+        """Drop the tables and their files.
         Call only after every result that reads the edge set is cut."""
         for n in self._names:
             self.spark.sql(f"DROP TABLE IF EXISTS {n}")
         self._names = []
 
 
+@dataclass(frozen=True)
+class NamedProjection(Projection):
+    """A projection whose edges are written, bucketed in both directions, for any number of algorithm runs."""
+    name: str = ""
+    forward: EdgeSet | None = None
+    backward: EdgeSet | None = None
+    has_loops: bool = False
+
+
+class ProjectionCatalog:
+    """Named projections: written once, shared by the algorithms, dropped with their files."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._held: dict[str, tuple[NamedProjection, str]] = {}
+
+    def project(self, name: str, proj: Projection, hot_edges: int | None = None) -> NamedProjection:
+        """Write a projection under a name; a name can be used again after ``drop``."""
+        if name in self._held:
+            raise ValueError(f"a projection named {name!r} exists")
+        vertices, table = bucketed(proj.vertices, ["id"], "vertices")
+        forward = EdgeSet(proj.edges.distinct(), hot_edges)
+        edges = forward.edges.select("src", "dst")
+        backward = EdgeSet(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hot_edges)
+        loops = not edges.where("src = dst").isEmpty()
+        out = NamedProjection(vertices, edges, name, forward, backward, loops)
+        self._held[name] = (out, table)
+        return out
+
+    def get(self, name: str) -> NamedProjection:
+        if name not in self._held:
+            raise KeyError(f"no projection named {name!r}")
+        return self._held[name][0]
+
+    def names(self) -> list[str]:
+        return sorted(self._held)
+
+    def drop(self, name: str) -> None:
+        """Forget a projection and remove its files; results that still read it must be written before."""
+        proj = self.get(name)
+        proj.forward.release()
+        proj.backward.release()
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._held.pop(name)[1]}")
+
+
 class Materializer:
     """Per-round materialisation for loops: cache most rounds (the caller's
     convergence count fills the cache), a reliable checkpoint every ``every``
@@ -213,7 +256,8 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
-    es = EdgeSet(proj.edges.distinct(), hot_edges)
+    named = isinstance(proj, NamedProjection)
+    es = proj.forward if named else EdgeSet(proj.edges.distinct(), hot_edges)
     base = 1.0 - damping
     mat = Materializer(checkpoint_every)
     ranks = None
@@ -243,7 +287,8 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
         else:
             ranks = new.checkpoint(eager=True) if last or i % checkpoint_every == 0 else new
     mat.close()
-    es.release()
+    if not named:
+        es.release()
     if ranks is None:
         ranks = proj.vertices.select("id", F.lit(base).alias("rank")).limit(0)
     return (proj.vertices.join(ranks, "id", "left")
@@ -275,11 +320,15 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     checkpoint_dir(spark)
     p = _partitions(spark)
     active = _cut(proj.vertices.select("id").distinct().repartition(p, "id"))
-    edges = _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
+    # the edges of a named projection are distinct and written in both directions
+    held = [proj.forward, proj.backward] if isinstance(proj, NamedProjection) and not proj.has_loops else []
+    edges = proj.edges if held else _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
     found: list[DataFrame] = []
     while not active.isEmpty():
-        fwd = EdgeSet(edges, hot_edges)
-        bwd = EdgeSet(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hot_edges)
+        own = not held
+        fwd, bwd = held or (EdgeSet(edges, hot_edges), EdgeSet(
+            edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hot_edges))
+        held = []
         degree = lambda es, name: es.fanout.select("id", F.col("outdeg").alias(name))
         state = _cut(active.join(degree(fwd, "n_out"), "id", "left").join(degree(bwd, "n_in"), "id", "left")
                      .select("id", F.coalesce("n_out", F.lit(0)).alias("n_out"),
@@ -298,8 +347,9 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                                  (F.col("n_in") - F.coalesce("less_in", F.lit(0))).alias("n_in")))
         active = state.select("id")
         if active.isEmpty():
-            fwd.release()
-            bwd.release()
+            if own:
+                fwd.release()
+                bwd.release()
             break
         # forward colouring: colour(v) = smallest (hash(id), id) among the
         # vertices that reach v.  Hashed priorities make the number of phases
@@ -322,7 +372,8 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                 break
         colour = _cut(colour.select("id", F.col("c.r").alias("c")))  # colour = its root id
         mat.close()
-        fwd.release()
+        if own:
+            fwd.release()
         # backward sweep inside each colour, from the root: a message counts
         # only where sender and receiver have the same colour
         mat = Materializer(checkpoint_every)
@@ -340,7 +391,8 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                 break
         mark = _cut(mark)
         mat.close()
-        bwd.release()
+        if own:
+            bwd.release()
         # component id = smallest vertex id of the component (partial aggregation per root)
         members = mark.where("k").select("id", "c")
         smallest = members.groupBy("c").agg(F.min("id").alias("componentId"))

@@ -49,20 +49,42 @@ def reset_graph(g: Graph) -> Graph:
     return Graph(**{k: empty_like(v) for k, v in g.tables().items()})
 
 
-def paper_nodes(rows: DataFrame) -> DataFrame:
-    """Paper nodes, first writer wins; year and citationCount through toInteger."""
-    r = with_file_no(rows, PAPER_FILE_ORDER).select(
+PAPER_PROPS = ["title", "url", "abstract", "year", "citationCount"]
+AUTHOR_PROPS = ["name", "affiliation", "affiliationType"]
+PUBLISHED_PROPS = ["year", "edition", "venue", "journal_volume"]
+
+
+def paper_writes(rows: DataFrame) -> DataFrame:
+    """What each load row writes to its Paper node; year and citationCount through toInteger."""
+    return with_file_no(rows, PAPER_FILE_ORDER).select(
         "paperId", "file_no", "row_no", "title", "url", "abstract",
         to_int("year").alias("year"), to_int("citationCount").alias("citationCount"))
-    return merge_nodes_first_wins(r, "paperId",
-                                  ["title", "url", "abstract", "year", "citationCount"])
+
+
+def paper_nodes(rows: DataFrame) -> DataFrame:
+    """Paper nodes, first writer wins."""
+    return merge_nodes_first_wins(paper_writes(rows), "paperId", PAPER_PROPS)
+
+
+def author_writes(author_rows: DataFrame) -> DataFrame:
+    return author_rows.select("authorId", "file_no", "row_no", F.col("name"),
+                              F.col("Affiliations").alias("affiliation"),
+                              F.col("Affiliation_type").alias("affiliationType"))
 
 
 def author_nodes(author_rows: DataFrame) -> DataFrame:
-    r = author_rows.select("authorId", "file_no", "row_no", F.col("name"),
-                           F.col("Affiliations").alias("affiliation"),
-                           F.col("Affiliation_type").alias("affiliationType"))
-    return merge_nodes_first_wins(r, "authorId", ["name", "affiliation", "affiliationType"])
+    return merge_nodes_first_wins(author_writes(author_rows), "authorId", AUTHOR_PROPS)
+
+
+def wrote_writes(rows: DataFrame, papers: DataFrame | None, trim: bool = True) -> DataFrame:
+    """What each load row writes to WROTE edges, whether or not the author exists."""
+    r = with_file_no(with_paper(rows, papers), WROTE_FILE_ORDER).select(
+        "paperId", "file_no", "row_no", "corresponding_author",
+        F.posexplode(F.split(F.col("authorIds"), ",")).alias("pos", "raw"))
+    return r.select("paperId", "file_no", "row_no", F.trim("raw").alias("authorId"),
+                    F.coalesce((F.col("corresponding_author") ==
+                                (F.trim("raw") if trim else F.col("raw"))), F.lit(False))
+                    .alias("corresponding"))
 
 
 def wrote_edges(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
@@ -72,14 +94,7 @@ def wrote_edges(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
     ``trim=False`` compares the untrimmed list item with the corresponding
     author, as the original query does (only the first item can match).
     """
-    r = with_file_no(with_paper(rows, papers), WROTE_FILE_ORDER).select(
-        "paperId", "file_no", "row_no", "corresponding_author",
-        F.posexplode(F.split(F.col("authorIds"), ",")).alias("pos", "raw"))
-    r = r.select("paperId", "file_no", "row_no", F.trim("raw").alias("authorId"),
-                 F.coalesce((F.col("corresponding_author") ==
-                             (F.trim("raw") if trim else F.col("raw"))), F.lit(False))
-                 .alias("corresponding"))
-    r = r.join(authors.select("authorId"), "authorId", "left_semi")
+    r = wrote_writes(rows, papers, trim).join(authors.select("authorId"), "authorId", "left_semi")
     return merge_edges_last_wins(r, ["authorId", "paperId"], ["corresponding"])
 
 
@@ -96,19 +111,28 @@ def venue_nodes(rows: DataFrame) -> DataFrame:
     return venue_rows(rows).select("kind", "name").distinct()
 
 
-def published_in_edges(rows: DataFrame, papers: DataFrame | None) -> DataFrame:
-    """PUBLISHED_IN with year, edition, venue (city) and, for journals, the volume.
-
-    One edge per (paper, venue); the last row's properties win.  The three
-    kinds are separate loads, so file order does not matter across kinds.
-    """
-    r = venue_rows(with_paper(rows, papers)).select(
+def published_in_writes(rows: DataFrame, papers: DataFrame | None) -> DataFrame:
+    """What each load row writes to its PUBLISHED_IN edge.  The three kinds are separate
+    loads, so file order does not matter across kinds."""
+    return venue_rows(with_paper(rows, papers)).select(
         "paperId", "kind", "name", F.lit(0).alias("file_no"), "row_no",
         to_int("year").alias("year"), to_int("edition").alias("edition"),
         F.col("venue"),
         F.when(F.col("kind") == "Journal", F.col("journal_volume")).alias("journal_volume"))
-    return merge_edges_last_wins(r, ["paperId", "kind", "name"],
-                                 ["year", "edition", "venue", "journal_volume"])
+
+
+def published_in_edges(rows: DataFrame, papers: DataFrame | None) -> DataFrame:
+    """PUBLISHED_IN with year, edition, venue (city) and, for journals, the volume.
+
+    One edge per (paper, venue); the last row's properties win.
+    """
+    return merge_edges_last_wins(published_in_writes(rows, papers), ["paperId", "kind", "name"], PUBLISHED_PROPS)
+
+
+def cites_writes(rows: DataFrame) -> DataFrame:
+    """(src, dst) of every non-empty ``Citations`` list whose row has a paper."""
+    return (with_paper(rows.where(F.col("Citations").isNotNull() & (F.col("Citations") != "")), None)
+            .select(F.col("paperId").alias("src"), F.explode(split_list("Citations", ",")).alias("dst")))
 
 
 def cites_edges(rows: DataFrame, papers: DataFrame,
@@ -158,13 +182,17 @@ def reviewed_edges(rows: DataFrame, papers: DataFrame | None, authors: DataFrame
     return r.select("authorId", "paperId").distinct()
 
 
+def reviewed_writes(rows: DataFrame, papers: DataFrame | None, trim: bool = True) -> DataFrame:
+    """What each load row writes to REVIEWED edges, whether or not the author exists."""
+    return (with_file_no(with_paper(rows, papers), REVIEW_FILE_ORDER)
+            .select("paperId", "file_no", "row_no", "approved", "comments",
+                    F.explode(split_list("reviewers", ",", trim)).alias("authorId")))
+
+
 def reviewed_edges_evolved(rows: DataFrame, papers: DataFrame | None, authors: DataFrame,
                            existing: DataFrame | None = None, trim: bool = True) -> DataFrame:
     """Schema evolution: REVIEWED edges gain ``approved`` and ``comments`` (last writer)."""
-    r = (with_file_no(with_paper(rows, papers), REVIEW_FILE_ORDER)
-         .select("paperId", "file_no", "row_no", "approved", "comments",
-                 F.explode(split_list("reviewers", ",", trim)).alias("authorId"))
-         .join(authors.select("authorId"), "authorId", "left_semi"))
+    r = reviewed_writes(rows, papers, trim).join(authors.select("authorId"), "authorId", "left_semi")
     return merge_edges_last_wins(r, ["authorId", "paperId"], ["approved", "comments"],
                                  existing=existing)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_draw
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, written
 from .ranked import numbered
 
 #: Most numbers that a row draws in one round; bounds the rows that one row becomes.
@@ -108,6 +108,59 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
     return picked.select(row_key, F.row_number().over(w).alias("rank"), "pick")
 
 
+def pick_by_rank(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame, pool_key: str, seed: str,
+                 exclude: DataFrame | None = None, self_excluded: bool = False) -> DataFrame:
+    """(row_key, rank, pick): ``min(k, eligible)`` distinct picks per row, without rejection.
+
+    As ``pick_from_pool``, but in one pass, however few members are eligible: a
+    row draws distinct ranks among its eligible members (Floyd's method: draw i of
+    k falls on 0 .. n - k + i, and takes the last of these if its number is taken),
+    and rank r is mapped to the r-th member outside the row's excluded ones.  The i-th
+    excluded place e stands before rank r exactly if e - i <= r, so the shift of a
+    rank is a running count over excluded places and ranks in one order: a window that
+    spills, never a list.  Repeated row keys count once (largest k); null row keys pick nothing.
+    """
+    key_type = pool.schema[pool_key].dataType
+    indexed = written(dense_index(pool.select(F.col(pool_key).alias("_pk")).where("_pk is not null"), "_pk"), "pool")
+    n_pool = indexed.count()
+    base = (rows.where(F.col(row_key).isNotNull()).groupBy(F.col(row_key).alias("_row"))
+            .agg(F.max(k_col).cast("bigint").alias("_k")))
+    taken = []
+    if exclude is not None:
+        taken.append(exclude.select(F.col(exclude.columns[0]).alias("_row"), F.col(exclude.columns[1]).alias("_pk")))
+    if self_excluded:
+        taken.append(base.select("_row", F.col("_row").cast(key_type).alias("_pk")))
+    per_row = Window.partitionBy("_row").orderBy("idx")
+    if taken:
+        pairs = taken[0] if len(taken) == 1 else taken[0].unionByName(taken[1])
+        shifts = written(pairs.join(base.select("_row"), "_row", "left_semi").distinct().join(indexed, "_pk")
+                         .select("_row", (F.col("idx") - F.row_number().over(per_row) + 1).alias("at"),
+                                 F.lit(None).cast("bigint").alias("rank")), "excluded")
+        base = base.join(shifts.groupBy("_row").agg(F.count(F.lit(1)).alias("_gone")), "_row", "left")
+    else:
+        shifts, base = None, base.withColumn("_gone", F.lit(0))
+    eligible = F.lit(n_pool) - F.coalesce("_gone", F.lit(0))
+    targets = base.select("_row", eligible.alias("_n"), F.least("_k", eligible).alias("_m")).where("_m > 0")
+
+    def draw(held, i):
+        top = F.col("_n") - F.col("_m") + i
+        at = F.pmod(hash_draw("_row", i, seed=seed), top + 1)
+        return F.concat(held, F.array(F.when(F.array_contains(held, at), top).otherwise(at)))
+
+    ranks = F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1), F.array().cast("array<bigint>"), draw)
+    drawn = targets.select("_row", F.posexplode(ranks).alias("rank", "at")).select(
+        "_row", "at", (F.col("rank") + 1).cast("bigint").alias("rank"))
+    if shifts is None:
+        placed = drawn.withColumn("idx", F.col("at"))
+    else:
+        # excluded places first among equals: they shift the rank that they meet
+        order = Window.partitionBy("_row").orderBy("at", F.asc_nulls_first("rank")).rowsBetween(
+            Window.unboundedPreceding, 0)
+        placed = drawn.unionByName(shifts).withColumn(
+            "idx", F.col("at") + F.count(F.when(F.col("rank").isNull(), 1)).over(order)).where("rank is not null")
+    return placed.join(indexed, "idx").select(F.col("_row").alias(row_key), "rank", F.col("_pk").alias("pick"))
+
+
 def pick_one(rows: DataFrame, row_key: str, lookup: DataFrame, lookup_key: str,
              seed: str) -> DataFrame:
     """One seeded pick per row from ``lookup`` (a bounded list, e.g. 25 cities)."""

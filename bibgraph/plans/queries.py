@@ -18,14 +18,15 @@ from ..operators import graph_build as gb
 from ..operators import keywords as kw
 from ..operators import profile
 from ..operators.authors import process_authors
-from ..operators.graph_algorithms import pagerank
+from ..operators.graph_algorithms import ProjectionCatalog, pagerank
 from ..operators.upsert import dedupe_keep_first
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, scratch_path, written
 from ..sources import csv_io, payloads, split_csv
 from ..sources.fixtures import COMMUNITY_TERMS, graph_from_tables
 from ..sources.load_files import author_load_rows, paper_load_rows, with_abstracts
 from ..sources.raw_papers import raw_authors, raw_papers
 from ..sources.tables import Tables
+from ..streaming.graph_store import GraphStore
 from . import algorithms, analytics, recommend
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,19 @@ def q_scc_same_edition(spark, sf_dir):
         F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
 
 
+@register("named_projection_algorithms")
+def q_named_projection(spark, sf_dir):
+    """PageRank and SCC of one named CITES projection, whose edges are written once."""
+    catalog = ProjectionCatalog(spark)
+    proj = catalog.project("cites", algorithms.cites_projection(graph_from_tables(spark, sf_dir)))
+    pr = pagerank(proj, max_iter=20).select(F.col("key").alias("paperId"), r6("score"))
+    scc = algorithms.scc_with_component_keys(catalog.get("cites")).select(
+        F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
+    out = written(pr.join(scc, "paperId"), "named_projection")
+    catalog.drop("cites")
+    return out
+
+
 @register("project_partial")
 def q_project_partial(spark, sf_dir):
     """Counts of a projection that leaves out a third of the papers, with integer and with text
@@ -229,6 +243,33 @@ def q_merge_edges_last(spark, sf_dir):
         "paperId", "kind", "name", "venue")
 
 
+def _loaded_in_batches(spark, sf_dir, tables):
+    """A graph store filled by three batches of load rows in a mixed order, one of them twice."""
+    rows, arows = _load(spark, sf_dir)
+    rows = written(rows.withColumn("_part", F.pmod(F.xxhash64("paperId", "row_no"), F.lit(3))), "load_rows")
+    store = GraphStore(spark, scratch_path(spark, "graph_store"), buckets=8)
+    for batch_id, part in ((0, 2), (1, 0), (2, 1), (2, 1)):
+        store.merge(rows.where(F.col("_part") == part).drop("_part"),
+                    arows if part == 1 else None, batch_id, tables=tables)
+    return store
+
+
+@register("merge_store_wrote")
+def q_merge_store_wrote(spark, sf_dir):
+    return _loaded_in_batches(spark, sf_dir, ["wrote", "author"]).table("wrote")
+
+
+@register("merge_store_published_in")
+def q_merge_store_published_in(spark, sf_dir):
+    return _loaded_in_batches(spark, sf_dir, ["published_in"]).table("published_in")
+
+
+@register("merge_store_papers")
+def q_merge_store_papers(spark, sf_dir):
+    """Papers and stubs, after stubs of earlier batches became papers."""
+    return _loaded_in_batches(spark, sf_dir, ["paper"]).table("paper").drop("abstract")
+
+
 @register("venue_nodes")
 def q_venue_nodes(spark, sf_dir):
     rows, _ = _load(spark, sf_dir)
@@ -434,6 +475,22 @@ def q_synth_cites(spark, sf_dir):
         .withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@register("assign_reviewers_by_rank")
+def q_reviewers_by_rank(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    papers = synth.number_of_reviewers(g.paper.select("paperId"))
+    return synth.pick_by_rank(papers, "paperId", "number_reviewers", g.wrote.select("authorId"), "authorId",
+                              seed="rev", exclude=g.wrote.select("paperId", "authorId"))
+
+
+@register("synthetic_citations_by_rank")
+def q_synth_cites_by_rank(spark, sf_dir):
+    g = graph_from_tables(spark, sf_dir)
+    papers = synth.number_of_citations(g.paper.select("paperId"))
+    return synth.pick_by_rank(papers, "paperId", "synthetic_cites", g.paper.select("paperId"), "paperId",
+                              seed="cite", self_excluded=True)
+
+
 @register("assign_locations")
 def q_locations(spark, sf_dir):
     g = graph_from_tables(spark, sf_dir)
@@ -485,6 +542,13 @@ def q_papers_of_author(spark, sf_dir):
     return profile.membership_counts(rows, "authorIds", "authorId")
 
 
+@register("papers_of_author_substring")
+def q_papers_of_author_substring(spark, sf_dir):
+    """The literal form: rows whose author text contains the id anywhere, also inside other ids."""
+    rows, arows = _load(spark, sf_dir)
+    return profile.substring_counts(rows, "authorIds", arows, "authorId")
+
+
 @register("flatten_papers")
 def q_flatten_papers(spark, sf_dir):
     pages = payloads.paper_pages(Tables(spark, sf_dir))

@@ -64,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A database beside the checkpoints: its tables are managed, so dropping one removes its files."""
+    base = checkpoint_dir(spark).rstrip("/")
+    name = f"bibgraph_{uuid.uuid5(uuid.NAMESPACE_URL, base).hex[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{base}/{name}'")
+    return name
+
+
 def written(df, name: str):
     """Cut the lineage: write to the shared checkpoint folder and read back."""
     path = scratch_path(df.sparkSession, name)

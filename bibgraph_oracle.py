@@ -786,3 +786,51 @@ e_reach(src, dst) AS (
 """)),
 }
 ALGORITHMS.update(MORE)
+
+
+# --- incremental load, substring membership, sampling by rank, named projections ------
+
+
+def _rank_sql(rows_sql: str, k_expr: str, pool_sql: str, seed: str, excluded: str) -> str:
+    """Distinct ranks among the eligible members (Floyd's method), then the members themselves."""
+    draw = f"({_h(seed, 'r', 'e[1]')} % (n - m + e[1] + 1))"
+    return f"""
+s_rows AS (SELECT r, {k_expr} AS k FROM ({rows_sql}) x),
+s_pool AS (SELECT DISTINCT key FROM ({pool_sql}) y),
+s_elig AS (SELECT r, key, row_number() OVER (PARTITION BY r ORDER BY key) - 1 AS at
+           FROM s_rows CROSS JOIN s_pool WHERE NOT ({excluded})),
+s_n AS (SELECT r, n, least(k, n) AS m FROM s_rows JOIN (SELECT r, count(*) AS n FROM s_elig GROUP BY r) c USING (r)),
+s_ranks AS (
+  SELECT r, unnest(ranks) AS at, unnest(range(1, m + 1)) AS rank FROM (
+    SELECT r, m, list_reduce(
+      list_concat([[]::BIGINT[]], list_transform(range(0, m), lambda i: [i])),
+      lambda held, e: list_append(held, CASE WHEN list_contains(held, {draw}) THEN n - m + e[1] ELSE {draw} END)) AS ranks
+    FROM s_n) x),
+s_out AS (SELECT d.r AS paperId, d.rank::BIGINT AS rank, e.key AS pick FROM s_ranks d JOIN s_elig e USING (r, at))
+"""
+
+
+LATER = {
+    "merge_store_wrote": with_graph("SELECT * FROM l_wrote", LOAD_CTES),
+    "merge_store_published_in": with_graph("SELECT * FROM l_published_in", LOAD_CTES),
+    "merge_store_papers": with_graph("""
+SELECT paperId, title, url, year, citationCount, false AS stub FROM l_paper
+UNION ALL
+SELECT DISTINCT dst, NULL, NULL, NULL, NULL, true FROM l_cites WHERE dst NOT IN (SELECT paperId FROM l_paper)
+""", LOAD_CTES),
+    "papers_of_author_substring": with_graph("""
+SELECT a.authorId, count(r.authorIds) AS n_rows
+FROM (SELECT DISTINCT authorId FROM author_rows) a LEFT JOIN load_rows r ON contains(r.authorIds, a.authorId)
+GROUP BY a.authorId
+""", LOAD_CTES),
+    "assign_reviewers_by_rank": with_graph("SELECT * FROM s_out", _rank_sql(
+        "SELECT paperId AS r FROM paper", f"2 + {_h('nrev', 'r')} % 2", "SELECT authorId AS key FROM wrote", "rev",
+        "EXISTS (SELECT 1 FROM wrote w WHERE w.paperId = r AND w.authorId = key)")),
+    "synthetic_citations_by_rank": with_graph("SELECT * FROM s_out", _rank_sql(
+        "SELECT paperId AS r FROM paper", f"15 + {_h('ncite', 'r')} % 36", "SELECT paperId AS key FROM paper", "cite",
+        "key = r")),
+    "named_projection_algorithms": f"""
+SELECT a.paperId, a.score, b.componentId
+FROM ({ALGORITHMS["pagerank_cites"]}) a JOIN ({ALGORITHMS["scc_cites"]}) b ON a.paperId = b.paperId""",
+}
+ALGORITHMS.update(LATER)
