@@ -52,7 +52,7 @@ def parse_list_literal(c, fail_on_bad: bool = False) -> Column:
 
     Quotes of either kind, escapes and numbers parse as JSON with single
     quotes allowed.  ``None`` outside quotes reads as null; the escapes
-    ``\\xNN`` and ``\\U0000NNNN`` become ``\\uNNNN``.  Text that is no list
+    ``\\xNN`` and ``\\UNNNNNNNN`` become ``\\uNNNN`` (one or two).  Text that is no list
     gives null, or an error with ``fail_on_bad``.
     """
     opts = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
@@ -61,6 +61,7 @@ def parse_list_literal(c, fail_on_bad: bool = False) -> Column:
     odd = r"(?<!\\)((?:\\\\)*)"
     json = F.regexp_replace(json, odd + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
     json = F.regexp_replace(json, odd + r"\\U0000([0-9a-fA-F]{4})", r"$1\\u$2")
+    json = _with_surrogates(json, odd)
     parsed = F.from_json(json, "array<string>", opts)
     if fail_on_bad:
         bad = F.raise_error(F.concat(F.lit("not a list literal: "), col_of(c))).cast("array<string>")
@@ -68,6 +69,21 @@ def parse_list_literal(c, fail_on_bad: bool = False) -> Column:
     return parsed
 
 
+def _with_surrogates(text: Column, before: str) -> Column:
+    """Escapes \\UNNNNNNNN above U+FFFF as the two \\uNNNN that JSON writes."""
+    escape = before + r"\\U(00(?:0[1-9a-fA-F]|10)[0-9a-fA-F]{4})"
+    parts = F.split(F.regexp_replace(text, escape, "$1\ue002$2\ue002"), "\ue002")
+
+    def pair(digits: Column) -> Column:
+        rest = F.conv(digits, 16, 10).cast("int") - 0x10000
+        return F.concat(*[F.concat(F.lit("\\u"), F.lower(F.hex(half))) for half in (
+            F.shiftright(rest, 10) + 0xD800, rest.bitwiseAND(F.lit(0x3FF)) + 0xDC00)])
+
+    # odd places hold the digits of an escape
+    joined = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, pair(x)).otherwise(x)), "")
+    return F.when(F.regexp_like(text, F.lit(escape)), joined).otherwise(text)
+
+
 def hash_draw(*cols, seed: str = "") -> Column:
     """Seeded, partition-independent draw in [0, 2^60): first 15 hex digits of md5."""
     key = F.concat_ws("|", F.lit(seed), *[col_of(c).cast("string") for c in cols])

@@ -18,6 +18,7 @@ from ..operators import graph_build as gb
 from ..operators import keywords as kw
 from ..operators import profile
 from ..operators.authors import process_authors
+from ..operators.condensation import condense, topological_levels
 from ..operators.graph_algorithms import ProjectionCatalog, pagerank
 from ..operators.upsert import dedupe_keep_first
 from ..session import checkpoint_dir, scratch_path, written
@@ -152,14 +153,30 @@ def q_scc_cites(spark, sf_dir):
         F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
 
 
-@register("scc_same_edition")
-def q_scc_same_edition(spark, sf_dir):
-    """SCC of the citations inside one edition number: many components of mixed sizes."""
+def _same_edition_projection(spark, sf_dir):
     g = graph_from_tables(spark, sf_dir)
     edition = g.paper.select("paperId", (F.col("citationCount") % 20).alias("e"))
     inside = (g.cites.join(edition.select(F.col("paperId").alias("src"), "e"), "src")
               .join(edition.select(F.col("paperId").alias("dst"), "e"), ["dst", "e"]).select("src", "dst"))
-    proj = algorithms.cites_projection(Graph(paper=g.paper, cites=inside))
+    return algorithms.cites_projection(Graph(paper=g.paper, cites=inside))
+
+
+@register("condensation_levels")
+def q_condensation_levels(spark, sf_dir):
+    """Components of the citations inside one edition, their sizes and topological levels."""
+    proj = _same_edition_projection(spark, sf_dir)
+    named = written(algorithms.scc_with_component_keys(proj).select(
+        F.col("key").alias("paperId"), F.col("componentKey").alias("componentId")), "components")
+    ids = proj.vertices.select("id", F.col("key").alias("paperId")).join(named, "paperId").select("id", "componentId")
+    dag = condense(proj, ids)
+    return topological_levels(dag).join(dag.vertices, "id").select(
+        F.col("id").alias("componentId"), F.col("key").alias("n_papers"), "level")
+
+
+@register("scc_same_edition")
+def q_scc_same_edition(spark, sf_dir):
+    """SCC of the citations inside one edition number: many components of mixed sizes."""
+    proj = _same_edition_projection(spark, sf_dir)
     return algorithms.scc_with_component_keys(proj).select(
         F.col("key").alias("paperId"), F.col("componentKey").alias("componentId"))
 
@@ -206,21 +223,28 @@ def q_scc_wrote(spark, sf_dir):
 # --- graph load from reference-shaped load files --------------------------
 
 
+def _load_papers(spark, sf_dir):
+    return paper_load_rows(Tables(spark, sf_dir))
+
+
+def _load_authors(spark, sf_dir):
+    return author_load_rows(Tables(spark, sf_dir))
+
+
 def _load(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return paper_load_rows(t), author_load_rows(t)
+    return _load_papers(spark, sf_dir), _load_authors(spark, sf_dir)
 
 
 @register("paper_nodes")
 def q_paper_nodes(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return with_abstracts(gb.paper_nodes(rows), Tables(spark, sf_dir)).select(
         "paperId", "title", "url", "abstract", "year", "citationCount")
 
 
 @register("merge_nodes_first_wins")
 def q_author_nodes(spark, sf_dir):
-    _, arows = _load(spark, sf_dir)
+    arows = _load_authors(spark, sf_dir)
     return gb.author_nodes(arows)
 
 
@@ -232,13 +256,13 @@ def q_wrote_edges(spark, sf_dir):
 
 @register("published_in_edges")
 def q_published_in(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return gb.published_in_edges(rows, None)
 
 
 @register("merge_edges_last_wins")
 def q_merge_edges_last(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return gb.published_in_edges(rows, None).select(
         "paperId", "kind", "name", "venue")
 
@@ -272,13 +296,13 @@ def q_merge_store_papers(spark, sf_dir):
 
 @register("venue_nodes")
 def q_venue_nodes(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return gb.venue_nodes(rows)
 
 
 @register("cites_edges_with_stubs")
 def q_cites_stubs(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     edges, stubs = gb.cites_edges(rows, gb.paper_nodes(rows), papers_from_rows=True)
     marked = stubs.select(F.col("paperId").alias("dst"), F.lit(True).alias("dst_is_stub"))
     return (edges.join(marked, "dst", "left")
@@ -287,13 +311,13 @@ def q_cites_stubs(spark, sf_dir):
 
 @register("keyword_nodes")
 def q_keyword_nodes(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return gb.keyword_nodes(rows)
 
 
 @register("contains_edges")
 def q_contains(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return gb.contains_edges(rows, None)
 
 
@@ -319,7 +343,7 @@ def q_reviewed_evolved(spark, sf_dir):
 
 @register("affiliated_edges")
 def q_affiliated(spark, sf_dir):
-    _, arows = _load(spark, sf_dir)
+    arows = _load_authors(spark, sf_dir)
     return gb.affiliated_edges(arows)[1]
 
 
@@ -538,7 +562,7 @@ def q_null_profile(spark, sf_dir):
 
 @register("papers_of_author")
 def q_papers_of_author(spark, sf_dir):
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     return profile.membership_counts(rows, "authorIds", "authorId")
 
 
@@ -684,7 +708,7 @@ def q_process_papers(spark, sf_dir):
 def q_scc_loaded(spark, sf_dir):
     """SCC of the CITES graph built from the load files: string keys, and the
     cited ids without a Paper row (stubs) as singleton components."""
-    rows, _ = _load(spark, sf_dir)
+    rows = _load_papers(spark, sf_dir)
     papers = gb.paper_nodes(rows)
     edges, stubs = gb.cites_edges(rows, papers, papers_from_rows=True)
     g = Graph(paper=gb.with_stubs(papers, stubs), cites=edges)

@@ -797,16 +797,16 @@ def _rank_sql(rows_sql: str, k_expr: str, pool_sql: str, seed: str, excluded: st
     return f"""
 s_rows AS (SELECT r, {k_expr} AS k FROM ({rows_sql}) x),
 s_pool AS (SELECT DISTINCT key FROM ({pool_sql}) y),
-s_elig AS (SELECT r, key, row_number() OVER (PARTITION BY r ORDER BY key) - 1 AS at
+s_elig AS (SELECT r, key, row_number() OVER (PARTITION BY r ORDER BY key) - 1 AS place
            FROM s_rows CROSS JOIN s_pool WHERE NOT ({excluded})),
 s_n AS (SELECT r, n, least(k, n) AS m FROM s_rows JOIN (SELECT r, count(*) AS n FROM s_elig GROUP BY r) c USING (r)),
 s_ranks AS (
-  SELECT r, unnest(ranks) AS at, unnest(range(1, m + 1)) AS rank FROM (
+  SELECT r, unnest(ranks) AS place, unnest(range(1, m + 1)) AS rank FROM (
     SELECT r, m, list_reduce(
       list_concat([[]::BIGINT[]], list_transform(range(0, m), lambda i: [i])),
       lambda held, e: list_append(held, CASE WHEN list_contains(held, {draw}) THEN n - m + e[1] ELSE {draw} END)) AS ranks
     FROM s_n) x),
-s_out AS (SELECT d.r AS paperId, d.rank::BIGINT AS rank, e.key AS pick FROM s_ranks d JOIN s_elig e USING (r, at))
+s_out AS (SELECT d.r AS paperId, d.rank::BIGINT AS rank, e.key AS pick FROM s_ranks d JOIN s_elig e USING (r, place))
 """
 
 
@@ -833,4 +833,28 @@ GROUP BY a.authorId
 SELECT a.paperId, a.score, b.componentId
 FROM ({ALGORITHMS["pagerank_cites"]}) a JOIN ({ALGORITHMS["scc_cites"]}) b ON a.paperId = b.paperId""",
 }
+LATER["condensation_levels"] = _recursive(with_graph("""
+SELECT c.componentId, count(*) AS n_papers, any_value(l.level) AS level
+FROM comp c JOIN (SELECT c, max(d) AS level FROM path GROUP BY c) l ON l.c = c.componentId
+GROUP BY c.componentId
+""", """
+e_edge AS (SELECT c.src, c.dst FROM cites c JOIN paper a ON a.paperId = c.src JOIN paper b ON b.paperId = c.dst
+           WHERE a.citationCount % 20 = b.citationCount % 20),
+e_reach(src, dst) AS (
+  SELECT src, dst FROM e_edge
+  UNION
+  SELECT r.src, e.dst FROM e_reach r JOIN e_edge e ON e.src = r.dst),
+comp AS MATERIALIZED (
+  SELECT p.paperId, coalesce(min(m.src), p.paperId) AS componentId
+  FROM paper p LEFT JOIN (
+    SELECT r.src, r.dst FROM e_reach r JOIN e_reach b ON b.src = r.dst AND b.dst = r.src) m ON m.dst = p.paperId
+  GROUP BY p.paperId),
+arc AS MATERIALIZED (
+  SELECT DISTINCT a.componentId AS s, b.componentId AS t
+  FROM e_edge e JOIN comp a ON a.paperId = e.src JOIN comp b ON b.paperId = e.dst WHERE a.componentId <> b.componentId),
+path(c, d) AS (
+  SELECT DISTINCT componentId, 0 FROM comp
+  UNION
+  SELECT t, d + 1 FROM path JOIN arc ON s = c)
+"""))
 ALGORITHMS.update(LATER)

@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
 from conftest import rows
-from bibgraph.operators.graph_algorithms import (pagerank, project,
+from bibgraph.functions.columns import parse_list_literal
+from bibgraph.operators.condensation import condense, topological_levels
+from bibgraph.operators.graph_algorithms import (Projection, pagerank, project,
                                                  strongly_connected_components)
 
 
@@ -142,3 +145,35 @@ def test_empty_graph(spark):
     p = proj_of(spark, 0, [])
     assert strongly_connected_components(p).count() == 0
     assert pagerank(p).count() == 0
+
+
+def test_condensation_and_levels(spark):
+    rng = random.Random(11)
+    for n, m in ((1, 0), (25, 30), (40, 45)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        vertices = spark.range(n).selectExpr("id", "'Paper' as label", "id as key")
+        proj = Projection(vertices, spark.createDataFrame(edges, "src long, dst long"))
+        comps = strongly_connected_components(proj)
+        of = dict(rows(comps, "id", "componentId"))
+        dag = condense(proj, comps, hot_edges=3)
+        arcs = {(of[a], of[b]) for a, b in edges if of[a] != of[b]}
+        assert set(rows(dag.edges, "src", "dst")) == arcs
+        assert rows(dag.vertices, "id", "key") == sorted(
+            (c, sum(x == c for x in of.values())) for c in set(of.values()))
+        level = dict.fromkeys(of.values(), 0)
+        for _ in range(n):
+            for a, b in arcs:
+                level[b] = max(level[b], level[a] + 1)
+        assert dict(rows(topological_levels(dag, hot_edges=3))) == level
+    cycle = Projection(spark.range(2).selectExpr("id", "'Paper' as label", "id as key"),
+                       spark.createDataFrame([(0, 1), (1, 0)], "src long, dst long"))
+    with pytest.raises(ValueError):
+        topological_levels(cycle)
+
+
+def test_list_literal_escapes_above_the_basic_plane(spark):
+    import ast
+
+    texts = [r"['a\U0001F600b', 'c']", r"['\U0010FFFF\U00010000', '\U000000e9x', '\\U0001F600']", "['plain']", "[]"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_list_literal("t")).collect()
+    assert [r[0] for r in got] == [ast.literal_eval(t) for t in texts]
