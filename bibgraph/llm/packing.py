@@ -32,6 +32,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,8 @@ class WordIds:
         forms = {}
         for word in words.difference(self.ids):
             stem, tail = word, ""
-            if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
+            # behind a mark that normal form or lower case puts last (as of U+0130) the tail is not split off
+            if len(word) > 1 and word[-1] in ",." and normalize("NFC", word[-2].lower())[-1].isalpha():
                 stem, tail = word[:-1], word[-1]
             # below U+0130 lower case is one to one and every letter is composed
             forms[word] = (stem.lower() if "<" not in stem and max(stem) < "\u0130" else stem, tail)
