@@ -9,15 +9,23 @@ parts of a vector's neighbours from the vector (Dong et al. 2020).  The same
 sample, searched exactly, tells how many of the most probable parts a query
 must visit to reach `target_recall`.
 
+Parts grow in number with the table: a part of more than 4 * `leaf` vectors is cut
+again in the same way, by a graph and a classifier fitted on a sample of its own, in
+a task of its own, until all are small (at most DEPTH times; a part that cannot be
+cut further is searched whole, in chunks).
+
 Index: every distinct vector goes to its most probable part; equal vectors are
 one entry with their k + 1 smallest ids, which is exact, as ties go to the
 smaller id.  Search: queries visit their most probable parts; a part is cut
-into chunks of bounded size, each compared with a bounded block of queries by
-one matrix product in double precision, and the best k of every chunk are
-merged by query.
-
-Vectors that are null, zero or hold null or non-finite components take no part.
-Repeated rows are candidates as often as their ids differ.
+into chunks of bounded size, each compared with a bounded block of the queries that
+visit the part by one matrix product in double precision, and the best k of every
+chunk are merged by query.  A chunk is copied once per block of its own part's
+queries, so the rows shuffled grow with the table, not with its square.
+
+Vectors that are null, zero or hold null or non-finite components take no part, nor
+do vectors of another length than most have (the longer one of equally frequent
+lengths).  Repeated rows are candidates as often as their ids differ.  An empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +39,10 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-CHUNK, QUERY_BLOCK = 8192, 1024
+CHUNK, QUERY_BLOCK = 8192, 4096
 TRIVIAL = 400  # distinct vectors; smaller tables are one part, searched exactly
+MOST_PARTS = 64  # that one classifier tells apart
+DEPTH = 8  # cuts of a part at most
 
 
 class Router:
@@ -181,13 +191,56 @@ def _entries(k: int):
     return run
 
 
-def _routed(router: Router, parts_of):
+def _vectors(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["vec"].to_pylist()), "<f8").reshape(rows.num_rows, -1)
+
+
+def _visited(router: Router, x: np.ndarray, home: bool) -> pa.Array:
+    scores = router.scores(x)
+    places = scores.argmax(1)[:, None] if home else np.argsort(-scores, axis=1)[:, :router.probes]
+    return pa.array([[str(p) for p in row] for row in places.tolist()], pa.list_(pa.string()))
+
+
+def _routed(router: Router, home: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<f8").reshape(batch.num_rows, -1)
-                places = pa.array(parts_of(router.scores(x)).tolist(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, places], [*batch.schema.names, "parts"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, _visited(router, _vectors(batch), home)],
+                                                 [*batch.schema.names, "parts"])
+
+    return run
+
+
+def _fitted(k: int, target_recall: float):
+    """The classifier of one part, from the sample of it."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        x = _vectors(rows)
+        wanted = min(rows["wanted"][0].as_py(), len(x) // 5)
+        out = []
+        if wanted > 1:
+            router = fit(np.stack(sorted(x, key=lambda v: v.tobytes())), wanted, k, target_recall)
+            out = [(key[0].as_py(), router.w1.tobytes(), router.w2.tobytes(), wanted, router.probes)]
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        types = [pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+        return pa.table([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)],
+                        names=["part", "w1", "w2", "wanted", "probes"])
+
+    return run
+
+
+def _rerouted(home: bool):
+    """Rows of a part with the parts of it that they go to, by the part's classifier."""
+
+    def run(key, rows: pa.Table, routers: pa.Table) -> pa.Table:
+        x = _vectors(rows) if rows.num_rows else np.zeros((0, 1))
+        parts = pa.array([[]] * len(x), pa.list_(pa.string()))
+        if len(x) and routers.num_rows:
+            r = routers.to_pylist()[0]
+            w2 = np.frombuffer(r["w2"], np.float32).reshape(-1, r["wanted"])
+            w1 = np.frombuffer(r["w1"], np.float32).reshape(x.shape[1] + 1, -1)
+            parts = _visited(Router(w1, w2, r["probes"]), x, home)
+        return rows.drop_columns(["salt"]).append_column("parts", parts)
 
     return run
 
@@ -198,16 +251,17 @@ def _matched(k: int):
     def run(key, queries: pa.Table, entries: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
         if queries.num_rows and entries.num_rows:
-            read = lambda t: np.frombuffer(b"".join(t["vec"].to_pylist()), "<f8").reshape(t.num_rows, -1)
-            x, ids = read(entries), entries["ids"].to_pylist()
-            q, own = read(queries), queries["query_id"].to_pylist()
+            x, ids = _vectors(entries), entries["ids"].to_pylist()
+            q, own = _vectors(queries), queries["query_id"].to_pylist()
             first = np.array([i[0] for i in ids])
+            # products may differ from exact scores by the rounding of their sums
+            slack = 4e-16 * x.shape[1] * float(np.linalg.norm(x, axis=1).max()) * np.linalg.norm(q, axis=1)
             for lo in range(0, len(q), 128):
                 # products added up in one order whatever the block, so that a score depends on its vectors alone
                 products = q[lo:lo + 128] @ x.T
                 for i, row in enumerate(products):
                     near = np.flatnonzero(row >= row[np.argpartition(-row, min(k, len(row) - 1))[
-                        min(k, len(row) - 1)]] - 1e-9)
+                        min(k, len(row) - 1)]] - slack[lo + i])
                     exact = np.array([float(np.dot(q[lo + i], x[j])) for j in near])
                     order = np.lexsort((first[near], -exact))
                     rows = [(-exact[o], v) for o in order for v in ids[near[o]] if v != own[lo + i]]
@@ -221,8 +275,44 @@ def _matched(k: int):
     return run
 
 
+def _cut(index: DataFrame, asked: DataFrame, leaf: int, sample: int, k: int,
+         target_recall: float) -> tuple[DataFrame, DataFrame]:
+    """Large parts of the index cut into parts of their own, and the queries that visit them sent on."""
+    for _ in range(DEPTH):
+        sizes = written(index.groupBy("part").count(), "sizes")
+        large = sizes.filter(F.col("count") > 4 * leaf)
+        if large.isEmpty():
+            break
+        share = F.pmod(F.xxhash64("vec", "part"), F.lit(1 << 40)) / float(1 << 40) * F.col("count")
+        routers = written(
+            index.join(large, "part").filter(share < sample)
+            .select("part", "vec", F.least(F.lit(MOST_PARTS), F.floor(F.col("count") / leaf)).alias("wanted"))
+            .groupBy("part").applyInArrow(_fitted(k, target_recall),
+                                          "part string, w1 binary, w2 binary, wanted int, probes int"), "routers")
+        asks = written(asked.groupBy("part").count(), "asks")
+
+        def sent(rows: DataFrame, counts: DataFrame, home: bool, schema: str) -> DataFrame:
+            cut = counts.join(routers.select("part"), "part").select(
+                "part", F.ceil(F.col("count") / CHUNK).cast("int").alias("salts"))
+            salted = rows.join(cut, "part").withColumn(
+                "salt", F.pmod(F.xxhash64("vec", rows.columns[0]), F.col("salts")).cast("int")).drop("salts")
+            models = routers.join(cut, "part").withColumn(
+                "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+            moved = salted.groupBy("part", "salt").cogroup(models.groupBy("part", "salt")).applyInArrow(
+                _rerouted(home), f"{schema}, part string, parts array<string>")
+            moved = moved.select(*rows.columns[:2], F.explode("parts").alias("_p"), "part").select(
+                *rows.columns[:2], F.concat_ws(".", "part", "_p").alias("part"))
+            return rows.join(routers.select("part"), "part", "left_anti").select(*rows.columns).unionByName(moved)
+
+        if routers.isEmpty():
+            break
+        index, asked = (written(sent(index, sizes, True, "vec binary, ids array<long>"), "index"),
+                        written(sent(asked, asks, False, "query_id long, vec binary"), "asked"))
+    return index, asked
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 12_000,
-           target_recall: float = 0.94, parts: int | None = None) -> DataFrame:
+           target_recall: float = 0.94, parts: int | None = None, leaf: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query among all other rows.
 
     vectors: vec_id and embedding.  is_query marks the rows that are queries.
@@ -230,41 +320,43 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 12_0
     vectors = (vectors.filter(F.col("vec_id").isNotNull() & _usable("embedding"))
                .select(F.col("vec_id").cast("long").alias("vec_id"),
                        F.col("embedding").cast("array<double>").alias("vec"), is_query.alias("asks")))
+    usual = vectors.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    if not usual:
+        return vectors.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
+                              F.lit(0.0).alias("score")).limit(0)
+    vectors = vectors.filter(F.size("vec") == usual["n"])
     entries = written(
         vectors.select("vec_id", "vec").mapInArrow(_entries(k), "vec binary, ids array<long>")
         .groupBy("vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)
                             .alias("ids")), "entries")
     total = entries.count()
-    if not total:
-        return vectors.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
-                              F.lit(0.0).alias("score")).limit(0)
     chosen = entries.select("vec") if total <= sample else entries.select("vec").filter(
         F.pmod(F.xxhash64("vec"), F.lit(1_000_000)) < int(1_000_000 * sample / total))
     x = [np.frombuffer(r["vec"], "<f8") for r in chosen.collect()]
-    parts = parts or int(np.clip(total // 4096, 4 if total >= TRIVIAL else 1, 64))
+    parts = parts or int(np.clip(total // leaf, 4 if total >= TRIVIAL else 1, MOST_PARTS))
     router = fit(np.stack(sorted(x, key=lambda v: v.tobytes())), parts, k, target_recall) \
         if parts > 1 and len(x) > 4 * parts else None
-    home = (lambda s: s.argmax(1)[:, None]) if router else None
-    visit = (lambda s: np.argsort(-s, axis=1)[:, :router.probes]) if router else None
 
-    def routed(rows: DataFrame, parts_of, schema: str) -> DataFrame:
-        rows = rows.mapInArrow(_routed(router, parts_of), f"{schema}, parts array<int>") if router else \
-            rows.withColumn("parts", F.array(F.lit(0)))
+    def routed(rows: DataFrame, home: bool, schema: str) -> DataFrame:
+        rows = rows.mapInArrow(_routed(router, home), f"{schema}, parts array<string>") if router else \
+            rows.withColumn("parts", F.array(F.lit("0")))
         return rows.withColumn("part", F.explode("parts")).drop("parts")
 
-    index = written(routed(entries, home, "vec binary, ids array<long>"), "index")
-    sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
-    chunks = F.create_map(*[F.lit(v) for p in sorted(sizes) for v in (p, -(-sizes[p] // CHUNK))])
-    n_queries = vectors.filter("asks").count()
-    blocks = max(1, -(-n_queries // QUERY_BLOCK))
+    index = written(routed(entries, True, "vec binary, ids array<long>"), "index")
     asked = vectors.filter("asks").select(F.col("vec_id").alias("query_id"), "vec").distinct().mapInArrow(
         _packed, "query_id long, vec binary")
-    asked = (routed(asked, visit, "query_id long, vec binary").filter(F.col("part").isin(*sizes))
-             .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks[F.col("part")] - 1))))
-    # each chunk goes to the blocks of queries that are to meet it
-    held = index.withColumn("chunk", F.pmod(F.xxhash64("vec"), chunks[F.col("part")]).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    asked = written(routed(asked, False, "query_id long, vec binary"), "asked")
+    index, asked = _cut(index, asked, leaf, sample, k, target_recall)
+    # a chunk of a part goes to the blocks of queries that visit the part
+    count = lambda rows, size, name: rows.groupBy("part").agg(
+        F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    plan = written(count(index, CHUNK, "chunks").join(count(asked, QUERY_BLOCK, "blocks"), "part"), "plan")
+    hashed = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = (asked.join(plan, "part").withColumn("block", hashed("query_id", "blocks"))
+             .withColumn("chunk", every("chunks")).drop("chunks", "blocks"))
+    held = (index.join(plan, "part").withColumn("chunk", hashed("vec", "chunks"))
+            .withColumn("block", every("blocks")).drop("chunks", "blocks"))
     met = asked.groupBy("part", "chunk", "block").cogroup(held.groupBy("part", "chunk", "block")).applyInArrow(
         _matched(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -133,6 +133,39 @@ def test_small_tables_are_partitioned_too(spark, monkeypatch):
     assert fitted == [(500, 4)]
 
 
+def test_large_parts_are_cut_again(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 16))
+    x = centres[rng.integers(60, size=6000)] + 0.4 * rng.normal(size=(6000, 16))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    rows = ann.search(vectors, F.col("vec_id") % 20 == 0, k=10, parts=4, leaf=150, sample=2000).collect()
+    for r in rows:
+        got[r["query_id"]].add(r["vec_id"])
+        assert r["score"] == pytest.approx(float(x[r["query_id"]] @ x[r["vec_id"]]), rel=1e-12)
+    assert len(rows) == 300 * 10
+    recall = np.mean([len(got[q] & set(search_brute(np.arange(6000), x, q, 10))) / 10 for q in range(0, 6000, 20)])
+    assert recall >= 0.85
+    index, asked = (spark.createDataFrame([(x[i].tobytes(), [i], "0") for i in range(3000)],
+                                          "vec binary, ids array<long>, part string"),
+                    spark.createDataFrame([(i, x[i].tobytes(), "0") for i in range(0, 3000, 20)],
+                                          "query_id long, vec binary, part string"))
+    cut, sent = ann._cut(index, asked, 150, 1000, 10, 0.94)
+    sizes = [r["count"] for r in cut.groupBy("part").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 600 and len(sizes) >= 10
+    assert sent.select("query_id").distinct().count() == 150
+
+
+def test_vectors_of_other_lengths_and_large_ties(spark):
+    rows = [(i, [1e9 * (1 + i % 3), 1.0]) for i in range(60)] + [(100, [1.0]), (101, [1.0, 2.0, 3.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.search(vectors, F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    x = np.array([v for _, v in rows[:60]])
+    assert got == {q: search_brute(np.arange(60), x, q, 5) for q in (0, 20, 40)}
+
+
 def test_balanced_parts():
     graph = ann.neighbour_graph(np.random.default_rng(0).normal(size=(200, 4)).astype(np.float32), 6)
     part = ann.balanced_parts(graph, 5)
@@ -182,6 +215,20 @@ def test_packing_round_trip(spark):
     assert sorted(r["ids_crc32"] for r in crc.collect()) == sorted(zlib.crc32(r["ids"]) for r in out)
 
 
+def test_packing_ids_equal_the_tokenizer_on_odd_letters():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tokenizer, words_of = Tokenizer.from_file(tokenizer_path()), packing.WordIds(tokenizer_path())
+    rng = np.random.default_rng(9)
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalpha()]
+    texts = ["\u0130, x", "K\u0130. y", "\u0958, \u0958."] + [f"x{c}, y{c}. {c}." for c in letters[::7]]
+    texts += ["".join(rng.choice(["\u0130", "\u0131", "\u00df", ",", ".", " ", "a", "K", "<"], 8)) for _ in range(3000)]
+    got = words_of.of_texts(pa.array(texts))
+    expected = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert all(g.tolist() == e.ids for g, e in zip(got, expected, strict=True))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_packing_is_tight(spark, seed):
     rng = np.random.default_rng(seed)
