@@ -19,7 +19,9 @@ from ..operators import keywords as kw
 from ..operators import profile
 from ..operators.authors import process_authors
 from ..operators.condensation import condense, topological_levels
-from ..operators.graph_algorithms import ProjectionCatalog, pagerank
+from ..operators.graph_algorithms import Projection, ProjectionCatalog, pagerank
+from ..operators.rank_update import update_pagerank
+from ..operators.reach_sketch import reach_estimates, relative_error
 from ..operators.upsert import dedupe_keep_first
 from ..session import checkpoint_dir, scratch_path, written
 from ..sources import csv_io, payloads, split_csv
@@ -194,6 +196,20 @@ def q_named_projection(spark, sf_dir):
     return out
 
 
+@register("pagerank_after_merge")
+def q_pagerank_after_merge(spark, sf_dir):
+    """PageRank of the citations inside one edition from higher to lower paper ids (no cycles): every tenth
+    citing paper's citations are merged after a full run, and another tenth's are taken back."""
+    whole = _same_edition_projection(spark, sf_dir)
+    edges = written(whole.edges.where("src > dst").distinct(), "edges")
+    new, gone = F.col("src") % 10 == 0, F.col("src") % 10 == 1
+    proj = Projection(whole.vertices, edges.where(~new))
+    full = written(pagerank(proj, max_iter=500, tol=1e-13).select("id", "score"), "ranks")
+    after = Projection(whole.vertices, edges.where(~gone))
+    return update_pagerank(full, after, edges.where(new), edges.where(gone), tol=1e-13).scores.select(
+        F.col("key").alias("paperId"), r6("score"))
+
+
 @register("project_partial")
 def q_project_partial(spark, sf_dir):
     """Counts of a projection that leaves out a third of the papers, with integer and with text
@@ -674,6 +690,22 @@ def q_reach(spark, sf_dir):
         "source", "topPaperId")
 
 
+@register("citation_reach_estimates")
+def q_reach_estimates(spark, sf_dir):
+    """Papers within two hops of each top community paper, counted exactly, and whether the estimate
+    from the sketches of the whole graph is within five standard errors."""
+    checkpoint_dir(spark)
+    g, venues = _community(spark, sf_dir)
+    top = recommend.top_community_papers(g, venues, 100).select("paperId")
+    exact = algorithms.reach_within(g.cites, top, 2, "backward").groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_papers"))
+    proj = algorithms.cites_projection(g)
+    about = reach_estimates(proj, 2, "backward").join(proj.vertices, "id")
+    off = F.abs(F.col("n_reached") - F.col("n_papers")) <= 1 + 5 * relative_error(12) * F.col("n_papers")
+    return exact.join(about, F.col("source") == F.col("key"), "left").select(
+        F.col("source").alias("topPaperId"), "n_papers", F.coalesce(off, F.lit(False)).alias("within_bound"))
+
+
 @register("graph_counts_from_csv")
 def q_graph_counts_csv(spark, sf_dir):
     """Load rows written as the three reference-style CSV files, read back as

@@ -177,12 +177,12 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-def _pagerank_cites_sql(iterations: int = 20, d: float = 0.85) -> str:
+def _pagerank_cites_sql(iterations: int = 20, d: float = 0.85, which: str = "true") -> str:
     """PageRank on CITES unrolled into one CTE per round."""
     base = 1.0 - d
     ctes = [
         "v AS (SELECT paperId AS id FROM paper)",
-        "e AS (SELECT DISTINCT src, dst FROM cites)",
+        f"e AS (SELECT DISTINCT src, dst FROM cites WHERE {which})",
         "outdeg AS (SELECT src, count(*) AS k FROM e GROUP BY src)",
         f"r0 AS (SELECT id, CAST({base} AS DOUBLE) AS rank FROM v)",
     ]
@@ -833,6 +833,14 @@ GROUP BY a.authorId
 SELECT a.paperId, a.score, b.componentId
 FROM ({ALGORITHMS["pagerank_cites"]}) a JOIN ({ALGORITHMS["scc_cites"]}) b ON a.paperId = b.paperId""",
 }
+# no cycles: rounds beyond the longest paths that still carry weight change nothing
+LATER["pagerank_after_merge"] = _pagerank_cites_sql(60, which="""src > dst AND src % 10 <> 1
+  AND (SELECT citationCount FROM paper WHERE paperId = src) % 20
+    = (SELECT citationCount FROM paper WHERE paperId = dst) % 20""").replace(
+    " AS (SELECT DISTINCT src, dst", " AS MATERIALIZED (SELECT DISTINCT src, dst")
+LATER["citation_reach_estimates"] = f"""
+SELECT topPaperId, count(*) AS n_papers, true AS within_bound
+FROM ({ALGORITHMS["citation_reach_khop"]}) x GROUP BY topPaperId"""
 LATER["condensation_levels"] = _recursive(with_graph("""
 SELECT c.componentId, count(*) AS n_papers, any_value(l.level) AS level
 FROM comp c JOIN (SELECT c, max(d) AS level FROM path GROUP BY c) l ON l.c = c.componentId
