@@ -278,7 +278,9 @@ def _matched(k: int):
 def _cut(index: DataFrame, asked: DataFrame, leaf: int, sample: int, k: int,
          target_recall: float) -> tuple[DataFrame, DataFrame]:
     """Large parts of the index cut into parts of their own, and the queries that visit them sent on."""
-    for _ in range(DEPTH):
+    for depth in range(DEPTH):
+        # what cuts lose adds up: each may lose a quarter of what the one before may
+        recall = 1 - (1 - target_recall) / 4 ** (depth + 1)
         sizes = written(index.groupBy("part").count(), "sizes")
         large = sizes.filter(F.col("count") > 4 * leaf)
         if large.isEmpty():
@@ -287,7 +289,7 @@ def _cut(index: DataFrame, asked: DataFrame, leaf: int, sample: int, k: int,
         routers = written(
             index.join(large, "part").filter(share < sample)
             .select("part", "vec", F.least(F.lit(MOST_PARTS), F.floor(F.col("count") / leaf)).alias("wanted"))
-            .groupBy("part").applyInArrow(_fitted(k, target_recall),
+            .groupBy("part").applyInArrow(_fitted(k, recall),
                                           "part string, w1 binary, w2 binary, wanted int, probes int"), "routers")
         asks = written(asked.groupBy("part").count(), "asks")
 

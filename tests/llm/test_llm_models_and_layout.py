@@ -145,7 +145,7 @@ def test_large_parts_are_cut_again(spark):
         assert r["score"] == pytest.approx(float(x[r["query_id"]] @ x[r["vec_id"]]), rel=1e-12)
     assert len(rows) == 300 * 10
     recall = np.mean([len(got[q] & set(search_brute(np.arange(6000), x, q, 10))) / 10 for q in range(0, 6000, 20)])
-    assert recall >= 0.85
+    assert recall >= 0.9, recall
     index, asked = (spark.createDataFrame([(x[i].tobytes(), [i], "0") for i in range(3000)],
                                           "vec binary, ids array<long>, part string"),
                     spark.createDataFrame([(i, x[i].tobytes(), "0") for i in range(0, 3000, 20)],
