@@ -21,10 +21,10 @@ def test_update_equals_a_full_run(spark):
     added = {(0, 30), (0, 31), (41, 2), (59, 58)} - before  # a hot source, a source that had no edge at all
     removed = set(sorted(before)[3:6]) | {e for e in before if e[0] == 7}
     after = (before | added) - removed
-    scores = spark.createDataFrame(list(brute_pagerank(n, sorted(before), it=200).items()), "id bigint, score double")
+    scores = spark.createDataFrame(list(brute_pagerank(n, sorted(before), d=0.5, it=60).items()), "id bigint, score double")
     out = update_pagerank(scores.where("id <> 59"), proj_of(spark, n, sorted(after)), edges_of(spark, added),
-                          edges_of(spark, removed), tol=1e-7, hot_edges=4)
-    want = brute_pagerank(n, sorted(after), it=200)
+                          edges_of(spark, removed), damping=0.5, tol=1e-7, hot_edges=4)
+    want = brute_pagerank(n, sorted(after), d=0.5, it=60)
     got = {r["key"]: r["score"] for r in out.scores.collect()}
     assert set(got) == set(range(n))  # 59 is a new vertex
     assert all(abs(got[v] - want[v]) < 1e-6 for v in want)
