@@ -3,10 +3,10 @@
 Per document: lower-case, strip ASCII punctuation, split on whitespace, drop
 English stop words, count terms, keep the ``n`` most frequent (ties: first
 occurrence), and make sure the document's field term is among them (it
-replaces the last one when missing).  The original keeps only nouns, which
-needs a language model per row; ``term_filter`` is the hook for that (a
-Column predicate, or a DataFrame -> DataFrame step such as a pandas_udf
-tagger over (doc, pos, term) batches).  By default every non-stop word is kept.
+replaces the last one when missing).  The original keeps only nouns: pass
+``nouns``, the weights of a tagger (``operators.nouns.train``), for that.
+``term_filter`` is the hook for a step of one's own (DataFrame -> DataFrame over
+(doc, pos, term) rows).  By default every non-stop word is kept.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import strip_punctuation
+from .nouns import neighbours, only_nouns
 
 # The English stop-word list of the NLTK corpus (179 words).
 STOP_WORDS = (
@@ -38,8 +39,11 @@ WHITESPACE = "[ \\t\\n\\r\\f]+"
 
 def extract_keywords(docs: DataFrame, key: str = "doc_id", text: str = "text",
                      field: str | None = "field_query", n: int = 4,
-                     term_filter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(key, rank, term): the top ``n`` terms of each document.
+                     term_filter: Callable[[DataFrame], DataFrame] | None = None,
+                     nouns: DataFrame | None = None) -> DataFrame:
+    """(key, rank, term): the top ``n`` terms of each document, with ``nouns`` the top nouns.
+
+    A noun is judged by its neighbours in the text, stop words included.
 
     One pass over the text: the field term rides along as a grouping column
     (it is fixed per document), and the "is the field term among the top n"
@@ -49,8 +53,15 @@ def extract_keywords(docs: DataFrame, key: str = "doc_id", text: str = "text",
     f = F.lower(F.col(field)) if field is not None else F.lit(None).cast("string")
     src = docs.select(key, f.alias("_f"), text)
     cleaned = strip_punctuation(F.lower(F.col(text)))
-    tok = (src.select(key, "_f", F.posexplode(F.split(cleaned, WHITESPACE)).alias("pos", "term"))
-           .where((F.col("term") != "") & ~F.col("term").isin(*STOP_WORDS)))
+    tok = src.select(key, "_f", F.posexplode(F.split(cleaned, WHITESPACE)).alias("pos", "term"))
+    if nouns is not None:
+        words = F.filter(F.split(cleaned, WHITESPACE), lambda w: w != "")
+        tok = (src.select(key, "_f", words.alias("_words"))
+               .select(key, "_f", F.posexplode(neighbours(F.col("_words"))).alias("pos", "_t"))
+               .select(key, "_f", "pos", "_t.*").toDF(key, "_f", "pos", "term", "_before", "_after"))
+    tok = tok.where((F.col("term") != "") & ~F.col("term").isin(*STOP_WORDS))
+    if nouns is not None:
+        tok = only_nouns(tok, nouns, "term", "_before", "_after").drop("_before", "_after")
     if term_filter is not None:
         tok = term_filter(tok)
     if field is not None:

@@ -31,12 +31,13 @@ def _ranked_list(picks: DataFrame, key: str, value: str, name: str) -> DataFrame
 
 def process_papers(raw_papers: DataFrame, raw_authors: DataFrame, cities: DataFrame,
                    review_texts: DataFrame, n_keywords: int = 4,
-                   generations: int = 1) -> dict[str, DataFrame]:
+                   generations: int = 1, nouns: DataFrame | None = None) -> dict[str, DataFrame]:
     """Load-file tables keyed Conference / Journal / Workshop.
 
     ``cities(location)``, ``review_texts(review_id, Text)``; ``raw_authors``
     has (paperId, authorId, position).  Random choices are seeded hash
-    draws (see ``operators.synth``).
+    draws (see ``operators.synth``).  ``nouns``: weights of ``operators.nouns``
+    that keep only nouns as keywords.
     """
     raw_papers = clean.dedupe_papers(raw_papers)
     papers = clean.clean_papers(raw_papers)
@@ -66,7 +67,7 @@ def process_papers(raw_papers: DataFrame, raw_authors: DataFrame, cities: DataFr
     # keywords of the abstract (field term forced in), then the field term appended
     kws = extract_keywords(papers.select("paperId", F.col("abstract").alias("text"),
                                          "field_query"),
-                           key="paperId", text="text", field="field_query", n=n_keywords)
+                           key="paperId", text="text", field="field_query", n=n_keywords, nouns=nouns)
     papers = (papers.join(_ranked_list(kws, "paperId", "term", "keywords"), "paperId")
               .transform(clean.finalize_keywords))
 

@@ -16,7 +16,7 @@ from ..graph import Graph
 from ..operators import clean, synth
 from ..operators import graph_build as gb
 from ..operators import keywords as kw
-from ..operators import profile
+from ..operators import nouns, profile
 from ..operators.authors import process_authors
 from ..operators.condensation import condense, topological_levels
 from ..operators.graph_algorithms import Projection, ProjectionCatalog, pagerank
@@ -564,6 +564,15 @@ def q_keywords(spark, sf_dir):
         .withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@register("extract_noun_keywords")
+def q_noun_keywords(spark, sf_dir):
+    """The top nouns of each document, the field term among them."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", F.col("source").alias("field_query"))
+    weights = written(nouns.train(nouns.seed_table(spark)), "noun_weights")
+    return kw.extract_keywords(docs, "doc_id", "text", "field_query", 4, nouns=weights) \
+        .withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @register("value_counts")
 def q_value_counts(spark, sf_dir):
     papers, _ = _raw(spark, sf_dir)

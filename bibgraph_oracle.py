@@ -9,6 +9,8 @@ sides; integer outputs are BIGINT.
 
 from __future__ import annotations
 
+from bibgraph.operators.nouns import seed_tokens
+
 GRAPH_VIEWS = """
 paper AS (
   SELECT p.p_partkey AS paperId, nullif(p.p_name, 'blue anvil') AS title,
@@ -610,6 +612,51 @@ _ASCII_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PUNCT = ("[" + __import__("re").escape(_ASCII_PUNCT) + "]").replace("'", "''")
 _STOP = "'i', 'me', 'my', 'myself', 'we', 'our', 'ours', 'ourselves', 'you', 'you''re', 'you''ve', 'you''ll', 'you''d', 'your', 'yours', 'yourself', 'yourselves', 'he', 'him', 'his', 'himself', 'she', 'she''s', 'her', 'hers', 'herself', 'it', 'it''s', 'its', 'itself', 'they', 'them', 'their', 'theirs', 'themselves', 'what', 'which', 'who', 'whom', 'this', 'that', 'that''ll', 'these', 'those', 'am', 'is', 'are', 'was', 'were', 'be', 'been', 'being', 'have', 'has', 'had', 'having', 'do', 'does', 'did', 'doing', 'a', 'an', 'the', 'and', 'but', 'if', 'or', 'because', 'as', 'until', 'while', 'of', 'at', 'by', 'for', 'with', 'about', 'against', 'between', 'into', 'through', 'during', 'before', 'after', 'above', 'below', 'to', 'from', 'up', 'down', 'in', 'out', 'on', 'off', 'over', 'under', 'again', 'further', 'then', 'once', 'here', 'there', 'when', 'where', 'why', 'how', 'all', 'any', 'both', 'each', 'few', 'more', 'most', 'other', 'some', 'such', 'no', 'nor', 'not', 'only', 'own', 'same', 'so', 'than', 'too', 'very', 's', 't', 'can', 'will', 'just', 'don', 'don''t', 'should', 'should''ve', 'now', 'd', 'll', 'm', 'o', 're', 've', 'y', 'ain', 'aren', 'aren''t', 'couldn', 'couldn''t', 'didn', 'didn''t', 'doesn', 'doesn''t', 'hadn', 'hadn''t', 'hasn', 'hasn''t', 'haven', 'haven''t', 'isn', 'isn''t', 'ma', 'mightn', 'mightn''t', 'mustn', 'mustn''t', 'needn', 'needn''t', 'shan', 'shan''t', 'shouldn', 'shouldn''t', 'wasn', 'wasn''t', 'weren', 'weren''t', 'won', 'won''t', 'wouldn', 'wouldn''t'"
 
+
+def _noun_keywords() -> str:
+    """The marked sentences counted and turned into weights, tokens scored, nouns counted."""
+    seed = ", ".join(f"('{w}', '{p}', '{x}', {n})" for w, p, x, n in seed_tokens())
+    kinds = {"word": "word", "end3": "right(word, 3)", "end2": "right(word, 2)", "prev": "prev", "next": "next",
+             "prior": "''"}
+    described = " UNION ALL ".join(f"SELECT '{k}' AS kind, {e} AS value, noun FROM seed" for k, e in kinds.items())
+    joins = "\n  ".join(f"LEFT JOIN weights w_{k} ON w_{k}.kind = '{k}' AND w_{k}.value = {e}"
+                        for k, e in kinds.items() if k != "prior")
+    return f"""
+WITH seed(word, prev, next, noun) AS (VALUES {seed}),
+counts AS (
+  SELECT kind, value, count(*) FILTER (noun) AS nouns, count(*) FILTER (NOT noun) AS others
+  FROM ({described}) d GROUP BY 1, 2),
+odds AS (SELECT kind, value, round(ln((2 * nouns + 1) / (2 * others + 1)) * 1000) AS odds
+         FROM counts WHERE nouns + others >= 2),
+prior AS (SELECT odds AS prior FROM odds WHERE kind = 'prior'),
+weights AS (SELECT kind, value, odds - prior AS weight FROM odds, prior WHERE kind <> 'prior'),
+arrs AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '{_PUNCT}', '', 'g'),
+                                                       '[ \\t\\n\\r\\f]+'), lambda w: w <> '') AS arr FROM documents),
+tok AS (SELECT doc_id, arr[i] AS word, coalesce(arr[nullif(i - 1, 0)], '') AS prev, coalesce(arr[i + 1], '') AS next, i AS pos
+        FROM (SELECT doc_id, arr, unnest(range(1, len(arr) + 1)) AS i FROM arrs) a),
+scored AS (
+  SELECT t.doc_id, t.pos, t.word AS term,
+         (SELECT prior FROM prior) + coalesce(w_word.weight, 0) + coalesce(w_end3.weight, 0) + coalesce(w_end2.weight, 0)
+         + coalesce(w_prev.weight, 0) + coalesce(w_next.weight, 0) AS score
+  FROM tok t
+  {joins}
+  WHERE t.word NOT IN ({_STOP})),
+terms AS (
+  SELECT doc_id, pos, term FROM scored WHERE score > 0 AND NOT regexp_full_match(term, '[0-9]+')
+  UNION ALL
+  SELECT doc_id, 4611686018427387904 AS pos, lower(source) AS term FROM documents WHERE source IS NOT NULL),
+counted AS (SELECT doc_id, term, count(*) AS c, min(pos) AS first FROM terms GROUP BY 1, 2),
+ranked AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, first) AS rank
+           FROM counted),
+top AS (SELECT r.*, lower(d.source) AS f FROM ranked r JOIN documents d USING (doc_id) WHERE rank <= 4),
+flags AS (SELECT doc_id, max(CASE WHEN term = f THEN 1 ELSE 0 END) AS has, max(rank) AS last
+          FROM top GROUP BY doc_id)
+SELECT t.doc_id, CAST(t.rank AS BIGINT) AS rank,
+       CASE WHEN fl.has = 0 AND t.rank = fl.last THEN t.f ELSE t.term END AS term
+FROM top t JOIN flags fl USING (doc_id)
+"""
+
+
 MISC = {
     "extract_keywords": f"""
 WITH tok AS (
@@ -631,6 +678,7 @@ SELECT t.doc_id, CAST(t.rank AS BIGINT) AS rank,
        CASE WHEN fl.has = 0 AND t.rank = fl.last THEN t.f ELSE t.term END AS term
 FROM top t JOIN flags fl USING (doc_id)
 """,
+    "extract_noun_keywords": _noun_keywords(),
     "value_counts": with_graph("""
 SELECT publicationTypes AS value, count(*) AS count FROM raw_papers
 WHERE publicationTypes IS NOT NULL GROUP BY 1
