@@ -727,24 +727,40 @@ def q_graph_counts_csv(spark, sf_dir):
     return gb.graph_counts(gb.build_graph(back, arows))
 
 
-@register("process_papers_counts")
-def q_process_papers(spark, sf_dir):
-    """Rows per load file from the whole paper-processing pipeline."""
+def _processed(spark, sf_dir):
     from .etl import process_papers
 
     t = Tables(spark, sf_dir)
     papers, authors = _raw(spark, sf_dir)
     cities = t.nation.select(F.col("n_name").alias("location"))
     texts = t.benchmark.select(F.col("item_id").alias("review_id"), F.col("text").alias("Text"))
-    parts = process_papers(papers, authors, cities, texts)
+    return process_papers(papers, authors, cities, texts)
+
+
+@register("process_papers_counts")
+def q_process_papers(spark, sf_dir):
+    """Rows per load file from the whole paper-processing pipeline."""
     out = None
-    for kind, df in parts.items():
+    for kind, df in _processed(spark, sf_dir).items():
         c = df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(kind).alias("type"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
 
 
+@register("process_papers_rows")
+def q_process_papers_rows(spark, sf_dir):
+    """Every row of the three load files, list columns as text; a column that a file lacks is null."""
+    out = None
+    for kind, df in _processed(spark, sf_dir).items():
+        part = df.withColumn("type", F.lit(kind))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    numbers = ("year", "citationCount", "edition", "number_reviewers", "corresponding_author")
+    return out.select(*[F.col(c).cast("bigint").alias(c) for c in numbers], "type", "paperId", "title", "url",
+                      "abstract", "venue", "approved", "publicationTypes", "proceedings", "journal_name",
+                      "journal_volume", "keywords", "authorIds", "reviewers", "comments", "Citations")
+
+
 @register("scc_loaded_cites")
 def q_scc_loaded(spark, sf_dir):
     """SCC of the CITES graph built from the load files: string keys, and the

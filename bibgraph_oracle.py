@@ -761,6 +761,76 @@ FROM cat_v c JOIN author_lists a ON a.paperId = c.paperId
 GROUP BY c.publicationTypes
 """, RAW_CTES)
 
+
+
+def _processed_rows() -> str:
+    """The pipeline's load files row by row: draws, keywords and editions put together."""
+    import re
+
+    def sample(prefix: str, *args, **kwargs) -> str:
+        return re.sub(r"\bs_", f"{prefix}_", _sample_sql(*args, **kwargs))
+
+    reviewers = sample("rv", "SELECT paperId AS r FROM pp", f"2 + {_h('nrev', 'r')} % 2",
+                       "SELECT authorId AS key FROM raw_authors WHERE authorId IS NOT NULL "
+                       "AND paperId IN (SELECT paperId FROM pp)", "rev", 20,
+                       exclude_sql="SELECT paperId AS r, authorId AS pick FROM raw_authors WHERE authorId IS NOT NULL")
+    comments = sample("cm", "SELECT paperId AS r FROM pp", f"2 + {_h('nrev', 'r')} % 2",
+                      "SELECT item_id AS key FROM benchmark", "comment", 20)
+    cites = sample("ci", "SELECT paperId AS r FROM raw_papers", f"15 + {_h('ncite', 'r')} % 36",
+                   "SELECT paperId AS key FROM raw_papers", "cite", 40, self_excluded=True)
+    return with_graph("""
+SELECT * FROM kept
+UNION ALL
+SELECT * REPLACE (year - 1 AS year, edition - 1 AS edition, paperId || 'a' AS paperId)
+FROM kept WHERE type = 'Conference'
+""", RAW_CTES + f""",
+pp AS (
+  SELECT c.paperId, c.field_query, c.title, w.url, c.abstract, c.year, w.citationCount, c.publicationTypes,
+         c.proceedings, c.journal, c.journal_volume, c.edition, a.first_author, a.authorIds
+  FROM with_edition c JOIN author_lists a ON a.paperId = c.paperId JOIN cleaned w ON w.paperId = c.paperId),
+{reviewers}, {comments}, {cites},
+rv_list AS (SELECT r, string_agg(CAST(pick AS VARCHAR), ', ' ORDER BY rank) AS reviewers FROM rv_out GROUP BY r),
+cm_list AS (SELECT c.r, string_agg(b.text, ';' ORDER BY c.rank) AS comments
+            FROM cm_out c JOIN benchmark b ON b.item_id = c.pick GROUP BY c.r),
+ci_list AS (SELECT r, string_agg(pick, ', ' ORDER BY rank) AS Citations FROM ci_out GROUP BY r),
+place AS (SELECT n_name AS location, row_number() OVER (ORDER BY n_name) - 1 AS idx
+          FROM (SELECT DISTINCT n_name FROM nation) x),
+k_tok AS (
+  SELECT paperId, unnest(arr) AS term, generate_subscripts(arr, 1) AS pos
+  FROM (SELECT paperId, string_split_regex(regexp_replace(lower(abstract), '{_PUNCT}', '', 'g'),
+                                           '[ \\t\\n\\r\\f]+') AS arr FROM pp) x),
+k_terms AS (
+  SELECT paperId, pos, term FROM k_tok WHERE term <> '' AND term NOT IN ({_STOP})
+  UNION ALL SELECT paperId, 4611686018427387904, lower(field_query) FROM pp),
+k_counted AS (SELECT paperId, term, count(*) AS c, min(pos) AS first FROM k_terms GROUP BY 1, 2),
+k_top AS (SELECT * FROM (SELECT paperId, term, row_number() OVER (PARTITION BY paperId ORDER BY c DESC, first) AS rank
+                         FROM k_counted) x WHERE rank <= 4),
+k_last AS (SELECT t.paperId, max(t.rank) AS last, bool_or(t.term = lower(p.field_query)) AS has
+           FROM k_top t JOIN pp p ON p.paperId = t.paperId GROUP BY 1),
+k_list AS (
+  SELECT t.paperId, string_agg(CASE WHEN NOT l.has AND t.rank = l.last THEN lower(p.field_query) ELSE t.term END, ','
+                               ORDER BY t.rank) || ',' || lower(any_value(p.field_query)) AS keywords
+  FROM k_top t JOIN k_last l ON l.paperId = t.paperId JOIN pp p ON p.paperId = t.paperId GROUP BY 1),
+kept AS (
+  SELECT CAST(p.year AS BIGINT) AS year, CAST(p.citationCount AS BIGINT) AS citationCount,
+         CASE WHEN publicationTypes <> 'JournalArticle' THEN TRY_CAST(p.edition AS BIGINT) END AS edition,
+         CAST(2 + {_h('nrev', 'p.paperId')} % 2 AS BIGINT) AS number_reviewers,
+         CAST(p.first_author AS BIGINT) AS corresponding_author,
+         CASE WHEN publicationTypes = 'JournalArticle' THEN 'Journal' ELSE publicationTypes END AS type,
+         p.paperId, p.title, p.url, p.abstract, l.location AS venue, 'Y' AS approved, p.publicationTypes,
+         p.proceedings, CASE WHEN publicationTypes = 'JournalArticle' THEN p.journal END AS journal_name,
+         CASE WHEN publicationTypes = 'JournalArticle' THEN p.journal_volume END AS journal_volume,
+         k.keywords, p.authorIds, rv.reviewers, cm.comments, ci.Citations
+  FROM pp p
+  JOIN place l ON l.idx = {_h('loc', 'p.paperId')} % (SELECT count(*) FROM place)
+  JOIN k_list k ON k.paperId = p.paperId
+  LEFT JOIN rv_list rv ON rv.r = p.paperId
+  LEFT JOIN cm_list cm ON cm.r = p.paperId
+  JOIN ci_list ci ON ci.r = p.paperId)""")
+
+
+ALGORITHMS["process_papers_rows"] = _processed_rows()
+
 # SCC of the load-file CITES graph: string keys, stubs included, self-loops
 # ignored; a component is named by its smallest paperId.
 ALGORITHMS["scc_loaded_cites"] = _recursive(with_graph("""
