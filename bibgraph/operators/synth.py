@@ -16,17 +16,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_draw
-from ..session import checkpoint_dir, written
+from ..session import written
 from .ranked import numbered
 
 #: Most numbers that a row draws in one round; bounds the rows that one row becomes.
 MAX_SPAN = 4096
+#: Pools of up to so many members are sent to every task.
+SMALL_POOL = 1 << 16
 
 
 def dense_index(pool: DataFrame, key: str, idx: str = "idx") -> DataFrame:
     """Number the distinct keys of ``pool`` 0..n-1 in key order, without a
     single-task global window."""
-    return numbered(pool.select(key).distinct(), [key], idx)
+    # read three times while it is numbered
+    return numbered(written(pool.select(key).distinct(), "members"), [key], idx)
 
 
 def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
@@ -40,72 +43,71 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
     next ``2W``, then ``4W`` numbers, up to MAX_SPAN a round, until it has
     ``min(k, eligible)`` picks, where eligible is the pool minus its excluded
     members.  Nothing is capped.  Repeated row keys count once (largest k).
+
+    A row's draws are one array, so picks are told apart inside the row; only the draws that
+    meet an excluded pair and the ``k`` picks themselves are shuffled.  Joins with tables that
+    grow are never broadcast: the planner takes an exploded table for as small as its rows.
+    Null row keys and rows without a number pick nothing.
     """
-    checkpoint_dir(rows.sparkSession)
     indexed = dense_index(pool.select(F.col(pool_key).alias("_pk")), "_pk")
     n_pool = indexed.count()
     if n_pool == 0:  # nothing to pick from: every row gets min(k, 0) = 0 picks
         return rows.select(row_key, F.lit(1).alias("rank"),
                            F.lit(None).cast(pool.schema[pool_key].dataType).alias("pick")).limit(0)
-    base = rows.groupBy(row_key).agg(F.max(k_col).alias("_k"))
-    # eligible pool size per row
-    n_ex = None
+    none = F.array().cast("array<bigint>")
+    target = (rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.max(k_col).cast("int").alias("_k"))
+              .where("_k is not null"))
+    elig, never = F.lit(n_pool), none
+    pairs = None
     if exclude is not None:
-        ex = (exclude.select(F.col(exclude.columns[0]).alias(row_key),
-                             F.col(exclude.columns[1]).alias("pick")).distinct())
-        n_ex = (ex.join(indexed.select(F.col("_pk").alias("pick")), "pick", "left_semi")
-                .groupBy(row_key).agg(F.count(F.lit(1)).alias("_nex")))
-    target = base
-    if n_ex is not None:
-        target = target.join(n_ex, row_key, "left")
-    else:
-        target = target.withColumn("_nex", F.lit(0))
-    elig = F.lit(n_pool) - F.coalesce("_nex", F.lit(0))
+        ex = exclude.select(F.col(exclude.columns[0]).alias(row_key), F.col(exclude.columns[1]).alias("_pk")).distinct()
+        pairs = written(ex.join(_shared(indexed, n_pool), "_pk").select(row_key, "idx"), "excluded")
+        n_ex = pairs.groupBy(row_key).agg(F.count(F.lit(1)).alias("_nex"))
+        target = target.join(n_ex.hint("merge"), row_key, "left")
+        elig = elig - F.coalesce("_nex", F.lit(0))
     if self_excluded:
-        in_pool = indexed.select(F.col("_pk").alias(row_key), F.lit(1).alias("_self"))
-        target = target.join(in_pool, row_key, "left")
-        elig = elig - F.coalesce("_self", F.lit(0))
-    target = target.select(row_key, F.least("_k", elig).alias("_target"),
-                           (F.col("_k") + slack).cast("long").alias("_width")).checkpoint(eager=True)
-
-    picked: DataFrame | None = None
-    todo = target
+        own = indexed.select(F.col("_pk").alias(row_key), F.col("idx").alias("_own"))
+        target = target.join(own.hint("merge"), row_key, "left")
+        # a null member is never told to differ from the row
+        null_at = [F.lit(r["idx"]) for r in indexed.where("_pk is null").collect()]  # at most one
+        elig = elig - F.when(F.col("_own").isNull(), 0).otherwise(1) - len(null_at)
+        never = F.array_compact(F.array(F.col("_own"), *null_at))
+    todo = written(target.select(row_key, F.least("_k", elig).cast("int").alias("_target"),
+                                 (F.col("_k") + slack).cast("long").alias("_width"),
+                                 never.alias("_never"), none.alias("_held")), "targets")
+
+    finished: DataFrame | None = None
     lo, span = F.lit(0).cast("long"), F.least(F.col("_width"), F.lit(MAX_SPAN))
     factor = 1
     while True:
-        draws = (todo.select(row_key, F.explode(F.sequence(lo, lo + span - 1)).alias("draw"))
-                 .withColumn("idx", F.pmod(hash_draw(row_key, "draw", seed=seed), F.lit(n_pool))))
-        cand = draws.join(indexed, "idx").select(row_key, "draw", F.col("_pk").alias("pick"))
-        if self_excluded:
-            cand = cand.where(F.col("pick") != F.col(row_key))
-        if exclude is not None:
-            cand = cand.join(ex, [row_key, "pick"], "left_anti")
-        if picked is not None:
-            cand = cand.join(picked.select(row_key, "pick"), [row_key, "pick"], "left_anti")
-            need = (todo.join(picked.groupBy(row_key).agg(F.count(F.lit(1)).alias("_h")),
-                              row_key, "left")
-                    .select(row_key, (F.col("_target") - F.coalesce("_h", F.lit(0)))
-                            .alias("_need")))
-        else:
-            need = todo.select(row_key, F.col("_target").alias("_need"))
-        first = cand.groupBy(row_key, "pick").agg(F.min("draw").alias("draw"))
-        w = Window.partitionBy(row_key).orderBy("draw")
-        new = (first.join(need, row_key).withColumn("_r", F.row_number().over(w))
-               .where(F.col("_r") <= F.col("_need")).select(row_key, "draw", "pick"))
-        picked = (new if picked is None else picked.unionByName(new)).checkpoint(eager=True)
-        have = picked.groupBy(row_key).agg(F.count(F.lit(1)).alias("_h"))
-        short = (target.join(have, row_key, "left")
-                 .where(F.coalesce("_h", F.lit(0)) < F.col("_target"))
-                 .select(row_key, "_target", "_width"))
-        if short.isEmpty():  # the usual case: one job, nothing written
+        numbers = F.when(span > 0, F.sequence(lo, lo + span - 1)).otherwise(none)
+        draws = F.transform(numbers, lambda i: F.pmod(hash_draw(row_key, i, seed=seed), F.lit(n_pool)))  # noqa: B023
+        gone = F.concat("_never", "_held")
+        if pairs is not None:  # at most ``span`` draws of a row meet an excluded pair
+            met = (todo.select(row_key, F.explode(F.array_distinct(draws)).alias("idx"))
+                   .join(pairs.hint("merge"), [row_key, "idx"])
+                   .groupBy(row_key).agg(F.collect_set("idx").alias("_met")))
+            todo = todo.join(met.hint("merge"), row_key, "left")
+            gone = F.concat(gone, F.coalesce("_met", none))
+        more = F.slice(F.array_except(draws, gone), 1, F.col("_target") - F.size("_held"))
+        state = written(todo.select(row_key, "_target", "_width", "_never",
+                                    F.concat("_held", more).alias("_held")), "picks")
+        full = state.where(F.size("_held") >= F.col("_target")).select(row_key, "_held")
+        finished = full if finished is None else finished.unionByName(full)
+        todo = state.where(F.size("_held") < F.col("_target"))
+        if todo.isEmpty():  # the usual case
             break
-        todo = short.checkpoint(eager=True)
         # only short rows draw again, with twice as many numbers each round,
         # so even a row whose eligible set is a sliver of the pool finishes
         factor = min(2 * factor, MAX_SPAN)
         lo, span = lo + span, F.least(F.col("_width") * factor, F.lit(MAX_SPAN))
-    w = Window.partitionBy(row_key).orderBy("draw")
-    return picked.select(row_key, F.row_number().over(w).alias("rank"), "pick")
+    return (finished.select(row_key, F.posexplode("_held").alias("_at", "idx")).join(_shared(indexed, n_pool), "idx")
+            .select(row_key, (F.col("_at") + 1).alias("rank"), F.col("_pk").alias("pick")))
+
+
+def _shared(indexed: DataFrame, n_pool: int) -> DataFrame:
+    """The numbered pool for a join: sent to every task if small, else sorted and merged."""
+    return F.broadcast(indexed) if n_pool <= SMALL_POOL else indexed.hint("merge")
 
 
 def pick_by_rank(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame, pool_key: str, seed: str,
