@@ -102,8 +102,8 @@ class KeyedStore:
         current = self.versions(before=batch_id)
         old = self._stored({b: v for b, v in current.items() if b in set(touched)})
         merged = self._fold(old.unionByName(new.drop("bucket"))).withColumn("bucket", bucket)
-        (merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.path}/data/{batch_id}"))
+        # folding left the rows dealt by key: each task writes its part of every bucket, however few the buckets
+        (merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{batch_id}"))
         (self.spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, version bigint").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}"))
         return touched
