@@ -35,6 +35,9 @@ CYCLES, KEEP, TOPICS = 8, 0.75, 8
 #: Most of the sample's tokens that may lie with other values of a margin than the target says.
 TOLERANCE, RUNGS = 0.005, 16
 NONE = "(none)"
+#: Words that can tell a topic: shorter ones are mostly articles, pronouns and the like.
+WORD_LETTERS = 6
+LONG_WORD = rf"\p{{L}}{{{WORD_LETTERS},}}"
 
 
 def draw(doc_id: str = "doc_id") -> Column:
@@ -43,9 +46,24 @@ def draw(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(text, 1, 15), 16, 10).cast("long") / float(1 << 60)
 
 
+def leading_word(text: str = "text") -> Column:
+    """Most frequent word of WORD_LETTERS or more letters in the whole text, lower case; ties: first in byte
+    order; empty if there is none.  Equal words stand together in the sorted list and are counted as runs."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(LONG_WORD), F.lit(0))
+
+    def count(held: Column, word: Column) -> Column:
+        n = F.when(held["word"] == word, held["n"] + 1).otherwise(F.lit(1))
+        more = n > held["most"]
+        return F.struct(word.alias("word"), n.alias("n"), F.when(more, word).otherwise(held["best"]).alias("best"),
+                        F.when(more, n).otherwise(held["most"]).alias("most"))
+
+    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("n"), F.lit("").alias("best"), F.lit(0).alias("most"))
+    return F.aggregate(F.sort_array(words), start, count, lambda held: held["best"])
+
+
 def topic(text: str = "text", topics: int = TOPICS) -> Column:
-    """Stand-in for a topic label: a hash bucket of the text's first word."""
-    word = F.regexp_extract(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\p{L}+", 0)
+    """Stand-in for a topic label: a hash bucket of the whole text's leading word."""
+    word = leading_word(text)
     return F.concat(F.lit("t"), F.conv(F.substring(F.md5(word.cast("binary")), 1, 8), 16, 10).cast("long") % topics)
 
 
@@ -145,14 +163,20 @@ def result(docs: DataFrame, **options) -> DataFrame:
 
 def oracle_sql(keep: float = KEEP, cycles: int = CYCLES, topics: int = TOPICS) -> str:
     """DuckDB SQL of result(), the cycles written out."""
-    ctes = [f"""doc AS (
+    ctes = ["num AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM documents)",
+            f"""lead AS MATERIALIZED (
+  SELECT rid, word FROM (
+    SELECT rid, word, count(*) AS n
+    FROM (SELECT rid, unnest(regexp_extract_all(lower(coalesce(text, '')), '{LONG_WORD}')) AS word FROM num) w
+    GROUP BY 1, 2) c
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n DESC, word) = 1)""",
+            f"""doc AS (
   SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang,
-         't' || (('0x' || substr(md5(regexp_extract(lower(coalesce(text, '')), '\\p{{L}}+')), 1, 8))::BIGINT
-                 % {topics}) AS topic,
+         't' || (('0x' || substr(md5(coalesce(word, '')), 1, 8))::BIGINT % {topics}) AS topic,
          len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\f\\r]+'))::BIGINT AS tokens,
          ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT::DOUBLE
            / {float(1 << 60)} AS u
-  FROM documents)""",
+  FROM num LEFT JOIN lead USING (rid))""",
             """cell AS MATERIALIZED (
   SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM doc WHERE tokens > 0 GROUP BY ALL)""",
             f"""c0 AS MATERIALIZED (
