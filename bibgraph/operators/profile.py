@@ -52,13 +52,23 @@ def _grams(text, size: int):
     return F.when(F.length(text) >= size, F.array_distinct(all_))
 
 
+#: Ids of up to so many different characters cut the texts at all others.
+ALPHABET = 256
+
+
+def _runs(text, letters: list[str]):
+    """Longest pieces of a text that consist of the given characters, each piece once."""
+    of = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in letters) + "]+"
+    return F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(of), F.lit(0)))
+
+
 def substring_counts(df: DataFrame, text_col: str, ids: DataFrame, key: str = "authorId",
                      gram: int = GRAM) -> DataFrame:
     """(key, n_rows): in how many rows of ``df`` each distinct id occurs inside the text, as a substring.
 
     Equal texts are folded first.  Ids of up to ``gram`` characters are grams: texts
-    are cut into their distinct substrings of the lengths that ids have, rows are
-    counted per gram (partial aggregation, so a hot gram is one row) and joined
+    are cut at characters that no such id holds, then into their distinct substrings of the
+    lengths that ids have, rows are counted per gram (partial aggregation, so a hot gram is one row) and joined
     with the ids by equality.  A longer id is looked for by its rarest gram only and
     verified in the texts that hold it.  An empty id is inside every text; an id that
     occurs nowhere counts 0.  Null ids and null texts are left out.
@@ -71,7 +81,12 @@ def substring_counts(df: DataFrame, text_col: str, ids: DataFrame, key: str = "a
                .distinct().collect()]
     found = texts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows")).select(F.lit("").alias("_id"), "_rows")
     if lengths:
-        pieces = F.flatten(F.filter(F.array(*[_grams("_text", m) for m in sorted(lengths)]), lambda a: a.isNotNull()))
+        letters = [r[0] for r in ids.where(F.length("_id").isin(lengths)).select(F.explode(_grams("_id", 1)))
+                   .distinct().limit(ALPHABET + 1).collect()]
+        runs = _runs("_text", letters) if len(letters) <= ALPHABET else F.array("_text")
+        of_run = lambda r: F.flatten(F.filter(F.array(*[_grams(r, m) for m in sorted(lengths)]),
+                                              lambda a: a.isNotNull()))
+        pieces = F.array_distinct(F.flatten(F.transform(runs, of_run)))
         found = found.unionByName(texts.select(F.explode(pieces).alias("_id"), "_n").groupBy("_id")
                                   .agg(F.sum("_n").alias("_rows")))
     long = ids.where(F.length("_id") > gram)
