@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpoint_dir, scratch_database
+from ..session import checkpoint_dir, scratch_database, tasks_for
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
 
@@ -111,15 +111,15 @@ def project(nodes: dict[str, DataFrame], rels: list[tuple[str, str, DataFrame]],
     return Projection(vertices, edges)
 
 
-def bucketed(df: DataFrame, cols: list[str], label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as a table bucketed on ``cols`` into the checkpoint folder.
+def bucketed(df: DataFrame, cols: list[str], label: str, n: int | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` as a table bucketed on ``cols`` (``n`` buckets) into the checkpoint folder.
 
     A bucketed scan reports its hash partitioning, so later joins on ``cols``
     shuffle only the other side; the written table is also the lineage cut.
     Returns the table and its catalog name; dropping the table removes its files.
     """
     spark = df.sparkSession
-    n = _partitions(spark)
+    n = n or _partitions(spark)
     name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex[:12]}"
     # hash-partition on the bucket columns first: bucket ids use the same
     # hash, so each task writes exactly one bucket file (not tasks x buckets)
@@ -128,24 +128,29 @@ def bucketed(df: DataFrame, cols: list[str], label: str) -> tuple[DataFrame, str
 
 
 class EdgeSet:
-    """Edges written once, bucketed on (src, salt), with hot sources split."""
+    """Edges written once, bucketed on (src, salt), with hot sources split.
+
+    Every round has a task per bucket, so the number of buckets follows the number of
+    edges: the few edges that late phases of a loop are left with make few tasks.
+    """
 
     def __init__(self, edges: DataFrame, hot_edges: int | None = None):
         hot_edges = hot_edges or HOT_EDGES
         self.spark = edges.sparkSession
         # read twice below (degrees, then salted edges): keep the input once
         edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+        n = tasks_for(self.spark, edges.count())
         deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
         self.fanout, n1 = bucketed(
             deg.select(F.col("src").alias("id"), "outdeg",
                        F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
-                       .cast("int").alias("s")), ["id"], "fanout")
+                       .cast("int").alias("s")), ["id"], "fanout", n)
         self.edges, n2 = bucketed(
             # at most (edges / hot_edges) sources are split: no edge is shuffled on a plain source
             edges.join(F.broadcast(self.fanout.where(F.col("s") > 1)
                                    .select(F.col("id").alias("src"), "s")), "src", "left")
             .select("src", F.pmod(F.xxhash64("dst"), F.coalesce("s", F.lit(1))).cast("int").alias("salt"),
-                    "dst"), ["src", "salt"], "edges")
+                    "dst"), ["src", "salt"], "edges", n)
         edges.unpersist()
         self._names = [n1, n2]
 
@@ -318,8 +323,8 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)
-    p = _partitions(spark)
-    active = _cut(proj.vertices.select("id").distinct().repartition(p, "id"))
+    active = _cut(proj.vertices.select("id").distinct())
+    active = _cut(active.repartition(tasks_for(spark, active.count()), "id"))
     # the edges of a named projection are distinct and written in both directions
     held = [proj.forward, proj.backward] if isinstance(proj, NamedProjection) and not proj.has_loops else []
     edges = proj.edges if held else _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
@@ -398,9 +403,10 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
         smallest = members.groupBy("c").agg(F.min("id").alias("componentId"))
         found.append(_cut(members.join(smallest, "c").select("id", "componentId")))
         rest = mark.where(~F.col("k")).select("id", "c")
-        active = _cut(rest.select("id").repartition(p, "id"))
-        if active.isEmpty():
+        n_rest = rest.count()
+        if n_rest == 0:
             break
+        active = _cut(rest.select("id").repartition(tasks_for(spark, n_rest), "id"))
         edges = _cut(edges.join(rest.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src")
                      .join(rest.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst")
                      .where(F.col("cs") == F.col("cd")).select("src", "dst"))

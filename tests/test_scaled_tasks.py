@@ -50,3 +50,28 @@ def test_few_buckets_are_written_by_many_tasks(spark, tmp_path):
     for bucket in (0, 1):
         assert len(list((tmp_path / "store" / "data" / "0" / f"bucket={bucket}").glob("*.parquet"))) == 4
     assert store.read().where("v = 2 * k").count() == 200_000
+
+
+def test_texts_are_cut_at_characters_that_no_id_holds(spark):
+    from bibgraph.operators import profile
+
+    df = spark.createDataFrame([("12, 345 (12)]😀7",)], "t string")
+    assert df.select(profile._runs("t", list("0123456789"))).first()[0] == ["12", "345", "7"]
+    assert df.select(profile._runs("t", list(" ,)]^-\\😀"))).first()[0] == [", ", " ", ")]😀"]
+
+
+def test_few_edges_make_few_buckets(spark, monkeypatch):
+    from bibgraph.operators.graph_algorithms import EdgeSet
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(100)], "src long, dst long")
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        many, few = EdgeSet(edges), EdgeSet(edges.limit(1))
+        held = [spark.sql(f"DESCRIBE EXTENDED {e._names[1]}").where("col_name = 'Num Buckets'").first()["data_type"]
+                for e in (many, few)]
+        assert held == ["10", "4"]
+        many.release(), few.release()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
