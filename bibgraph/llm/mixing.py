@@ -100,9 +100,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keeps: list[float], cy
             factor = now.join(target, "value", "left").select(
                 "keep", F.col("value").alias(margin),
                 F.coalesce(F.when(F.col("now") > 0, wanted / F.col("now")), F.lit(0.0)).alias("factor"))
-            held = held.join(factor, ["keep", margin]).select(
-                *names, (F.col("weight") * F.col("factor")).alias("weight"))
-        held = written(held, "cells")
+            # cut at every margin: a step reads the cells twice, so the plan of a whole cycle holds them eight times
+            held = written(held.join(factor, ["keep", margin]).select(
+                *names, (F.col("weight") * F.col("factor")).alias("weight")), "cells")
     return held
 
 
