@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import strip_punctuation
+from ..session import written
 from .nouns import neighbours, only_nouns
 
 # The English stop-word list of the NLTK corpus (179 words).
@@ -45,13 +46,68 @@ def extract_keywords(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     A noun is judged by its neighbours in the text, stop words included.
 
+    Terms of a document whose key no other row has are counted inside its row: neither
+    its words nor their counts are shuffled or spilled.  Rows that share a key (found by a
+    count over the keys alone) are counted together, by ``_grouped_keywords``, and so are
+    all rows where a step on token rows (``nouns``, ``term_filter``) is asked for.
+    """
+    f = F.lower(F.col(field)) if field is not None else F.lit(None).cast("string")
+    src = docs.select(key, f.alias("_f"), text)
+    if nouns is not None or term_filter is not None:
+        return _grouped_keywords(src, key, text, field, n, term_filter, nouns)
+    shared = written(src.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                     .select(F.col(key).alias("_shared")), "shared_keys")
+    if shared.isEmpty():  # the usual case
+        return _row_keywords(src, key, text, n)
+    same = src[key].eqNullSafe(shared["_shared"])
+    return _row_keywords(src.join(shared, same, "left_anti"), key, text, n).unionByName(
+        _grouped_keywords(src.join(shared, same, "left_semi"), key, text, field, n, None, None))
+
+
+def _row_keywords(src: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """(key, rank, term) of rows (key, _f, text) that each are a document.
+
+    Equal words stand together in the sorted (word, place) list and are counted as runs; a
+    run that ends goes into the list of the best ``n``.
+    """
+    words = F.filter(F.split(strip_punctuation(F.lower(F.col(text))), WHITESPACE),
+                     lambda w: (w != "") & ~w.isin(*STOP_WORDS))
+    # the field term is counted once more, after every word of the text
+    listed = F.concat(F.coalesce(words, F.array().cast("array<string>")), F.array_compact(F.array("_f")))
+    placed = F.sort_array(F.transform(listed, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    best = "array<struct<less:int,first:int,term:string>>"
+
+    def with_run(held: Column) -> Column:  # most first, then the first to occur
+        run = F.array(F.struct((-held["n"]).alias("less"), held["first"].alias("first"), held["w"].alias("term")))
+        return F.slice(F.sort_array(F.concat(held["best"], run.cast(best))), 1, n)
+
+    def count(held: Column, word: Column) -> Column:
+        same = held["w"] == word["w"]
+        return F.struct(word["w"].alias("w"), F.when(same, held["n"] + 1).otherwise(F.lit(1)).alias("n"),
+                        F.when(same, held["first"]).otherwise(word["i"]).alias("first"),
+                        F.when(same | held["w"].isNull(), held["best"]).otherwise(with_run(held)).alias("best"))
+
+    start = F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("first"),
+                     F.array().cast(best).alias("best"))
+    top = F.aggregate(placed, start, count,
+                      lambda held: F.when(held["w"].isNull(), held["best"]).otherwise(with_run(held)))
+    terms = src.select(key, "_f", F.transform(top, lambda t: t["term"]).alias("_top"))
+    # field term missing: it takes the place of the last kept term
+    fixed = F.when(F.col("_f").isNotNull() & ~F.array_contains("_top", F.col("_f")), F.concat(
+        F.slice("_top", 1, F.size("_top") - 1), F.array("_f"))).otherwise(F.col("_top"))
+    return (terms.select(key, F.posexplode(fixed).alias("_at", "term"))
+            .select(key, (F.col("_at") + 1).alias("rank"), "term"))
+
+
+def _grouped_keywords(src: DataFrame, key: str, text: str, field: str | None, n: int,
+                      term_filter: Callable[[DataFrame], DataFrame] | None, nouns: DataFrame | None) -> DataFrame:
+    """(key, rank, term) of rows (key, _f, text) that may share a key.
+
     One pass over the text: the field term rides along as a grouping column
     (it is fixed per document), and the "is the field term among the top n"
     test is a window over the same document partition, so nothing is joined
     back and no text is tokenised twice.
     """
-    f = F.lower(F.col(field)) if field is not None else F.lit(None).cast("string")
-    src = docs.select(key, f.alias("_f"), text)
     cleaned = strip_punctuation(F.lower(F.col(text)))
     tok = src.select(key, "_f", F.posexplode(F.split(cleaned, WHITESPACE)).alias("pos", "term"))
     if nouns is not None:
