@@ -8,6 +8,7 @@ Design for scale
 * A source with a huge out-degree is split: its edges are spread over
   ``ceil(outdeg / hot_edges)`` salt buckets and its value row is replicated
   once per bucket, so no task receives a third of all edges.
+* A bucket's value rows are hashed, so a round doesn't sort its edges again (``EdgeSet.messages``).
 * Messages are aggregated per destination with partial (map-side)
   aggregation, so a hot destination is pre-combined before the shuffle.
 * Rounds are cached; lineage is cut with reliable ``checkpoint()`` into the
@@ -22,12 +23,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import BooleanType, IntegralType, NumericType
 from pyspark.storagelevel import StorageLevel
 
 from ..session import checkpoint_dir, scratch_database, tasks_for
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
+#: Edges a vertex from which on a first sweep from one vertex looks for a component of most vertices.
+DENSE = 4
 
 
 @dataclass(frozen=True)
@@ -156,12 +159,17 @@ class EdgeSet:
 
     def messages(self, values: DataFrame, cols: list[str]) -> DataFrame:
         """Rows (dst, *cols) for every edge whose source has a row in
-        ``values(id, *cols[, s])`` (``s`` is looked up when missing)."""
+        ``values(id, *cols[, s])`` (``s`` is looked up when missing).
+
+        Values of fixed width are hashed: a bucket has at most as many of them as edges, and those
+        need no sort then.  Others (sketches, text) may not fit and are merged.
+        """
+        narrow = all(isinstance(values.schema[c].dataType, (NumericType, BooleanType)) for c in cols)
         if "s" not in values.columns:
             values = values.join(self.fanout.select("id", "s"), "id")
         sv = values.select(F.col("id").alias("src"),
                            F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), *cols)
-        return self.edges.join(sv, ["src", "salt"]).select("dst", *cols)
+        return self.edges.join(sv.hint("shuffle_hash") if narrow else sv, ["src", "salt"]).select("dst", *cols)
 
     def release(self) -> None:
         """Drop the tables and their files.
@@ -305,13 +313,86 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _reached(active: DataFrame, start: int, es: EdgeSet, checkpoint_every: int) -> DataFrame:
+    """active vertices (id) with ``k``: the start vertex leads to them along the edges.  Each sends once."""
+    mat = Materializer(checkpoint_every)
+    mark = active.select("id", (F.col("id") == start).alias("k"))
+    frontier = mark.where("k").select("id")
+    while True:
+        come = es.messages(frontier, []).select(F.col("dst").alias("u")).distinct()
+        new = mat(mark.join(come, mark.id == come.u, "left")
+                  .select("id", (F.col("k") | F.col("u").isNotNull()).alias("k"),
+                          (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
+        frontier = new.where("changed").select("id")
+        mark = new.select("id", "k")
+        if frontier.count() == 0:  # full pass: fills the cache
+            break
+    mark = _cut(mark)
+    mat.close()
+    return mark
+
+
+def _around(active: DataFrame, start: int, fwd: EdgeSet, bwd: EdgeSet, checkpoint_every: int) -> DataFrame:
+    """(id, c, k): k marks the component of the start vertex; no component spans two values of c."""
+    ahead = _reached(active, start, fwd, checkpoint_every).select("id", F.col("k").alias("f"))
+    behind = _reached(active, start, bwd, checkpoint_every).select("id", F.col("k").alias("b"))
+    return _cut(ahead.join(behind, "id").select(
+        "id", (F.col("f").cast("bigint") * 2 + F.col("b").cast("bigint")).alias("c"),
+        (F.col("f") & F.col("b")).alias("k")))
+
+
+def _coloured(active: DataFrame, fwd: EdgeSet, bwd: EdgeSet, checkpoint_every: int) -> DataFrame:
+    """(id, c, k): the colour of each vertex, and whether it is in the component of the colour's root."""
+    # forward colouring: colour(v) = smallest hash(id) among the vertices that
+    # reach v.  Hashed priorities make the number of phases independent of how
+    # ids happen to be ordered along the edges; xxhash64 maps different longs to
+    # different longs, so a hash names its vertex and, as a plain number, is
+    # aggregated without a sort.  (Messages to trimmed vertices meet no row.)
+    mat = Materializer(checkpoint_every)
+    priority = F.xxhash64(F.col("id").cast("bigint"))
+    colour = active.select("id", priority.alias("c"))
+    senders = colour  # only vertices whose colour dropped send in the next round
+    while True:
+        m = fwd.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
+        new = mat(colour.join(m, colour.id == m.dst, "left")
+                  .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
+                          F.coalesce(F.col("m") < F.col("c"), F.lit(False))
+                          .alias("changed")))
+        changed = new.where(F.col("changed")).count()  # full pass: fills the cache
+        colour = new.select("id", "c")
+        senders = new.where(F.col("changed")).select("id", "c")
+        if changed == 0:
+            break
+    colour = _cut(colour)
+    mat.close()
+    # backward sweep inside each colour, from the root: a message counts
+    # only where sender and receiver have the same colour
+    mat = Materializer(checkpoint_every)
+    mark = colour.select("id", "c", (priority == F.col("c")).alias("k"))
+    frontier = mark.where("k").select("id", "c")
+    while True:
+        reached = bwd.messages(frontier, ["c"]).select(F.col("dst").alias("u"),
+                                                       F.col("c").alias("uc")).distinct()
+        new = mat(mark.join(reached, (mark.id == reached.u) & (mark.c == reached.uc), "left")
+                  .select("id", "c", (F.col("k") | F.col("u").isNotNull()).alias("k"),
+                          (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
+        frontier = new.where(F.col("changed")).select("id", "c")
+        mark = new.select("id", "c", "k")
+        if frontier.count() == 0:  # full pass: fills the cache
+            break
+    mark = _cut(mark)
+    mat.close()
+    return mark
+
+
 def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                                   checkpoint_every: int = 5,
                                   hot_edges: int | None = None) -> DataFrame:
     """(id, label, key, componentId): componentId is the smallest vertex id of the SCC.
 
     Trim (a vertex without in- or out-edges in the remaining graph is a
-    singleton SCC), then forward colouring with hashed priorities and a
+    singleton SCC); in a graph of many edges a vertex, one sweep forward and
+    one backward from a vertex of many edges, once; then forward colouring with hashed priorities and a
     backward sweep inside each colour from its root (Fleischer-Hendrickson-
     Pinar; Orzan).  Each phase writes the remaining edges twice, bucketed by
     source and by target; its rounds shuffle vertex-sized rows only: trimming
@@ -329,6 +410,7 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     held = [proj.forward, proj.backward] if isinstance(proj, NamedProjection) and not proj.has_loops else []
     edges = proj.edges if held else _cut(proj.edges.where(F.col("src") != F.col("dst")).distinct())
     found: list[DataFrame] = []
+    swept = False
     while not active.isEmpty():
         own = not held
         fwd, bwd = held or (EdgeSet(edges, hot_edges), EdgeSet(
@@ -356,47 +438,17 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
                 fwd.release()
                 bwd.release()
             break
-        # forward colouring: colour(v) = smallest (hash(id), id) among the
-        # vertices that reach v.  Hashed priorities make the number of phases
-        # independent of how ids happen to be ordered along the edges.
-        # (Messages to trimmed vertices meet no row.)
-        mat = Materializer(checkpoint_every)
-        colour = active.select("id", F.struct(F.xxhash64("id").alias("h"),
-                                              F.col("id").alias("r")).alias("c"))
-        senders = colour  # only vertices whose colour dropped send in the next round
-        while True:
-            m = fwd.messages(senders, ["c"]).groupBy("dst").agg(F.min("c").alias("m"))
-            new = mat(colour.join(m, colour.id == m.dst, "left")
-                      .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
-                              F.coalesce(F.col("m") < F.col("c"), F.lit(False))
-                              .alias("changed")))
-            changed = new.where(F.col("changed")).count()  # full pass: fills the cache
-            colour = new.select("id", "c")
-            senders = new.where(F.col("changed")).select("id", "c")
-            if changed == 0:
-                break
-        colour = _cut(colour.select("id", F.col("c.r").alias("c")))  # colour = its root id
-        mat.close()
+        # a graph of many edges a vertex mostly has one component of most vertices: a sweep each way
+        # from a vertex of many edges finds it, where colouring would send along its edges every round
+        n_active, n_edges, start = state.agg(
+            F.count(F.lit(1)), F.sum("n_out"), F.max_by("id", F.struct(F.least("n_out", "n_in"), "id"))).first()
+        if not swept and n_edges >= DENSE * n_active:
+            mark = _around(active, start, fwd, bwd, checkpoint_every)
+        else:
+            mark = _coloured(active, fwd, bwd, checkpoint_every)
+        swept = True
         if own:
             fwd.release()
-        # backward sweep inside each colour, from the root: a message counts
-        # only where sender and receiver have the same colour
-        mat = Materializer(checkpoint_every)
-        mark = colour.select("id", "c", (F.col("id") == F.col("c")).alias("k"))
-        frontier = mark.where("k").select("id", "c")
-        while True:
-            reached = bwd.messages(frontier, ["c"]).select(F.col("dst").alias("u"),
-                                                           F.col("c").alias("uc")).distinct()
-            new = mat(mark.join(reached, (mark.id == reached.u) & (mark.c == reached.uc), "left")
-                      .select("id", "c", (F.col("k") | F.col("u").isNotNull()).alias("k"),
-                              (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
-            frontier = new.where(F.col("changed")).select("id", "c")
-            mark = new.select("id", "c", "k")
-            if frontier.count() == 0:  # full pass: fills the cache
-                break
-        mark = _cut(mark)
-        mat.close()
-        if own:
             bwd.release()
         # component id = smallest vertex id of the component (partial aggregation per root)
         members = mark.where("k").select("id", "c")
