@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_draw
-from ..session import written
+from ..session import tasks_for, written
 from .ranked import numbered
 
 #: Most numbers that a row draws in one round; bounds the rows that one row becomes.
@@ -75,6 +75,9 @@ def pick_from_pool(rows: DataFrame, row_key: str, k_col: str, pool: DataFrame,
     todo = written(target.select(row_key, F.least("_k", elig).cast("int").alias("_target"),
                                  (F.col("_k") + slack).cast("long").alias("_width"),
                                  never.alias("_never"), none.alias("_held")), "targets")
+    # rows are small but draw much: tasks follow the draws, not the bytes
+    n_draws = todo.agg(F.sum(F.least("_width", F.lit(MAX_SPAN)))).first()[0] or 0
+    todo = todo.repartition(tasks_for(todo.sparkSession, n_draws), row_key)
 
     finished: DataFrame | None = None
     lo, span = F.lit(0).cast("long"), F.least(F.col("_width"), F.lit(MAX_SPAN))

@@ -39,6 +39,8 @@ def process_papers(raw_papers: DataFrame, raw_authors: DataFrame, cities: DataFr
     draws (see ``operators.synth``).  ``nouns``: weights of ``operators.nouns``
     that keep only nouns as keywords.
     """
+    # read five times below (corresponding authors, reviewers, their pool, own papers, lists)
+    raw_authors = written(raw_authors.select("paperId", "authorId", "position"), "authors")
     raw_papers = clean.dedupe_papers(raw_papers)
     papers = clean.clean_papers(raw_papers)
     papers = clean.aggregate_paper_authors(papers, raw_authors).drop("n_authors", "last_author")
@@ -81,7 +83,8 @@ def process_papers(raw_papers: DataFrame, raw_authors: DataFrame, cities: DataFr
               .join(_ranked_list(reviewers, "paperId", "pick", "reviewers"), "paperId", "left")
               .join(_ranked_list(texts, "paperId", "Text", "comments"), "paperId", "left")
               .join(_ranked_list(cites, "paperId", "pick", "Citations"), "paperId"))
-    papers = clean.list_columns_to_strings(papers)
+    # each type is a selection of the same rows, and conferences are read twice
+    papers = written(clean.list_columns_to_strings(papers), "processed")
     parts = clean.split_by_type(papers)
     return {"Conference": clean.clone_previous_edition(parts["Conference"], generations),
             "Journal": parts["JournalArticle"],
