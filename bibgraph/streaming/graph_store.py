@@ -145,7 +145,7 @@ class GraphStore:
         out = {}
         unordered = [F.lit(0).alias(c) for c in ORDER[1:]]
         if rows is not None:
-            cites = gb.cites_writes(rows).distinct()
+            cites = gb.cites_writes(rows)
             papers = gb.paper_writes(rows).withColumn("stub", F.lit(False))
             stubs = cites.select(F.col("dst").alias("paperId")).distinct().select(
                 "paperId", F.lit(_LATEST[1]).alias("file_no"), F.lit(_LATEST[2]).alias("row_no"), F.lit(True).alias("stub"))
@@ -153,7 +153,7 @@ class GraphStore:
                     "wrote": gb.wrote_writes(rows, None), "published_in": gb.published_in_writes(rows, None),
                     "reviewed": gb.reviewed_writes(rows, None),
                     "venue": gb.venue_nodes(rows).select("*", *unordered),
-                    "cites": cites.select("*", *unordered),
+                    "cites": cites.distinct().select("*", *unordered),
                     "contains": gb.contains_edges(rows, None).select("*", *unordered)}
         if author_rows is not None:
             out |= {"author": gb.author_writes(author_rows),
