@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .graph_algorithms import EdgeSet, Projection
+from .graph_algorithms import EdgeSet, Materializer, Projection, _cut
 
 #: Finished levels are put together after so many rounds, so that plans stay small.
 FOLD = 20
@@ -28,8 +28,8 @@ def condense(proj: Projection, components: DataFrame, hot_edges: int | None = No
     # (target, component of the source): edges of one component to one vertex are one row from here on
     half = by_source.messages(of, ["c"]).select(F.col("dst").alias("src"), F.col("c").alias("dst")).distinct()
     by_target = EdgeSet(half, hot_edges)
-    edges = (by_target.messages(of, ["c"]).select(F.col("dst").alias("src"), F.col("c").alias("dst"))
-             .where("src <> dst").distinct().checkpoint(eager=True))
+    edges = _cut(by_target.messages(of, ["c"]).select(F.col("dst").alias("src"), F.col("c").alias("dst"))
+                 .where("src <> dst").distinct())
     by_source.release()
     by_target.release()
     vertices = components.groupBy(F.col("componentId").alias("id")).agg(F.count(F.lit(1)).alias("key")).select(
@@ -42,22 +42,28 @@ def topological_levels(dag: Projection, hot_edges: int | None = None) -> DataFra
     checkpoint_dir(dag.vertices.sparkSession)
     es = EdgeSet(dag.edges.distinct(), hot_edges)
     open_in = es.edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("n_in"))
-    state = (dag.vertices.select("id").join(open_in, "id", "left")
-             .select("id", F.coalesce("n_in", F.lit(0)).alias("n_in")).checkpoint(eager=True))
+    # the levels since the last fold are read from the rounds that found them
+    rounds, folds = Materializer(keep=FOLD), Materializer(keep=1)
+    state = rounds(dag.vertices.select("id").join(open_in, "id", "left")
+                   .select("id", F.coalesce("n_in", F.lit(0)).alias("n_in")))
     done, level = None, 0
     while True:
-        ready = state.where("n_in <= 0").select("id").checkpoint(eager=True)
+        ready = state.where("n_in <= 0").select("id")
         if ready.isEmpty():
             break
         own = ready.withColumn("level", F.lit(level).cast("bigint"))
         done = own if done is None else done.unionByName(own)
         if level % FOLD == FOLD - 1:
-            done = done.checkpoint(eager=True)
+            done = folds(done)
         less = es.messages(ready, []).groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("less"))
-        state = (state.where("n_in > 0").join(less, "id", "left")
-                 .select("id", (F.col("n_in") - F.coalesce("less", F.lit(0))).alias("n_in")).checkpoint(eager=True))
+        state = rounds(state.where("n_in > 0").join(less, "id", "left")
+                       .select("id", (F.col("n_in") - F.coalesce("less", F.lit(0))).alias("n_in")))
         level += 1
+    cyclic = not state.isEmpty()
+    if done is not None and not cyclic:
+        done = folds(done)  # stays: the caller reads it
+    rounds.close()
     es.release()
-    if not state.isEmpty():
+    if cyclic:
         raise ValueError("the projection has a cycle: condense it first")
     return done if done is not None else dag.vertices.select("id", F.lit(0).cast("bigint").alias("level")).limit(0)

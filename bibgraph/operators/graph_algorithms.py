@@ -11,9 +11,9 @@ Design for scale
 * A bucket's value rows are hashed, so a round doesn't sort its edges again (``EdgeSet.messages``).
 * Messages are aggregated per destination with partial (map-side)
   aggregation, so a hot destination is pre-combined before the shuffle.
-* Rounds are cached; lineage is cut with reliable ``checkpoint()`` into the
-  session's checkpoint folder every few rounds; an executor loss recomputes
-  from the last cut.
+* Every round is written into the session's checkpoint folder and the round before
+  the last is removed, so plans don't grow: cached rounds nest in each other's plans,
+  and Spark keeps the text of a thousand plans in the driver's memory.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegralType, NumericType
 from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpoint_dir, scratch_database, tasks_for
+from ..session import (checkpoint_dir, own_shuffles_removed, remove, scratch_database, scratch_path, tasks_for,
+                       written_to)
 
 HOT_EDGES = 1 << 20  # edges per salt bucket of one source vertex
 #: Edges a vertex from which on a first sweep from one vertex looks for a component of most vertices.
@@ -126,7 +127,8 @@ def bucketed(df: DataFrame, cols: list[str], label: str, n: int | None = None) -
     name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex[:12]}"
     # hash-partition on the bucket columns first: bucket ids use the same
     # hash, so each task writes exactly one bucket file (not tasks x buckets)
-    df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols).saveAsTable(name)
+    with own_shuffles_removed(spark):
+        df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols).saveAsTable(name)
     return spark.table(name), name
 
 
@@ -148,15 +150,23 @@ class EdgeSet:
             deg.select(F.col("src").alias("id"), "outdeg",
                        F.greatest(F.lit(1), F.ceil(F.col("outdeg") / hot_edges))
                        .cast("int").alias("s")), ["id"], "fanout", n)
+        # at most (edges / hot_edges) sources are split: no edge is shuffled on a plain source
+        hot = self.fanout.where(F.col("s") > 1).select("id", "s")
+        self.hot = None if hot.isEmpty() else hot
         self.edges, n2 = bucketed(
-            # at most (edges / hot_edges) sources are split: no edge is shuffled on a plain source
-            edges.join(F.broadcast(self.fanout.where(F.col("s") > 1)
-                                   .select(F.col("id").alias("src"), "s")), "src", "left")
-            .select("src", F.pmod(F.xxhash64("dst"), F.coalesce("s", F.lit(1))).cast("int").alias("salt"),
-                    "dst"), ["src", "salt"], "edges", n)
+            self._split(edges, "src").select(
+                "src", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"), "dst"),
+            ["src", "salt"], "edges", n)
         edges.unpersist()
         self._names = [n1, n2]
 
+    def _split(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with ``s``, the buckets of each source in column ``key``; no row is shuffled for it."""
+        if self.hot is None:
+            return df.withColumn("s", F.lit(1))
+        hot = F.broadcast(self.hot.select(F.col("id").alias(key), F.col("s").alias("_s")))
+        return df.join(hot, key, "left").withColumn("s", F.coalesce("_s", F.lit(1))).drop("_s")
+
     def messages(self, values: DataFrame, cols: list[str]) -> DataFrame:
         """Rows (dst, *cols) for every edge whose source has a row in
         ``values(id, *cols[, s])`` (``s`` is looked up when missing).
@@ -166,9 +176,9 @@ class EdgeSet:
         """
         narrow = all(isinstance(values.schema[c].dataType, (NumericType, BooleanType)) for c in cols)
         if "s" not in values.columns:
-            values = values.join(self.fanout.select("id", "s"), "id")
-        sv = values.select(F.col("id").alias("src"),
-                           F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), *cols)
+            values = self._split(values, "id")
+        salt = F.lit(0) if self.hot is None else F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+        sv = values.select(F.col("id").alias("src"), salt.alias("salt"), *cols)
         return self.edges.join(sv.hint("shuffle_hash") if narrow else sv, ["src", "salt"]).select("dst", *cols)
 
     def release(self) -> None:
@@ -225,34 +235,30 @@ class ProjectionCatalog:
 
 
 class Materializer:
-    """Per-round materialisation for loops: cache most rounds (the caller's
-    convergence count fills the cache), a reliable checkpoint every ``every``
-    rounds (and on demand)."""
+    """Per-round tables of a loop: each round is written and read back (a plan of one round, whatever came
+    before), its shuffle files go, and so do all but the last ``keep`` rounds.  ``every`` is not used any more."""
 
-    def __init__(self, every: int = 5):
-        self.every = every
-        self.round = 0
-        self._cached: list[DataFrame] = []
+    def __init__(self, every: int = 5, keep: int = 2):
+        self.keep = keep
+        self._spark: SparkSession | None = None
+        self._held: list[str] = []
 
     def __call__(self, df: DataFrame, force_checkpoint: bool = False) -> DataFrame:
-        self.round += 1
-        if force_checkpoint or self.round % self.every == 0:
-            out = df.checkpoint(eager=True)
-            # the previous round may still be read by the caller (convergence test)
-            for c in self._cached[:-1]:
-                c.unpersist()
-            self._cached = self._cached[-1:]
-            return out
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._cached.append(out)
-        if len(self._cached) > 2:
-            self._cached.pop(0).unpersist()
+        if force_checkpoint:  # stays after close()
+            return _cut(df)
+        self._spark = df.sparkSession
+        path = scratch_path(self._spark, "round")
+        out = written_to(df, path)
+        self._held.append(path)
+        # the previous round may still be read by the caller (convergence test)
+        remove(self._spark, self._held[:-self.keep])
+        self._held = self._held[-self.keep:]
         return out
 
     def close(self) -> None:
-        for c in self._cached:
-            c.unpersist()
-        self._cached = []
+        if self._held:
+            remove(self._spark, self._held)
+        self._held = []
 
 
 def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
@@ -310,7 +316,8 @@ def pagerank(proj: Projection, damping: float = 0.85, max_iter: int = 20,
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+    with own_shuffles_removed(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def _reached(active: DataFrame, start: int, es: EdgeSet, checkpoint_every: int) -> DataFrame:
@@ -325,7 +332,7 @@ def _reached(active: DataFrame, start: int, es: EdgeSet, checkpoint_every: int)
                           (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
         frontier = new.where("changed").select("id")
         mark = new.select("id", "k")
-        if frontier.count() == 0:  # full pass: fills the cache
+        if frontier.count() == 0:
             break
     mark = _cut(mark)
     mat.close()
@@ -358,7 +365,7 @@ def _coloured(active: DataFrame, fwd: EdgeSet, bwd: EdgeSet, checkpoint_every: i
                   .select("id", F.least("c", F.coalesce("m", "c")).alias("c"),
                           F.coalesce(F.col("m") < F.col("c"), F.lit(False))
                           .alias("changed")))
-        changed = new.where(F.col("changed")).count()  # full pass: fills the cache
+        changed = new.where(F.col("changed")).count()
         colour = new.select("id", "c")
         senders = new.where(F.col("changed")).select("id", "c")
         if changed == 0:
@@ -378,7 +385,7 @@ def _coloured(active: DataFrame, fwd: EdgeSet, bwd: EdgeSet, checkpoint_every: i
                           (~F.col("k") & F.col("u").isNotNull()).alias("changed")))
         frontier = new.where(F.col("changed")).select("id", "c")
         mark = new.select("id", "c", "k")
-        if frontier.count() == 0:  # full pass: fills the cache
+        if frontier.count() == 0:
             break
     mark = _cut(mark)
     mat.close()
@@ -399,8 +406,8 @@ def strongly_connected_components(proj: Projection, max_trim_rounds: int = 8,
     subtracts the removed vertices' messages from degree counters, and the
     sweeps send from vertices that changed.  Edges across colours are dropped
     after each phase, since an SCC never spans two colours.  Rounds inside a
-    sweep are cached and counted; a reliable checkpoint cuts the lineage every
-    ``checkpoint_every`` rounds and at the end of each sweep.
+    sweep are written and counted (``checkpoint_every`` is not used any more); a
+    reliable checkpoint cuts the lineage at the end of each sweep.
     """
     spark = proj.vertices.sparkSession
     checkpoint_dir(spark)

@@ -143,3 +143,34 @@ def test_draws_are_dealt_over_all_tasks(spark, monkeypatch):
     rows = spark.range(100).select(F.col("id").alias("p"), F.lit(3).alias("k"))
     assert synth.pick_from_pool(rows, "p", "k", spark.range(9).toDF("a"), "a", "s").count() == 300
     assert any(name == "picks" and "RepartitionByExpression [p" in p for name, p in seen)
+
+
+def test_plans_of_rounds_do_not_grow(spark):
+    """A round reads one written table: cached rounds nested in each other's plans, whose texts filled the driver."""
+    from bibgraph import session
+
+    mat, state, texts, tables = ga.Materializer(), spark.range(20).withColumn("c", F.col("id")), [], []
+    for _ in range(4):
+        low = state.groupBy((F.col("id") % 7).alias("id")).agg(F.min("c").alias("m"))
+        new = state.join(low, "id", "left").select("id", F.least("c", F.coalesce("m", "c")).alias("c"))
+        texts.append(new._jdf.queryExecution().toString())
+        state = mat(new)
+        tables.append(session.scratch_tables(state))
+    assert not any("InMemoryRelation" in t for t in texts) and abs(len(texts[3]) - len(texts[1])) < 100
+    assert all(len(t) == 1 for t in tables) and len({t[0] for t in tables}) == 4
+    exists = lambda path: (p := spark._jvm.org.apache.hadoop.fs.Path(path)).getFileSystem(
+        spark._jsc.hadoopConfiguration()).exists(p)
+    assert [exists(t[0]) for t in tables] == [False, False, True, True]
+    mat.close()
+    assert not any(exists(t[0]) for t in tables)
+
+
+def test_values_are_not_shuffled_to_look_up_buckets(spark):
+    edges = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 1), (None, 3)], "src long, dst long")
+    values = spark.createDataFrame([(1, 5), (2, 6), (3, 7), (None, 8)], "id long, c int")
+    for hot_edges, most in ((None, 1), (4, 2)):
+        es = ga.EdgeSet(edges, hot_edges)
+        sent = es.messages(values, ["c"])
+        assert plan(sent).count("Join") == most  # the edges, and a broadcast of hot sources if there are any
+        assert sorted(tuple(r) for r in sent.collect()) == sorted([(i, 5) for i in range(9)] + [(1, 6)])
+        es.release()
