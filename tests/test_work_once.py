@@ -1,5 +1,7 @@
 """Steps that are done once, without a shuffle or a sort where none is needed."""
+import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +176,49 @@ def test_values_are_not_shuffled_to_look_up_buckets(spark):
         assert plan(sent).count("Join") == most  # the edges, and a broadcast of hot sources if there are any
         assert sorted(tuple(r) for r in sent.collect()) == sorted([(i, 5) for i in range(9)] + [(1, 6)])
         es.release()
+
+
+def shuffle_files(spark):
+    tops = [d.getAbsolutePath() for d in
+            spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {f for d in tops for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from bibgraph import session
+
+    before, setting = shuffle_files(spark), spark.conf.get(session.SHUFFLE_CLEANUP)
+    out = session.written(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 9).alias("k")).count(), "counts")
+    for _ in range(50):  # they are removed in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == 9 and spark.conf.get(session.SHUFFLE_CLEANUP) == setting
+
+
+def test_load_files_are_packed_and_tables_they_came_from_go(spark, tmp_path, monkeypatch):
+    from bibgraph import session
+    from bibgraph.sources import csv_io
+
+    monkeypatch.setattr(csv_io, "TASK_ROWS", 4)
+    rows = session.written(spark.range(30).selectExpr("'Journal' kind", "id row_no", "string(id) paperId", "'a\nb' title",
+                                                      "'1' edition", "'p' proceedings", "'j' journal_name",
+                                                      "'v' journal_volume").coalesce(1), "lines")
+    held = session.scratch_tables(rows)[0]
+    paths = load_files.write_load_files(rows, str(tmp_path / "files"), own=True)
+    files = sorted(p.name for p in (tmp_path / "files" / "journal_info").glob("part-*"))
+    assert len(files) == 8 and all(f.endswith(".csv.gz") for f in files)
+    assert not spark._jvm.java.io.File(held.removeprefix("file:")).exists()
+    back = load_files.read_load_files(spark, paths)
+    assert sorted((r["row_no"], r["paperId"], r["title"]) for r in back.collect()) == [
+        (i, str(i), "a\nb") for i in range(30)]
+
+
+def test_tables_of_a_graph_are_counted_one_after_the_other(spark, monkeypatch):
+    from bibgraph.graph import Graph
+
+    seen = noted(monkeypatch, gb)
+    g = Graph(paper=spark.range(3).toDF("paperId"), keyword=spark.range(2).selectExpr("string(id) text"))
+    assert {tuple(r) for r in gb.graph_counts(g).collect()} == {("paper", 3), ("keyword", 2)}
+    assert [name for name, _ in seen] == ["count", "count"]
