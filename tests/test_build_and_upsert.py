@@ -167,3 +167,24 @@ def test_read_load_file_without_order_column(spark):
                            .withColumn("abstract", F.lit(None).cast("string"))
                            .withColumn("citationCount", F.lit(None).cast("string")))
     assert rows(nodes, "paperId", "title", "year") == [("p1", "First", 2020), ("p2", "Other", 2019)]
+
+
+def test_existing_edges_without_properties_are_not_joined(spark):
+    """One aggregate, no shuffle but those that made its inputs; null and repeated keys as in an outer join."""
+    authors = spark.createDataFrame([("a",), ("b",)], "authorId string").distinct()
+    old = spark.createDataFrame([("a", "p"), ("a", "q"), ("a", "q"), ("z", "p")], "authorId string, paperId string")
+    new = spark.createDataFrame([("a", "p", 0, 1, "x"), ("a", "p", 0, 2, "y"), ("b", "p", 0, 1, None), ("a", "q", 1, 1, "w"),
+                                 ("z", "q", 0, 1, "no")],
+                                "authorId string, paperId string, file_no int, row_no long, v string")
+    known = lambda df: df.join(authors.hint("merge"), "authorId", "left_semi")
+    out = merge_edges_last_wins(known(new), ["authorId", "paperId"], ["v"], existing=known(old).select("authorId", "paperId"))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in text and "hashpartitioning(authorId" in text and ", paperId" not in "".join(
+        line for line in text.splitlines() if "Exchange" in line)
+    assert sorted(map(tuple, out.collect()), key=str) == [
+        ("a", "p", "y"), ("a", "q", "w"), ("a", "q", "w"), ("b", "p", None)]
+    frame = lambda data: spark.createDataFrame(data, "k string, file_no int, row_no long, v string")
+    nulls = merge_edges_last_wins(frame([(None, 0, 1, "x"), (None, 0, 2, "y"), ("k", 0, 1, "z")]), ["k"], ["v"],
+                                  existing=spark.createDataFrame([(None,), (None,), ("l",)], "k string"))
+    assert sorted(map(tuple, nulls.collect()), key=str) == sorted(
+        [(None, None), (None, None), (None, "y"), ("k", "z"), ("l", None)], key=str)

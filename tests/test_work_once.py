@@ -197,6 +197,31 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert not left and out.count() == 9 and spark.conf.get(session.SHUFFLE_CLEANUP) == setting
 
 
+def test_parts_of_the_keys_are_done_one_by_one(spark, monkeypatch):
+    from bibgraph import session
+
+    monkeypatch.setattr(session, "PART_ROWS", 100)
+    seen = noted(monkeypatch, session)
+    keys = spark.range(50).selectExpr("string(id) a").distinct()
+    rows = spark.range(400).selectExpr("string(id % 60) a", "id")
+    step = lambda some: rows.join(some, "a", "left_semi")
+    assert sorted(map(tuple, session.in_parts(keys, "a", 400, step).collect())) == sorted(map(tuple, step(keys).collect()))
+    assert len(seen) == session.PARTS == 3
+    assert all(p.count("pmod(xxhash64(") == 2 for _, p in seen)  # rows of other parts are left out before the shuffle
+    assert len(session.scratch_tables(session.in_parts(keys, "a", 99, step))) == 0
+
+
+def test_reviewed_edges_in_parts(spark, monkeypatch):
+    from bibgraph import session
+    from bibgraph.plans.queries import REGISTRY
+
+    whole = REGISTRY["reviewed_edges_evolved"](spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(session, "PART_ROWS", 1 << 10)
+    parts = REGISTRY["reviewed_edges_evolved"](spark, "/root/testdata/sf0.001")
+    assert len(session.scratch_tables(parts)) == 3 and len(session.scratch_tables(whole)) == 1
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, parts.collect()), key=str)
+
+
 def test_load_files_are_packed_and_tables_they_came_from_go(spark, tmp_path, monkeypatch):
     from bibgraph import session
     from bibgraph.sources import csv_io
